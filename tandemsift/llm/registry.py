@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_model, mixing, token_counts
+from . import language_model, mixing, ngram_join, token_counts
 
 
 def queries() -> dict:
@@ -10,10 +10,12 @@ def queries() -> dict:
         "op6_language_model": language_model.query,
         "op7_token_counts": token_counts.query,
         "op8_mixing": mixing.query,
+        "op9_ngram_join": ngram_join.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_mixing": mixing.ORACLE,
+        "op9_ngram_join": ngram_join.ORACLE,
     }
