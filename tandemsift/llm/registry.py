@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import language_model, mixing, ngram_join, token_counts
+from . import language_model, mixing, ngram_join, pii, token_counts
 
 
 def queries() -> dict:
     return {
+        "op4_pii": pii.query,
         "op6_language_model": language_model.query,
         "op7_token_counts": token_counts.query,
         "op8_mixing": mixing.query,
