@@ -20,7 +20,7 @@ def save_bytes(folder: str, name: str, data: bytes | memoryview) -> None:
     system, path = opened(folder)
     system.create_dir(path, recursive=True)
     own = f"{path}/.{name}-{uuid.uuid4().hex}"
-    with system.open_output_stream(own) as out:
+    with system.open_output_stream(own, compression=None) as out:
         out.write(data)
     system.move(own, f"{path}/{name}")
 

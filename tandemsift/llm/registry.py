@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_model, mixing, ngram_join, pii, token_counts
+from . import language_model, mixing, ngram_join, pii, token_counts, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op7_token_counts": token_counts.query,
         "op8_mixing": mixing.query,
         "op9_ngram_join": ngram_join.query,
+        "op10_warc": warc.query,
     }
 
 
@@ -19,4 +20,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op8_mixing": mixing.ORACLE,
         "op9_ngram_join": ngram_join.ORACLE,
+        "op10_warc": warc.ORACLE,
     }
