@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import language_model, mixing, ngram_join, pii, token_counts, warc
+from . import language_model, mixing, ngram_join, pii, quality, sentence_pieces, token_counts, warc
 
 
 def queries() -> dict:
     return {
+        "op2_quality": quality.query,
         "op4_pii": pii.query,
+        "op5_sentence_pieces": sentence_pieces.query,
         "op6_language_model": language_model.query,
         "op7_token_counts": token_counts.query,
         "op8_mixing": mixing.query,
