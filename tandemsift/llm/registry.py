@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import language_model, mixing, ngram_join, pii, quality, sentence_pieces, token_counts, warc
+from . import branch_bound, language_model, mixing, ngram_join, pii, quality, rp_forest, sentence_pieces, token_counts, warc
 
 
 def queries() -> dict:
     return {
+        "op1_rp_forest": rp_forest.query,
         "op2_quality": quality.query,
+        "op3_branch_bound": branch_bound.query,
         "op4_pii": pii.query,
         "op5_sentence_pieces": sentence_pieces.query,
         "op6_language_model": language_model.query,
@@ -20,6 +22,8 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_rp_forest": rp_forest.ORACLE,
+        "op3_branch_bound": branch_bound.ORACLE,
         "op8_mixing": mixing.ORACLE,
         "op9_ngram_join": ngram_join.ORACLE,
         "op10_warc": warc.ORACLE,
