@@ -48,6 +48,15 @@ def remove(df_or_path: DataFrame | str, spark: SparkSession) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: A stored table of ids is broadcast up to so many rows, else joined by a shuffle.
+BOUND = 1 << 18
+
+
+def bounded(stored_ids: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, marked for a broadcast if it is small enough."""
+    return F.broadcast(stored_ids) if stored_ids.count() <= BOUND else stored_ids
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 

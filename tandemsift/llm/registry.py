@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import branch_bound, language_model, mixing, ngram_join, pii, quality, rp_forest, sentence_pieces, token_counts, warc
 
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_rp_forest": rp_forest.query,
         "op2_quality": quality.query,
         "op3_branch_bound": branch_bound.query,
