@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import assignment_queries, calling_queries, catalog_queries, evidence_queries, quality_queries, sequence_queries
+
+MODULES = (sequence_queries, catalog_queries, assignment_queries, calling_queries, evidence_queries, quality_queries)
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return {name: query for m in MODULES for name, query in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
