@@ -19,6 +19,8 @@ from . import arrays, common
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 MARK = "▁"
+#: Bytes of text that are encoded at once: tokens take far more memory than their text.
+CHUNK = 1 << 20
 
 
 @dataclass
@@ -134,8 +136,8 @@ def encode(docs: DataFrame, model_file: str, threads: int = 2, verify: bool = Tr
 
     round_trip tells whether decoding the ids gives the text back (not so where the model itself loses
     something, as a literal mark or squeezed blanks), parity whether the original library gives the same
-    ids (null without verify). The model is read by the driver and sent to the workers; each encodes batches
-    of a few MB of text in `threads` threads. Nothing is shuffled.
+    ids (null without verify). The model is read by the driver and sent to the workers; each encodes stretches
+    of CHUNK bytes of text in `threads` threads. Nothing is shuffled.
 
     Null texts have no ids and count as empty; texts are never cut; repeated rows give repeated results; an
     empty table gives none; columns named as the results are replaced, others stay.
@@ -154,10 +156,10 @@ def encode(docs: DataFrame, model_file: str, threads: int = 2, verify: bool = Tr
         tokenizer = rebuild(shared.value[1])
         original = sentencepiece.SentencePieceProcessor(model_proto=shared.value[0]) if verify else None
         for batch in batches:
-            text = pc.fill_null(batch.column(text_col).cast(pa.large_string()), "")
-            _, offsets = arrays.text_bytes(text)
-            for low, high in arrays.chunks(offsets):
-                own = text[low:high].to_pylist()
+            text = batch.column(text_col)
+            sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
+            for low, high in arrays.chunks(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), CHUNK):
+                own = pc.fill_null(text[low:high], "").to_pylist()
                 ids = [e.ids for e in tokenizer.encode_batch_fast(own, add_special_tokens=False)]
                 sizes = np.array([len(x) for x in ids])
                 flat = pa.array(np.concatenate([np.asarray(x, np.int32) for x in ids]), pa.int32())
