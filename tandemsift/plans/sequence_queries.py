@@ -108,8 +108,8 @@ def _(orders):
     e AS (SELECT read_id, round(sum(-(n::DOUBLE / size) * log2(n::DOUBLE / size)), 6) AS entropy, first(base ORDER BY n DESC, base) AS dominant_base, round(max(n)::DOUBLE / any_value(size), 6) AS dominant_fraction FROM n GROUP BY read_id),
     k AS (SELECT read_id, round(count(DISTINCT CASE WHEN len(kmer) = 3 THEN kmer END)::DOUBLE / least(64, any_value(len(seq)) - 2), 6) AS kmer_fraction FROM c GROUP BY read_id),
     g AS (SELECT *, i - row_number() OVER (PARTITION BY read_id, base ORDER BY i) AS g FROM c),
-    h AS (SELECT read_id, base, g, count(*) AS n, min(i) AS at FROM g GROUP BY ALL),
-    m AS (SELECT read_id, max(n) AS homopolymer_bp, first(base ORDER BY n DESC, at) AS homopolymer_base FROM h GROUP BY read_id)
+    h AS (SELECT read_id, base, g, count(*) AS n, min(i) AS pos FROM g GROUP BY ALL),
+    m AS (SELECT read_id, max(n) AS homopolymer_bp, first(base ORDER BY n DESC, pos) AS homopolymer_base FROM h GROUP BY read_id)
     SELECT * FROM e JOIN k USING (read_id) JOIN m USING (read_id)""",
 )
 def _(reads):
