@@ -1,0 +1,77 @@
+"""Literal cases, invariants and independence of the partitioning."""
+
+from pyspark.sql import functions as F
+
+from tandemsift.functions import sequences as s
+from tandemsift.operators import alignments as al
+from tandemsift.operators import calling
+from tandemsift.operators import intervals as iv
+
+
+def one(spark, column, **values):
+    return spark.createDataFrame([tuple(values.values())], list(values)).select(column.alias("x")).first()["x"]
+
+
+def test_motifs(spark):
+    for motif in ("CAG", "CTG", "CAGCAG", "agc"):
+        assert one(spark, s.canonical_motif(F.col("m")), m=motif) == "AGC"
+    assert one(spark, s.primitive_motif(F.col("m")), m="ATATAT") == "AT"
+    assert one(spark, s.reverse_complement(F.col("m")), m="AACGN") == "NCGTT"
+    assert one(spark, s.reverse_complement(F.col("m")), m="AAX") is None
+    assert one(spark, s.motif_relation(F.col("a"), F.col("b")), a="CAGCAG", b="CTG") == "PRIMITIVE_DIHEDRAL_EQUIVALENT"
+    assert one(spark, s.iupac_match(F.col("a"), F.col("b")), a="GCN", b="TGC") is True
+    assert one(spark, s.split_motifs(F.col("m")), m="[CAG], ctg;NA CAG") == ["CAG", "CTG"]
+
+
+def test_cigar_blocks_and_positions(spark):
+    rows = [(1, 1, "chr1", 1000, "5S30M2I25M100N20M3D40M"), (2, 1, "chr1", 5, "10Q"), (3, 1, "chr1", 5, "")]
+    table = spark.createDataFrame(rows, "read_id long, ordinal int, chrom string, ref_start long, cigar string")
+    got = [(r.block_start, r.block_end) for r in al.splice_blocks(table).orderBy("block_start").collect()]
+    assert got == [(1000, 1055), (1155, 1218)]
+    found = {b: al.project_boundary(table.withColumn("b", F.lit(b)), "b").filter("read_id = 1").first() for b in (999, 1000, 1010, 1030, 1100, 1177, 1218, 1219)}
+    assert [found[b].status.removeprefix("PROJECTED_") for b in found] == [
+        "BOUNDARY_BEFORE_ALIGNMENT", "AT_OPERATION_BOUNDARY", "WITHIN_MATCHLIKE", "WITHIN_MATCHLIKE", "WITHIN_REFERENCE_SKIP", "WITHIN_DELETION", "WITHIN_MATCHLIKE", "BOUNDARY_AFTER_ALIGNMENT",
+    ]
+    assert found[1010].query_position == 15 and found[1218].query_position == 122
+
+
+def test_islands_across_tiles_and_touching(spark):
+    rows = [("a", 0, 5), ("a", 5, 9), ("a", 3, 200000), ("a", 199999, 200001), ("a", 200001, 200002), ("b", 1, 2), ("b", 1, 2)]
+    table = spark.createDataFrame(rows, "c string, s long, e long")
+    count = lambda touching: iv.islands(table, ["c"], "s", "e", touching).select("c", "island").distinct().count()
+    assert count(True) == 2 and count(False) == 3
+    merged = sorted(tuple(r) for r in iv.merge_intervals(table, ["c"], "s", "e").collect())
+    assert merged == [("a", 0, 200002), ("b", 1, 2)]
+    depth = iv.union_and_depth(table.withColumn("g", F.lit(1)), ["g"], "c", "s", "e").first()
+    assert depth.union_bp == 200003 and depth.max_depth == 2
+
+
+def test_interval_join_is_that_of_inequalities(spark):
+    a = spark.range(400).select(F.lit("x").alias("c"), (F.col("id") * 37 % 3000).alias("s")).withColumn("e", F.col("s") + 1 + F.col("s") % 700)
+    b = spark.range(300).select(F.lit("x").alias("c"), (F.col("id") * 91 % 3000).alias("t")).withColumn("u", F.col("t") + 1 + F.col("t") % 90)
+    for within in (0, 1, 50):
+        got = iv.interval_join(a, b, ("c", "s", "e"), ("c", "t", "u"), within, bin_bp=64)
+        near = (F.col("s") < F.col("u") + within + (1 if within else 0)) & (F.col("t") < F.col("e") + within + (1 if within else 0))
+        want = a.join(b.drop("c"), near)
+        assert got.count() == want.count()
+        assert got.filter(F.col("distance_bp") > within).count() == 0
+
+
+def test_planted_motif_is_found(spark):
+    reads = spark.createDataFrame([(1, "TTGACCA" + "CAG" * 6 + "TTACG"), (2, "TTTT"), (3, "")], "read_id long, seq string")
+    found = {r.read_id: r for r in calling.segment_scan(reads, "CAG").collect()}
+    assert (found[1].start, found[1].end) == (7, 25)
+    runs = {r.read_id: r.run_bp for r in calling.exact_runs(reads, "CAG").collect()}
+    assert runs == {1: 18, 2: 0, 3: 0}
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    from tandemsift.plans import registry
+    from tandemsift.sources.fixtures import view
+
+    segments = view(spark, "/root/testdata/sf0.001", "segments")
+    from tandemsift.plans.evidence_queries import events_of
+
+    many, few = events_of(segments.repartition(7)), events_of(segments.coalesce(1))
+    assert many.exceptAll(few).count() == 0 and few.exceptAll(many).count() == 0
+    assert "assignment_rank" in registry.queries()
