@@ -2,20 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once: bounds a worker's memory whatever the batch holds.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 TO_LOWER = np.arange(256, dtype=np.uint8)
 TO_LOWER[65:91] += 32
 
 
+def returning(work: Callable) -> Callable:
+    """A task's work on batches that gives freed memory back to the system at its end.
+
+    Workers are kept from task to task and would hold on to what the largest one took.
+    """
+
+    @wraps(work)
+    def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library's
+        if trim:
+            trim(0)
+
+    return done
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: every input bit moves every output bit."""
     x = x + np.uint64(0x9E3779B97F4A7C15)

@@ -104,7 +104,7 @@ def sketch(df: DataFrame, count: Callable[[pa.RecordBatch, np.ndarray], None]) -
 
     schema = "slice int, data binary"
     out = np.zeros(SLOTS, np.uint8)
-    for s, data in df.mapInArrow(local, schema).repartition(SLICES, "slice").mapInArrow(merged, schema).collect():
+    for s, data in df.mapInArrow(arrays.returning(local), schema).repartition(SLICES, "slice").mapInArrow(arrays.returning(merged), schema).collect():
         out[s * SLOTS // SLICES : (s + 1) * SLOTS // SLICES] = np.frombuffer(zlib.decompress(data), np.uint8)
     return out
 
@@ -250,8 +250,8 @@ def candidates(sets: DataFrame, percent: int, shards: int) -> DataFrame:
         if held:
             yield finish(held)
 
-    dealt = sets.select("sig", "n", "p1").mapInArrow(local, cells).repartition(shards, "shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(merged, "kind string, a long, b long")
+    dealt = sets.select("sig", "n", "p1").mapInArrow(arrays.returning(local), cells).repartition(shards, "shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(arrays.returning(merged), "kind string, a long, b long")
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -280,7 +280,9 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         data, offsets = arrays.text_bytes(batch.column(1))
         for low, high in arrays.chunks(offsets):
             hashes, _ = shingle_hashes(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], n)
-            total += np.bincount(slot(hashes), minlength=SLOTS).astype(np.uint32)
+            places = np.sort(slot(hashes))
+            firsts = arrays.run_starts(places)
+            total[places[firsts]] += np.diff(np.append(firsts, len(places))).astype(np.uint32)
 
     level = spark.sparkContext.broadcast(sketch(docs, count_shingles))
 
@@ -306,7 +308,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
                     }
                 )
 
-    sets = common.stored(docs.mapInArrow(make_sets, "doc_id long, n long, sig long, p1 binary, p2 binary, p3 binary"), "sets")
+    sets = common.stored(docs.mapInArrow(arrays.returning(make_sets), "doc_id long, n long, sig long, p1 binary, p2 binary, p3 binary"), "sets")
     full = sets.filter("n > 0")
     classes = common.stored(full.groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
     found = common.stored(candidates(full, percent, shards), "candidates")
@@ -347,7 +349,7 @@ def remaining_pairs(full: DataFrame, classes: DataFrame, labels: DataFrame, larg
             yield pa.RecordBatch.from_pydict({"token": pa.array(tok[keep].view(np.int64)), "sig": pa.array(sig[keep].view(np.int64)), "n": pa.array(n[keep]), "pos": pa.array(pos[keep])})
 
     reps = full.join(classes.withColumnRenamed("rep", "doc_id"), ["sig", "doc_id"]).select("sig", "n", "p1")
-    rows = reps.mapInArrow(exploded, "token long, sig long, n long, pos long").distinct().join(large.distinct(), "token", "left_semi")
+    rows = reps.mapInArrow(arrays.returning(exploded), "token long, sig long, n long, pos long").distinct().join(large.distinct(), "token", "left_semi")
     rows = rows.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     # a set's prefix token takes part only if some partner can still make up the needed intersection
     rows = common.stored(rows, "entries")
@@ -384,7 +386,7 @@ def verified(docs: DataFrame, full: DataFrame, classes: DataFrame, pairs: DataFr
             keep = pa.array(ok)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    left = common.stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(filtered, "a long, b long"), "filtered")
+    left = common.stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(arrays.returning(filtered), "a long, b long"), "filtered")
     wanted = left.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(classes, "sig").select("rep")
 
     def mark(batch, total):
@@ -400,7 +402,7 @@ def verified(docs: DataFrame, full: DataFrame, classes: DataFrame, pairs: DataFr
                 hashes, sizes = distinct_shingles(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], n)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], pa.array(signatures(hashes, sizes).view(np.int64)), batch.column(1)[low:high]], names=["doc_id", "sig", "text"])
 
-    texts = docs.mapInArrow(fetched, "doc_id long, sig long, text string")
+    texts = docs.mapInArrow(arrays.returning(fetched), "doc_id long, sig long, text string")
     texts = common.stored(texts.join(classes.withColumnRenamed("rep", "doc_id"), ["sig", "doc_id"]).select("sig", "text").dropDuplicates(["sig"]), "texts")
 
     def checked(batches):
@@ -420,7 +422,7 @@ def verified(docs: DataFrame, full: DataFrame, classes: DataFrame, pairs: DataFr
                 yield pa.RecordBatch.from_arrays([batch.column(c)[low:high].filter(keep) for c in ("a", "b")], names=["a", "b"])
 
     side = lambda name: texts.select(F.col("sig").alias(name), F.col("text").alias(f"t{name}"))
-    links = common.stored(left.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(checked, "a long, b long"), "links")
+    links = common.stored(left.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(arrays.returning(checked), "a long, b long"), "links")
     for done in (slim, left, texts):
         common.remove(done, spark)
     return links

@@ -171,7 +171,7 @@ def encode(docs: DataFrame, model_file: str, threads: int = 2, verify: bool = Tr
                 yield pa.RecordBatch.from_arrays([*(c[low:high] for c in batch.columns), *results], names=[*batch.schema.names, *made])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(encoded, f"{kinds}, token_ids array<int>, n_tokens long, round_trip boolean, parity boolean")
+    return docs.mapInArrow(arrays.returning(encoded), f"{kinds}, token_ids array<int>, n_tokens long, round_trip boolean, parity boolean")
 
 
 def decode(tokens: DataFrame, model_file: str, ids_col: str = "token_ids") -> DataFrame:
@@ -189,7 +189,7 @@ def decode(tokens: DataFrame, model_file: str, ids_col: str = "token_ids") -> Da
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "text"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema)
-    return tokens.mapInArrow(decoded, f"{kinds}, text string")
+    return tokens.mapInArrow(arrays.returning(decoded), f"{kinds}, text string")
 
 
 def query(spark, sf_dir):
