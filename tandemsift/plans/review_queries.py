@@ -124,3 +124,95 @@ def _(targets):
     forced, short = F.col("ids").isNotNull(), F.col("end_pos") - F.col("start_pos") <= 20
     tier, reason = F.when(forced, "T0").when(short, "T1").otherwise("T2"), F.when(forced, "DISEASE_OVERRIDE").when(short, "SHORT").otherwise("NONE")
     return catalog.join(ids, "target_region_id", "left").select("target_region_id", "ids", forced.alias("forced"), tier.alias("tier"), reason.alias("include_reason"))
+
+
+@query(
+    "override_plan", "motifs",
+    f"""WITH w AS (SELECT p_partkey, motif, other, unnest(list_concat(list_transform(range(1, len(motif) + 1), lambda i: substr(motif, i) || substr(motif, 1, i - 1)),
+        list_transform(range(1, len(motif) + 1), lambda i: substr(reverse(translate(motif, 'ACGTN', 'TGCAN')), i) || substr(reverse(translate(motif, 'ACGTN', 'TGCAN')), 1, i - 1)))) AS way FROM motifs),
+      c AS (SELECT p_partkey, bool_or(len(motif) = len(other) AND regexp_full_match(other, replace(way, 'N', '[ACGT]'))) AS compatible FROM w GROUP BY p_partkey)
+      SELECT p_partkey, CASE WHEN NOT compatible THEN 'MANUAL_MOTIF_REVIEW' WHEN p_partkey % 4 = 0 THEN 'KEEP_CURRENT_CORE' ELSE 'ADD_TO_CORE' END AS action FROM c""",
+)
+def _(motifs):
+    """What to do with a disease locus's candidate: its motif must fit, degenerate codes included; core members stay."""
+    fits = s.iupac_match(F.col("motif"), F.col("other"))
+    return motifs.select("p_partkey", F.when(~fits, "MANUAL_MOTIF_REVIEW").when(F.col("p_partkey") % 4 == 0, "KEEP_CURRENT_CORE").otherwise("ADD_TO_CORE").alias("action"))
+
+
+@query(
+    "caller_integration", "segments",
+    """SELECT read_id, attempt_no, CASE WHEN mapq = 0 THEN 'NOT_ATTEMPTED_NO_PROJECTED_TARGET' WHEN canonical_motif = 'A' THEN 'NOT_ATTEMPTED_UNSUPPORTED_STRATEGY' WHEN seg_start > 85 THEN 'NOT_ATTEMPTED_NO_WINDOW_SEQUENCE' ELSE 'CALLED' END AS integration_status,
+      CASE WHEN evidence_class = 'LEFT_ANCHORED_CENSORED_RIGHT' THEN CASE WHEN attempt_no % 2 = 0 THEN 'LEFT' ELSE 'RIGHT' END ELSE 'NONE' END AS censor_side, CASE WHEN mapq > 0 AND canonical_motif <> 'A' AND seg_start <= 85 THEN seg_start + 100 END AS raw_start FROM segments""",
+)
+def _(segments):
+    """Why a job wasn't attempted, which raw side is censored (turned on the reverse strand), raw coordinates of calls."""
+    status = F.when(F.col("mapq") == 0, "NOT_ATTEMPTED_NO_PROJECTED_TARGET").when(F.col("canonical_motif") == "A", "NOT_ATTEMPTED_UNSUPPORTED_STRATEGY").when(F.col("seg_start") > 85, "NOT_ATTEMPTED_NO_WINDOW_SEQUENCE").otherwise("CALLED")
+    side = F.when(F.col("evidence_class") != "LEFT_ANCHORED_CENSORED_RIGHT", "NONE").when(F.col("attempt_no") % 2 == 0, "LEFT").otherwise("RIGHT")
+    return segments.withColumn("integration_status", status).select("read_id", "attempt_no", "integration_status", side.alias("censor_side"), F.when(F.col("integration_status") == "CALLED", F.col("seg_start") + 100).alias("raw_start"))
+
+
+@query(
+    "target_constrained_evidence", "segments targets",
+    """WITH j AS (SELECT s.*, greatest(0, least(seg_end, 30 + end_pos - start_pos) - greatest(seg_start, 30)) AS ov, least(12, (end_pos - start_pos) // 2) AS need FROM segments s JOIN targets USING (target_region_id))
+      SELECT read_id, attempt_no, CASE WHEN ov < need THEN 'UNRESOLVED' WHEN seg_start > 10 AND seg_end < 90 THEN 'SPAN' WHEN seg_start > 10 THEN 'LEFT_ANCHORED_CENSORED_RIGHT' WHEN seg_end < 90 THEN 'RIGHT_ANCHORED_CENSORED_LEFT' ELSE 'REPEAT_ONLY_UNANCHORED' END AS evidence,
+        CASE WHEN ov < need THEN 'no_call' WHEN seg_start > 10 AND seg_end < 90 THEN 'exact' ELSE 'lower_bound' END AS sizing, CASE WHEN ov >= need AND mapq >= 30 AND purity >= 0.9 THEN 'HIGH' WHEN ov >= need AND mapq >= 10 THEN 'MEDIUM' ELSE 'LOW' END AS confidence FROM j""",
+)
+def _(segments, targets):
+    """Evidence of tracts that overlap their target enough, by how near they come to the read's ends."""
+    size = F.col("span")
+    rows = segments.join(targets.select("target_region_id", (F.col("end_pos") - F.col("start_pos")).alias("span")), "target_region_id")
+    enough = s.overlap(F.col("seg_start"), F.col("seg_end"), F.lit(30), size + 30) >= F.least(F.lit(12), F.floor(size / 2))
+    left, right = F.col("seg_start") > 10, F.col("seg_end") < 90
+    evidence = F.when(~enough, "UNRESOLVED").when(left & right, "SPAN").when(left, "LEFT_ANCHORED_CENSORED_RIGHT").when(right, "RIGHT_ANCHORED_CENSORED_LEFT").otherwise("REPEAT_ONLY_UNANCHORED")
+    sizing = F.when(~enough, "no_call").when(left & right, "exact").otherwise("lower_bound")
+    confidence = F.when(enough & (F.col("mapq") >= 30) & (F.col("purity") >= 0.9), "HIGH").when(enough & (F.col("mapq") >= 10), "MEDIUM").otherwise("LOW")
+    return rows.select("read_id", "attempt_no", evidence.alias("evidence"), sizing.alias("sizing"), confidence.alias("confidence"))
+
+
+@query(
+    "residual_context_class", "reads",
+    """WITH b AS (SELECT read_id, seq, substr(seq, 1, 20 + (read_id % 13)::INT) AS part FROM reads), u AS (SELECT read_id, part, unnest(range(1, len(part) - 1)) AS i FROM b),
+      k AS (SELECT read_id, any_value(part) AS part, count(DISTINCT substr(part, i::INT, 3))::DOUBLE / least(64, any_value(len(part)) - 2) AS kmers FROM u GROUP BY read_id)
+      SELECT read_id, CASE WHEN len(part) < 22 THEN 'SHORT_CONTEXT' WHEN kmers < 0.8 THEN 'LOW_COMPLEXITY_CONTEXT' WHEN greatest(len(part) - len(replace(part, 'A', '')), len(part) - len(replace(part, 'C', '')), len(part) - len(replace(part, 'G', '')), len(part) - len(replace(part, 'T', '')))::DOUBLE / len(part) >= 0.5 THEN 'BIASED_CONTEXT' ELSE 'UNRESOLVED_CONTEXT' END AS context FROM k""",
+)
+def _(reads):
+    """What the rest of a read beside its tract looks like."""
+    part = F.substring(F.col("seq"), F.lit(1), (20 + F.col("read_id") % 13).cast("int"))
+    rows = reads.select("read_id", F.length(part).alias("n"), s.complexity(part).alias("c"))
+    most = F.greatest(*[F.col(f"c.fraction_{b}") for b in "acgt"])
+    kind = F.when(F.col("n") < 22, "SHORT_CONTEXT").when(F.col("c.kmer_fraction") < 0.8, "LOW_COMPLEXITY_CONTEXT").when(most >= 0.5, "BIASED_CONTEXT").otherwise("UNRESOLVED_CONTEXT")
+    return rows.select("read_id", kind.alias("context"))
+
+
+@query(
+    "bridge_motif_signal", "paf_rows",
+    """WITH d AS (SELECT query_name, ordinal, mapq = 0 OR strand = '-' OR query_start > 10 OR target_start > 10 OR residue_matches < 70 OR query_end - query_start < 84 OR target_end < 112 AS fails, target_start % 4 AS windows FROM paf_rows)
+      SELECT CASE WHEN NOT fails AND windows > 0 THEN 'BRIDGE_AND_REPEAT_SIGNAL' WHEN NOT fails THEN 'BRIDGE_WITHOUT_REPEAT_SIGNAL' WHEN windows > 0 THEN 'REPEAT_SIGNAL_WITHOUT_BRIDGE' ELSE 'NEITHER' END AS signal, count(*) AS clips FROM d GROUP BY signal""",
+)
+def _(paf):
+    """Bridges beside repeat-like windows in the clip (here a count from the target start)."""
+    from ..operators.rescue import bridge_decision
+
+    rows = bridge_decision(paf, entry=100).withColumn("windows", F.col("target_start") % 4)
+    good, repeat = F.col("priority") == 5, F.col("windows") > 0
+    signal = F.when(good & repeat, "BRIDGE_AND_REPEAT_SIGNAL").when(good, "BRIDGE_WITHOUT_REPEAT_SIGNAL").when(repeat, "REPEAT_SIGNAL_WITHOUT_BRIDGE").otherwise("NEITHER")
+    return rows.groupBy(signal.alias("signal")).agg(F.count("*").alias("clips"))
+
+
+@query(
+    "reference_architecture", "reads orders",
+    """WITH w AS (SELECT read_id, o_custkey % 6 AS k, substr(seq, 33, len(seq) - 64) AS tract FROM reads JOIN orders ON read_id = o_orderkey), m AS (SELECT read_id, k, tract, unnest(['CAG', 'AAG', 'GCC']) AS motif FROM w),
+      i AS (SELECT read_id, k, tract, motif, unnest([0, 1, 2]) AS phase FROM m), p AS (SELECT read_id, any_value(k) AS k, motif, max(len(list_filter(range(len(tract)), lambda j: substr(tract, j::INT + 1, 1) = substr(motif, (j::INT + phase) % 3 + 1, 1)))::DOUBLE / len(tract)) AS purity FROM i GROUP BY read_id, motif),
+      b AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY round(purity, 9) DESC, motif) = 1)
+      SELECT read_id, motif AS observed, round(purity, 6) AS purity, motif = CASE k WHEN 0 THEN 'CAG' WHEN 1 THEN 'AAG' WHEN 2 THEN 'GCC' ELSE '-' END AS same_motif FROM b""",
+)
+def _(reads, orders):
+    """The best motif of each tract, its purity, and whether it is the reference's."""
+    motifs = ("CAG", "AAG", "GCC")
+    tracts = reads.join(orders, F.col("read_id") == F.col("o_orderkey")).select("read_id", (F.col("o_custkey") % 6).cast("int").alias("k"), s.letters(F.substring(F.col("seq"), F.lit(33), F.length("seq") - 64)).alias("bases"))
+    ways = F.explode(F.array(*[F.struct(F.lit(m).alias("motif"), F.lit(m[p:] + m[:p]).alias("way")) for m in motifs for p in range(3)]))
+    hit = F.aggregate(F.transform("bases", lambda b, i: (b == F.substring(F.col("w.way"), (i % 3 + 1).cast("int"), F.lit(1))).cast("int")), F.lit(0), lambda a, x: a + x)
+    scored = tracts.withColumn("w", ways).groupBy("read_id", "k", F.col("w.motif").alias("motif")).agg(F.max(hit / F.size("bases")).alias("purity"))
+    best = scored.groupBy("read_id", "k").agg(F.min_by(F.struct("motif", "purity"), F.struct(-F.round("purity", 9), "motif")).alias("b"))
+    expected = F.get(F.array(*[F.lit(m) for m in motifs]), F.col("k"))
+    return best.select("read_id", F.col("b.motif").alias("observed"), F.round("b.purity", 6).alias("purity"), F.coalesce(F.col("b.motif") == expected, F.lit(False)).alias("same_motif"))
