@@ -60,15 +60,14 @@ def top_k(table: DataFrame, k: int = 20, step: int = vectors.QUERY_STEP, scale:
     which the query fails rather than rounds.
 
     Null vectors and those with null or non-finite components take no part, nor those of another length than
-    the longest; zero vectors do. Rows that repeat an id count as the query's own and a repeated row is
-    reported once. Ties go to the smaller id. An empty table gives none; other columns are ignored.
+    the longest; zero vectors do. Of rows that repeat an id the least vector counts. Ties go to the smaller id. An empty table gives none; other columns are ignored.
     """
     spark = table.sparkSession
     rows, dim = vectors.usable(table)
     if not dim:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     whole = common.stored(rows.select("vec_id", F.transform("vector", lambda x: F.floor(x * scale).cast("double")).alias("vector")), "vectors")
-    queries = whole.filter(F.col("vec_id") % step == 0).dropDuplicates(["vec_id"])
+    queries = whole.filter(F.col("vec_id") % step == 0)
     most = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     n, n_queries, mass = whole.agg(F.count("*"), F.count_if(F.col("vec_id") % step == 0), F.coalesce(F.max(most), F.lit(0.0))).first()
     if mass >= SAFE:

@@ -133,7 +133,7 @@ def neighbours(table: DataFrame, k: int = 20, step: int = vectors.QUERY_STEP, tr
 
     Null or zero vectors and those with null or non-finite components take no part, nor those of another
     length than the longest. Of equal vectors the smallest ids alone are indexed, one more than could be
-    reported. Rows that repeat an id count as the query's own. Ties go to the smaller id. An empty table
+    reported. Of rows that repeat an id the least vector counts. Ties go to the smaller id. An empty table
     gives none; other columns are ignored.
     """
     spark = table.sparkSession
@@ -144,7 +144,7 @@ def neighbours(table: DataFrame, k: int = 20, step: int = vectors.QUERY_STEP, tr
     own = Window.partitionBy("vector").orderBy("vec_id")
     distinct = rows.withColumn("_place", F.row_number().over(own)).filter(F.col("_place") <= k + 1).drop("_place")
     indexed = common.stored(distinct, "vectors")
-    queries = rows.filter(F.col("vec_id") % step == 0).dropDuplicates(["vec_id"])
+    queries = rows.filter(F.col("vec_id") % step == 0)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
     count, longest = indexed.agg(F.count("*"), F.coalesce(F.max(norm), F.lit(0.0))).first()
     few = indexed.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()

@@ -102,13 +102,15 @@ def parse(model: bytes) -> Spec:
 
 def rebuild(spec: Spec):
     """The same model as a tokenizers object, without special tokens in texts."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
+    from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
     unknown = next(i for i, (_, _, kind) in enumerate(spec.pieces) if kind == UNKNOWN)
     if spec.model_type == UNIGRAM:
-        # pieces that no text may give get a score that never wins
-        least = min(s for _, s, _ in spec.pieces) - 1e6
-        made = Tokenizer(models.Unigram([(p, s if k in (NORMAL, USER) else least) for p, s, k in spec.pieces], unknown, spec.byte_fallback))
+        # pieces that no text may give are marked by a noncharacter; those of bytes must keep their names
+        held = [(p if k in (NORMAL, USER, BYTE) else f"\uffff{p}", s) for p, s, k in spec.pieces]
+        made = Tokenizer(models.Unigram(held, unknown, spec.byte_fallback))
+        if spec.byte_fallback:  # so a text that spells one out is cut within it
+            made.pre_tokenizer = pre_tokenizers.Split(Regex("<(?=0x[0-9A-F]{2}>)"), "isolated")
     else:
         vocab = {p: i for i, (p, _, _) in enumerate(spec.pieces)}
         usable = {p for p, _, k in spec.pieces if k in (NORMAL, USER)}

@@ -13,13 +13,14 @@ QUERY_STEP = 20
 def usable(df: DataFrame, vector_col: str = "embedding") -> tuple[DataFrame, int]:
     """vec_id, vector (doubles) of the rows without null or non-finite components, and their dimension.
 
-    Vectors of another length than the longest, null vectors and rows without an id are left out.
+    Vectors of another length than the longest, null vectors and rows without an id are left out. Of rows that
+    repeat an id the least vector counts.
     """
     v = F.col("vector")
     rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < float("inf"))))
     dim = rows.agg(F.max(F.size(v))).first()[0] or 0
-    return rows.filter(F.size(v) == dim), dim
+    return rows.filter(F.size(v) == dim).groupBy("vec_id").agg(F.min("vector").alias("vector")), dim
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:

@@ -67,7 +67,7 @@ def test_forest_recall(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     e = table.toPandas().sort_values("vec_id")
     x, ids = np.stack(e.embedding.values).astype(float), e.vec_id.values
-    got = lists(rp_forest.neighbours(table, floor=0))
+    got = lists(rp_forest.neighbours(table))
     hits = total = 0
     for q, found in got.items():
         s = x @ x[np.searchsorted(ids, q)]
