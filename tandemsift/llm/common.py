@@ -57,6 +57,13 @@ def bounded(stored_ids: DataFrame) -> DataFrame:
     return F.broadcast(stored_ids) if stored_ids.count() <= BOUND else stored_ids
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lets Spark send at most so many rows at once to Python, where rows are whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 

@@ -149,6 +149,7 @@ def encode(docs: DataFrame, model_file: str, threads: int = 2, verify: bool = Tr
     spec = parse(model)
     made = ["token_ids", "n_tokens", "round_trip", "parity"]
     docs = docs.drop(*made)
+    common.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model, spec))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
