@@ -26,7 +26,11 @@ SIGNS = {
     "capitals": r"(?<![\p{L}\p{N}_])\p{Lu}{2,}",
     "digits": "[0-9]",
 }
-FEATURES = (*SIGNS, "letters")
+#: Of all words and lines of a text, whatever they are; see featured().
+REPETITION = ("repeats", "distinct", "top", "lines")
+FEATURES = (*SIGNS, "letters", *REPETITION)
+#: A word that the next word equals; possessive, so that long words cost one pass.
+REPEATED = rf"(?<!{common.WORD[:-1]})({common.WORD}+)(?=[\x20\x09-\x0D]++\1(?!{common.WORD[:-1]}))"
 
 
 @dataclass(frozen=True)
@@ -42,11 +46,31 @@ class Classifier:
         return sum(terms, F.lit(self.weights[0]))
 
 
+def most_frequent(words: Column) -> Column:
+    """How often the most frequent of some words occurs: the longest run of their sorted array."""
+
+    def step(a: Column, word: Column) -> Column:
+        run = F.when(a["word"] == word, a["run"] + 1).otherwise(1)
+        return F.struct(word.alias("word"), run.alias("run"), F.greatest(a["most"], run).alias("most"))
+
+    start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0).alias("most"))
+    return F.aggregate(F.sort_array(words), start, step, lambda a: a["most"])
+
+
 def featured(docs: DataFrame) -> DataFrame:
-    """docs with the feature columns; null counts as an empty text."""
-    text, words = F.coalesce("text", F.lit("")), F.greatest(common.word_count(F.col("text")), F.lit(1))
-    counts = {f"_{f}": F.regexp_count(text, F.lit(p)) / F.col("_words") for f, p in SIGNS.items()}
-    return docs.withColumn("_words", words).withColumns(counts | {"_letters": F.length(text) / F.col("_words") / 10}).drop("_words")
+    """docs with the feature columns; null counts as an empty text.
+
+    Besides the signs: words equal to the word before, distinct words, the most frequent word, each over all
+    words, and the share of lines that repeat another.
+    """
+    text, words, n = F.coalesce("text", F.lit("")), F.col("_all"), F.col("_words")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+    counts = {f"_{f}": F.regexp_count(text, F.lit(p)) / n for f, p in (SIGNS | {"repeats": REPEATED}).items()}
+    shares = {"_distinct": F.size(F.array_distinct(words)) / n, "_top": most_frequent(words) / n}
+    again = (F.size("_rows") - F.size(F.array_distinct("_rows"))) / F.greatest(F.size("_rows"), F.lit(1))
+    split = docs.withColumns({"_all": F.regexp_extract_all(text, F.lit(common.WORD), F.lit(0)), "_rows": lines})
+    counted = split.withColumn("_words", F.greatest(F.size("_all"), F.lit(1)))
+    return counted.withColumns(counts | shares | {"_letters": F.length(text) / n / 10, "_lines": again}).drop("_words", "_all", "_rows")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, ridge: float = 0.5) -> Classifier:

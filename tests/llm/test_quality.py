@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -41,3 +42,37 @@ def test_nulls_empty_and_repeats(spark):
     assert len(got) == 6 and all(0 < r.quality_score < 1 and isinstance(r.keep, bool) for r in got)
     d, labels = frames(spark, [], [])
     assert quality.classify(d, labels).collect() == []
+
+
+def kind(text):
+    words = text.split()
+    run = most = 0
+    for a, b in zip(["", *words], words, strict=False):
+        run = run + 1 if a == b else 1
+        most = max(most, run)
+    marks = {"bars": r"\|", "shouts": "!!", "symbols": r"[*&$%#]{3,}"}
+    return "words" if most >= 6 else next((k for k, p in marks.items() if re.search(p, text)), "other")
+
+
+def test_held_out_recall_of_each_kind_of_junk(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = labels.filter("doc_id % 3 = 0 AND quality = 0").select("doc_id")
+    got = quality.classify(docs, labels.filter("doc_id % 3 != 0")).join(held, "doc_id").select("text", "doc_score", "keep").collect()
+    for k in ("words", "bars", "shouts", "symbols"):
+        own = [r for r in got if kind(r.text or "") == k]
+        assert len(own) > 30
+        assert sum(not r.keep for r in own) / len(own) > 0.95, k
+        assert sum(r.doc_score < 0.5 for r in own) / len(own) > 0.95, k
+
+
+def test_repetition_features(spark):
+    texts = ["a a\tb b\nB ab b", "x y\n\nx y\n  \nz", "ab abc ab", None, "", "a" * 100000 + " " + "a" * 100001, "w " * 60000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r["_repeats"], r["_distinct"], r["_top"], r["_lines"]) for r in quality.featured(docs).collect()}
+    assert got[0] == pytest.approx((2 / 7, 4 / 7, 3 / 7, 0))
+    assert got[1] == pytest.approx((0, 3 / 5, 2 / 5, 1 / 3))
+    assert got[2] == pytest.approx((0, 2 / 3, 2 / 3, 0))
+    assert got[3] == got[4] == (0, 0, 0, 0)
+    assert got[5] == pytest.approx((0, 1, 0.5, 0))
+    assert got[6] == pytest.approx((59999 / 60000, 1 / 60000, 1, 0))
