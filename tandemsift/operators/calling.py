@@ -6,10 +6,10 @@ Insertions and deletions in a read end a segment here, unlike in a gapped aligne
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequences import letters
+from ..functions.sequences import letters, primitive_motif, reverse_complement, rotations
 
 READ = "read_id"
 
@@ -38,6 +38,57 @@ def hypotheses(consensus: DataFrame, least: float = 0.52, penalty: float = 0.003
     return ranked.filter(F.col("rank") <= k)
 
 
+def consensus_all_periods(reads: DataFrame, longest: int = 50) -> DataFrame:
+    """Per read and period from 1 to min(longest, a third of the read): the consensus motif and its agreement.
+
+    Only A, C, G and T count; ties go to the first of them, which also stands for a column without any. A read's
+    columns are worked out in its own row, so nothing is shuffled; reads under three bases give none.
+    """
+    size = F.length("seq")
+    periods = F.sequence(F.lit(1), F.least(F.lit(longest), F.floor(size / 3)).cast("int"))
+    rows = reads.filter(size >= 3).select(READ, letters(F.upper("seq")).alias("_l"), F.explode(periods).alias("period"))
+    column = lambda j: F.array_join(F.transform(F.sequence(j, F.size("_l") - 1, F.col("period")), lambda i: F.get("_l", i)), "")
+    texts = F.transform(F.sequence(F.lit(0), F.col("period") - 1), column)
+    counted = F.transform(texts, lambda x: F.struct(*[(F.length(x) - F.length(F.translate(x, b, ""))).alias(b) for b in "ACGT"]))
+
+    def modal(n):
+        most = F.greatest(*[n[b] for b in "ACGT"])
+        return F.struct(F.coalesce(*[F.when(n[b] == most, b) for b in "ACGT"]).alias("base"), most.alias("most"), sum((n[b] for b in "CGT"), n["A"]).alias("n"))
+
+    # exploded, so that later filters don't work it out again
+    found = rows.select(READ, "period", F.explode(F.array(F.transform(counted, modal))).alias("m"))
+    total = lambda f: F.aggregate("m", F.lit(0), lambda a, x: a + x[f])
+    return found.select(READ, "period", F.array_join("m.base", "").alias("motif"), F.when(total("n") > 0, total("most") / total("n")).otherwise(0.0).alias("agreement"))
+
+
+def canonical(motif: Column) -> Column:
+    """canonical_motif for many or long motifs: each part is worked out once, not again for each rotation."""
+    once = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    return once(primitive_motif(motif), lambda unit: once(reverse_complement(unit), lambda other: F.array_min(F.concat(rotations(unit), rotations(other)))))
+
+
+def catalog_hypotheses(consensus: DataFrame, catalog: DataFrame, least: float = 0.52, penalty: float = 0.003, k: int = 12) -> DataFrame:
+    """The motifs to try on each read, one for each canonical motif: those of catalog[read_id, motif], then de novo ones.
+
+    The best k others of the consensus follow by agreement less a penalty for the canonical motif's length. Of one
+    canonical motif the best agreement counts, then the shortest period; ties go to the greater canonical motif.
+    Motifs outside the IUPAC codes are left out. Catalog motifs have no period, and an agreement of 1.
+    """
+    once = F.explode(F.array(canonical(F.col("motif")))).alias("canonical_motif")
+    named = catalog.filter("motif <> ''").select(READ, once, F.upper("motif").alias("motif"))
+    known = named.filter("canonical_motif IS NOT NULL").groupBy(READ, "canonical_motif").agg(F.min("motif").alias("motif"))
+    own = Window.partitionBy(READ, "canonical_motif").orderBy(F.desc(F.round("agreement", 9)), "period")
+    found = consensus.filter(F.col("agreement") >= least).select("*", once).filter("canonical_motif IS NOT NULL")
+    best = found.withColumn("_own", F.row_number().over(own)).filter("_own = 1").drop("_own").join(known.select(READ, "canonical_motif"), [READ, "canonical_motif"], "left_anti")
+    objective = F.round(F.col("agreement") - penalty * F.length("canonical_motif"), 9)
+    ranked = best.withColumn("_place", F.row_number().over(Window.partitionBy(READ).orderBy(F.desc(objective), F.desc("canonical_motif")))).filter(F.col("_place") <= k)
+    columns = [READ, "canonical_motif", "motif", "source", "period", "agreement", "_place"]
+    denovo = ranked.withColumn("source", F.lit("DENOVO")).select(*columns)
+    first = known.select("*", F.lit("CATALOG").alias("source"), F.lit(None).cast("int").alias("period"), F.lit(1.0).alias("agreement"), F.lit(0).alias("_place")).select(*columns)
+    order = Window.partitionBy(READ).orderBy("_place", "canonical_motif")
+    return first.unionByName(denovo).withColumn("rank", F.row_number().over(order)).drop("_place")
+
+
 def phased(reads: DataFrame, motif: str) -> DataFrame:
     """Per base and phase of the motif, whether they agree."""
     size = len(motif)

@@ -75,3 +75,22 @@ def test_results_do_not_depend_on_partitioning(spark):
     many, few = events_of(segments.repartition(7)), events_of(segments.coalesce(1))
     assert many.exceptAll(few).count() == 0 and few.exceptAll(many).count() == 0
     assert "assignment_rank" in registry.queries()
+
+
+def test_hypotheses_of_long_units_and_catalog_motifs(spark):
+    unit = "ACCATGGATTCA"
+    rows = [(1, unit * 6), (2, "AG" * 20), (3, "ACGTNNTTGACA"), (4, "AC"), (5, "NNNNNN"), (6, None)]
+    reads = spark.createDataFrame(rows, "read_id long, seq string")
+    catalog = spark.createDataFrame([(1, "CAG"), (1, "CTG"), (2, "GAGA"), (4, "ccg"), (1, ""), (1, None)], "read_id long, motif string")
+    consensus = calling.consensus_all_periods(reads)
+    assert {r.read_id: r.n for r in consensus.groupBy("read_id").agg(F.max("period").alias("n")).collect()} == {1: 24, 2: 13, 3: 4, 5: 2}
+    assert consensus.filter("read_id = 1 AND period = 12").first().motif == unit
+    got = calling.catalog_hypotheses(consensus, catalog).orderBy("read_id", "rank").collect()
+    own = {i: [r for r in got if r.read_id == i] for i, _ in rows}
+    assert (own[1][0].source, own[1][0].canonical_motif, own[1][0].motif) == ("CATALOG", "AGC", "CAG")
+    assert (own[1][1].motif, own[1][1].period, own[1][1].agreement) == (unit, 12, 1.0)
+    assert [r.canonical_motif for r in own[2] if r.agreement == 1] == ["AG"] and own[2][0].source == "CATALOG"
+    assert [r.canonical_motif for r in own[4]] == ["CCG"] and not own[5] and not own[6]
+    for r in own.values():
+        assert [x.rank for x in r] == list(range(1, len(r) + 1)) and len({x.canonical_motif for x in r}) == len(r)
+        assert sum(x.source == "DENOVO" for x in r) <= 12
