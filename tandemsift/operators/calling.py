@@ -119,6 +119,48 @@ def segment_scan(reads: DataFrame, motif: str, match: int = 2, mismatch: int = -
     return low.groupBy(READ).agg(best.alias("b")).select(READ, "b.*")
 
 
+def laid(reads: DataFrame, motifs: DataFrame) -> DataFrame:
+    """reads joined with motifs[read_id, motif, strand], per phase: hits, whether each base agrees with the motif.
+
+    On strand - the motif's reverse complement is laid. Repeated, empty and null motifs, and such as have symbols
+    outside the IUPAC codes, add nothing.
+    """
+    named = motifs.filter("motif <> ''").select(READ, F.upper("motif").alias("motif"), "strand").distinct()
+    unit = F.when(F.col("strand") == "-", reverse_complement(F.col("motif"))).otherwise(F.when(reverse_complement(F.col("motif")).isNotNull(), F.col("motif")))
+    rows = reads.select(READ, letters(F.upper("seq")).alias("_l")).join(named, READ).withColumn("_unit", letters(unit)).filter("_unit IS NOT NULL")
+    rows = rows.withColumn("phase", F.explode(F.sequence(F.lit(0), F.size("_unit") - 1)))
+    hits = F.transform("_l", lambda base, i: F.coalesce(base == F.get("_unit", ((i + F.col("phase")) % F.size("_unit")).cast("int")), F.lit(False)))
+    return rows.select(READ, "motif", "strand", "phase", F.explode(F.array(hits)).alias("hits"))
+
+
+def exact_runs_by_motif(reads: DataFrame, motifs: DataFrame) -> DataFrame:
+    """Per read, motif and strand of motifs[read_id, motif, strand]: the longest run without a mismatch over all phases."""
+
+    def step(a, hit):
+        run = F.when(hit, a["run"] + 1).otherwise(0)
+        return F.struct(run.alias("run"), F.greatest(a["most"], run).alias("most"))
+
+    longest = F.aggregate("hits", F.struct(F.lit(0).alias("run"), F.lit(0).alias("most")), step, lambda a: a["most"])
+    return laid(reads, motifs).groupBy(READ, "motif", "strand").agg(F.coalesce(F.max(longest), F.lit(0)).cast("long").alias("run_bp"))
+
+
+def segment_scan_by_motif(reads: DataFrame, motifs: DataFrame, match: int = 2, mismatch: int = -3) -> DataFrame:
+    """Per read, motif, strand and phase: the best-scoring stretch, as segment_scan; none for an empty read."""
+
+    def step(a, hit):
+        value, on = F.when(hit, match).otherwise(mismatch), a["score"] >= 0
+        score, start = F.when(on, a["score"]).otherwise(0) + value, F.when(on, a["start"]).otherwise(a["pos"])
+        better = a["best"].isNull() | (score > a["best"]["score"])
+        found = F.struct(start.alias("start"), (a["pos"] + 1).alias("end"), score.alias("score"))
+        return F.struct(score.alias("score"), start.alias("start"), (a["pos"] + 1).alias("pos"), F.when(better, found).otherwise(a["best"]).alias("best"))
+
+    none = F.lit(None).cast("struct<start:int,end:int,score:int>")
+    start = F.struct(F.lit(0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("pos"), none.alias("best"))
+    rows = laid(reads, motifs).filter(F.size("hits") > 0)
+    best = F.explode(F.array(F.aggregate("hits", start, step, lambda a: a["best"]))).alias("b")
+    return rows.select(READ, "motif", "strand", "phase", best).select(READ, "motif", "strand", "phase", "b.*")
+
+
 def compound_class(segments: DataFrame) -> DataFrame:
     """Per read: segments, distinct motifs, gaps between segments, and whether it is compound or interrupted."""
     order = Window.partitionBy(READ).orderBy("seg_start", "seg_end", "attempt_no")

@@ -94,3 +94,14 @@ def test_hypotheses_of_long_units_and_catalog_motifs(spark):
     for r in own.values():
         assert [x.rank for x in r] == list(range(1, len(r) + 1)) and len({x.canonical_motif for x in r}) == len(r)
         assert sum(x.source == "DENOVO" for x in r) <= 12
+
+
+def test_each_read_is_scanned_for_its_own_motifs_on_both_strands(spark):
+    reads = spark.createDataFrame([(1, "TTGACCA" + "CTG" * 6 + "TTACG"), (2, "GG" + "AT" * 5 + "CC"), (3, "")], "read_id long, seq string")
+    motifs = spark.createDataFrame([(1, "CAG", "+"), (1, "CAG", "-"), (1, "cag", "-"), (2, "AT", "+"), (2, "AX", "+"), (2, None, "+"), (3, "A", "+")], "read_id long, motif string, strand string")
+    runs = {(r.read_id, r.motif, r.strand): r.run_bp for r in calling.exact_runs_by_motif(reads, motifs).collect()}
+    assert runs.pop((1, "CAG", "+")) < 6 and runs == {(1, "CAG", "-"): 18, (2, "AT", "+"): 10, (3, "A", "+"): 0}
+    found = calling.segment_scan_by_motif(reads, motifs).collect()
+    assert len(found) == 3 + 3 + 2 and all(0 <= r.phase < len(r.motif) for r in found)
+    best = max((r for r in found if r.strand == "-"), key=lambda r: r.score)
+    assert (best.start, best.end, best.score) == (7, 25, 36)
