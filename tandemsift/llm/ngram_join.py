@@ -329,6 +329,12 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     return linked.unionByName(alone)
 
 
+def of_representatives(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """rows[sig, doc_id, ...] of the representatives in nodes[sig, rep]; a set without any id is represented by null."""
+    own = nodes.select(F.col("sig").alias("_sig"), F.col("rep").alias("_rep"))
+    return rows.join(own, (F.col("sig") == F.col("_sig")) & F.col("doc_id").eqNullSafe(F.col("_rep"))).drop("_sig", "_rep")
+
+
 def remaining_pairs(full: DataFrame, classes: DataFrame, labels: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets of different components that share a token of a large group and pass the bounds.
 
@@ -348,7 +354,7 @@ def remaining_pairs(full: DataFrame, classes: DataFrame, labels: DataFrame, larg
             keep = bits.value[slot(tok)]
             yield pa.RecordBatch.from_pydict({"token": pa.array(tok[keep].view(np.int64)), "sig": pa.array(sig[keep].view(np.int64)), "n": pa.array(n[keep]), "pos": pa.array(pos[keep])})
 
-    reps = full.join(classes.withColumnRenamed("rep", "doc_id"), ["sig", "doc_id"]).select("sig", "n", "p1")
+    reps = of_representatives(full, classes).select("sig", "n", "p1")
     rows = reps.mapInArrow(arrays.returning(exploded), "token long, sig long, n long, pos long").distinct().join(large.distinct(), "token", "left_semi")
     rows = rows.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     # a set's prefix token takes part only if some partner can still make up the needed intersection
@@ -366,8 +372,8 @@ def remaining_pairs(full: DataFrame, classes: DataFrame, labels: DataFrame, larg
 def verified(docs: DataFrame, full: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs of sets that link: first the prefixes under the other orders, then the whole texts."""
     spark = docs.sparkSession
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(classes, "sig").withColumnRenamed("rep", "doc_id")
-    slim = common.stored(full.join(nodes, ["sig", "doc_id"]).select("sig", "n", "p2", "p3").dropDuplicates(["sig"]), "slim")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(classes, "sig")
+    slim = common.stored(of_representatives(full, nodes).select("sig", "n", "p2", "p3").dropDuplicates(["sig"]), "slim")
 
     def side(name):
         return slim.select(F.col("sig").alias(name), *(F.col(c).alias(f"{c}{name}") for c in ("n", "p2", "p3")))
@@ -403,7 +409,7 @@ def verified(docs: DataFrame, full: DataFrame, classes: DataFrame, pairs: DataFr
                 yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], pa.array(signatures(hashes, sizes).view(np.int64)), batch.column(1)[low:high]], names=["doc_id", "sig", "text"])
 
     texts = docs.mapInArrow(arrays.returning(fetched), "doc_id long, sig long, text string")
-    texts = common.stored(texts.join(classes.withColumnRenamed("rep", "doc_id"), ["sig", "doc_id"]).select("sig", "text").dropDuplicates(["sig"]), "texts")
+    texts = common.stored(of_representatives(texts, classes).select("sig", "text").dropDuplicates(["sig"]), "texts")
 
     def checked(batches):
         for batch in batches:

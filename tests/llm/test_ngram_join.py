@@ -65,3 +65,13 @@ def test_other_parameters_and_empty(spark):
     rows = [r for r in corpus() if r[0] is None or r[0] < 60 or r[0] > 490]
     assert run(spark, rows, 5, 80) == brute(rows, 5, 80)
     assert run(spark, []) == []
+
+
+def test_a_near_copy_without_id_bridges_two_documents(spark):
+    base = [f"w{i}" for i in range(120)]
+    first, last = list(base), list(base)
+    first[10], first[30], last[80], last[100] = "p", "q", "r", "s"
+    rows = [(7, " ".join(first)), (None, " ".join(base)), (9, " ".join(last)), (None, "alone without id or copy")]
+    got = run(spark, rows)
+    assert got == brute(rows, 4, 85)
+    assert sorted((d or 0, c) for d, _, c in got if c) == [(0, 7), (7, 7), (9, 7)]
