@@ -19,8 +19,10 @@ from . import arrays, common
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 MARK = "▁"
-#: Bytes of text that are encoded at once: tokens take far more memory than their text.
+#: Bytes of text that are worked on at once: tokens take far more memory than their text.
 CHUNK = 1 << 20
+#: Bytes of distinct words that are encoded as one text, and words that a worker remembers at most.
+STRETCH, KNOWN = 1 << 13, 1 << 16
 
 
 @dataclass
@@ -133,13 +135,108 @@ def rebuild(spec: Spec):
     return made
 
 
+def separable(spec: Spec) -> bool:
+    """Whether no piece reaches over the start of a word, so that words can be encoded one by one.
+
+    A word is a run of marks and what follows up to the next mark. Merging never joins two words if no piece
+    has a mark after another character; the model alone decides. Unigram models are encoded whole, since sums
+    over a whole text can round otherwise than sums over a word.
+    """
+    usable = {p for p, _, k in spec.pieces if k in (NORMAL, USER)}
+    bytes_too = sum(k == BYTE for _, _, k in spec.pieces) == 256
+    return spec.model_type == BPE and spec.byte_fallback and bytes_too and not spec.charsmap and not spec.squeeze and MARK in usable and not any(MARK in p.lstrip(MARK) for p in usable)
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The stretches of values that begin at starts and have so many elements, end to end."""
+    firsts = np.cumsum(counts) - counts
+    return values[np.repeat(starts - firsts, counts) + np.arange(int(counts.sum()))]
+
+
+class Words:
+    """Encodes texts by their distinct words: each is encoded once, and its ids are gathered for all places.
+
+    Blanks stand for marks throughout. Words that were met lately are remembered.
+    """
+
+    def __init__(self, spec: Spec):
+        from tokenizers import normalizers
+
+        self.prefix = spec.dummy_prefix
+        self.tokenizer = rebuild(spec)
+        self.tokenizer.normalizer = normalizers.Replace(" ", MARK)
+        pieces = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode() for p, _, k in spec.pieces]
+        self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
+        self.piece_sizes = np.array([len(p) for p in pieces], np.int64)
+        self.piece_starts = np.cumsum(self.piece_sizes) - self.piece_sizes
+        self.known, self.ids, self.counts = pa.array([], pa.large_binary()), np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, and how many each text has."""
+        data, offsets = arrays.text_bytes(texts)
+        blank = data == 0x20
+        start = blank.copy()
+        start[1:] &= ~blank[:-1]
+        start[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(start)
+        bounds = pa.py_buffer(np.append(starts, len(data)))
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(data)]), np.diff(np.searchsorted(starts, offsets))
+
+    def learnt(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, end to end, and how many each word has."""
+        data, offsets = arrays.text_bytes(words.cast(pa.large_string()))
+        after_blanks = 1 + np.flatnonzero(data[offsets[1:] - 1] == 0x20)  # blanks alone, which would grow into the next word
+        cuts = np.union1d([low for low, _ in arrays.chunks(offsets, STRETCH)] + [len(words)], after_blanks).astype(np.int64)
+        texts = [data[offsets[a] : offsets[b]].tobytes().decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        ids = np.concatenate([np.zeros(0, np.int32), *(np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))])
+        ends = np.concatenate([[0], np.cumsum(self.piece_sizes[ids])])
+        at = np.searchsorted(ends, offsets)
+        if not np.array_equal(ends[at], offsets):
+            raise ValueError("a piece reaches over the start of a word")
+        return ids, np.diff(at)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids, end to end, and how many each text has."""
+        texts = pc.replace_substring(texts, MARK, " ")
+        words, per_text = self.split(self.prefixed(texts))
+        coded = words.dictionary_encode()
+        distinct, place = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        found = pc.index_in(distinct, value_set=self.known)
+        new = distinct.filter(pc.is_null(found))
+        ids, counts = self.learnt(new)
+        all_ids, all_counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
+        where = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        where[where < 0] = len(self.known) + np.arange(len(new))
+        if len(self.known) + len(new) <= KNOWN:
+            self.known, self.ids, self.counts = pa.concat_arrays([self.known, new]), all_ids, all_counts
+        elif len(new) <= KNOWN:  # the latest words are remembered instead
+            self.known, self.ids, self.counts = new, ids, counts
+        row = where[place]
+        per_word = all_counts[row]
+        return gathered(all_ids, (np.cumsum(all_counts) - all_counts)[row], per_word), arrays.row_sums(per_word, per_text)
+
+    def prefixed(self, texts: pa.Array) -> pa.Array:
+        """Texts with the blank that the model puts before them."""
+        texts = texts.cast(pa.large_string())
+        return pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string()))) if self.prefix else texts
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The texts of ids, prefixed, as bytes."""
+        sizes = self.piece_sizes[ids]
+        data = gathered(self.piece_bytes, self.piece_starts[ids], sizes)
+        bounds = np.concatenate([[0], np.cumsum(arrays.row_sums(sizes, counts))])
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
 def encode(docs: DataFrame, model_file: str, threads: int = 2, verify: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with token_ids, n_tokens, round_trip and parity.
 
     round_trip tells whether decoding the ids gives the text back (not so where the model itself loses
     something, as a literal mark or squeezed blanks), parity whether the original library gives the same
-    ids (null without verify). The model is read by the driver and sent to the workers; each encodes stretches
-    of CHUNK bytes of text in `threads` threads. Nothing is shuffled.
+    ids (null without verify). The model is read by the driver and sent to the workers; each works on stretches
+    of CHUNK bytes of text in `threads` threads. Where the model's pieces allow it, a stretch's distinct words are
+    encoded and their ids gathered; parity and round trip are held on every whole text all the same. Nothing is
+    shuffled.
 
     Null texts have no ids and count as empty; texts are never cut; repeated rows give repeated results; an
     empty table gives none; columns named as the results are replaced, others stay.
@@ -156,21 +253,28 @@ def encode(docs: DataFrame, model_file: str, threads: int = 2, verify: bool = Tr
         os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = "true", str(threads)
         import sentencepiece
 
-        tokenizer = rebuild(shared.value[1])
+        words = Words(shared.value[1]) if separable(shared.value[1]) else None
+        tokenizer = None if words else rebuild(shared.value[1])
         original = sentencepiece.SentencePieceProcessor(model_proto=shared.value[0]) if verify else None
         for batch in batches:
-            text = batch.column(text_col)
-            sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
+            text = pc.fill_null(batch.column(text_col), "")
+            sizes = pc.binary_length(text).to_numpy(zero_copy_only=False)
             for low, high in arrays.chunks(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), CHUNK):
-                own = pc.fill_null(text[low:high], "").to_pylist()
-                ids = [e.ids for e in tokenizer.encode_batch_fast(own, add_special_tokens=False)]
-                sizes = np.array([len(x) for x in ids])
-                flat = pa.array(np.concatenate([np.asarray(x, np.int32) for x in ids]), pa.int32())
-                bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                back = tokenizer.decode_batch(ids, skip_special_tokens=False)
+                part = text[low:high]
+                own = part.to_pylist() if verify or not words else []
+                if words:
+                    flat, sizes = words.encode(part)
+                    round_trip = pc.equal(words.decode(flat, sizes), words.prefixed(part).cast(pa.large_binary()))
+                else:
+                    ids = [e.ids for e in tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+                    sizes = np.array([len(x) for x in ids])
+                    flat = np.concatenate([np.asarray(x, np.int32) for x in ids])
+                    back = tokenizer.decode_batch(ids, skip_special_tokens=False)
+                    round_trip = pa.array([a == b for a, b in zip(back, own, strict=True)])
+                bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 same = original.encode(own, num_threads=threads) if verify else []
-                parity = pa.array([a == b for a, b in zip(ids, same, strict=True)]) if verify else pa.nulls(len(own), pa.bool_())
-                results = [pa.ListArray.from_arrays(bounds, flat), pa.array(sizes), pa.array([a == b for a, b in zip(back, own, strict=True)]), parity]
+                parity = pa.array([flat[a:b].tolist() == x for a, b, x in zip(bounds[:-1], bounds[1:], same, strict=True)]) if verify else pa.nulls(len(part), pa.bool_())
+                results = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat, pa.int32())), pa.array(sizes, pa.int64()), round_trip, parity]
                 yield pa.RecordBatch.from_arrays([*(c[low:high] for c in batch.columns), *results], names=[*batch.schema.names, *made])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -34,6 +34,14 @@ def unigram_model():
     return body + message((2, message((3, 1), (35, 1)))) + message((3, message((1, b"identity"), (3, 1), (4, 0), (5, 1))))
 
 
+def crossing_model():
+    """A small BPE model with a piece that reaches from one word into the next."""
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)]
+    pieces += [(p, -float(i), 1) for i, p in enumerate(["t▁", "▁a", "he", "t▁a", "▁t", "▁", "t", "e", "h", "a", "c", "."])]
+    body = b"".join(message((1, message((1, p.encode()), (2, s), (3, k)))) for p, s, k in pieces)
+    return body + message((2, message((3, 2), (35, 1)))) + message((3, message((1, b"identity"), (3, 1), (4, 0), (5, 1))))
+
+
 def texts():
     rng = random.Random(4)
     letters = list("  \n\taethoc.,- 12é日🙂") + ["the ", "    ", "cat"]
@@ -63,5 +71,26 @@ def test_unigram_parity_and_round_trip(spark, tmp_path):
     check(spark, str(tmp_path / "u.model"))
 
 
+def test_models_with_pieces_over_words_are_encoded_whole(spark, tmp_path):
+    (tmp_path / "c.model").write_bytes(crossing_model())
+    assert not sp.separable(sp.parse(crossing_model())) and sp.separable(sp.parse(open(MODEL, "rb").read()))
+    check(spark, str(tmp_path / "c.model"))
+
+
+def test_words_are_remembered_and_forgotten(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(sp, "KNOWN", 50)
+    model = open(MODEL, "rb").read()
+    words, original = sp.Words(sp.parse(model)), sentencepiece.SentencePieceProcessor(model_proto=model)
+    held = [t or "" for t in texts()] + ["▁a ▁▁b", "a▁", "a" * 70_000 + " b"]
+    for low in range(0, len(held), 37):
+        some = held[low : low + 37]
+        ids, counts = words.encode(pa.array(some))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == original.encode(some)
+        assert len(words.known) <= 50
+
+
 def test_empty_table(spark):
     assert sp.encode(spark.createDataFrame([], "doc_id long, text string"), MODEL).collect() == []
