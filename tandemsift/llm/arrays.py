@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text that are worked on at once: bounds a worker's memory whatever the batch holds.
+#: Bytes of text that are worked on at once, one row at least: a worker's memory follows the longest text, not the batch.
 CHUNK = 1 << 20
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -89,15 +89,25 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span (multilinear: one random key per byte value and place)."""
+    """A 64-bit hash of the bytes of each span (multilinear: one random key per byte value and place).
+
+    Worked out over CHUNK bytes of spans at a time, so that one very long text takes little more than its words.
+    """
     lengths = ends - starts
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    firsts = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths)
-    values = BYTE_KEYS[data[place + np.repeat(starts, lengths)]]
-    values *= place_keys(int(lengths.max()))[place]
-    return mixed(np.add.reduceat(values, firsts) + lengths.astype(np.uint64))
+    out = np.zeros(len(starts), np.uint64)
+    for low, high in chunks(np.concatenate([[0], np.cumsum(lengths)])):
+        size, first = lengths[low:high], np.cumsum(lengths[low:high]) - lengths[low:high]
+        if high == low + 1 and size[0] > CHUNK:  # one very long word
+            for at in range(0, int(size[0]), CHUNK):
+                part = data[starts[low] + at : min(starts[low] + at + CHUNK, ends[low])]
+                keys = mixed(np.arange(at, at + len(part), dtype=np.uint64)) | np.uint64(1)
+                out[low] += (BYTE_KEYS[part] * keys).sum(dtype=np.uint64)
+            continue
+        place = np.arange(int(size.sum())) - np.repeat(first, size)
+        values = BYTE_KEYS[data[place + np.repeat(starts[low:high], size)]]
+        values *= place_keys(int(size.max()))[place]
+        out[low:high] = np.add.reduceat(values, first)
+    return mixed(out + lengths.astype(np.uint64))
 
 
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -19,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
+    """The folder that driver and executors share. Where none is configured a temporary one is set, on one machine only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found if ":/" in found else f"file://{os.path.abspath(found)}"
@@ -57,8 +60,26 @@ def bounded(stored_ids: DataFrame) -> DataFrame:
     return F.broadcast(stored_ids) if stored_ids.count() <= BOUND else stored_ids
 
 
+#: Bytes of text for each shard of what is counted over a corpus, and partitions that shards are dealt to at most.
+SHARD, PARTITIONS = 1 << 25, 1 << 14
+
+
+def shards_for(docs: DataFrame, text_col: str = "text") -> int:
+    """Shards that keep what one of them holds of a bounded size: by all bytes of text, and as many as shuffle partitions at least."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD))
+
+
+def dealt(df: DataFrame, shards: int) -> DataFrame:
+    """df[shard, ...] with each shard's rows together, one shard after another."""
+    return df.repartition(min(shards, PARTITIONS), "shard").sortWithinPartitions("shard")
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Lets Spark send at most so many rows at once to Python, where rows are whole texts."""
+    """Lets Spark send at most so many rows at once to Python, where rows are whole texts.
+
+    Spark reads this when a query runs, so the session keeps the setting: operators on texts lower it for good.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))

@@ -16,8 +16,10 @@ from . import arrays, common, files
 #: Tokens that a task holds before it sends their counts on.
 FLUSH = 2 << 20
 END = np.uint64(0x1D5F3C6A9B7E2480)
-#: Id of the context before a text's first token; word ids stay below.
-BEGIN = np.uint64(0xFFFFFFFF)
+#: Id of the context before a text's first token in arrays of ids; in packed pairs it is the highest number of its bits.
+BEGIN = np.int64(2**62)
+#: Bits of a word id in packed pairs, at least.
+BITS = 32
 PARTIAL = "kind string, shard int, a binary, b binary, c binary"
 
 
@@ -33,6 +35,7 @@ class Model:
     continuations: int  # distinct bigrams
     words_continued: tuple[int, int, int]  # words by continuation count: 1, 2 and more
     begin: tuple[int, int, int, int]  # total, n1, n2, n3 of the context before a text
+    bits: int = BITS
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,12 +161,42 @@ class Vocabulary:
         return out
 
 
-def bigrams(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """(previous id, id) packed in one number; ids are known."""
-    before = np.empty(len(ids), np.uint64)
-    before[1:] = ids[:-1].astype(np.uint64)
+def previous(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The id before each, BEGIN for the first of a text."""
+    before = np.empty(len(ids), np.int64)
+    before[1:] = ids[:-1]
     before[np.cumsum(sizes) - sizes] = BEGIN
-    return before << np.uint64(32) | ids.astype(np.uint64)
+    return before
+
+
+class Packing:
+    """Pairs of ids as one 64-bit number and a part.
+
+    Ids of up to 32 bits fit whole and there is one part; of wider ones the second id's lowest bits are the part,
+    which is kept apart as a range of shards, so pairs stay exact whatever the vocabulary.
+    """
+
+    def __init__(self, bits: int, shards: int) -> None:
+        self.bits, self.shards, self.low = bits, shards, max(0, 2 * bits - 64)
+        self.begin = (1 << bits) - 1
+        self.all_shards = shards << self.low
+
+    def pack(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Packed pairs and the part of each."""
+        left = np.where(before == BEGIN, self.begin, before).astype(np.uint64)
+        right = ids.astype(np.uint64)
+        keys = left << np.uint64(self.bits - self.low) | right >> np.uint64(self.low)
+        return keys, (right & np.uint64((1 << self.low) - 1)).astype(np.uint32)
+
+    def shard(self, keys: np.ndarray, part: np.ndarray) -> np.ndarray:
+        return part.astype(np.int64) * self.shards + key_shard(keys, self.shards)
+
+    def unpack(self, keys: np.ndarray, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        """Both ids of the packed pairs of a shard."""
+        width = np.uint64(self.bits - self.low)
+        before = (keys >> width).astype(np.int64)
+        right = (keys & np.uint64((1 << int(width)) - 1)) << np.uint64(self.low) | np.uint64(shard // self.shards)
+        return np.where(before == self.begin, BEGIN, before), right.astype(np.int64)
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -177,22 +210,38 @@ def discounts(n: list[int]) -> list[float]:
     return [0.0, *(min(max(x, 0.0), k) for k, x in enumerate(d, 1))]
 
 
-def dealt(df: DataFrame, shards: int) -> DataFrame:
-    return df.repartition(shards, "shard").sortWithinPartitions("shard")
+def counted_pairs(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct packed pairs, the part of each and how often it occurs."""
+    keys, part = (np.concatenate(x) for x in zip(*held, strict=True))
+    if not part.any():
+        keys, counts = counted(np.sort(keys))
+        return keys, np.zeros(len(keys), part.dtype), counts
+    order = np.lexsort((keys, part))
+    keys, part = keys[order], part[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (part[1:] != part[:-1])
+    starts = np.flatnonzero(new)
+    return keys[starts], part[starts], np.diff(np.append(starts, len(keys)))
 
 
-def train(docs: DataFrame, shards: int | None = None) -> Model:
+def train(docs: DataFrame, shards: int | None = None, bits: int = BITS) -> Model:
     """The model of all documents but the held out ones. docs[doc_id, text].
 
     Every task counts tokens, then bigrams, in sorted arrays and sends one piece for each shard, so a
     frequent word or pair is one entry of each task's piece. Shards are by hash, so of one size. The
     model lies in the shared folder: the sorted token hashes (a place is a word's id), the sorted
-    packed bigrams with their counts, and what each word has as a context.
+    packed bigrams with their counts, and what each word has as a context. There are as many shards as the
+    bytes of text ask for. Ids take `bits` bits, or as many more as the words need.
+
+    Null and empty texts count as the end alone, a null id as an empty string; repeated rows count as often
+    as they are there; a text is never cut; without training rows, as on an empty table, every word is unknown;
+    other columns are ignored. The session then sends 1,000 rows at most to a worker at once.
     """
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folder = common.new_folder(spark, "model")
     docs = docs.select("doc_id", F.col("text").cast("string"))
+    common.small_batches(spark)
+    shards = shards or common.shards_for(docs)
+    folder = common.new_folder(spark, "model")
 
     def count_tokens(batches):
         held, size = [], 0
@@ -217,22 +266,23 @@ def train(docs: DataFrame, shards: int | None = None) -> Model:
             files.save_array(folder, f"count-{shard}", counts)
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n": [len(keys)], "total": [int(counts.sum())]})
 
-    pieces = dealt(docs.mapInArrow(count_tokens, PARTIAL), shards)
+    pieces = common.dealt(docs.mapInArrow(count_tokens, PARTIAL), shards)
     sizes = {r["shard"]: r for r in pieces.mapInArrow(merge_tokens, "shard int, n long, total long").collect()}  # a row for each shard
     starts = np.concatenate([[0], np.cumsum([sizes[s]["n"] if s in sizes else 0 for s in range(shards)])]).tolist()
-    if starts[-1] >= BEGIN:
-        raise ValueError("more distinct words than 32-bit ids")
+    bits = max(bits, int(starts[-1] + 1).bit_length())  # one number is left for BEGIN
+    packing = Packing(bits, shards)
 
     def count_bigrams(batches):
         vocabulary = Vocabulary(folder, starts)
         held, size = [], 0
 
         def flush():
-            keys, counts = counted(np.sort(np.concatenate(held)))
-            return rows("bigram", key_shard(keys, shards), shards, keys, counts.astype(np.uint32))
+            keys, part, counts = counted_pairs(held)
+            return rows("bigram", packing.shard(keys, part), packing.all_shards, keys, counts.astype(np.uint32))
 
         for _, _, tokens, lengths in token_chunks(batches, training=True):
-            held.append(bigrams(vocabulary.ids(tokens), lengths))
+            ids = vocabulary.ids(tokens)
+            held.append(packing.pack(previous(ids, lengths), ids))
             size += len(tokens)
             if size >= FLUSH:
                 yield from flush()
@@ -246,22 +296,24 @@ def train(docs: DataFrame, shards: int | None = None) -> Model:
             keys, counts = summed(joined(held, 1, np.uint64), joined(held, 2, np.uint32).astype(np.int64))
             files.save_array(folder, f"bigram-{shard}", keys)
             files.save_array(folder, f"pairs-{shard}", counts.astype(np.uint32) if counts.max() < 1 << 32 else counts)
-            left, right = keys >> np.uint64(32), (keys & BEGIN).astype(np.int64)
+            left, right = packing.unpack(keys, shard)
             first = arrays.run_starts(left)  # keys are sorted by context
-            context = left[first].astype(np.int64)
+            context = left[first]
             sums = np.stack([np.add.reduceat(x, first) for x in (counts, counts == 1, counts == 2, counts >= 3)], axis=1).astype(np.int64)
-            begins = context == int(BEGIN)
+            begins = context == BEGIN
             yield from rows("begin", np.zeros(begins.sum(), np.int64), 1, sums[begins].view("V32").ravel())
             context, sums = context[~begins], sums[~begins]
             owner = np.searchsorted(edges, context, side="right") - 1
-            yield from rows("context", owner, shards, (context - edges[owner]).astype(np.uint32), np.ascontiguousarray(sums.astype(np.uint32)).view("V16").ravel())
+            place, wide = (context - edges[owner]).astype(np.uint32), sums[:, 0] >= 1 << 32
+            yield from rows("context", owner[~wide], shards, place[~wide], np.ascontiguousarray(sums[~wide].astype(np.uint32)).view("V16").ravel())
+            yield from rows("wide context", owner[wide], shards, place[wide], np.ascontiguousarray(sums[wide]).view("V32").ravel())
             word, times = counted(np.sort(right))
             owner = np.searchsorted(edges, word, side="right") - 1
             yield from rows("word", owner, shards, (word - edges[owner]).astype(np.uint32), times.astype(np.uint32))
             n = np.array([(counts == k).sum() for k in (1, 2, 3, 4)] + [len(counts)], np.int64)
             yield from rows("bigrams", np.zeros(1, np.int64), 1, n.view("V40"))
 
-    parts = common.stored(dealt(docs.mapInArrow(count_bigrams, PARTIAL), shards).mapInArrow(merge_bigrams, PARTIAL), "contexts")
+    parts = common.stored(common.dealt(docs.mapInArrow(count_bigrams, PARTIAL), packing.all_shards).mapInArrow(merge_bigrams, PARTIAL), "contexts")
 
     def merge_words(batches):
         for shard, held in by_shard(batches):
@@ -272,13 +324,13 @@ def train(docs: DataFrame, shards: int | None = None) -> Model:
                 if kind == "word":
                     values[4, at] += np.frombuffer(b, np.uint32)  # a word is once in each piece
                 else:
-                    values[:4, at] += np.frombuffer(b, np.uint32).reshape(-1, 4).T
+                    values[:4, at] += np.frombuffer(b, np.uint32 if kind == "context" else np.int64).reshape(-1, 4).T
             for name, value in zip(("total", "once", "twice", "often", "continued"), values, strict=True):
                 files.save_array(folder, f"{name}-{shard}", value)
             n = [int((values[4] == k).sum()) for k in (1, 2, 3, 4)]
             yield pa.RecordBatch.from_pydict({f"n{k + 1}": [x] for k, x in enumerate(n)} | {"more": [int((values[4] >= 3).sum())]})
 
-    words = dealt(parts.filter("kind in ('word', 'context')"), shards).mapInArrow(merge_words, "n1 long, n2 long, n3 long, n4 long, more long")
+    words = common.dealt(parts.filter("kind in ('word', 'context', 'wide context')"), shards).mapInArrow(merge_words, "n1 long, n2 long, n3 long, n4 long, more long")
     n1, n2, n3, n4, more = words.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n1", "n2", "n3", "n4", "more"))).first()
     few = parts.filter("kind in ('begin', 'bigrams')").select("kind", "a").collect()  # two small rows for each shard
     total = lambda kind, size: np.sum([np.frombuffer(r["a"], np.int64) for r in few if r["kind"] == kind] or [[0] * size], axis=0).tolist()
@@ -286,19 +338,20 @@ def train(docs: DataFrame, shards: int | None = None) -> Model:
     common.remove(parts, spark)
     return Model(
         folder, shards, starts, sum(r["total"] for r in sizes.values()),
-        {1: discounts([n1, n2, n3, n4]), 2: discounts(pair_n)}, pairs, (n1, n2, more), tuple(total("begin", 4)),
+        {1: discounts([n1, n2, n3, n4]), 2: discounts(pair_n)}, pairs, (n1, n2, more), tuple(total("begin", 4)), bits,
     )
 
 
 class Scorer:
     def __init__(self, model: Model) -> None:
-        self.model, self.vocabulary = model, Vocabulary(model.folder, model.starts)
-
-    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        m, out = self.model, np.zeros(len(keys), np.int64)
-        shard = key_shard(keys, m.shards)
-        order = np.argsort(shard.astype(np.uint16) if m.shards < 1 << 16 else shard, kind="stable")
-        bounds = np.searchsorted(shard[order], np.arange(m.shards + 1))
+        self.model, self.vocabulary, self.packing = model, Vocabulary(model.folder, model.starts), Packing(model.bits, model.shards)
+
+    def pair_counts(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        shards, out = self.packing.all_shards, np.zeros(len(ids), np.int64)
+        keys, part = self.packing.pack(before, ids)
+        shard = self.packing.shard(keys, part)
+        order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
+        bounds = np.searchsorted(shard[order], np.arange(shards + 1))
         for s in np.flatnonzero(np.diff(bounds)):
             some = order[bounds[s] : bounds[s + 1]]
             try:
@@ -331,17 +384,15 @@ class Scorer:
         firsts = np.cumsum(sizes) - sizes
         base = np.log10((counts + 0.1) / (m.train_tokens + 0.1 * (m.starts[-1] + 1)))
         p = self.unigrams(ids)
-        before = np.empty(len(ids), np.int64)
-        before[1:] = ids[:-1]
-        before[firsts] = int(BEGIN)
+        before = previous(ids, sizes)
         context = np.zeros((4, len(ids)), np.int64)
-        inner = np.flatnonzero((before >= 0) & (before != int(BEGIN)))
+        inner = np.flatnonzero((before >= 0) & (before != BEGIN))
         for row, name in zip(context, ("total", "once", "twice", "often"), strict=True):
             row[inner] = v.values(name, before[inner])
         context[:, firsts] = np.array(m.begin)[:, None]
         pair = np.zeros(len(ids), np.int64)
         both = np.flatnonzero(known & (before >= 0))
-        pair[both] = self.pair_counts(before[both].astype(np.uint64) << np.uint64(32) | ids[both].astype(np.uint64))
+        pair[both] = self.pair_counts(before[both], ids[both])
         d, seen = np.array(m.discounts[2]), context[0] > 0
         total = context[0, seen]
         left = (context[1:, seen] * d[1:, None]).sum(axis=0) / total

@@ -250,8 +250,8 @@ def candidates(sets: DataFrame, percent: int, shards: int) -> DataFrame:
         if held:
             yield finish(held)
 
-    dealt = sets.select("sig", "n", "p1").mapInArrow(arrays.returning(local), cells).repartition(shards, "shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(arrays.returning(merged), "kind string, a long, b long")
+    dealt = sets.select("sig", "n", "p1").mapInArrow(arrays.returning(local), cells)
+    return common.dealt(dealt, shards).mapInArrow(arrays.returning(merged), "kind string, a long, b long")
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -270,11 +270,12 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 
     Null and blank texts have empty sets and link with nothing; a null id never becomes a component's
     unless it has no other; rows that repeat an id are rows of their own; an empty table gives none;
-    texts are never cut; other columns are ignored.
+    texts are never cut; other columns are ignored. The session then sends 1,000 rows at most to a worker at once.
     """
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    common.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    shards = common.shards_for(docs)
 
     def count_shingles(batch, total):
         data, offsets = arrays.text_bytes(batch.column(1))

@@ -57,9 +57,9 @@ def brute(rows):
     return out, bigram, [*count, "unseen"]
 
 
-def run(spark, rows):
+def run(spark, rows, **options):
     docs = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, score string")
-    return [tuple(r)[:7] for r in lm.score(docs, lm.train(docs, 3)).collect()]
+    return [tuple(r)[:7] for r in lm.score(docs, lm.train(docs, 3, **options)).collect()]
 
 
 def agree(got, want):
@@ -76,6 +76,7 @@ def test_scores_are_those_of_dictionaries(spark):
     rows += [(100, None), (101, ""), (102, "x" * 5000 + " the cat"), (103, "é É the"), (None, "the mat"), (7, "the cat")]
     want, bigram, words = brute(rows)
     agree(run(spark, rows), want)
+    agree(run(spark, rows, bits=34), want)
     assert sum(bigram("the", w) for w in words) == pytest.approx(1)
 
 
@@ -89,3 +90,34 @@ def test_real_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     agree([tuple(r)[:7] for r in lm.score(docs, lm.train(docs)).collect()], brute(rows)[0])
+
+
+def test_pairs_of_wide_ids_are_packed_exactly():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for bits in (32, 33, 36):
+        packing = lm.Packing(bits, 5)
+        before, ids = rng.integers(0, 2**bits - 1, 1000), rng.integers(0, 2**bits - 1, 1000)
+        before[:10] = lm.BEGIN
+        keys, part = packing.pack(before, ids)
+        shard = packing.shard(keys, part)
+        assert shard.max() < packing.all_shards
+        for s in np.unique(shard):
+            b, i = packing.unpack(keys[shard == s], int(s))
+            assert (b == before[shard == s]).all() and (i == ids[shard == s]).all()
+
+
+def test_long_words_and_texts_hash_alike_in_pieces(monkeypatch):
+    import numpy as np
+
+    from tandemsift.llm import arrays
+
+    data = np.frombuffer(b"one two " + b"x" * 5000 + b" three " + b"y" * 700 + b" one", np.uint8)
+    starts, ends, _ = arrays.word_spans(data, np.array([0, len(data)]))
+    whole = arrays.span_hashes(data, starts, ends)
+    for size in (3, 64, 1000):
+        monkeypatch.setattr(arrays, "CHUNK", size)
+        monkeypatch.setattr(arrays.chunks, "__defaults__", (size,))
+        assert (arrays.span_hashes(data, starts, ends) == whole).all()
+    assert whole[0] == whole[-1] and len(set(whole.tolist())) == len(whole) - 1
