@@ -20,6 +20,8 @@ from . import common, files
 
 #: Lines of an index block; a directory holds one entry for each block of its part of the keys.
 BLOCK = 512
+#: Index lines and lookups that a task works on.
+LINES, LOOKUPS = 1 << 16, 1 << 12
 #: Revisits are broadcast up to so many rows of two numbers, else joined by a shuffle.
 BROADCAST_ROWS = 1 << 17
 DATE = "2024-01-01T00:00:00Z"
@@ -34,6 +36,11 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), F.substring(rest, F.length(authority) + 1, F.length(rest)))
 
 
+def page_key(page_id: int | None) -> tuple[bool, int]:
+    """Orders pages of one url: those without an id first, apart from every id."""
+    return page_id is not None, page_id or 0
+
+
 def record_id(page_id: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
 
@@ -88,7 +95,9 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
     unless there are more than BROADCAST_ROWS revisits. Null html is an empty payload, a null url has the
     empty host, a null page_id refers to the smallest that isn't; rows repeated with page_id and payload
     are responses all; an empty table writes nothing; other columns are ignored.
+    The session then sends 1,000 rows at most to a worker at once.
     """
+    common.small_batches(pages.sparkSession)
     pages = pages.select("page_id", "url", "html")
     again = common.stored(revisits(pages, least_bytes), "revisits")
     few = again.count() <= BROADCAST_ROWS
@@ -125,7 +134,9 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
 def index(captures: DataFrame, folder: str) -> list[tuple]:
     """Writes the index: each task sorts a range of the keys into compressed blocks and, behind them, their directory.
 
-    Returns one entry for each range: its first key, file, and where its directory lies.
+    A range holds about LINES captures. Captures without a page id come first among those of their url; captures
+    that repeat a key are lines of their own; of an empty table there is no index file. Returns one entry for each
+    range: its first key, file, and where its directory lies; these few rows are what the driver holds.
     """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,15 +150,15 @@ def index(captures: DataFrame, folder: str) -> list[tuple]:
 
         def flush():
             data = zlib.compress("\n".join(lines).encode(), 6)
-            directory.append((json.loads(lines[0])[:2], put(data), len(data)))
+            directory.append((json.loads(lines[0])[:3], put(data), len(data)))
             lines.clear()
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None:
                     system, path = files.opened(folder)
-                    out, first = system.open_output_stream(f"{path}/{name}", compression=None), row[:2]
-                lines.append(json.dumps([row[0], -1 if row[1] is None else row[1], *row[2:]]))
+                    out, first = system.open_output_stream(f"{path}/{name}", compression=None), (row[0], *page_key(row[1]))
+                lines.append(json.dumps([row[0], *page_key(row[1]), *row[2:]]))
                 if len(lines) == BLOCK:
                     flush()
         if out is not None:
@@ -156,12 +167,14 @@ def index(captures: DataFrame, folder: str) -> list[tuple]:
             data = zlib.compress(json.dumps(directory).encode(), 6)
             start = put(data)
             out.close()
-            first_id = -1 if first[1] is None else first[1]
-            yield pa.RecordBatch.from_pydict({"key": [first[0]], "page_id": pa.array([first_id], pa.int64()), "file": [name], "at": [start], "size": [len(data)]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x]) for x in (first[0], first[1])] + [pa.array([first[2]], pa.int64()), pa.array([name]), pa.array([start]), pa.array([len(data)])],
+                names=["key", "known", "page_id", "file", "at", "size"],
+            )
 
     order = [F.col("key"), F.col("page_id").asc_nulls_first()]
-    parts = captures.select("key", "page_id", "file", "at", "size").repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = parts.mapInArrow(blocks, "key string, page_id long, file string, at long, size long").collect()  # one for each task
+    parts = captures.select("key", "page_id", "file", "at", "size").repartitionByRange(max(1, -(-captures.count() // LINES)), *order).sortWithinPartitions(*order)
+    rows = parts.mapInArrow(blocks, "key string, known boolean, page_id long, file string, at long, size long").collect()  # one for each task
     return sorted(tuple(r) for r in rows)
 
 
@@ -171,7 +184,7 @@ class Reader:
     def __init__(self, folder: str, top: list[tuple], kept: int = 8) -> None:
         self.system, self.path = files.opened(folder)
         self.top, self.kept = top, kept
-        self.starts = [t[:2] for t in top]
+        self.starts = [t[:3] for t in top]
         self.open: dict[str, pa.NativeFile] = {}
         self.loaded: dict[tuple, tuple] = {}
 
@@ -189,21 +202,22 @@ class Reader:
                 self.loaded.pop(next(iter(self.loaded)))
             text = zlib.decompress(self.range(name, at, size)).decode()
             rows = json.loads(text) if whole else [json.loads(x) for x in text.split("\n")]
-            self.loaded[name, at] = [tuple(r[0]) if whole else tuple(r[:2]) for r in rows], rows
+            self.loaded[name, at] = [tuple(r[0]) if whole else tuple(r[:3]) for r in rows], rows
         return self.loaded[name, at]
 
-    def captures(self, key: str, page_id: int) -> list:
-        """All captures of a key and page (of rows that repeat both, more than one)."""
-        found, shard = [], max(0, bisect.bisect_left(self.starts, (key, page_id)) - 1)
-        while shard < len(self.top) and self.starts[shard] <= (key, page_id):
-            _, _, name, at, size = self.top[shard]
+    def captures(self, key: str, page_id: int | None) -> list:
+        """File, place and size of all captures of a key and page (of rows that repeat both, more than one)."""
+        wanted, found = (key, *page_key(page_id)), []
+        shard = max(0, bisect.bisect_left(self.starts, wanted) - 1)
+        while shard < len(self.top) and self.starts[shard] <= wanted:
+            name, at, size = self.top[shard][3:]
             keys, entries = self.load(name, at, size, True)
-            block = max(0, bisect.bisect_left(keys, (key, page_id)) - 1)
-            while block < len(keys) and keys[block] <= (key, page_id):
+            block = max(0, bisect.bisect_left(keys, wanted) - 1)
+            while block < len(keys) and keys[block] <= wanted:
                 own, lines = self.load(name, entries[block][1], entries[block][2], False)
-                low = bisect.bisect_left(own, (key, page_id))
-                while low < len(own) and own[low] == (key, page_id):
-                    found.append(lines[low])
+                low = bisect.bisect_left(own, wanted)
+                while low < len(own) and own[low] == wanted:
+                    found.append(lines[low][3:])
                     low += 1
                 block += 1
             shard += 1
@@ -213,8 +227,10 @@ class Reader:
 def read(lookups: DataFrame, folder: str, top: list[tuple]) -> DataFrame:
     """lookups[page_id, url] -> what the archives hold of each: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Lookups are dealt out in key order, so that a task reads neighbouring blocks. Every page found is read
-    from its archive; one that isn't there gives no row; pages that repeat a key and id give all captures.
+    Lookups are dealt out in key order, about LOOKUPS to a task, so that a task reads neighbouring blocks. Every page
+    found is read from its archive; one that isn't there gives no row; lookups that repeat a key and id count once and
+    give all its captures; a null id finds captures without one only; a null url has the empty host; no lookups give
+    no rows; other columns are ignored.
     """
     # one entry for each index file
     shared = lookups.sparkSession.sparkContext.broadcast(top)
@@ -224,8 +240,8 @@ def read(lookups: DataFrame, folder: str, top: list[tuple]) -> DataFrame:
         for batch in batches:
             out = []
             for key, page_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for entry in reader.captures(key, -1 if page_id is None else page_id):
-                    fields, size, _ = parsed(reader.range(*entry[2:]))
+                for entry in reader.captures(key, page_id):
+                    fields, size, _ = parsed(reader.range(*entry))
                     refers_to = fields.get("X-Refers-To-Page-Id")
                     own = fields["X-Page-Id"]
                     out.append((int(own) if own else None, size, fields["WARC-Payload-Digest"][5:], fields["WARC-Type"], None if refers_to is None else int(refers_to)))
@@ -234,7 +250,7 @@ def read(lookups: DataFrame, folder: str, top: list[tuple]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     keys = lookups.select(url_key(F.col("url")).alias("key"), F.col("page_id").cast("long")).distinct()
-    dealt = keys.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    dealt = keys.repartitionByRange(max(1, -(-lookups.count() // LOOKUPS)), "key", "page_id").sortWithinPartitions("key", "page_id")
     return dealt.mapInArrow(looked_up, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 

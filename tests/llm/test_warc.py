@@ -45,3 +45,15 @@ def test_repeats_least_and_empty(spark):
     rows = [(1, "http://a/", "same"), (1, "http://a/", "same"), (2, "http://b/", "same"), (3, "http://c/", "no"), (4, "http://d/", "no")]
     assert run(spark, rows, 3)[0] == brute(rows, 3)
     assert run(spark, [])[0] == []
+
+
+def test_a_missing_id_is_no_id_of_its_own(spark, monkeypatch):
+    rows = [(None, "http://a/", "one"), (-1, "http://a/", "two"), (0, "http://a/", "three"), (None, "http://b/", "two")]
+    assert run(spark, rows)[0] == brute(rows)
+
+
+def test_many_ranges_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LINES", 100)
+    monkeypatch.setattr(warc, "LOOKUPS", 50)
+    rows = ROWS[:900] + [(-7, "http://h1.example.org/a/1", "z")]
+    assert run(spark, rows)[0] == brute(rows)
