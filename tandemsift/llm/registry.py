@@ -25,7 +25,6 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_rp_forest": rp_forest.ORACLE,
         "op3_branch_bound": branch_bound.ORACLE,
         "op8_mixing": mixing.ORACLE,
         "op9_ngram_join": ngram_join.ORACLE,

@@ -15,12 +15,11 @@ from . import common, vectors
 
 #: Rows that the trees are fitted on, at most: those of the smallest hashes. Every row is indexed.
 SAMPLE = 1 << 14
-TREES, LEAF = 8, 128
-#: A query's leaves hold so many rows in all: a share of the rows, and so many besides. On vectors without
-#: structure, as the test tables', neighbours are spread over many leaves; clustered ones need far less.
-SHARE, FLOOR = 0.8, 4096
-#: Index rows that are reranked together, and rows of a leaf that stay together.
-BUNDLE, PIECE = 1 << 14, 1 << 12
+TREES, LEAF = 16, 128
+#: Share of the true neighbours that the visited leaves must hold, measured on PROBES rows of the sample.
+RECALL, PROBES = 0.95, 128
+#: Index rows and queries that are reranked together, and pairs that are kept between two looks at the best.
+BLOCK, QUERIES, PAIRS = 1 << 13, 1 << 12, 1 << 20
 
 
 @dataclass
@@ -97,7 +96,7 @@ def leaves_of(forest: Forest, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def search(forest: Forest, margins: np.ndarray, sizes: np.ndarray, wanted: int) -> list[int]:
+def search(forest: Forest, margins: np.ndarray, sizes: np.ndarray, wanted: float) -> list[int]:
     """The leaves that a query visits: the best open node of all trees first, until they hold enough rows."""
     heap = [(-np.inf, root) for root in forest.roots]
     heapq.heapify(heap)
@@ -109,12 +108,41 @@ def search(forest: Forest, margins: np.ndarray, sizes: np.ndarray, wanted: int)
             rows += sizes[-1 - node]
         else:
             m = margins[node]
-            left, right = forest.children[node].tolist()
+            left, right = forest.children[node]
             heapq.heappush(heap, (max(bound, m), left))
             heapq.heappush(heap, (max(bound, -m), right))
     return found
 
 
+def asking(q: np.ndarray, longest: float) -> np.ndarray:
+    """Queries in the lifted space."""
+    return np.c_[q * (longest / np.linalg.norm(q, axis=1))[:, None], np.zeros(len(q))]
+
+
+def share_needed(forest: Forest, x: np.ndarray, longest: float, k: int, recall: float) -> float:
+    """How many rows, as a share of all, a query's leaves must hold in all to have `recall` of its k nearest.
+
+    Measured on the first rows x (lifted) of the sample as queries and the whole sample as candidates.
+    """
+    if recall >= 1 or len(x) < 2:
+        return float(len(forest.roots))
+    q, plain = x[:PROBES, :-1], x[:, :-1]
+    score = q @ plain.T
+    score[np.arange(len(q)), np.arange(len(q))] = -np.inf
+    k = min(k, len(x) - 1)
+    truth = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    leaves = leaves_of(forest, x)
+    sizes = np.bincount(leaves.ravel(), minlength=forest.leaves)
+    margins = asking(q, longest) @ forest.normals.T + forest.offsets
+    need = np.empty((len(q), k))
+    for i in range(len(q)):
+        visited = np.array(search(forest, margins[i].tolist(), sizes.tolist(), np.inf))
+        before = np.empty(forest.leaves)
+        before[visited] = np.cumsum(sizes[visited]) - sizes[visited]
+        need[i] = before[leaves[:, truth[i]]].min(axis=0)
+    return (float(np.quantile(need, recall, method="higher")) + 1) / len(x)
+
+
 def exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products summed component by component, in order."""
     total = np.zeros(len(x))
@@ -123,119 +151,164 @@ def exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return total
 
 
-def neighbours(table: DataFrame, k: int = 20, step: int = vectors.QUERY_STEP, trees: int = TREES, leaf: int = LEAF, share: float = SHARE, floor: int = FLOOR, sample: int = SAMPLE) -> DataFrame:
+def rerank(ids: np.ndarray, x: np.ndarray, leaves: np.ndarray, query_ids: np.ndarray, q: np.ndarray, visits: tuple[np.ndarray, np.ndarray], k: int) -> tuple[list, list]:
+    """The k best rows of a block for each query among those in its leaves, ties to smaller ids.
+
+    leaves holds each row's leaves, visits the leaf and the query of each visit. One matrix product for each leaf
+    gives the inner products of its rows and all queries that visit it; those that can't be among a
+    query's k best are dropped as the best so far rise.
+    """
+    n, least = len(ids), np.full(len(q), -np.inf)  # least: what a pair's product must reach to be looked at
+    row_order, visit_order = np.argsort(leaves.ravel(), kind="stable"), np.argsort(visits[0], kind="stable")
+    row_leaf, rows = leaves.ravel()[row_order], row_order // leaves.shape[1]
+    visit_leaf, visitors = visits[0][visit_order], visits[1][visit_order]
+    place = dict(zip(ids.tolist(), range(n), strict=True))
+    own = np.array([i * n + place[j] if j in place else -1 for i, j in enumerate(query_ids.tolist())], np.int64)
+    keys, scores, held = [], [], 0
+
+    def best() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best pairs so far in order, with their products and exact scores."""
+        key, first = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_index=True)
+        score = np.concatenate([np.zeros(0), *scores])[first]
+        open_ = ~np.isin(key, own)
+        key, score = key[open_], score[open_]
+        order = np.lexsort((-score, key // n))
+        key, score = key[order], score[order]
+        asked, first, count = np.unique(key // n, return_index=True, return_counts=True)
+        full = count >= k
+        known = score[first[full] + k - 1]
+        least[asked[full]] = known - 1e-9 * (1 + np.abs(known))  # products may round otherwise than exact scores
+        open_ = score >= least[key // n]
+        key, score = key[open_], score[open_]
+        true = np.concatenate([np.zeros(0), *(exact(x[key[s : s + 65536] % n], q[key[s : s + 65536] // n]) for s in range(0, len(key), 65536))])
+        order = np.lexsort((ids[key % n], -true, key // n))
+        asked = key[order] // n
+        top = order[np.arange(len(order)) - np.searchsorted(asked, asked) < k]
+        return key[top], score[top], true[top]
+
+    both = np.intersect1d(row_leaf, visit_leaf)
+    ends = [np.searchsorted(where, both, side=side).tolist() for where in (row_leaf, visit_leaf) for side in ("left", "right")]
+    for r0, r1, v0, v1 in zip(*ends, strict=True):
+        some, who = rows[r0:r1], visitors[v0:v1]
+        product = q[who] @ x[some].T
+        at = np.flatnonzero((product >= least[who, None]).ravel())
+        a, b = np.divmod(at, len(some))
+        keys.append(who[a] * n + some[b])
+        scores.append(product.ravel()[at])
+        held += len(at)
+        if held > PAIRS:
+            key, score, _ = best()
+            keys, scores, held = [key], [score], len(key)
+    key, _, score = best()
+    cuts = np.searchsorted(key // n, np.arange(1, len(q)))
+    return [ids[s % n] for s in np.split(key, cuts)], np.split(score, cuts)
+
+
+def neighbours(
+    table: DataFrame, k: int = 20, step: int = vectors.QUERY_STEP, trees: int = TREES, leaf: int = LEAF, recall: float = RECALL, sample: int = SAMPLE
+) -> DataFrame:
     """table[vec_id, embedding] -> query_id, rank, vec_id, score: the k largest inner products found.
 
     Queries are the rows whose vec_id is divisible by `step`, candidates all others. The trees are fitted
-    on a bounded sample and sent to the workers; every row goes into a leaf of each. The index is a table of
-    rows by leaf, large leaves in pieces; a query goes to the pieces of its leaves, where its inner products
-    are worked out on the vectors themselves.
+    on a bounded sample and sent to the workers; every row gets its leaf in each. How many rows a query's
+    leaves hold in all is a share of the table, found on the sample such that they have `recall` of the
+    nearest there (1 visits every leaf). Rows lie in blocks by their first tree's leaf, once each with their
+    leaves; a query goes to the blocks that have rows in a leaf it visits, where one matrix product a leaf gives
+    its inner products, and those of the best are worked out again on the vectors in order.
 
     Null or zero vectors and those with null or non-finite components take no part, nor those of another
-    length than the longest. Of equal vectors the smallest ids alone are indexed, one more than could be
-    reported. Of rows that repeat an id the least vector counts. Ties go to the smaller id. An empty table
-    gives none; other columns are ignored.
+    length than the most frequent (ties to the longer). Of equal vectors the smallest ids alone are indexed,
+    one more than could be reported. Of rows that repeat an id the least vector counts. Ties go to the smaller
+    id. An empty table gives none; other columns are ignored.
     """
     spark = table.sparkSession
     rows, dim = vectors.usable(table)
-    rows = rows.filter(F.exists("vector", lambda x: x != 0))
     if not dim:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    own = Window.partitionBy("vector").orderBy("vec_id")
-    distinct = rows.withColumn("_place", F.row_number().over(own)).filter(F.col("_place") <= k + 1).drop("_place")
-    indexed = common.stored(distinct, "vectors")
-    queries = rows.filter(F.col("vec_id") % step == 0)
+    rows = common.stored(rows.filter(F.exists("vector", lambda x: x != 0)), "vectors")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    count, longest = indexed.agg(F.count("*"), F.coalesce(F.max(norm), F.lit(0.0))).first()
-    few = indexed.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
-    x = lifted(vectors.matrix(few.column("vector"), dim), longest)
-    forest = spark.sparkContext.broadcast(build(x, trees, max(8, leaf * len(x) // max(1, count))))
-    wanted = int(share * count) + floor
+    count, asked, longest = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % step == 0), F.coalesce(F.max(norm), F.lit(0.0))).first()
+    if not count:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    few = vectors.matrix(rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow().column("vector"), dim)
+    few = few[np.sort(np.unique(few, axis=0, return_index=True)[1])]
+    x = lifted(few, longest)
+    made = build(x, trees, max(8, leaf * len(x) // count))
+    # of a query's k nearest, so many are expected in the sample
+    share = share_needed(made, x, longest, max(1, round(k * len(x) / count)), recall)
+    # consecutive leaves of the first tree make a cell of a block or more
+    first_leaves = np.bincount(leaves_of(made, x)[0], minlength=made.leaves)
+    cells = np.unique((np.cumsum(first_leaves) - first_leaves) * count // (len(x) * BLOCK), return_inverse=True)[1]
+    forest = spark.sparkContext.broadcast((made, cells))
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, cells = forest.value
         for batch in batches:
-            found = leaves_of(forest.value, lifted(vectors.matrix(batch.column("vector"), dim), longest))
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(list(found.T), pa.list_(pa.int64()))], names=["vec_id", "leaves"])
+            found = leaves_of(made, lifted(vectors.matrix(batch.column("vector"), dim), longest))
+            flat = pa.array(np.ascontiguousarray(found.T).ravel().astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells[found[0]]), pa.FixedSizeListArray.from_arrays(flat, len(found)).cast(pa.list_(pa.int32()))], names=["vec_id", "vector", "cell", "leaves"])
 
-    placed = common.stored(indexed.mapInArrow(routed, "vec_id long, leaves array<long>"), "leaves")
-    sizes = np.zeros(forest.value.leaves, np.int64)
-    for leaf_id, n in placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*")).collect():  # bounded by the sample
+    own = Window.partitionBy("vector").orderBy("vec_id")
+    distinct = rows.withColumn("_place", F.row_number().over(own)).filter(F.col("_place") <= k + 1).drop("_place")
+    placed = common.stored(distinct.mapInArrow(routed, "vec_id long, vector array<double>, cell long, leaves array<int>"), "placed")
+    # bounded by the sample: a row for each cell, and one for each leaf
+    held = dict(placed.groupBy("cell").count().collect())
+    sizes = np.zeros(made.leaves, np.int64)
+    for leaf_id, n in placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():
         sizes[leaf_id] = n
-    pieces = -(-sizes // PIECE)
-    starts = np.cumsum(pieces) - pieces
-    shared = spark.sparkContext.broadcast((sizes, pieces, starts))
-    bundles = max(1, -(-trees * count // BUNDLE))
-
-    def pieced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Index rows: the piece of each row's leaf in each tree."""
-        _, n, first = shared.value
-        for batch in batches:
-            ids, x = vectors.numbers(batch.column("vec_id")), batch.column("vector")
-            for found in leaves_of(forest.value, lifted(vectors.matrix(x, dim), longest)):
-                piece = first[found] + ids.astype(np.uint64).astype(np.int64) % n[found]
-                yield pa.RecordBatch.from_arrays([pa.array(piece % bundles), pa.array(piece), batch.column("vec_id"), x], names=["bundle", "piece", "vec_id", "vector"])
+    bit = F.col("leaf") + 1
+    maps = placed.select("cell", F.explode("leaves").alias("leaf")).groupBy("cell", F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    width = 1 << 12  # bytes of a bitmap, as Spark fixes it
+    has = np.zeros((int(cells.max()) + 1, -(-made.leaves // (8 * width)) * width), np.uint8)
+    for cell, part, bits in maps.collect():
+        has[cell, (part - 1) * width : part * width] = np.frombuffer(bits, np.uint8)
+    shared = spark.sparkContext.broadcast((sizes, has))
+    wanted = share * count
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Queries: the pieces to visit, by bundle."""
-        size, n, first = shared.value
-        f, size_list = forest.value, size.tolist()
-        for batch in batches:
-            q = vectors.matrix(batch.column("vector"), dim)
-            unit = np.c_[q * (longest / np.linalg.norm(q, axis=1))[:, None], np.zeros(len(q))]
-            margins = unit @ f.normals.T + f.offsets
-            out = []
-            for i in range(len(q)):
-                leaves = np.array(search(f, margins[i].tolist(), size_list, wanted))
-                many = n[leaves]
-                visit = np.repeat(first[leaves], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                order = np.argsort(visit % bundles, kind="stable")
-                visit, own = visit[order], (visit % bundles)[order]
-                for b, some in zip(*np.unique(own, return_index=True), strict=True):
-                    out.append((int(b), i, visit[some : some + int((own == b).sum())]))
-            if out:
-                b, i, visit = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(b, pa.int64()), batch.column("vec_id").take(pa.array(i)), batch.column("vector").take(pa.array(i)), pa.array(visit, pa.list_(pa.int64()))], names=["bundle", "query_id", "vector", "pieces"]
-                )
+        """Queries with the leaves that they visit and the cells that have rows of these."""
+        size, has = shared.value
+        made, size_list = forest.value[0], size.tolist()
+        for whole in batches:
+            for low in range(0, whole.num_rows, 256):
+                batch = whole.slice(low, 256)
+                margins = asking(vectors.matrix(batch.column("vector"), dim), longest) @ made.normals.T + made.offsets
+                visits, where = [], []
+                for i in range(batch.num_rows):
+                    visits.append(np.array(search(made, margins[i].tolist(), size_list, wanted), np.int32))
+                    seen = np.zeros(has.shape[1] * 8, bool)
+                    seen[visits[-1]] = True
+                    where.append(np.flatnonzero((has & np.packbits(seen, bitorder="little")).any(axis=1)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(visits, pa.list_(pa.int32())), pa.array(where, pa.list_(pa.int64()))], names=["query_id", "vector", "visits", "cells"])
+
+    dealt = rows.filter(F.col("vec_id") % step == 0).repartition(max(1, -(-asked // 256)))
+    visits = common.stored(dealt.mapInArrow(sent, "query_id long, vector array<double>, visits array<int>, cells array<long>"), "visits")
+    common.remove(rows, spark)
+    # a cell's rows are dealt to blocks, its queries to parts, both of bounded size
+    asking_of = dict(visits.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect())
+    blocks = {c: -(-n // BLOCK) for c, n in held.items()}
+    parts = {c: -(-n // QUERIES) for c, n in asking_of.items()}
+    of_cell = F.broadcast(spark.createDataFrame([(c, blocks[c], parts[c]) for c in blocks if c in parts], "cell long, blocks long, parts long"))
+    below = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    tasks = max(1, min(1 << 13, 2 * sum(blocks[c] * parts.get(c, 0) for c in blocks)))
+    keys = ["cell", "block", "part"]
+    index_rows = placed.join(of_cell, "cell").withColumns({"block": F.pmod(F.xxhash64("vec_id"), "blocks"), "part": F.explode(below("parts"))}).drop("blocks", "parts").repartition(tasks, *keys)
+    query_rows = visits.withColumn("cell", F.explode("cells")).drop("cells").join(of_cell, "cell").withColumns({"part": F.pmod(F.xxhash64("query_id"), "parts"), "block": F.explode(below("blocks"))}).drop("blocks", "parts").repartition(tasks, *keys)
 
     def reranked(left: pa.Table, right: pa.Table) -> pa.Table:
-        piece, ids, x = vectors.numbers(left.column("piece")), vectors.numbers(left.column("vec_id")), vectors.matrix(left.column("vector"), dim)
-        order = np.argsort(piece, kind="stable")
-        piece, ids, x = piece[order], ids[order], x[order]
-        query_ids, q = vectors.numbers(right.column("query_id")), vectors.matrix(right.column("vector"), dim)
-        best_ids, best_scores = [], []
-        for i, visit in enumerate(right.column("pieces").to_pylist()):
-            spans = [np.arange(a, b) for a, b in zip(np.searchsorted(piece, visit), np.searchsorted(piece, visit, side="right"), strict=True)]
-            rows = np.concatenate(spans)
-            rows = rows[ids[rows] != query_ids[i]]
-            scores = x[rows] @ q[i]
-            if len(rows) > trees * k:  # a row may be here once for each tree
-                least = np.partition(scores, len(rows) - trees * k)[len(rows) - trees * k]
-                rows = rows[scores >= least - 1e-9 * (1 + abs(least))]
-            _, one = np.unique(ids[rows], return_index=True)
-            rows = rows[one]
-            scores = exact(x[rows], q[i])
-            top = np.lexsort((ids[rows], -scores))[:k]
-            best_ids.append(ids[rows[top]])
-            best_scores.append(scores[top])
-        return pa.table({"query_id": right.column("query_id"), "ids": pa.array(best_ids, pa.list_(pa.int64())), "scores": pa.array(best_scores, pa.list_(pa.float64()))})
-
-    index_rows = indexed.mapInArrow(pieced, "bundle long, piece long, vec_id long, vector array<double>")
-    query_rows = queries.mapInArrow(sent, "bundle long, query_id long, vector array<double>, pieces array<long>")
-    found = index_rows.groupBy("bundle").cogroup(query_rows.groupBy("bundle")).applyInArrow(reranked, "query_id long, ids array<long>, scores array<double>")
+        query_ids = vectors.numbers(right.column("query_id"))
+        if not left.num_rows or not right.num_rows:
+            found = [[] for _ in query_ids], [[] for _ in query_ids]
+        else:
+            visit = right.column("visits").combine_chunks()
+            who = np.repeat(np.arange(len(visit)), np.diff(visit.offsets.to_numpy()))
+            leaves = vectors.matrix(left.column("leaves"), trees)
+            found = rerank(vectors.numbers(left.column("vec_id")), vectors.matrix(left.column("vector"), dim), leaves, query_ids, vectors.matrix(right.column("vector"), dim), (visit.flatten().to_numpy(), who), k)
+        return pa.table({"query_id": pa.array(query_ids, pa.int64()), "ids": pa.array(found[0], pa.list_(pa.int64())), "scores": pa.array(found[1], pa.list_(pa.float64()))})
+
+    found = index_rows.groupBy(*keys).cogroup(query_rows.groupBy(*keys)).applyInArrow(reranked, "query_id long, ids array<long>, scores array<double>")
     return vectors.merged_top(found, k, "double")
 
 
 def query(spark, sf_dir):
     return neighbours(common.table(spark, sf_dir, "embeddings"))
-
-
-ORACLE = """
-WITH v AS (
-  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-), s AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0
-), r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
-SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
-"""
