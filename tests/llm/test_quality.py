@@ -76,3 +76,45 @@ def test_repetition_features(spark):
     assert got[3] == got[4] == (0, 0, 0, 0)
     assert got[5] == pytest.approx((0, 1, 0.5, 0))
     assert got[6] == pytest.approx((59999 / 60000, 1 / 60000, 1, 0))
+
+
+def test_site_means_and_scores_are_those_of_dictionaries(spark):
+    """The hierarchical part by brute force, from the documents' own scores."""
+    import math
+    from collections import defaultdict
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source", "lang")
+    extra = spark.createDataFrame([(70001, "good words", None, None), (70002, None, "alone", "en"), (70003, "a b", "src1", None)], docs.schema)
+    got = quality.classify(docs.unionByName(extra), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")).collect()
+    sites, hosts = defaultdict(list), defaultdict(list)
+    for r in got:
+        sites[r.source, r.lang].append(r.doc_score)
+        hosts[r.source].append(r.doc_score)
+    n, total = len(got), sum(r.doc_score for r in got)
+    centre = lambda x: sum(x) / len(x)
+    within = max(quality.CLIP, sum((p - centre(v)) ** 2 for v in sites.values() for p in v) / (n - len(sites)))
+    spread = lambda groups: max(0.0, (sum(len(v) * (centre(v) - c) ** 2 for v, c in groups) - within * len(groups)) / n)
+    strength = lambda x: min(max(within / x, 1.0), 1e4) if x > 0 else 1e4
+    host_k = strength(spread([(v, total / n) for v in hosts.values()]))
+    path_k = strength(spread([(v, centre(hosts[k[0]])) for k, v in sites.items()]))
+    odds = lambda p: math.log(min(max(p, 1e-4), 1 - 1e-4) / (1 - min(max(p, 1e-4), 1 - 1e-4)))
+    for r in got:
+        p, h, s = r.doc_score, hosts[r.source], sites[r.source, r.lang]
+        whole = (total - p) / (n - 1)
+        host = (sum(h) - p + host_k * whole) / (len(h) - 1 + host_k)
+        site = (sum(s) - p + path_k * host) / (len(s) - 1 + path_k)
+        score = 1 / (1 + math.exp(-(odds(p) + odds(site) - odds(whole))))
+        assert r.host_mean == pytest.approx(host) and r.site_mean == pytest.approx(site)
+        assert r.quality_score == pytest.approx(min(max(score, 1e-4), 1 - 1e-4)) and r.keep == (r.quality_score >= 0.5)
+
+
+def test_word_ratios_and_clashing_names(spark):
+    rows = [(i, "fine words" if i % 2 else "spam words", i % 2) for i in range(40)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    ratios = quality.word_ratios(labelled)
+    at = {w: spark.range(1).select(quality.bucket(quality.F.lit(w))).first()[0] for w in ("fine", "spam", "words")}
+    assert ratios[at["fine"]] > 2 and ratios[at["spam"]] < -2 and ratios[at["words"]] == pytest.approx(0)
+    assert sum(x != 0 for x in ratios) == 2
+    docs = labelled.selectExpr("doc_id", "text", "'s' AS source", "'en' AS lang", "7 AS p", "'x' AS site_mean")
+    got = quality.classify(docs, labelled.select("doc_id", "quality")).collect()
+    assert len(got) == 40 and all(r.p == 7 and r.keep == (r.text == "fine words") for r in got)
