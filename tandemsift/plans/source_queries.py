@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
-from ..sources import readers
+from ..sources import package, readers
+from ..sources.scratch import new_folder
+from ..streaming import incremental
 from .common import register
 
 QUERIES: dict = {}
@@ -71,3 +74,81 @@ def _(orders):
     """Counts by category as one long table, from one pass over the rows."""
     keys = F.array(F.concat(F.lit("status::"), "o_orderstatus"), F.concat(F.lit("priority::"), "o_orderpriority"), F.lit("orders"))
     return orders.select(F.explode(keys).alias("metric")).groupBy("metric").agg(F.count("*").alias("value"))
+
+
+@query(
+    "read_tsv_contract", "orders",
+    """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 7 > 0 THEN o_totalprice::DOUBLE END AS price FROM orders""",
+)
+def _(orders):
+    """Orders written as tab-separated text with marks for missing values, and read back under a contract."""
+    folder = new_folder(orders.sparkSession, "contract")
+    missing = lambda every, mark, c: F.when(F.col("o_orderkey") % every == 0, mark).otherwise(F.col(c).cast("string"))
+    orders.select(F.col("o_orderkey").alias("id"), missing(5, ".", "o_orderstatus").alias("status"), missing(7, "NA", "o_totalprice").alias("price")).write.option("sep", "\t").option("header", True).option("compression", "gzip").csv(folder)
+    return readers.read_tsv_contract(orders.sparkSession, folder, StructType().add("id", LongType()).add("status", StringType()).add("price", DoubleType()))
+
+
+@query(
+    "read_bed_targets", "targets",
+    """WITH k AS (SELECT *, CAST(substr(target_region_id, 2) AS INT) AS k FROM targets), b AS (SELECT chrom, CASE WHEN k % 17 = 0 THEN 'T0' ELSE target_region_id END AS target_region_id, target_source, CASE WHEN k % 11 > 0 THEN start_pos END AS start, CASE WHEN k % 13 = 0 THEN 99999 ELSE end_pos END AS stop FROM k),
+      n AS (SELECT *, count(*) OVER (PARTITION BY target_source, target_region_id) AS n FROM b)
+      SELECT chrom, target_region_id, target_source, start::BIGINT AS start, stop::BIGINT AS stop, CASE WHEN start IS NULL THEN 'NOT_NUMERIC' WHEN stop > 30000 THEN 'OUT_OF_BOUNDS' WHEN n > 1 THEN 'REPEATED_ID' END AS reason FROM n""",
+)
+def _(targets):
+    """Targets written as BED lines, some of them damaged: what is taken and what is rejected, and why."""
+    spark, k = targets.sparkSession, F.substring("target_region_id", 2, 20).cast("int")
+    lines = targets.select(
+        "chrom", F.when(k % 11 == 0, "x").otherwise(F.col("start_pos").cast("string")), F.when(k % 13 == 0, 99999).otherwise(F.col("end_pos")), F.when(k % 17 == 0, "T0").otherwise(F.col("target_region_id")), "target_source",
+        F.lit("TR"), F.lit("scan"), F.concat(F.lit("L"), k),
+    )
+    lines.toDF(*"abcdefgh").write.option("sep", "\t").csv(folder := new_folder(spark, "bed"))
+    contigs = targets.select("chrom").distinct().withColumn("length", F.lit(30000).cast("long"))
+    good, bad = readers.read_bed_targets(spark, folder, contigs)
+    rows = good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+    return rows.select("chrom", "target_region_id", "target_source", "start", F.col("end").alias("stop"), "reason")
+
+
+PACKAGED = "segments targets reads"
+
+
+@query("write_result_package", PACKAGED, "SELECT 'segments' AS \"table\", count(*) AS rows, 32 AS broken FROM segments UNION ALL SELECT 'targets', count(*), 32 FROM targets UNION ALL SELECT 'reads', count(*), 32 FROM reads".replace("32", "0::BIGINT"))
+def _(segments, targets, reads):
+    """The manifest of a published package, and how many of its tables don't agree with it."""
+    folder = new_folder(segments.sparkSession, "package")
+    manifest = package.write_result_package({"segments": segments, "targets": targets, "reads": reads}, folder)
+    broken = package.manifest_integrity(segments.sparkSession, folder).groupBy(F.col("table").alias("_t")).agg(F.count("*").alias("broken"))
+    return manifest.join(broken, F.col("table") == F.col("_t"), "left").select("table", "rows", F.coalesce("broken", F.lit(0)).alias("broken"))
+
+
+@query(
+    "manifest_integrity", PACKAGED,
+    """SELECT 'segments' AS "table", count(*) AS rows, count(*) FILTER (read_id % 7 > 0) AS found_rows FROM segments UNION ALL SELECT 'targets', count(*), count(*) FROM targets""",
+)
+def _(segments, targets, reads):
+    """A package of which one table has lost rows and another has other values after publishing."""
+    spark, folder = segments.sparkSession, new_folder(segments.sparkSession, "package")
+    package.write_result_package({"segments": segments, "targets": targets, "reads": reads}, folder)
+    segments.filter("read_id % 7 > 0").write.mode("overwrite").parquet(f"{folder}/segments")
+    targets.withColumn("end_pos", F.col("end_pos") + 1).write.mode("overwrite").parquet(f"{folder}/targets")
+    return package.manifest_integrity(spark, folder).select("table", "rows", "found_rows")
+
+
+@query(
+    "incremental_evidence_runs", "events",
+    "SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users FROM events WHERE event_id % 3 = 0 OR event_id % 2 = 0 GROUP BY event_type",
+)
+def _(events):
+    """Two runs over a folder to which files come, the later ones with rows given before; one run without any."""
+    spark, base = events.sparkSession, new_folder(events.sparkSession, "incremental")
+    rows = events.select("event_id", "user_id", "event_type")
+
+    def run():
+        incremental.incremental_evidence(spark, f"{base}/in", rows.schema, f"{base}/out", f"{base}/checkpoint", "event_id", lambda df: df.withColumn("done", F.lit(True))).awaitTermination()
+
+    rows.filter("event_id % 3 = 0").write.parquet(f"{base}/in")
+    run()
+    again = rows.filter("event_id % 2 = 0")
+    again.unionByName(again.filter("event_id % 10 = 0")).write.mode("append").parquet(f"{base}/in")
+    run()
+    run()
+    return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))

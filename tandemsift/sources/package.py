@@ -2,36 +2,47 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def digest(df: DataFrame) -> DataFrame:
-    """Rows and an order-free digest of a table, as one row. Columns count in the order of their names."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in sorted(df.columns)]
+    """Rows and an order-free digest of a table, as one row. Columns count in the order of their names; nulls differ from any text."""
+    cells = [c for n in sorted(df.columns) for c in (F.col(n).isNull(), F.col(n).cast("string"))]
     return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.xxhash64(*cells).cast("decimal(20,0)")), F.lit(0)).cast("string").alias("digest"))
 
 
 def write_result_package(tables: dict[str, DataFrame], path: str) -> DataFrame:
-    """Writes tables to a staging folder, checks each against what was read in, then publishes by one rename."""
+    """Writes tables to a staging folder, checks each against what was read in, then publishes by one rename.
+
+    A table whose rows or digest came out otherwise than they went in stops the package, and nothing is published.
+    Returns the manifest.
+    """
     spark = next(iter(tables.values())).sparkSession
-    staging = f"{path}.staging"
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{staging}/{name}")
-    parts = [digest(spark.read.parquet(f"{staging}/{name}")).withColumn("table", F.lit(name)) for name in tables]
-    manifest = parts[0]
-    for part in parts[1:]:
-        manifest = manifest.unionByName(part)
-    manifest.coalesce(1).write.mode("overwrite").json(f"{staging}/manifest")
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    staging = f"{path}.staging"
     fs = hadoop(staging).getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(hadoop(path)):
         raise FileExistsError(path)
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{staging}/{name}")
+    manifest = named_digests({name: spark.read.parquet(f"{staging}/{name}") for name in tables})
+    given = named_digests(tables).withColumnsRenamed({"rows": "_rows", "digest": "_digest"})
+    broken = [r[0] for r in manifest.join(given, "table").filter("rows <> _rows OR digest <> _digest").select("table").collect()]
+    if broken:
+        raise OSError(f"{path}: {', '.join(sorted(broken))} came out otherwise than read in")
+    manifest.coalesce(1).write.mode("overwrite").json(f"{staging}/manifest")
     if not fs.rename(hadoop(staging), hadoop(path)):
         raise OSError(f"{path} can't be published")
     return manifest_of(spark, path)
 
 
+def named_digests(tables: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [digest(df).withColumn("table", F.lit(name)) for name, df in tables.items()])
+
+
 def manifest_of(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("table string, rows long, digest string").json(f"{path}/manifest")
 
@@ -39,8 +50,6 @@ def manifest_of(spark: SparkSession, path: str) -> DataFrame:
 def manifest_integrity(spark: SparkSession, path: str) -> DataFrame:
     """Tables whose rows or digest differ from the manifest's; none in a whole package."""
     stated = manifest_of(spark, path)
-    found = None
-    for (name,) in stated.select("table").collect():
-        one = digest(spark.read.parquet(f"{path}/{name}")).select(F.lit(name).alias("table"), F.col("rows").alias("found_rows"), F.col("digest").alias("found_digest"))
-        found = one if found is None else found.unionByName(one)
+    held = {name: spark.read.parquet(f"{path}/{name}") for (name,) in stated.select("table").collect()}
+    found = named_digests(held).withColumnsRenamed({"rows": "found_rows", "digest": "found_digest"})
     return stated.join(found, "table").filter("rows <> found_rows OR digest <> found_digest")

@@ -36,10 +36,15 @@ def read_bed_targets(spark: SparkSession, path: str, contigs: DataFrame) -> tupl
     return marked.filter("reason IS NULL").select(*names), marked.filter("reason IS NOT NULL").select(*names, "reason")
 
 
+def first_of_each(entries):
+    """A map of the entries (k, v), the first of a repeated key counting, as public files may repeat keys."""
+    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(F.transform(entries, lambda x: x["k"]), e["k"]) == i + 1))
+
+
 def tags_of(columns, first: int):
-    """The map of name:type:value tags behind so many fixed columns."""
+    """The map of name:type:value tags behind so many fixed columns; of a repeated name the first counts."""
     rest = F.filter(F.slice(columns, first + 1, F.greatest(F.lit(0), F.size(columns) - first)), lambda t: F.regexp_like(t, F.lit("^[A-Za-z][A-Za-z0-9]:[AifZHB]:")))
-    return F.map_from_entries(F.transform(rest, lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substring(t, F.lit(6), F.length(t)).alias("v"))))
+    return first_of_each(F.transform(rest, lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substring(t, F.lit(6), F.length(t)).alias("v"))))
 
 
 def sam_alignments(lines: DataFrame) -> DataFrame:
@@ -77,14 +82,20 @@ def paf_alignments(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def gtf_features(lines: DataFrame) -> DataFrame:
-    """lines[value] of GTF text -> features with 0-based half-open coordinates and attributes as a map."""
+    """lines[value] of GTF text -> features with 0-based half-open coordinates and attributes as a map.
+
+    Attributes may be quoted or not; of one that is given more than once, as `tag`, the map has the first and
+    `repeated` all of them in order.
+    """
     c = F.split("value", "\t", -1)
     text = lambda i: F.get(c, F.lit(i))
     start, end = text(3).try_cast("long"), text(4).try_cast("long")
-    keys, values = (F.regexp_extract_all(text(8), F.lit('([A-Za-z0-9_]+) "([^"]*)"'), F.lit(i)) for i in (1, 2))
-    entries = F.map_from_entries(F.array_distinct(F.arrays_zip(keys.alias("k"), values.alias("v"))))
+    keys, values = (F.regexp_extract_all(text(8), F.lit('([A-Za-z0-9_.]+) +"?([^";]*)"?'), F.lit(i)) for i in (1, 2))
+    pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
+    again = F.filter(F.array_distinct(keys), lambda k: F.size(F.filter(keys, lambda x: x == k)) > 1)
+    repeated = F.map_from_entries(F.transform(again, lambda k: F.struct(k.alias("k"), F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"]).alias("v"))))
     rows = lines.filter(~F.startswith("value", F.lit("#")) & (F.size(c) == 9) & (start >= 1) & (end >= start))
-    return rows.select(text(0).alias("chrom"), text(2).alias("feature"), (start - 1).alias("start"), end.alias("end"), text(6).alias("strand"), entries.alias("attributes"))
+    return rows.select(text(0).alias("chrom"), text(2).alias("feature"), (start - 1).alias("start"), end.alias("end"), text(6).alias("strand"), first_of_each(pairs).alias("attributes"), repeated.alias("repeated"))
 
 
 def pivot_key_values(records: DataFrame, keys: list[str]) -> DataFrame:

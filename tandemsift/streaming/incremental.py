@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -19,16 +20,19 @@ def incremental_evidence(
 ) -> StreamingQuery:
     """Runs job once over the files that came to the source folder since the last run and appends its rows.
 
-    The checkpoint remembers files and the output's own keys drop rows given again, so no state grows.
+    The checkpoint remembers files and the output's own keys drop rows given again, in this run or an earlier one,
+    so no state grows. Of a key that is given twice in one run the row that comes first in the order of all columns
+    counts.
     """
+    path = spark._jvm.org.apache.hadoop.fs.Path(output)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    rest = [n for n in schema.names if n != key]
 
     def append(batch: DataFrame, _: int) -> None:
-        try:
-            batch = new_rows(batch, spark.read.parquet(output), key)
-        except Exception as e:  # nothing was written yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        job(batch).write.mode("append").parquet(output)
+        one = batch.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(key, "_row.*").select(*schema.names) if rest else batch.distinct()
+        if fs.exists(path):
+            one = new_rows(one, spark.read.parquet(output), key)
+        job(one).write.mode("append").parquet(output)
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -49,3 +49,29 @@ def test_incremental(spark, tmp_path):
     spark.createDataFrame([(2, "b", 1.0), (3, "c", 1.0)], SCHEMA).write.mode("append").parquet(source)
     run()
     assert sorted(r.id for r in spark.read.parquet(output).collect()) == [1, 2, 3]
+
+
+def test_repeated_tags_and_attributes_keep_the_first(spark):
+    sam = spark.createDataFrame([("r\t16\tchr1\t5\t9\t3M\t*\t0\t0\tACG\t*\tNM:i:1\tXA:Z:a:b\tNM:i:2",)], "value string")
+    assert readers.sam_alignments(sam).first().tags == {"NM": "1", "XA": "a:b"}
+    paf = spark.createDataFrame([("q\t9\t0\t9\t+\tt\t9\t0\t9\t8\t9\t60\tAS:i:7\tAS:i:8",)], "value string")
+    assert readers.paf_alignments(paf)[0].first().score == 7
+    gtf = spark.createDataFrame([('chr1\tsrc\texon\t3\t9\t.\t+\t.\tgene_id "g"; tag "basic"; tag "CCDS"; exon_number 2; tag "basic";',)], "value string")
+    row = readers.gtf_features(gtf).first()
+    assert row.attributes == {"gene_id": "g", "tag": "basic", "exon_number": "2"} and row.repeated == {"tag": ["basic", "CCDS", "basic"]}
+
+
+def test_a_table_that_came_out_otherwise_is_not_published(spark, tmp_path):
+    import os
+
+    changing = spark.range(100).withColumn("x", F.current_timestamp())  # each reading gives other values
+    with pytest.raises(OSError):
+        package.write_result_package({"a": changing, "b": spark.range(3)}, str(tmp_path / "p"))
+    assert not os.path.exists(tmp_path / "p")
+
+
+def test_rows_repeated_within_a_run_count_once(spark, tmp_path):
+    source, output, checkpoint = (str(tmp_path / d) for d in ("in", "out", "check"))
+    spark.createDataFrame([(1, "b", 0.0), (1, "a", 2.0), (2, None, None), (2, None, None)], SCHEMA).write.parquet(source)
+    incremental.incremental_evidence(spark, source, SCHEMA, output, checkpoint, "id", lambda df: df).awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(output).collect())) == [(1, "a", 2.0), (2, None, None)]
