@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import distance, overlap
 
-BIN, TILE = 512, 1 << 16
+#: Bins of short intervals, the length from which an interval is long, bins of pairs with a long one, tiles of windows.
+BIN, LONG, WIDE_BIN, TILE = 512, 1 << 12, 1 << 16, 1 << 16
 
 
 def _binned(df: DataFrame, start: str, end: str, bin_bp: int, pad: int) -> DataFrame:
@@ -19,33 +20,58 @@ def _binned(df: DataFrame, start: str, end: str, bin_bp: int, pad: int) -> DataF
     return df.withColumn("_first", low).withColumn("_bin", F.explode(F.sequence(low, F.greatest(low, high))))
 
 
-def interval_join(a: DataFrame, b: DataFrame, a_span: tuple[str, str, str], b_span: tuple[str, str, str], within: int = 0, bin_bp: int = BIN) -> DataFrame:
+def interval_join(
+    a: DataFrame, b: DataFrame, a_span: tuple[str, str, str], b_span: tuple[str, str, str], within: int = 0, bin_bp: int = BIN, long_bp: int = LONG, wide_bp: int = WIDE_BIN, salt: int = 1
+) -> DataFrame:
     """Pairs of rows on one contig that overlap, or with `within` lie at most so far apart.
 
     Spans are (contig, start, end) column names, half-open; the two tables' columns differ but for the contig's.
-    Both sides are dealt to bins and joined on (contig, bin); a pair that shares several bins is taken in
-    the first. Adds overlap_bp and distance_bp.
+    Both sides are dealt to bins and joined on (contig, kind, bin), where the kind tells which of both intervals
+    is long: pairs of short ones meet in bins of bin_bp, others in bins of wide_bp, so that a long interval is
+    few rows. A pair that shares several bins is taken in the first. A place that very many rows of a cover is
+    dealt to `salt` parts, to each of which b's rows go. Adds overlap_bp and distance_bp.
     """
     ac, a0, a1 = a_span
     bc, b0, b1 = b_span
     # intervals that only just come within reach share no base: one more on either side
-    left = _binned(a, a0, a1, bin_bp, within + 1 if within else 0).withColumnRenamed("_first", "_fa").withColumnRenamed("_bin", "_ba")
-    right = _binned(b.withColumnRenamed(bc, "_contig"), b0, b1, bin_bp, 0).withColumnRenamed("_first", "_fb").withColumnRenamed("_bin", "_bb")
+    pad = within + 1 if within else 0
+
+    def binned(df: DataFrame, contig: str, start: str, end: str, pad: int, side: int, names: tuple[str, str, str]) -> DataFrame:
+        low, high = F.greatest(F.lit(0), F.col(start) - pad), F.col(end) + pad - 1
+
+        def ways(other_long: bool, own_long: bool) -> Column:
+            size = bin_bp if not (own_long or other_long) else wide_bp
+            kind = 2 * (own_long if side == 0 else other_long) + (other_long if side == 0 else own_long)
+            first = F.floor(low / size)
+            return F.transform(F.sequence(first, F.greatest(first, F.floor(high / size))), lambda i: F.struct(F.lit(kind).alias("kind"), first.alias("first"), i.alias("bin")))
+
+        own_long = F.col(end) - F.col(start) + 2 * pad > long_bp
+        each = F.when(own_long, F.concat(ways(False, True), ways(True, True))).otherwise(F.concat(ways(False, False), ways(True, False)))
+        return df.withColumn("_w", F.explode(each)).withColumns(dict(zip(names, (F.col("_w.kind"), F.col("_w.first"), F.col("_w.bin")), strict=True))).drop("_w")
+
+    left = binned(a, ac, a0, a1, pad, 0, ("_ka", "_fa", "_ba"))
+    right = binned(b.withColumnRenamed(bc, "_contig"), "_contig", b0, b1, 0, 1, ("_kb", "_fb", "_bb"))
     ends = [F.col(c) for c in (a0, a1, b0, b1)]
     near = (distance(*ends) <= within) if within else (overlap(*ends) > 0)
-    joined = left.join(right, (F.col(ac) == F.col("_contig")) & (F.col("_ba") == F.col("_bb")) & (F.col("_ba") == F.greatest("_fa", "_fb")) & near)
-    return joined.withColumns({"overlap_bp": overlap(*ends), "distance_bp": distance(*ends)}).drop("_fa", "_ba", "_fb", "_bb", "_contig")
+    keys = (F.col(ac) == F.col("_contig")) & (F.col("_ka") == F.col("_kb")) & (F.col("_ba") == F.col("_bb"))
+    if salt > 1:
+        left = left.withColumn("_sa", F.pmod(F.xxhash64(*a.columns), F.lit(salt)))
+        right = right.withColumn("_sb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+        keys = keys & (F.col("_sa") == F.col("_sb"))
+    joined = left.join(right, keys & (F.col("_ba") == F.greatest("_fa", "_fb")) & near)
+    return joined.withColumns({"overlap_bp": overlap(*ends), "distance_bp": distance(*ends)}).drop("_ka", "_fa", "_ba", "_sa", "_kb", "_fb", "_bb", "_sb", "_contig")
 
 
 def interval_filter(a: DataFrame, b: DataFrame, a_span: tuple[str, str, str], b_span: tuple[str, str, str], keep: bool, bin_bp: int = BIN) -> DataFrame:
     """Rows of a that overlap some row of b, or with keep=False those that overlap none.
 
     b is merged first, so that many rows over one place are one, and each row of a is a bounded number of probes.
+    A row is known by two independent 64-bit hashes of its columns; rows that are equal share their fate.
     """
     ac, a0, a1 = a_span
     bc, b0, b1 = b_span
     merged = merge_intervals(b, [bc], b0, b1).select(F.col(bc).alias("_contig"), F.col(b0).alias("_b0"), F.col(b1).alias("_b1"))
-    keyed = a.withColumn("_row", F.xxhash64(*a.columns))
+    keyed = a.withColumns({"_row": F.xxhash64(*a.columns), "_other": F.xxhash64(F.lit("other"), *a.columns)})
     hit = (
         _binned(keyed, a0, a1, bin_bp, 0)
         .join(
@@ -53,10 +79,11 @@ def interval_filter(a: DataFrame, b: DataFrame, a_span: tuple[str, str, str], b_
             (F.col(ac) == F.col("_contig")) & (F.col("_bin") == F.col("_bb")) & (overlap(F.col(a0), F.col(a1), F.col("_b0"), F.col("_b1")) > 0),
             "left_semi",
         )
-        .select(F.col("_row").alias("_hit"))
+        .select(F.col("_row").alias("_hit"), F.col("_other").alias("_hit2"))
         .distinct()
     )
-    return keyed.join(hit, F.col("_row") == F.col("_hit"), "left_semi" if keep else "left_anti").drop("_row")
+    same = (F.col("_row") == F.col("_hit")) & (F.col("_other") == F.col("_hit2"))
+    return keyed.join(hit, same, "left_semi" if keep else "left_anti").drop("_row", "_other")
 
 
 def running_before(df: DataFrame, keys: list[str], position: str, order: list[str], value: Column, how: str, tile: int = TILE) -> Column | DataFrame:
@@ -71,6 +98,16 @@ def running_before(df: DataFrame, keys: list[str], position: str, order: list[st
     return joined.withColumn("_before", both).drop("_local", "_carry", "_tile", "_value")
 
 
+def with_previous(df: DataFrame, keys: list[str], position: str, columns: dict[str, str], tile: int = TILE) -> DataFrame:
+    """df with columns of the row before it in the order of a distinct whole-number position, within the keys.
+
+    Rows look back within tiles; only the last row of each tile meets the others of its keys.
+    """
+    held = F.struct(F.col(position), *[F.col(c).alias(n) for n, c in columns.items()])
+    seen = running_before(df, keys, position, [position], held, "max", tile)
+    return seen.select("*", *[F.col("_before")[n].alias(n) for n in columns]).drop("_before")
+
+
 def islands(df: DataFrame, keys: list[str], start: str, end: str, touching: bool, ties: list[str] | None = None, name: str = "island") -> DataFrame:
     """df with the number from 0 of its connected group of intervals within the keys, in the order of starts.
 
@@ -106,3 +143,43 @@ def top_row(df: DataFrame, keys: list[str], order: list[Column], n: int = 1, nam
     ranked = df.withColumn(name or "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.filter(F.col(name or "_rank") <= n)
     return kept if name else kept.drop("_rank")
+
+
+def quantiles(df: DataFrame, keys: list[str], value: Column, shares: dict[str, float], tile: float, places: int | None = None) -> DataFrame:
+    """Exact quantiles of a number by linear interpolation, a column for each name; null and NaN don't count.
+
+    Equal values are one row before anything meets; counts run over tiles of `tile` values' width, so a group of
+    very many rows is many tasks' work and one row a tile meets in one.
+    """
+    rows = df.select(*keys, value.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    counted = rows.groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
+    running = running_before(counted, keys, "_x", ["_x"], F.col("_n"), "sum", tile)
+    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    if keys:
+        same = [running[k].eqNullSafe(totals[k]) for k in keys]
+        joined = running.join(totals, same).select(*[running[k] for k in keys], "_x", "_n", "_before", "_total")
+    else:
+        joined = running.join(F.broadcast(totals))
+    before, after = F.coalesce("_before", F.lit(0)), F.coalesce("_before", F.lit(0)) + F.col("_n")
+    found, ends = [], []
+    for i, share in enumerate(shares.values()):
+        place = share * (F.col("_total") - 1)
+        for side, at in (("l", F.floor(place)), ("h", F.ceil(place))):
+            found.append(F.max(F.when((before <= at) & (at < after), F.col("_x"))).alias(f"_{side}{i}"))
+        ends.append(F.max(place - F.floor(place)).alias(f"_f{i}"))
+    grouped = joined.groupBy(*keys).agg(*found, *ends)
+    at = [F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * F.col(f"_f{i}") for i in range(len(shares))]
+    return grouped.select(*keys, *[(F.round(q, places) if places is not None else q).alias(n) for n, q in zip(shares, at, strict=True)])
+
+
+def ranked_by_histogram(df: DataFrame, keys: list[str], order: list[tuple[str, int]], name: str, tile: float) -> DataFrame:
+    """df with rank() over descending whole numbers, `order` naming columns from the first.
+
+    Rows of equal values are one row of a histogram, whose running counts go over tiles of the first column.
+    """
+    columns = [c for c, _ in order]
+    counted = df.groupBy(*keys, *columns).agg(F.count("*").alias("_n")).withColumn("_place", -F.col(columns[0]))
+    flipped = counted.withColumns({f"_o{i}": F.col(c) * sign for i, (c, sign) in enumerate(order)})
+    running = running_before(flipped, keys, "_place", [f"_o{i}" for i in range(len(order))], F.col("_n"), "sum", tile)
+    ranks = running.select(*keys, *columns, (F.coalesce("_before", F.lit(0)) + 1).cast("int").alias(name))
+    return df.join(ranks, [*keys, *columns])

@@ -164,10 +164,10 @@ def _(blocks, targets, alignments, _candidates):
 )
 def _(lineitem):
     """Exact quantiles by linear interpolation, counts and percents over thresholds."""
-    q = F.percentile("l_quantity", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95))).alias("q")
     over = F.count_if(F.col("l_quantity") >= 25)
-    found = lineitem.groupBy("l_returnflag").agg(F.min("l_quantity").alias("least"), q, F.max("l_quantity").alias("most"), over.alias("at_least_25"), F.round(100.0 * over / F.count("*"), 6).alias("percent_25"))
-    return found.select("l_returnflag", "least", F.col("q")[0].alias("p05"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p95"), "most", "at_least_25", "percent_25")
+    found = lineitem.groupBy("l_returnflag").agg(F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"), over.alias("at_least_25"), F.round(100.0 * over / F.count("*"), 6).alias("percent_25"))
+    ladder = iv.quantiles(lineitem, ["l_returnflag"], F.col("l_quantity"), {"p05": 0.05, "p50": 0.5, "p95": 0.95}, tile=5)
+    return found.join(ladder, "l_returnflag").select("l_returnflag", "least", "p05", "p50", "p95", "most", "at_least_25", "percent_25")
 
 
 @query(
@@ -191,13 +191,13 @@ def _(alignments):
 def _(reads):
     """Counts, mean, quartiles and N50. The running sum goes over the distinct lengths, not the reads."""
     n = reads.select(F.length("seq").alias("n"))
-    q = F.percentile("n", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")
-    stats = n.agg(F.count("*").alias("reads"), F.sum("n").alias("bases"), F.min("n").alias("least"), F.round(F.avg("n"), 6).alias("mean"), F.max("n").alias("most"), q)
+    stats = n.agg(F.count("*").alias("reads"), F.sum("n").alias("bases"), F.min("n").alias("least"), F.round(F.avg("n"), 6).alias("mean"), F.max("n").alias("most"))
+    quartiles = iv.quantiles(n, [], F.col("n"), {"q1": 0.25, "median": 0.5, "q3": 0.75}, tile=1024)
     by_length = n.groupBy("n").agg((F.count("*") * F.col("n")).alias("held")).withColumn("least_n", -F.col("n"))
     running = iv.running_before(by_length, [], "least_n", ["least_n"], F.col("held"), "sum")
     total = n.agg(F.sum("n").alias("total"))
     n50 = running.join(F.broadcast(total), 2 * (F.col("_before") + F.col("held")) >= F.col("total")).agg(F.max("n").alias("n50"))
-    return stats.join(F.broadcast(n50)).select("reads", "bases", "least", "mean", "most", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "n50")
+    return stats.join(F.broadcast(quartiles)).join(F.broadcast(n50)).select("reads", "bases", "least", "mean", "most", "q1", "median", "q3", "n50")  # one row each
 
 
 @query(

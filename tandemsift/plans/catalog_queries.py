@@ -60,9 +60,8 @@ SIDE_SQL = """b AS (SELECT transcript_id, min(s) AS c0, max(e) AS c1 FROM g WHER
         count(*) FILTER (p0 > start_pos) AS out_of_order, count(*) FILTER (p0 <= start_pos AND p1 > start_pos) AS overlapping_neighbours FROM o GROUP BY chrom""",
 )
 def _(targets):
-    file_order = Window.partitionBy("chrom").orderBy(F.substring("target_region_id", 2, 20).cast("int"))
     size = F.col("end_pos") - F.col("start_pos")
-    rows = targets.withColumns({"p0": F.lag("start_pos").over(file_order), "p1": F.lag("end_pos").over(file_order)})
+    rows = iv.with_previous(targets.withColumn("_line", F.substring("target_region_id", 2, 20).cast("long")), ["chrom"], "_line", {"p0": "start_pos", "p1": "end_pos"})
     return rows.groupBy("chrom").agg(
         F.count("*").alias("entries"), F.min(size).alias("shortest"), F.max(size).alias("longest"), F.count_if(size % F.length("motif") == 0).alias("whole_motifs"), F.count_if(F.col("p0") > F.col("start_pos")).alias("out_of_order"),
         F.count_if((F.col("p0") <= F.col("start_pos")) & (F.col("p1") > F.col("start_pos"))).alias("overlapping_neighbours"),
@@ -84,9 +83,9 @@ def _(targets):
 def _(reads, orders):
     """Best cyclic identity of each read's planted tract to one motif, in quartiles by the motif planted."""
     tract = reads.join(orders, F.col("read_id") == F.col("o_orderkey")).select((F.col("o_custkey") % 6).alias("k"), F.substring(F.col("seq"), F.lit(33), F.length("seq") - 64).alias("tract"))
-    q = F.percentile(s.phase_purity(F.col("tract"), F.lit("CAG"))["purity"], F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")
-    found = tract.groupBy("k").agg(F.count("*").alias("tracts"), q)
-    return found.select("k", "tracts", *[F.round(F.col("q")[i], 6).alias(n) for i, n in enumerate(("q1", "median", "q3"))])
+    identity = tract.select("k", s.phase_purity(F.col("tract"), F.lit("CAG"))["purity"].alias("purity"))
+    quartiles = iv.quantiles(identity, ["k"], F.col("purity"), {"q1": 0.25, "median": 0.5, "q3": 0.75}, tile=0.05, places=6)
+    return tract.groupBy("k").agg(F.count("*").alias("tracts")).join(quartiles, "k").select("k", "tracts", "q1", "median", "q3")
 
 
 @query(
@@ -377,8 +376,9 @@ def _(lineitem):
     """Whether a source states bases or repeat units: the reading whose median log ratio to the span is lower."""
     m, raw = 3 + F.col("l_partkey") % 4, F.col("l_quantity")
     span = F.when(F.col("l_returnflag") < "M", raw).otherwise(raw * m)
-    half = lambda x: F.percentile(F.abs(F.log2(x / span)), F.lit(0.5))
-    scores = lineitem.filter(raw > 0).groupBy(F.col("l_returnflag").alias("source")).agg(half(raw).alias("bp"), half(raw * m).alias("units"))
+    rows = lineitem.filter(raw > 0).withColumn("source", F.col("l_returnflag"))
+    half = lambda x, name: iv.quantiles(rows, ["source"], F.abs(F.log2(x / span)), {name: 0.5}, tile=0.05)
+    scores = half(raw, "bp").join(half(raw * m, "units"), "source")
     unit = F.when(F.abs(F.col("bp") - F.col("units")) < 0.2, "HOLD_AMBIGUOUS").when(F.col("bp") < F.col("units"), "PASS_BP").otherwise("PASS_REPEAT_UNITS")
     return scores.select("source", F.round("bp", 6).alias("bp_score"), F.round("units", 6).alias("unit_score"), unit.alias("unit"))
 
@@ -406,6 +406,7 @@ def _(lineitem):
 def _(lineitem):
     """Observations against the percentile ladder of their population."""
     x = F.col("l_extendedprice")
-    ladder = lineitem.filter("l_returnflag = 'N'").groupBy("l_linestatus").agg(F.min(x).alias("p0"), F.percentile(x, F.array(F.lit(0.05), F.lit(0.95), F.lit(0.99))).alias("p"))
-    tail = F.when(x < F.col("p0"), "BELOW_OBSERVED_MIN").when(x < F.col("p")[0], "BELOW_P5").when(x > F.col("p")[2], "ABOVE_P99").when(x > F.col("p")[1], "ABOVE_P95").otherwise("WITHIN_P5_P95")
-    return lineitem.join(ladder, "l_linestatus").groupBy("l_linestatus", tail.alias("tail")).agg(F.count("*").alias("observations"))
+    observed = lineitem.filter("l_returnflag = 'N'")
+    ladder = iv.quantiles(observed, ["l_linestatus"], x, {"p0": 0.0, "p5": 0.05, "p95": 0.95, "p99": 0.99}, tile=1000)
+    tail = F.when(x < F.col("p0"), "BELOW_OBSERVED_MIN").when(x < F.col("p5"), "BELOW_P5").when(x > F.col("p99"), "ABOVE_P99").when(x > F.col("p95"), "ABOVE_P95").otherwise("WITHIN_P5_P95")
+    return lineitem.join(F.broadcast(ladder), "l_linestatus").groupBy("l_linestatus", tail.alias("tail")).agg(F.count("*").alias("observations"))

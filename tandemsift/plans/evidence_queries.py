@@ -264,9 +264,12 @@ def _(candidates):
 def _(segments):
     """Neutral length clusters of exact events, split at gaps of more than 6 bases; censored ones are never fitted."""
     rows = segments.filter("evidence_class = 'SPAN'").select("target_region_id", "read_id", "attempt_no", (F.col("seg_end") - F.col("seg_start")).alias("bp"))
-    w = Window.partitionBy("target_region_id").orderBy("bp", "read_id", "attempt_no")
+    # equal lengths are of one cluster, so the windows go over a locus's distinct lengths, however deep it is
+    w = Window.partitionBy("target_region_id").orderBy("bp")
     new = F.coalesce((F.col("bp") - F.lag("bp").over(w) > 6).cast("int"), F.lit(0))
-    return rows.withColumn("new", new).withColumn("cluster", F.concat(F.lit("C"), 1 + F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))).drop("new")
+    lengths = rows.select("target_region_id", "bp").distinct().withColumn("new", new)
+    clusters = lengths.select("target_region_id", "bp", F.concat(F.lit("C"), 1 + F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))).alias("cluster"))
+    return rows.join(clusters, ["target_region_id", "bp"]).select("target_region_id", "read_id", "attempt_no", "bp", "cluster")
 
 
 @query(
@@ -301,7 +304,7 @@ def _(segments, targets):
     """Separate ranks by lane; the lane of known disease loci is never filtered."""
     rows = segments.join(targets.select("target_region_id", F.col("target_source").alias("lane")), "target_region_id").filter("lane = 'DISEASE' OR evidence_class = 'SPAN'")
     loci = rows.groupBy("lane", "target_region_id").agg(F.max(F.col("seg_end") - F.col("seg_start")).alias("longest"), F.count("*").alias("n"))
-    return loci.withColumn("lane_rank", F.rank().over(Window.partitionBy("lane").orderBy(F.desc("longest"), F.desc("n"))))
+    return iv.ranked_by_histogram(loci, ["lane"], [("longest", -1), ("n", -1)], "lane_rank", tile=8).select("lane", "target_region_id", "longest", "n", "lane_rank")
 
 
 @query(

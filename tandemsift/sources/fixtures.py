@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.intervals import interval_join
 
 BASES = "'0123456789abcdef', 'ACGTACGTACGTACGT'"
 MOTIF = "CASE {} % 6 WHEN 0 THEN 'CAG' WHEN 1 THEN 'AAG' WHEN 2 THEN 'GCC' WHEN 3 THEN 'AT' WHEN 4 THEN 'A' ELSE 'CCTG' END"
@@ -20,14 +23,28 @@ VIEWS = {
     "candidates": "SELECT b.read_id, b.ordinal, t.target_source, t.target_region_id, sum(greatest(0, least(b.block_end, t.end_pos) - greatest(b.block_start, t.start_pos))) AS target_overlap_bp, min(greatest(0, greatest(b.block_start - t.end_pos, t.start_pos - b.block_end))) AS target_distance_bp, count(DISTINCT b.block_index) AS supporting_block_count FROM blocks b JOIN targets t ON b.chrom = t.chrom AND b.block_start - 50 < t.end_pos AND b.block_end + 50 > t.start_pos GROUP BY b.read_id, b.ordinal, t.target_source, t.target_region_id",
     "paf_rows": "SELECT concat('Q', cast(l_orderkey AS varchar(32))) AS query_name, 120 AS query_length, cast(l_partkey % 15 AS int) AS query_start, cast(70 + l_partkey % 50 AS int) AS query_end, CASE WHEN l_returnflag = 'R' THEN '-' ELSE '+' END AS strand, concat('T', cast(l_partkey AS varchar(32))) AS target_name, 150 AS target_length, cast(l_suppkey % 15 AS int) AS target_start, cast(60 + l_suppkey % 90 AS int) AS target_end, cast(40 + l_quantity AS int) AS residue_matches, 100 AS alignment_block_length, cast(l_partkey % 61 AS int) AS mapq, ordinal FROM lines",
     "gtf_rows": "SELECT concat('chr', cast(1 + p_partkey % 5 AS varchar(32))) AS chrom, CASE p_partkey % 4 WHEN 0 THEN 'gene' WHEN 1 THEN 'exon' WHEN 2 THEN 'CDS' ELSE 'UTR' END AS feature, (p_partkey * 53) % 20000 + 1 AS start_1based, (p_partkey * 53) % 20000 + 10 + p_size AS end_1based, CASE WHEN (p_partkey % 40) < 20 THEN '+' ELSE '-' END AS strand, concat('tx', cast(p_partkey % 40 AS varchar(32))) AS transcript_id FROM part",
+    # catalog entries of which some repeat the coordinates of another, with another motif
+    "listed_targets": "SELECT target_region_id, chrom, start_pos, end_pos, motif FROM targets UNION ALL SELECT concat('A', target_region_id), chrom, start_pos, end_pos, CASE WHEN motif = 'CAG' THEN 'CTG' ELSE 'CAG' END FROM targets WHERE (end_pos - start_pos) % 9 = 0",
+    # alignments of eight shapes: clips of both kinds on either side, =, X, P, several skips, operations in other orders
+    "shapes": "SELECT read_id, ordinal, chrom, ref_start, alignment_class, strand, mapq, CASE read_id % 8 WHEN 0 THEN concat(cast(5 + mapq % 9 AS varchar(32)), 'H', cast(3 + mapq AS varchar(32)), 'S40M2I30M') WHEN 1 THEN concat('25=1X20=', cast(1 + mapq % 4 AS varchar(32)), 'D30=', cast(2 + mapq AS varchar(32)), 'S') WHEN 2 THEN concat('20M', cast(60 + mapq AS varchar(32)), 'N15M80N35M7S4H') WHEN 3 THEN '4S10M3D2I10M1P20M5D25M6S' WHEN 4 THEN concat('80M', cast(4 + mapq AS varchar(32)), 'H') WHEN 5 THEN '12I40=3N2X38=' WHEN 6 THEN concat(cast(1 + mapq AS varchar(32)), 'S30M50N8D30M2I5N20M') ELSE '90M' END AS cigar FROM alignments",
     # motifs of every kind, spread over the rows of part
     "motifs": "SELECT p_partkey, CASE p_partkey % 10 WHEN 0 THEN 'CAG' WHEN 1 THEN 'CTG' WHEN 2 THEN 'AGC' WHEN 3 THEN 'AAG' WHEN 4 THEN 'CAGCAG' WHEN 5 THEN 'ATAT' WHEN 6 THEN 'A' WHEN 7 THEN 'GCN' WHEN 8 THEN 'CCTG' ELSE 'AAAAG' END AS motif, CASE p_partkey % 7 WHEN 0 THEN 'CAG' WHEN 1 THEN 'GCA' WHEN 2 THEN 'TTTTC' WHEN 3 THEN 'CTG' WHEN 4 THEN 'AT' WHEN 5 THEN 'CAGG' ELSE 'GCC' END AS other FROM part",
 }
 REFERRED = re.compile(r"\b(FROM|JOIN) (\w+)")
 
 
+def candidates(blocks: DataFrame, targets: DataFrame) -> DataFrame:
+    """The candidates view by bins: targets that a read's blocks overlap or come within 50 bases of."""
+    near = interval_join(blocks, targets, ("chrom", "block_start", "block_end"), ("chrom", "start_pos", "end_pos"), within=49)
+    return near.groupBy("read_id", "ordinal", "target_source", "target_region_id").agg(
+        F.sum("overlap_bp").alias("target_overlap_bp"), F.min("distance_bp").alias("target_distance_bp"), F.count_distinct("block_index").alias("supporting_block_count")
+    )
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stand-in table, or one of the driver's."""
+    if name == "candidates":
+        return candidates(*(view(spark, sf_dir, n) for n in ("blocks", "targets")))
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     needs = {m[1]: view(spark, sf_dir, m[1]) for m in REFERRED.findall(VIEWS[name])}
