@@ -1,8 +1,14 @@
-"""CIGAR strings as rows: operations, blocks, projections of reference positions onto reads."""
+"""CIGAR strings as arrays of operations: positions, blocks, projections of reference positions onto reads.
+
+An alignment's CIGAR is worked through within its own row, in one pass that carries the offsets along; rows are
+exploded only where operations or blocks are the result. Nothing here is shuffled.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import overlap
@@ -12,30 +18,64 @@ KEY = ["read_id", "ordinal"]
 REFERENCE, QUERY, MATCH = ("M", "D", "N", "=", "X"), ("M", "I", "S", "=", "X"), ("M", "=", "X")
 
 
+def with_ops(alignments: DataFrame) -> DataFrame:
+    """alignments with `_ops`, the array of (op, op_len) of its CIGAR; rows whose CIGAR isn't valid are left out."""
+    parts = F.regexp_extract_all("cigar", F.lit("[0-9]+[MIDNSHP=X]"), F.lit(0))
+    valid = alignments.withColumn("_parts", parts).filter((F.array_join("_parts", "") == F.col("cigar")) & (F.col("cigar") != ""))
+    ops = F.transform("_parts", lambda p: F.struct(F.right(p, F.lit(1)).alias("op"), F.substring(p, F.lit(1), F.length(p) - 1).cast("int").alias("op_len")))
+    return valid.withColumn("_ops", ops).drop("_parts")
+
+
+def walked(state: dict[str, Column], step: Callable[[Column, Column, Column], dict[str, Column]]) -> Column:
+    """The state after all operations: `step` gives new values from the state so far, the operation and its length.
+
+    The state also has the offsets `ref` and `query` at which an operation starts, and its place `at`.
+    """
+    moved = lambda x, ops: F.when(x["op"].isin(*ops), x["op_len"]).otherwise(0)
+    fields = lambda values: [c.alias(n) for n, c in values.items()]
+    start = F.struct(F.lit(0).cast("long").alias("ref"), F.lit(0).cast("long").alias("query"), F.lit(0).alias("at"), *fields(state))
+
+    def merge(a: Column, x: Column) -> Column:
+        return F.struct((a["ref"] + moved(x, REFERENCE)).alias("ref"), (a["query"] + moved(x, QUERY)).alias("query"), (a["at"] + 1).alias("at"), *fields({n: a[n] for n in state} | step(a, x["op"], x["op_len"])))
+
+    return F.aggregate("_ops", start, merge)
+
+
+def total(op: str) -> Column:
+    """Bases of all operations of a kind."""
+    return F.aggregate("_ops", F.lit(0).cast("long"), lambda a, x: a + F.when(x["op"] == op, x["op_len"]).otherwise(0))
+
+
 def cigar_ops(alignments: DataFrame) -> DataFrame:
     """One row for each operation of a valid CIGAR: op_index, op, op_len. Others give no rows."""
-    parts = F.regexp_extract_all("cigar", F.lit("[0-9]+[MIDNSHP=X]"), F.lit(0))
-    valid = alignments.filter((F.array_join(parts, "") == F.col("cigar")) & (F.col("cigar") != ""))
-    rows = valid.select("*", F.posexplode(parts).alias("op_index", "_part"))
-    rows = rows.withColumns({"op": F.right("_part", F.lit(1)), "op_len": F.regexp_extract("_part", "^[0-9]+", 0).cast("int")}).drop("_part")
-    return rows
+    return with_ops(alignments).select("*", F.posexplode("_ops").alias("op_index", "_op")).select("*", "_op.*").drop("_op", "_ops")
 
 
 def cigar_positions(alignments: DataFrame) -> DataFrame:
-    """Operations with the reference and query offsets at which they start. A read's operations stay together."""
-    before = Window.partitionBy(*KEY).orderBy("op_index").rowsBetween(Window.unboundedPreceding, -1)
-    moved = lambda ops: F.coalesce(F.sum(F.when(F.col("op").isin(*ops), F.col("op_len")).otherwise(0)).over(before), F.lit(0))
-    return cigar_ops(alignments).withColumns({"ref_offset": moved(REFERENCE), "query_offset": moved(QUERY)}).withColumn("op_ref_start", F.col("ref_start") + F.col("ref_offset"))
+    """Operations with the reference and query offsets at which they start."""
+    kind = "array<struct<op:string,op_len:int,ref_offset:bigint,query_offset:bigint>>"
+    all_ = walked(
+        {"all": F.array().cast(kind)},
+        lambda a, op, n: {"all": F.concat(a["all"], F.array(F.struct(op.alias("op"), n.alias("op_len"), a["ref"].alias("ref_offset"), a["query"].alias("query_offset"))))},
+    )["all"]
+    rows = with_ops(alignments).select("*", F.posexplode(all_).alias("op_index", "_op")).select("*", "_op.*").drop("_op", "_ops")
+    return rows.withColumn("op_ref_start", F.col("ref_start") + F.col("ref_offset"))
 
 
 def splice_blocks(alignments: DataFrame) -> DataFrame:
     """Reference blocks between skips; deletions stay inside a block."""
-    before = Window.partitionBy(*KEY).orderBy("op_index").rowsBetween(Window.unboundedPreceding, -1)
-    ops = cigar_positions(alignments).withColumn("_skips", F.coalesce(F.sum((F.col("op") == "N").cast("int")).over(before), F.lit(0)))
-    inside = ops.filter(F.col("op").isin("M", "D", "=", "X"))
-    blocks = inside.groupBy(*KEY, "chrom", "_skips").agg(F.min("op_ref_start").alias("block_start"), F.max(F.col("op_ref_start") + F.col("op_len")).alias("block_end"))
-    place = Window.partitionBy(*KEY).orderBy("block_start")
-    return blocks.withColumn("block_index", F.row_number().over(place) - 1).drop("_skips")
+    kind = "array<struct<s:bigint,e:bigint>>"
+    none = F.lit(None).cast("long")
+
+    def step(a: Column, op: Column, n: Column) -> dict[str, Column]:
+        inside, skip = op.isin("M", "D", "=", "X"), op == "N"
+        closed = F.when(skip & a["s"].isNotNull(), F.concat(a["blocks"], F.array(F.struct(a["s"].alias("s"), a["e"].alias("e"))))).otherwise(a["blocks"])
+        return {"blocks": closed, "s": F.when(skip, none).when(inside, F.coalesce(a["s"], a["ref"])).otherwise(a["s"]), "e": F.when(inside, a["ref"] + n).otherwise(a["e"])}
+
+    rows = with_ops(alignments).select(*KEY, "chrom", "ref_start", walked({"blocks": F.array().cast(kind), "s": none, "e": none}, step).alias("w"))
+    last = F.when(F.col("w.s").isNotNull(), F.array(F.struct(F.col("w.s").alias("s"), F.col("w.e").alias("e")))).otherwise(F.array().cast(kind))
+    found = rows.select(*KEY, "chrom", "ref_start", F.posexplode(F.concat("w.blocks", last)).alias("block_index", "b"))
+    return found.select(*KEY, "chrom", (F.col("ref_start") + F.col("b.s")).alias("block_start"), (F.col("ref_start") + F.col("b.e")).alias("block_end"), "block_index")
 
 
 def padded(blocks: DataFrame, padding: int = 500) -> DataFrame:
@@ -43,15 +83,16 @@ def padded(blocks: DataFrame, padding: int = 500) -> DataFrame:
 
 
 def features(alignments: DataFrame, low_mapq: int = 10) -> DataFrame:
-    """Skips, bases by kind, clips by side of the read, QC status and flags of each alignment."""
-    ops = cigar_ops(alignments)
-    size = lambda op: F.coalesce(F.sum(F.when(F.col("op") == op, F.col("op_len"))), F.lit(0))
-    last = F.max("op_index").over(Window.partitionBy(*KEY))
-    ops = ops.withColumn("_last", last)
-    side = lambda first: F.coalesce(F.sum(F.when((F.col("op") == "S") & (F.col("op_index") == (0 if first else F.col("_last"))), F.col("op_len"))), F.lit(0))
-    found = ops.groupBy(*KEY, "chrom", "alignment_class", "strand", "mapq").agg(
-        F.count_if(F.col("op") == "N").alias("splice_junctions"), size("N").alias("intron_bp"), size("I").alias("insertion_bp"), size("D").alias("deletion_bp"), side(True).alias("clip_left_bp"), side(False).alias("clip_right_bp")
-    )
+    """Skips, bases by kind, clips by side of the read, QC status and flags of each alignment.
+
+    A clip may stand behind a hard clip.
+    """
+    soft = F.filter("_ops", lambda x: x["op"] != "H")
+    side = lambda i: F.when(F.try_element_at(soft, F.lit(i))["op"] == "S", F.try_element_at(soft, F.lit(i))["op_len"]).otherwise(0).cast("long")
+    found = with_ops(alignments).select(
+        *KEY, "chrom", "alignment_class", "strand", "mapq", F.size(F.filter("_ops", lambda x: x["op"] == "N")).cast("long").alias("splice_junctions"), total("N").alias("intron_bp"), total("I").alias("insertion_bp"),
+        total("D").alias("deletion_bp"), side(1).alias("clip_left_bp"), F.when(F.size(soft) > 1, side(-1)).otherwise(F.lit(0).cast("long")).alias("clip_right_bp"),
+    )
     chimeric = F.col("alignment_class") == "supplementary"
     low = F.col("mapq") < low_mapq
     flags = F.array_compact(
@@ -68,47 +109,48 @@ def features(alignments: DataFrame, low_mapq: int = 10) -> DataFrame:
     return found.withColumns({"chimeric": chimeric, "qc_status": F.when(warn, "WARN").otherwise("PASS"), "flags": F.array_join(flags, ";")})
 
 
-def paired_ops(pairs: DataFrame) -> DataFrame:
-    """Operations of each pair of an alignment and a target; an alignment's positions are worked out once."""
-    own = pairs.select(*KEY, "ref_start", "cigar").dropDuplicates(KEY)
-    return cigar_positions(own).join(pairs.select(*KEY, "target_region_id", "start_pos", "end_pos"), KEY)
-
-
 def project_boundary(alignments: DataFrame, boundary: str) -> DataFrame:
     """The query offset of a reference position, with how it was found; null outside the alignment.
 
     The first operation that holds the position decides; a position at an operation's start is that of the
     query so far.
     """
-    at = F.col(boundary)
-    ops = cigar_positions(alignments)
-    end = F.col("op_ref_start") + F.when(F.col("op").isin(*REFERENCE), F.col("op_len")).otherwise(0)
-    inside = (F.col("op_ref_start") < at) & (at <= end)
-    way = (
-        F.when(at == F.col("op_ref_start"), F.struct(F.col("query_offset").alias("q"), F.lit("PROJECTED_AT_OPERATION_BOUNDARY").alias("status")))
-        .when(F.col("op").isin(*MATCH) & inside, F.struct((F.col("query_offset") + at - F.col("op_ref_start")).alias("q"), F.lit("PROJECTED_WITHIN_MATCHLIKE").alias("status")))
-        .when((F.col("op") == "D") & inside, F.struct(F.col("query_offset").alias("q"), F.lit("PROJECTED_WITHIN_DELETION").alias("status")))
-        .when((F.col("op") == "N") & inside, F.struct(F.col("query_offset").alias("q"), F.lit("PROJECTED_WITHIN_REFERENCE_SKIP").alias("status")))
-    )
-    last_query = F.max(F.col("query_offset") + F.when(F.col("op").isin(*QUERY), F.col("op_len")).otherwise(0))
-    found = ops.withColumn("_way", way).groupBy(*KEY, boundary, "ref_start").agg(
-        F.min_by("_way", F.when(F.col("_way").isNotNull(), F.col("op_index"))).alias("_w"), F.max(end).alias("_end"), last_query.alias("_last")
-    )
-    status = F.when(at < F.col("ref_start"), "BOUNDARY_BEFORE_ALIGNMENT").when(F.col("_w").isNotNull(), F.col("_w.status")).when(at == F.col("_end"), "PROJECTED_AT_ALIGNMENT_END").otherwise("BOUNDARY_AFTER_ALIGNMENT")
-    found = found.withColumn("status", status)
-    query = F.when(F.col("status").isin("BOUNDARY_BEFORE_ALIGNMENT", "BOUNDARY_AFTER_ALIGNMENT"), None).when(F.col("status") == "PROJECTED_AT_ALIGNMENT_END", F.col("_last")).otherwise(F.col("_w.q"))
-    return found.select(*KEY, boundary, query.cast("long").alias("query_position"), "status")
+    at = F.col(boundary) - F.col("ref_start")
+    none = F.lit(None).cast("struct<q:bigint,status:string>")
+
+    def step(a: Column, op: Column, n: Column) -> dict[str, Column]:
+        way = lambda q, status: F.struct(q.cast("long").alias("q"), F.lit(status).alias("status"))
+        inside = (a["ref"] < at) & (at <= a["ref"] + n)
+        here = (
+            F.when(at == a["ref"], way(a["query"], "PROJECTED_AT_OPERATION_BOUNDARY"))
+            .when(op.isin(*MATCH) & inside, way(a["query"] + at - a["ref"], "PROJECTED_WITHIN_MATCHLIKE"))
+            .when((op == "D") & inside, way(a["query"], "PROJECTED_WITHIN_DELETION"))
+            .when((op == "N") & inside, way(a["query"], "PROJECTED_WITHIN_REFERENCE_SKIP"))
+        )
+        return {"way": F.coalesce(a["way"], here)}
+
+    rows = with_ops(alignments).select(*KEY, boundary, "ref_start", walked({"way": none}, step).alias("w"))
+    before, way = at < 0, F.col("w.way")
+    at_end = way.isNull() & (at == F.col("w.ref"))
+    status = F.when(before, "BOUNDARY_BEFORE_ALIGNMENT").when(way.isNotNull(), way["status"]).when(at_end, "PROJECTED_AT_ALIGNMENT_END").otherwise("BOUNDARY_AFTER_ALIGNMENT")
+    query = F.when(~before, F.coalesce(way["q"], F.when(at_end, F.col("w.query"))))
+    return rows.select(*KEY, boundary, query.alias("query_position"), status.alias("status"))
 
 
 def project_interval(pairs: DataFrame) -> DataFrame:
     """pairs[alignment columns, start_pos, end_pos] -> query span of the aligned and inserted pieces in the interval."""
-    ops = paired_ops(pairs)
-    end = F.col("op_ref_start") + F.col("op_len")
-    matched = F.col("op").isin(*MATCH) & (F.least(end, F.col("end_pos")) > F.greatest(F.col("op_ref_start"), F.col("start_pos")))
-    inserted = (F.col("op") == "I") & F.col("op_ref_start").between(F.col("start_pos"), F.col("end_pos"))
-    low = F.when(matched, F.col("query_offset") + F.greatest(F.col("op_ref_start"), F.col("start_pos")) - F.col("op_ref_start")).when(inserted, F.col("query_offset"))
-    high = F.when(matched, F.col("query_offset") + F.least(end, F.col("end_pos")) - F.col("op_ref_start")).when(inserted, F.col("query_offset") + F.col("op_len"))
-    return ops.groupBy(*KEY, "target_region_id").agg(F.min(low).alias("query_start"), F.max(high).alias("query_end"))
+    low, high = F.col("start_pos") - F.col("ref_start"), F.col("end_pos") - F.col("ref_start")
+    none = F.lit(None).cast("long")
+
+    def step(a: Column, op: Column, n: Column) -> dict[str, Column]:
+        first, last = F.greatest(a["ref"], low), F.least(a["ref"] + n, high)
+        matched, inserted = op.isin(*MATCH) & (last > first), (op == "I") & a["ref"].between(low, high)
+        start = F.when(matched, a["query"] + first - a["ref"]).when(inserted, a["query"])
+        end = F.when(matched, a["query"] + last - a["ref"]).when(inserted, a["query"] + n)
+        return {"start": F.least(a["start"], start.cast("long")), "end": F.greatest(a["end"], end.cast("long"))}
+
+    rows = with_ops(pairs).select(*KEY, "target_region_id", walked({"start": none, "end": none}, step).alias("w"))
+    return rows.select(*KEY, "target_region_id", F.col("w.start").alias("query_start"), F.col("w.end").alias("query_end"))
 
 
 def orient(start, end, length, reverse, hard_left):
@@ -118,9 +160,15 @@ def orient(start, end, length, reverse, hard_left):
 
 
 def anchor_bases(pairs: DataFrame, window: int = 100) -> DataFrame:
-    """Aligned bases within the windows left and right of a target."""
-    ops = paired_ops(pairs).filter(F.col("op").isin(*MATCH))
-    end = F.col("op_ref_start") + F.col("op_len")
-    left = overlap(F.col("op_ref_start"), end, F.greatest(F.lit(0), F.col("start_pos") - window), F.col("start_pos"))
-    right = overlap(F.col("op_ref_start"), end, F.col("end_pos"), F.col("end_pos") + window)
-    return ops.groupBy(*KEY, "target_region_id").agg(F.sum(left).alias("left_anchor_bp"), F.sum(right).alias("right_anchor_bp"))
+    """Aligned bases within the windows left and right of a target, for alignments that have any aligned bases."""
+    zero = F.lit(0).cast("long")
+
+    def step(a: Column, op: Column, n: Column) -> dict[str, Column]:
+        start = F.col("ref_start") + a["ref"]
+        size = lambda low, high: F.when(op.isin(*MATCH), overlap(start, start + n, low, high)).otherwise(0).cast("long")
+        left = size(F.greatest(F.lit(0), F.col("start_pos") - window), F.col("start_pos"))
+        return {"left": a["left"] + left, "right": a["right"] + size(F.col("end_pos"), F.col("end_pos") + window)}
+
+    rows = with_ops(pairs).filter(F.exists("_ops", lambda x: x["op"].isin(*MATCH)))
+    found = rows.select(*KEY, "target_region_id", walked({"left": zero, "right": zero}, step).alias("w"))
+    return found.select(*KEY, "target_region_id", F.col("w.left").alias("left_anchor_bp"), F.col("w.right").alias("right_anchor_bp"))

@@ -1,7 +1,7 @@
-"""Ungapped repeat calling: periodic scans of reads as explodes, prefix sums and islands.
+"""Ungapped repeat calling: periodic scans of reads, each within its own row.
 
-A read's positions stay within one partition of its windows, which are as long as the read; reads never meet.
-Insertions and deletions in a read end a segment here, unlike in a gapped aligner.
+A scan passes once over a read's bases for each phase of a motif and carries its state along; nothing is exploded to
+bases or shuffled. Insertions and deletions in a read end a segment here, unlike in a gapped aligner.
 """
 
 from __future__ import annotations
@@ -12,23 +12,17 @@ from pyspark.sql import functions as F
 from ..functions.sequences import letters, primitive_motif, reverse_complement, rotations
 
 READ = "read_id"
-
-
-def bases(reads: DataFrame) -> DataFrame:
-    """One row for each base: read_id, pos from 0, base."""
-    return reads.select(READ, F.posexplode(letters(F.upper(F.col("seq")))).alias("pos", "base"))
+#: The code of the sign that stands for a read's first motif in its labels; later ones follow it.
+SIGN = 65
 
 
 def consensus_by_period(reads: DataFrame, periods: list[int]) -> DataFrame:
     """Per read and period: the most frequent base of each column and the share of bases that agree with it.
 
-    Ties go to the base that comes first in ACGT.
+    Ties go to the base that comes first in ACGT. Periods longer than the read give no row.
     """
-    rows = bases(reads).withColumn("period", F.explode(F.array(*[F.lit(p) for p in periods]))).withColumn("column", F.col("pos") % F.col("period"))
-    counts = rows.groupBy(READ, "period", "column", "base").agg(F.count("*").alias("n"))
-    best = counts.groupBy(READ, "period", "column").agg(F.min_by("base", F.struct(-F.col("n"), "base")).alias("base"), F.max("n").alias("most"), F.sum("n").alias("n"))
-    motif = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("column", "base"))), lambda x: x["base"]), "")
-    return best.groupBy(READ, "period").agg(motif.alias("motif"), (F.sum("most") / F.sum("n")).alias("agreement"))
+    named = F.filter(F.array(*[F.lit(p) for p in periods]), lambda p: p <= F.length("seq"))
+    return consensus(reads.filter(F.length("seq") > 0), named)
 
 
 def hypotheses(consensus: DataFrame, least: float = 0.52, penalty: float = 0.003, k: int = 3) -> DataFrame:
@@ -45,8 +39,12 @@ def consensus_all_periods(reads: DataFrame, longest: int = 50) -> DataFrame:
     columns are worked out in its own row, so nothing is shuffled; reads under three bases give none.
     """
     size = F.length("seq")
-    periods = F.sequence(F.lit(1), F.least(F.lit(longest), F.floor(size / 3)).cast("int"))
-    rows = reads.filter(size >= 3).select(READ, letters(F.upper("seq")).alias("_l"), F.explode(periods).alias("period"))
+    return consensus(reads.filter(size >= 3), F.sequence(F.lit(1), F.least(F.lit(longest), F.floor(size / 3)).cast("int")))
+
+
+def consensus(reads: DataFrame, periods: Column) -> DataFrame:
+    """Per read and period of the array of periods: motif and agreement, as consensus_all_periods."""
+    rows = reads.select(READ, letters(F.upper("seq")).alias("_l"), F.explode(periods).alias("period"))
     column = lambda j: F.array_join(F.transform(F.sequence(j, F.size("_l") - 1, F.col("period")), lambda i: F.get("_l", i)), "")
     texts = F.transform(F.sequence(F.lit(0), F.col("period") - 1), column)
     counted = F.transform(texts, lambda x: F.struct(*[(F.length(x) - F.length(F.translate(x, b, ""))).alias(b) for b in "ACGT"]))
@@ -89,34 +87,54 @@ def catalog_hypotheses(consensus: DataFrame, catalog: DataFrame, least: float =
     return first.unionByName(denovo).withColumn("rank", F.row_number().over(order)).drop("_place")
 
 
-def phased(reads: DataFrame, motif: str) -> DataFrame:
-    """Per base and phase of the motif, whether they agree."""
-    size = len(motif)
-    rows = bases(reads).withColumn("phase", F.explode(F.array(*[F.lit(p) for p in range(size)])))
-    expected = F.substring(F.lit(motif), ((F.col("pos") + F.col("phase")) % size + 1).cast("int"), F.lit(1))
-    return rows.withColumn("hit", F.col("base") == expected)
+def by_phase(motif: str) -> Column:
+    """For each phase of a motif the array that tells which bases of `_l` agree with it."""
+    expected = F.array(*[F.lit(b) for b in motif])
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(len(motif) - 1)),
+        lambda phase: F.transform("_l", lambda base, i: F.coalesce(base == F.get(expected, ((i + phase) % len(motif)).cast("int")), F.lit(False))),
+    )
+
+
+def longest_run(hits: Column) -> Column:
+    def step(a: Column, hit: Column) -> Column:
+        run = F.when(hit, a["run"] + 1).otherwise(0)
+        return F.struct(run.alias("run"), F.greatest(a["most"], run).alias("most"))
+
+    return F.aggregate(hits, F.struct(F.lit(0).alias("run"), F.lit(0).alias("most")), step, lambda a: a["most"])
+
+
+def best_stretch(hits: Column, match: int, mismatch: int) -> Column:
+    """start, end and score of the stretch with the highest score; ties to the lowest start, then the shortest."""
+
+    def step(a: Column, hit: Column) -> Column:
+        value, on = F.when(hit, match).otherwise(mismatch), a["score"] >= 0
+        score, start = F.when(on, a["score"]).otherwise(0) + value, F.when(on, a["start"]).otherwise(a["pos"])
+        better = a["best"].isNull() | (score > a["best"]["score"])
+        found = F.struct(start.alias("start"), (a["pos"] + 1).alias("end"), score.alias("score"))
+        return F.struct(score.alias("score"), start.alias("start"), (a["pos"] + 1).alias("pos"), F.when(better, found).otherwise(a["best"]).alias("best"))
+
+    none = F.lit(None).cast("struct<start:int,end:int,score:int>")
+    return F.aggregate(hits, F.struct(F.lit(0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("pos"), none.alias("best")), step, lambda a: a["best"])
 
 
 def exact_runs(reads: DataFrame, motif: str) -> DataFrame:
     """The longest run of a motif without a mismatch in each read, over all phases."""
-    order = Window.partitionBy(READ, "phase").orderBy("pos")
-    marked = phased(reads, motif).withColumn("breaks", F.sum((~F.col("hit")).cast("int")).over(order))
-    runs = marked.filter("hit").groupBy(READ, "phase", "breaks").agg(F.count("*").alias("n"))
-    return reads.select(READ).join(runs.groupBy(READ).agg(F.max("n").alias("run_bp")), READ, "left").fillna(0, ["run_bp"])
+    rows = reads.select(READ, letters(F.upper("seq")).alias("_l"))
+    return rows.select(READ, F.coalesce(F.array_max(F.transform(by_phase(motif), longest_run)), F.lit(0)).cast("long").alias("run_bp"))
 
 
 def segment_scan(reads: DataFrame, motif: str, match: int = 2, mismatch: int = -3) -> DataFrame:
-    """The best-scoring stretch of each read under a motif: score, start, end, phase.
+    """The best-scoring stretch of each read under a motif: score, start, end, phase. An empty read gives none.
 
-    A stretch's score is a difference of prefix sums, so the best end of each is held against the least prefix
-    before it. Ties go to the lowest start, then the shortest, then the lowest phase.
+    One pass over a read's bases for each phase, within its row. Ties go to the lowest start, then the shortest,
+    then the lowest phase.
     """
-    order = Window.partitionBy(READ, "phase").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    scored = phased(reads, motif).withColumn("prefix", F.sum(F.when(F.col("hit"), match).otherwise(mismatch)).over(order))
-    before = F.struct((F.col("prefix") - F.when(F.col("hit"), match).otherwise(mismatch)).alias("p"), F.col("pos").alias("start"))
-    low = scored.withColumn("low", F.min(before).over(order)).withColumn("score", F.col("prefix") - F.col("low.p"))
-    best = F.min_by(F.struct(F.col("low.start").alias("start"), (F.col("pos") + 1).alias("end"), "phase", "score"), F.struct(-F.col("score"), F.col("low.start"), F.col("pos"), "phase"))
-    return low.groupBy(READ).agg(best.alias("b")).select(READ, "b.*")
+    rows = reads.filter(F.length("seq") > 0).select(READ, letters(F.upper("seq")).alias("_l"))
+    each = F.transform(by_phase(motif), lambda hits, phase: F.struct(best_stretch(hits, match, mismatch).alias("b"), phase.alias("phase")))
+    order = F.transform(each, lambda x: F.struct((-x["b"]["score"]).alias("lost"), x["b"]["start"].alias("start"), x["b"]["end"].alias("end"), x["phase"].alias("phase")))
+    found = rows.select(READ, F.explode(F.array(F.array_min(order))).alias("b"))
+    return found.select(READ, "b.start", "b.end", "b.phase", (-F.col("b.lost")).cast("long").alias("score"))
 
 
 def laid(reads: DataFrame, motifs: DataFrame) -> DataFrame:
@@ -135,32 +153,124 @@ def laid(reads: DataFrame, motifs: DataFrame) -> DataFrame:
 
 def exact_runs_by_motif(reads: DataFrame, motifs: DataFrame) -> DataFrame:
     """Per read, motif and strand of motifs[read_id, motif, strand]: the longest run without a mismatch over all phases."""
-
-    def step(a, hit):
-        run = F.when(hit, a["run"] + 1).otherwise(0)
-        return F.struct(run.alias("run"), F.greatest(a["most"], run).alias("most"))
-
-    longest = F.aggregate("hits", F.struct(F.lit(0).alias("run"), F.lit(0).alias("most")), step, lambda a: a["most"])
-    return laid(reads, motifs).groupBy(READ, "motif", "strand").agg(F.coalesce(F.max(longest), F.lit(0)).cast("long").alias("run_bp"))
+    return laid(reads, motifs).groupBy(READ, "motif", "strand").agg(F.coalesce(F.max(longest_run(F.col("hits"))), F.lit(0)).cast("long").alias("run_bp"))
 
 
 def segment_scan_by_motif(reads: DataFrame, motifs: DataFrame, match: int = 2, mismatch: int = -3) -> DataFrame:
     """Per read, motif, strand and phase: the best-scoring stretch, as segment_scan; none for an empty read."""
-
-    def step(a, hit):
-        value, on = F.when(hit, match).otherwise(mismatch), a["score"] >= 0
-        score, start = F.when(on, a["score"]).otherwise(0) + value, F.when(on, a["start"]).otherwise(a["pos"])
-        better = a["best"].isNull() | (score > a["best"]["score"])
-        found = F.struct(start.alias("start"), (a["pos"] + 1).alias("end"), score.alias("score"))
-        return F.struct(score.alias("score"), start.alias("start"), (a["pos"] + 1).alias("pos"), F.when(better, found).otherwise(a["best"]).alias("best"))
-
-    none = F.lit(None).cast("struct<start:int,end:int,score:int>")
-    start = F.struct(F.lit(0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("pos"), none.alias("best"))
     rows = laid(reads, motifs).filter(F.size("hits") > 0)
-    best = F.explode(F.array(F.aggregate("hits", start, step, lambda a: a["best"]))).alias("b")
+    best = F.explode(F.array(best_stretch(F.col("hits"), match, mismatch))).alias("b")
     return rows.select(READ, "motif", "strand", "phase", best).select(READ, "motif", "strand", "phase", "b.*")
 
 
+def motif_ways(motif: Column) -> Column:
+    """All rotations of both strands of a motif, each once."""
+    return F.array_distinct(F.concat(rotations(motif), rotations(reverse_complement(motif))))
+
+
+def label_segments(reads: DataFrame, motifs: DataFrame, threshold: float = 0.72, margin: float = 0.04, fill: int = 2) -> DataFrame:
+    """Stretches of a read that one of its motifs explains best: read_id, motif, seg_start, seg_end.
+
+    motifs[read_id, motif] has a read's hypotheses, canonical. Each base gets the motif that agrees best with the
+    window of max(9, 3 units) bases around it, over all rotations of both strands; below `threshold`, or with
+    the next best motif nearer than `margin`, it gets none. Runs shorter than max(6, 2 units) are dropped, then
+    gaps of at most `fill` bases between runs of one motif are filled. Labels are a string of the read's length,
+    one sign for each motif, so all of it happens within the read's row; only the motifs are brought to it.
+    Reads without motifs, motifs that are null or empty and windows shorter than max(6, 2 units) give nothing.
+    """
+    named = motifs.filter("motif <> ''").groupBy(READ).agg(F.array_sort(F.collect_set(F.upper("motif"))).alias("_motifs"))
+    rows = reads.select(READ, F.upper("seq").alias("seq")).join(named, READ).withColumn("_n", F.length("seq")).filter("_n > 0")
+    once = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    bases = letters(F.col("seq"))
+
+    def agreement(motif: Column) -> Column:
+        """For each base the best share of its window, null where the window is too short."""
+        unit = F.length(motif)
+        laid = lambda way: F.array_join(F.transform(bases, lambda b, i: F.when(b == F.substring(way, (i % unit + 1).cast("int"), F.lit(1)), "1").otherwise("0")), "")
+        width, least = F.greatest(F.lit(9), 3 * unit), F.greatest(F.lit(6), 2 * unit)
+
+        def window(pos: Column) -> Column:
+            high = F.least(F.col("_n"), F.greatest(F.lit(0), pos - F.shiftright(width, 1)) + width)
+            return F.struct((F.greatest(F.lit(0), high - width) + 1).alias("first"), F.least(width, high).alias("size"))
+
+        def share(w: Column, hits: Column) -> Column:
+            agree = F.array_max(F.transform(hits, lambda h: F.length(F.translate(F.substring(h, w["first"], w["size"]), "0", ""))))
+            return F.when(w["size"] >= least, agree / w["size"])
+
+        windows = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), window)
+        return once(F.transform(motif_ways(motif), laid), lambda hits: F.transform(windows, lambda w: share(w, hits)))
+
+    scored = rows.select(READ, "_motifs", "_n", F.explode(F.array(F.transform("_motifs", agreement))).alias("_scores"))
+
+    def label(pos: Column) -> Column:
+        each = F.filter(F.transform("_scores", lambda x, i: F.struct(F.get(x, pos).alias("s"), i.alias("i"))), lambda x: x["s"].isNotNull())
+        return once(F.reverse(F.array_sort(each)), lambda b: F.when((F.size(b) == 0) | (F.get(b, F.lit(0))["s"] < threshold), ".").when((F.size(b) > 1) & (F.get(b, F.lit(0))["s"] - F.get(b, F.lit(1))["s"] < margin), ".").otherwise(F.char(F.get(b, F.lit(0))["i"] + SIGN)))
+
+    runs = lambda text: F.regexp_extract_all(text, F.lit(r"(.)\1*"), F.lit(0))
+    motif_of = lambda run: F.get("_motifs", F.ascii(run) - SIGN)
+    blank = lambda run: F.call_function("repeat", F.lit("."), F.length(run))
+    is_gap = lambda run: F.startswith(run, F.lit("."))
+    labels = scored.select(READ, "_motifs", F.array_join(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), label), "").alias("_labels"))
+    kept = labels.withColumn("_runs", F.transform(runs("_labels"), lambda r: F.when(is_gap(r) | (F.length(r) < F.greatest(F.lit(6), 2 * F.length(motif_of(r)))), blank(r)).otherwise(r)))
+    kept = kept.withColumn("_runs", runs(F.array_join("_runs", "")))
+
+    def filled(run: Column, i: Column) -> Column:
+        before, after = F.left(F.get("_runs", i - 1), F.lit(1)), F.left(F.get("_runs", i + 1), F.lit(1))
+        return F.when(is_gap(run) & (F.length(run) <= fill) & (i > 0) & (before == after) & (before != "."), F.call_function("repeat", before, F.length(run))).otherwise(run)
+
+    whole = kept.withColumn("_runs", runs(F.array_join(F.transform("_runs", filled), "")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<motif:string,seg_start:int,seg_end:int>>").alias("found"))
+
+    def place(a: Column, run: Column) -> Column:
+        end = a["at"] + F.length(run)
+        own = F.array(F.struct(motif_of(run).alias("motif"), a["at"].alias("seg_start"), end.alias("seg_end")))
+        return F.struct(end.alias("at"), F.when(is_gap(run), a["found"]).otherwise(F.concat(a["found"], own)).alias("found"))
+
+    return whole.select(READ, F.explode(F.aggregate("_runs", start, place, lambda a: a["found"])).alias("s")).select(READ, "s.*")
+
+
+def entry_tracts(clips: DataFrame, reach: int = 5, least_bp: int = 12, purity: float = 0.7, end_bp: int = 10, match: int = 3, mismatch: int = 4) -> DataFrame:
+    """clips[oriented_clip, motif, entry, raw_start, raw_end, reverse, ...] with the best periodic tract at the entry.
+
+    A tract starts at most `reach` bases from the entry and is the longest stretch from there of at least
+    `least_bp` bases whose share of agreeing bases, over all rotations of both strands, is at least `purity` (ungapped).
+    The longest wins, then the purest, then the one nearest to the entry, then the first. Adds tract_start,
+    tract_end, tract_purity, entry_offset, reaches_end (at most end_bp bases are left), and the tract's place in
+    the raw read; all null without a tract, where entry or motif is null, or where the entry lies outside the clip.
+    """
+    size = F.length("oriented_clip")
+    steps = F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda d: F.col("entry").cast("int") + d)
+    starts = F.filter(steps, lambda x: (x >= 0) & (x <= size) & F.col("entry").between(0, size))
+    bases = letters(F.upper("oriented_clip"))
+
+    def longest(start: Column, way: Column) -> Column:
+        """Length and agreeing bases of the longest good stretch from a start."""
+        unit = F.length(way)
+
+        def step(a: Column, base: Column) -> Column:
+            hits = a["hits"] + (base == F.substring(way, (a["n"] % unit + 1).cast("int"), F.lit(1))).cast("int")
+            n = a["n"] + 1
+            good = (n >= least_bp) & (hits / n >= purity) & (match * hits > mismatch * (n - hits))
+            return F.struct(n.alias("n"), hits.alias("hits"), F.when(good, F.struct(n.alias("bp"), hits.alias("same"))).otherwise(a["best"]).alias("best"))
+
+        none = F.lit(None).cast("struct<bp:int,same:int>")
+        return F.aggregate(F.slice(bases, start + 1, size), F.struct(F.lit(0).alias("n"), F.lit(0).alias("hits"), none.alias("best")), step, lambda a: a["best"])
+
+    def tract(start: Column) -> Column:
+        ways = F.filter(F.transform(motif_ways(F.col("motif")), lambda way: longest(start, way)), lambda b: b.isNotNull())
+        b = F.array_max(ways)
+        return F.struct(b["bp"].alias("bp"), b["same"].alias("same"), (-F.abs(start - F.col("entry").cast("int"))).alias("near"), (-start).alias("first"))
+
+    found = clips.withColumn("_b", F.explode(F.array(F.array_max(F.filter(F.transform(starts, tract), lambda x: x["bp"].isNotNull())))))
+    start, end = -F.col("_b.first"), -F.col("_b.first") + F.col("_b.bp")
+    return found.withColumns(
+        {
+            "tract_start": start, "tract_end": end, "tract_purity": F.col("_b.same") / F.col("_b.bp"), "entry_offset": start - F.col("entry").cast("int"), "reaches_end": size - end <= end_bp,
+            "tract_raw_start": F.when(F.col("reverse"), F.col("raw_end") - end).otherwise(F.col("raw_start") + start), "tract_raw_end": F.when(F.col("reverse"), F.col("raw_end") - start).otherwise(F.col("raw_start") + end),
+        }
+    ).drop("_b")
+
+
 def compound_class(segments: DataFrame) -> DataFrame:
     """Per read: segments, distinct motifs, gaps between segments, and whether it is compound or interrupted."""
     order = Window.partitionBy(READ).orderBy("seg_start", "seg_end", "attempt_no")
