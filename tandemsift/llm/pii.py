@@ -30,14 +30,53 @@ LOOSE = {
     "phone": r"(?<![0-9+(-])(?<!\+[0-9] )(?:\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9-])",
     "secret": r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])|(?i:(?<![a-z])(?:password|passwd|pwd|token|secret|api[_-]?key) ?[=:] ?\"?[A-Za-z0-9_/+.-]{8,}+\"?)",
 }
-#: What gazetteers know.
-GAZETTEER = {
-    "email": r"(\.|[\])] ?)(com|org|net|edu|gov|io|de|fr|es|uk|eu|info)$",
-    "ip": r"^(?!0\.|22[4-9]\.|2[3-5][0-9]\.)",
-    "card": r"^(4|5[1-5]|2[2-7]|3[47]|6(011|5))",
-    "phone": r"^(\+(1|33|34|44|49|7|86|81)(?![0-9]{9,})|\(|[0-9])",
-    "secret": r"^AKIA|[0-9a-f]{16,}|[A-Za-z0-9]{20,}",
-}
+#: What the gazetteers know unless they are given. Of mail domains any two-letter ending is a country's
+#: besides these; of international numbers these are the two-digit country codes and the pairs that a third digit
+#: completes, besides 1 and 7; of addresses these first parts are of no host; of cards these begin an issuer's numbers.
+GAZETTEERS = {
+    "email": ["aero", "app", "arpa", "asia", "biz", "blog", "cat", "cloud", "club", "com", "coop", "dev", "edu", "gov", "info", "int", "jobs", "mil", "mobi", "museum", "name", "net", "online", "org", "post", "pro", "shop", "site", "store", "tech", "tel", "top", "travel", "xyz"],
+    "phone": [
+        "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+        "21", "22", "23", "24", "25", "26", "29", "35", "37", "38", "42", "50", "59", "67", "68", "80", "85", "87", "88", "96", "97", "99",
+    ],
+    "ip": ["0", "224", "225", "226", "227", "228", "229", "230", "231", "232", "233", "234", "235", "236", "237", "238", "239", "240", "241", "242", "243", "244", "245", "246", "247", "248", "249", "250", "251", "252", "253", "254", "255"],
+    "card": ["22", "23", "24", "25", "26", "27", "34", "35", "36", "37", "38", "4", "50", "51", "52", "53", "54", "55", "56", "57", "58", "60", "62", "63", "64", "65", "67", "81"],
+    "secret": ["AKIA", "ASIA", "ghp_", "gho_", "xox", "sk-", "eyJ"],
+}
+#: Entries of a given gazetteer, at most: they are constants of the query.
+ENTRIES = 1 << 14
+
+
+def listed_by(kind: str, match: Column, lists: dict[str, list[str]]) -> Column:
+    """Whether the gazetteer of a kind has the part of a match that it is asked for."""
+    among = lambda c: c.isin(*lists[kind]) if lists[kind] else F.lit(False)
+    digits = digits_of(match)
+    if kind == "email":
+        ending = F.lower(F.regexp_extract(match, "([A-Za-z0-9-]+)$", 1))
+        return among(ending) | F.regexp_like(ending, F.lit("^[a-z]{2}$"))
+    if kind == "phone":
+        return ~F.startswith(match, F.lit("+")) | F.left(digits, F.lit(1)).isin("1", "7") | among(F.left(digits, F.lit(2)))
+    if kind == "ip":
+        return ~among(F.regexp_extract(match, "^0*([0-9]+?)\\.", 1))
+    if kind == "card":
+        return among(F.left(digits, F.lit(1))) | among(F.left(digits, F.lit(2)))
+    prefixes = [F.contains(match, F.lit(p)) for p in lists[kind]]
+    return reduce(lambda a, b: a | b, prefixes, F.regexp_like(match, F.lit("[0-9a-f]{16,}|[A-Za-z0-9]{20,}")))
+
+
+def gazetteers(table: DataFrame | None) -> dict[str, list[str]]:
+    """The lists of a table[kind, entry], which must be small; those of kinds that it lacks are the fixed ones."""
+    if table is None:
+        return GAZETTEERS
+    rows = table.select("kind", "entry").filter("kind IS NOT NULL AND entry IS NOT NULL").distinct().limit(ENTRIES + 1).collect()
+    if len(rows) > ENTRIES:
+        raise ValueError(f"gazetteers have more than {ENTRIES} entries")
+    found: dict[str, list[str]] = {}
+    for kind, entry in sorted(map(tuple, rows)):
+        found.setdefault(kind, []).append(entry)
+    return GAZETTEERS | found
+
+
 CONTEXT = {
     "email": r"(?i)(mail|contact|write|at|from|to)\W{0,3}$",
     "ip": r"(?i)\b(ip|host|server|address)\W{0,3}$",
@@ -79,7 +118,7 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def matches(text: Column, kind: str, pattern: str, base: bool, test: Column) -> Column:
+def matches(text: Column, kind: str, pattern: str, base: bool, test: Column, lists: dict[str, list[str]]) -> Column:
     """Leftmost matches as structs. Places come from the lengths of the matches and of the gaps between."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     ends = F.aggregate(
@@ -101,13 +140,13 @@ def matches(text: Column, kind: str, pattern: str, base: bool, test: Column) ->
             x["p"]["s"].alias("start"),
             x["p"]["e"].alias("end"),
             (ok & F.lit(base)).alias("base"),
-            *signals(kind, x["m"], x["l"], x["r"], ok, base),
+            *signals(kind, x["m"], x["l"], x["r"], ok, base, lists),
         ))(valid(kind, x["m"]) if base else F.lit(True)),
     )
     return F.when(test, spans).otherwise(F.array().cast(SPAN))
 
 
-def signals(kind: str, match: Column, left: Column, right: Column, ok: Column, base: bool) -> list[Column]:
+def signals(kind: str, match: Column, left: Column, right: Column, ok: Column, base: bool, lists: dict[str, list[str]]) -> list[Column]:
     """Votes of the labelers (1, 0 or -1) and the classifier's features, all of few values."""
     before = F.right(left, F.lit(24))
     glued = F.regexp_like(before, F.lit(r"[A-Za-z0-9]$")) | F.regexp_like(right, F.lit(r"^[A-Za-z0-9]"))
@@ -117,7 +156,7 @@ def signals(kind: str, match: Column, left: Column, right: Column, ok: Column, b
     return [
         F.lit(1 if base or kind == "secret" else 0).alias("format"),
         check.alias("check"),
-        F.when(F.regexp_like(match, F.lit(GAZETTEER[kind])), 1).otherwise(-1).alias("gazetteer"),
+        F.when(listed_by(kind, match, lists), 1).otherwise(-1).alias("gazetteer"),
         F.when(F.regexp_like(before, F.lit(CONTEXT[kind])), 1).otherwise(0).alias("context"),
         F.when(glued, -1).otherwise(1).alias("edges"),
         F.least(F.length(match).bitwiseAND(~3), F.lit(60)).alias("length"),
@@ -130,7 +169,7 @@ def signals(kind: str, match: Column, left: Column, right: Column, ok: Column, b
 SPAN = "array<struct<kind:string,start:int,end:int,base:boolean,format:int,check:int,gazetteer:int,context:int,edges:int,length:int,digits:int,left:int,right:int>>"
 
 
-def candidates(text: Column) -> Column:
+def candidates(text: Column, lists: dict[str, list[str]] = GAZETTEERS) -> Column:
     """All candidate spans of a text: base matches, kept or failed, and loose forms apart from kept base spans."""
     text = F.coalesce(text.cast("string"), F.lit(""))
     has = lambda *parts: reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in parts])
@@ -140,9 +179,9 @@ def candidates(text: Column) -> Column:
         "card": F.regexp_like(text, F.lit(r"[0-9][0-9\x20-]{12}")),
         "phone": has("+"),
     }
-    base = F.concat(*[matches(text, k, PATTERNS[k], True, tests[k]) for k in BASE])
+    base = F.concat(*[matches(text, k, PATTERNS[k], True, tests[k], lists) for k in BASE])
     loose_tests = {"email": has("(at", "[at", "( at", "[ at"), "phone": F.regexp_like(text, F.lit("[0-9]{3}-[0-9]{4}")), "secret": has("AKIA", "=", ":")}
-    loose = F.concat(*[matches(text, k, p, False, loose_tests[k]) for k, p in LOOSE.items()])
+    loose = F.concat(*[matches(text, k, p, False, loose_tests[k], lists) for k, p in LOOSE.items()])
     return F.concat(base, loose)
 
 
@@ -230,24 +269,27 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def find(docs: DataFrame) -> DataFrame:
+def find(docs: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
     """docs[doc_id, text] -> doc_id, spans (arrays of start, place, kind, end, base), trained on all of docs.
 
+    gazetteer[kind, entry] has lists of the labeler of that name, as mail endings or dialling codes.
+
     Every text is taken whole; null counts as empty and has no spans; without candidates nothing is
     trained; repeated rows give repeated results; an empty table gives none; other columns are ignored.
     """
-    found = common.stored(docs.select("doc_id", candidates(F.col("text")).alias("spans")), "spans")
+    found = common.stored(docs.select("doc_id", candidates(F.col("text"), gazetteers(gazetteer)).alias("spans")), "spans")
     return found.select("doc_id", kept(F.col("spans"), train(found)).alias("spans"))
 
 
-def masked(docs: DataFrame) -> DataFrame:
+def masked(docs: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
     """docs with each span of personal data in `text` replaced by its kind in angle brackets.
 
-    Spans that overlap are masked as one, named after the first. Null texts stay null; other columns stay.
+    Spans that overlap are masked as one, named after the first. Patterns run once: texts are stored with their
+    candidates. Null texts stay null; repeated rows are masked alike; an empty table gives none; other columns stay, but
+    the name _spans is this function's own.
     """
-    found = common.stored(docs.select(candidates(F.col("text")).alias("spans")).filter(F.size("spans") > 0), "spans")
-    weights = train(found)
-    spans = kept(candidates(F.col("text")), weights)
+    found = common.stored(docs.withColumn("_spans", candidates(F.col("text"), gazetteers(gazetteer))), "spans")
+    weights = train(found.select(F.col("_spans").alias("spans")).filter(F.size("spans") > 0))
     state = "struct<at:int,parts:array<string>>"
     start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("parts")).cast(state)
 
@@ -259,7 +301,8 @@ def masked(docs: DataFrame) -> DataFrame:
 
     done = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col("text"), acc["at"], F.length("text")))
     clean = F.aggregate(F.col("_spans"), start, cut, done)
-    return docs.withColumn("_spans", spans).withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text"))).select(*docs.columns)
+    marked = found.withColumn("_spans", kept(F.col("_spans"), weights))
+    return marked.withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text"))).select(*docs.columns)
 
 
 def query(spark, sf_dir):

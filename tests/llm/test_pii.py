@@ -78,3 +78,42 @@ def test_empty_table_and_masks(spark, tmp_path):
     got = {r.doc_id: r.text for r in pii.masked(docs).collect()}
     assert got == {1: "write to <EMAIL> or <PHONE> now", 2: None, 3: "plain"}
     assert pii.masked(docs.filter(F.lit(False))).count() == 0
+
+
+def test_estimates_are_those_of_dictionaries(spark):
+    """EM over vote patterns, by brute force over the single spans."""
+    import math
+
+    rng = random.Random(6)
+    rows = []
+    for _ in range(400):
+        kind, real = rng.choice(["email", "card"]), rng.random() < 0.6
+        vote = lambda right, real=real: (1 if real else -1) if rng.random() < right else rng.choice([-1, 0, 1])
+        rows.append((kind, *[vote(r) for r in (0.9, 0.8, 0.6, 0.5, 0.3)]))
+    spans = spark.createDataFrame(rows, ", ".join(["kind string", *[f"{c} int" for c in pii.LABELERS]]))
+    odds = pii.estimate(spans)
+    got = {tuple(r)[:-1]: r.p for r in spans.distinct().withColumn("p", F.expr("CASE kind " + " ".join(f"WHEN '{k}' THEN {pii.posterior(odds[k])}" for k in ("email", "card")) + " END")).collect()}
+    for kind in ("email", "card"):
+        own = [r[1:] for r in rows if r[0] == kind]
+        score = lambda r: 1.5 * sum(r)
+        for _ in range(pii.ROUNDS):
+            ps = [1 / (1 + math.exp(-score(r))) for r in own]
+            yes, no = sum(ps), sum(1 - p for p in ps)
+            chance = {}
+            for c in range(5):
+                for v in (-1, 0, 1):
+                    y = sum(p for r, p in zip(own, ps, strict=True) if r[c] == v)
+                    n = sum(1 - p for r, p in zip(own, ps, strict=True) if r[c] == v)
+                    chance[c, v] = math.log((y + 1) / (yes + 3) * (no + 3) / (n + 1))
+            score = lambda r, prior=math.log((yes + 1) / (no + 1)), chance=chance: prior + sum(chance[c, v] for c, v in enumerate(r))
+        for r in set(own):
+            assert abs(got[(kind, *r)] - 1 / (1 + math.exp(-score(r)))) < 1e-9
+
+
+def test_gazetteers_come_from_a_table(spark):
+    docs = spark.createDataFrame([(1, "a@b.zone or a@b.test or a@b.de"), (2, "+99912345678 and +4412345678")], "doc_id long, text string")
+    table = spark.createDataFrame([("email", "zone"), ("email", "zone"), (None, "x"), ("phone", "99")], "kind string, entry string")
+    votes = lambda lists: [s.gazetteer for r in docs.select(pii.candidates(docs.text, lists).alias("s")).collect() for s in r.s]
+    assert votes(pii.gazetteers(table)) == [1, -1, 1, 1, -1]
+    assert votes(pii.gazetteers(None)) == [-1, -1, 1, 1, 1]
+    assert pii.find(docs, table).count() == 2
