@@ -37,8 +37,17 @@ def char_classes() -> np.ndarray:
 
 
 def load_vocabulary(text: str) -> dict:
-    """A tokenizer file as arrays: byte symbols, sorted pair keys with rank and merged symbol, special strings."""
+    """A tokenizer file as arrays: byte symbols, sorted pair keys with rank and merged symbol, special strings.
+
+    Files that ask for another way of counting than byte-level BPE on bare texts are refused.
+    """
     spec = json.loads(text)
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    bare = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec.get("normalizer")
+    marked = [t for t in spec.get("added_tokens") or () if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]
+    if not (plain and bare) or marked:
+        raise ValueError("only byte-level BPE without a normaliser, a blank put before texts or stripping special strings is supported")
     vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(printable))}
@@ -50,7 +59,8 @@ def load_vocabulary(text: str) -> dict:
         "keys": keys[order],
         "ranks": order.astype(np.int32),
         "merged": np.array([vocab[a + b] for a, b in pairs], np.int64),
-        "special": [t["content"] for t in spec.get("added_tokens") or ()],
+        # of special strings that start at one place the longest is taken
+        "special": sorted((t["content"] for t in spec.get("added_tokens") or ()), key=len, reverse=True),
     }
 
 
@@ -206,8 +216,10 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = 1024, id_col
 
     The file (a fixed 50,000 merges) is read by the driver and sent to the workers as arrays. Work is
     per batch, without a shuffle. Null and empty texts have no bytes and no tokens; very long texts and
-    words are counted whole; repeated rows give repeated results; an empty table gives none.
+    words are counted whole; repeated rows give repeated results; an empty table gives none. The session then sends
+    1,000 rows at most to a worker at once.
     """
+    common.small_batches(docs.sparkSession)
     with open(tokenizer_file, encoding="utf-8") as f:
         vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(f.read()))
 

@@ -38,3 +38,19 @@ def test_every_code_point():
 
 def test_empty_table(spark):
     assert tc.count_tokens(spark.createDataFrame([], "doc_id long, text string"), FILE).collect() == []
+
+
+def test_the_longest_special_string_is_taken_and_other_files_are_refused(tmp_path):
+    import json
+
+    import pytest
+
+    spec = json.load(open(FILE, encoding="utf-8"))
+    more = dict(spec["added_tokens"][0], id=50257, content="<|endoftext|>x")
+    spec["added_tokens"].append(more)
+    library, some = Tokenizer.from_str(json.dumps(spec)), ["a<|endoftext|>xy <|endoftext|>", "<|endoftext|> x<|endoftext|>x"]
+    got = tc.Counter(tc.load_vocabulary(json.dumps(spec))).texts(pa.array(some, pa.large_string()))
+    assert got.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in some]
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": dict(spec["pre_tokenizer"], add_prefix_space=True)}, {"model": dict(spec["model"], ignore_merges=True)}):
+        with pytest.raises(ValueError):
+            tc.load_vocabulary(json.dumps(spec | change))
