@@ -25,6 +25,8 @@ VIEWS = {
     "gtf_rows": "SELECT concat('chr', cast(1 + p_partkey % 5 AS varchar(32))) AS chrom, CASE p_partkey % 4 WHEN 0 THEN 'gene' WHEN 1 THEN 'exon' WHEN 2 THEN 'CDS' ELSE 'UTR' END AS feature, (p_partkey * 53) % 20000 + 1 AS start_1based, (p_partkey * 53) % 20000 + 10 + p_size AS end_1based, CASE WHEN (p_partkey % 40) < 20 THEN '+' ELSE '-' END AS strand, concat('tx', cast(p_partkey % 40 AS varchar(32))) AS transcript_id FROM part",
     # catalog entries of which some repeat the coordinates of another, with another motif
     "listed_targets": "SELECT target_region_id, chrom, start_pos, end_pos, motif FROM targets UNION ALL SELECT concat('A', target_region_id), chrom, start_pos, end_pos, CASE WHEN motif = 'CAG' THEN 'CTG' ELSE 'CAG' END FROM targets WHERE (end_pos - start_pos) % 9 = 0",
+    # one call job for each read: its window around the projected target, what its flanks allow, and the target
+    "jobs": "SELECT s.read_id, s.seg_start, s.seg_end, s.purity, t.target_region_id, t.target_source, t.motif, t.end_pos - t.start_pos AS span, p.strand, CASE WHEN p.mapq >= 5 THEN p.query_start END AS projected_start, CASE WHEN p.mapq >= 5 THEN p.query_end END AS projected_end, greatest(0, p.query_start - 10) AS window_start, substr(r.seq, cast(greatest(0, p.query_start - 10) + 1 AS int), cast(p.query_end - p.query_start + 20 AS int)) AS window_seq, r.seq AS seq, p.target_end - p.target_start > 40 AS meets, p.query_start >= 5 AS has_left, p.query_end <= 110 AS has_right, p.query_start % 3 > 0 AS clip, CASE WHEN p.target_start % 2 = 0 THEN 'RIGHT' ELSE 'LEFT' END AS side FROM segments s JOIN targets t ON s.target_region_id = t.target_region_id JOIN paf_rows p ON p.query_name = concat('Q', cast(s.read_id AS varchar(32))) AND p.ordinal = s.attempt_no JOIN reads r ON r.read_id = s.read_id WHERE s.attempt_no = 1",
     # alignments of eight shapes: clips of both kinds on either side, =, X, P, several skips, operations in other orders
     "shapes": "SELECT read_id, ordinal, chrom, ref_start, alignment_class, strand, mapq, CASE read_id % 8 WHEN 0 THEN concat(cast(5 + mapq % 9 AS varchar(32)), 'H', cast(3 + mapq AS varchar(32)), 'S40M2I30M') WHEN 1 THEN concat('25=1X20=', cast(1 + mapq % 4 AS varchar(32)), 'D30=', cast(2 + mapq AS varchar(32)), 'S') WHEN 2 THEN concat('20M', cast(60 + mapq AS varchar(32)), 'N15M80N35M7S4H') WHEN 3 THEN '4S10M3D2I10M1P20M5D25M6S' WHEN 4 THEN concat('80M', cast(4 + mapq AS varchar(32)), 'H') WHEN 5 THEN '12I40=3N2X38=' WHEN 6 THEN concat(cast(1 + mapq AS varchar(32)), 'S30M50N8D30M2I5N20M') ELSE '90M' END AS cigar FROM alignments",
     # motifs of every kind, spread over the rows of part
