@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sequences as s
+from ..operators import alignments as al
 from ..operators import calling
 from ..operators import intervals as iv
 from ..operators.geometry import geometry
 from ..operators.rescue import bridge_decision
 from ..sources import readers
 from .common import register
+from .sequence_queries import COMP
+from .shape_queries import OPS as SHAPE_OPS
 from .tract_queries import WAYS
 
 QUERIES: dict = {}
@@ -194,3 +197,55 @@ def _(jobs):
     most = F.greatest(*[F.col(f"c.fraction_{b}") for b in "acgt"])
     kind = F.when(F.col("bp") < 22, "SHORT_CONTEXT").when(F.col("c.kmer_fraction") < 0.8, "LOW_COMPLEXITY_CONTEXT").when(most >= 0.5, "BIASED_CONTEXT").otherwise("UNRESOLVED_CONTEXT")
     return rows.select("read_id", "side", "bp", kind.alias("context"))
+
+
+SIDES = SHAPE_OPS + """, n AS (SELECT *, row_number() OVER (PARTITION BY read_id, ordinal ORDER BY op_index) AS i, row_number() OVER (PARTITION BY read_id, ordinal ORDER BY op_index DESC) AS j FROM o WHERE op <> 'H'),
+      sd AS (SELECT read_id, ordinal, strand, 'LEFT' AS side, op_len AS bp FROM n WHERE op = 'S' AND i = 1 UNION ALL SELECT read_id, ordinal, strand, 'RIGHT', op_len FROM n WHERE op = 'S' AND j = 1 AND i > 1),
+      c AS (SELECT sd.*, CASE WHEN (strand = '+') = (side = 'RIGHT') THEN substr(seq, greatest(1, len(seq) - bp + 1)) ELSE substr(seq, 1, bp) END AS raw FROM sd JOIN reads USING (read_id))"""
+
+
+def raw_clips(shapes, reads):
+    """Soft clips by side of the reference with their bases in the raw read, of which a reverse alignment has the other end."""
+    rows = al.features(shapes).join(reads, "read_id")
+    sides = F.filter(F.array(*[F.struct(F.lit(n).alias("side"), F.col(c).cast("int").alias("bp")) for n, c in (("LEFT", "clip_left_bp"), ("RIGHT", "clip_right_bp"))]), lambda x: x["bp"] > 0)
+    rows = rows.select("read_id", "ordinal", "strand", "seq", F.explode(sides).alias("x")).select("read_id", "ordinal", "strand", "seq", "x.*")
+    as_raw, bp = (F.col("strand") == "+") == (F.col("side") == "RIGHT"), F.col("bp")
+    start = F.when(as_raw, F.greatest(F.lit(1), F.length("seq") - bp + 1)).otherwise(1)
+    return rows.withColumns({"as_raw": as_raw, "raw": F.substring(F.col("seq"), start, bp)})
+
+
+@query(
+    "orientation_transform_by_clip", "shapes reads",
+    f"{SIDES} SELECT read_id, ordinal, side, CASE WHEN (strand = '+') = (side = 'RIGHT') THEN 'AS_RAW' ELSE 'REVERSE_COMPLEMENT' END AS transform, CASE WHEN (strand = '+') = (side = 'RIGHT') THEN raw ELSE {COMP.format('raw')} END AS clip FROM c",
+)
+def _(shapes, reads):
+    """Each soft clip, as long as the CIGAR has it, turned to run from the mapped block outward."""
+    rows, as_raw = raw_clips(shapes, reads), F.col("as_raw")
+    return rows.select("read_id", "ordinal", "side", F.when(as_raw, "AS_RAW").otherwise("REVERSE_COMPLEMENT").alias("transform"), F.when(as_raw, F.upper("raw")).otherwise(s.reverse_complement(F.col("raw"))).alias("clip"))
+
+
+@query(
+    "orientation_audit_by_clip", "shapes reads",
+    f"""{SIDES}, t AS (SELECT *, CASE WHEN (strand = '+') = (side = 'RIGHT') THEN raw ELSE {COMP.format('raw')} END AS own, CASE read_id % 7 WHEN 0 THEN reverse(raw) WHEN 1 THEN {COMP.format('raw')} WHEN 2 THEN raw || 'A' ELSE raw END AS stored FROM c)
+      SELECT side, CASE WHEN stored = own THEN 'AGREES' WHEN stored = {COMP.format('own')} THEN 'TRANSFORM_MISMATCH' WHEN stored = reverse(own) OR stored = reverse({COMP.format('own')}) THEN 'REVERSAL_MISMATCH' ELSE 'CONTENT_MISMATCH' END AS outcome, count(*) AS clips, sum(bp)::BIGINT AS bases FROM t GROUP BY ALL""",
+)
+def _(shapes, reads):
+    """Stored clips against those turned from the raw read, over their whole length."""
+    rows, other = raw_clips(shapes, reads), s.reverse_complement
+    kind, raw = F.col("read_id") % 7, F.col("raw")
+    stored = F.when(kind == 0, F.reverse(raw)).when(kind == 1, other(raw)).when(kind == 2, F.concat(raw, F.lit("A"))).otherwise(raw)
+    rows = rows.withColumns({"own": F.when(F.col("as_raw"), raw).otherwise(other(raw)), "stored": stored})
+    own, kept = F.col("own"), F.col("stored")
+    outcome = F.when(kept == own, "AGREES").when(kept == other(own), "TRANSFORM_MISMATCH").when((kept == F.reverse(own)) | (kept == F.reverse(other(own))), "REVERSAL_MISMATCH").otherwise("CONTENT_MISMATCH")
+    return rows.groupBy("side", outcome.alias("outcome")).agg(F.count("*").alias("clips"), F.sum("bp").alias("bases"))
+
+
+@query(
+    "enum_dictionary_diff_occurring", "lineitem",
+    """WITH a AS (SELECT DISTINCT l_partkey AS code FROM lineitem WHERE l_quantity > 45), b AS (SELECT DISTINCT l_partkey AS code FROM lineitem WHERE l_quantity < 5)
+      SELECT code, 'MISSING_RIGHT' AS side FROM (SELECT code FROM a EXCEPT SELECT code FROM b) UNION ALL SELECT code, 'MISSING_LEFT' FROM (SELECT code FROM b EXCEPT SELECT code FROM a)""",
+)
+def _(lineitem):
+    """Codes that occur in one part of a table and not in another, both ways."""
+    left, right = (lineitem.filter(c).select(F.col("l_partkey").alias("code")).distinct() for c in ("l_quantity > 45", "l_quantity < 5"))
+    return left.exceptAll(right).withColumn("side", F.lit("MISSING_RIGHT")).unionByName(right.exceptAll(left).withColumn("side", F.lit("MISSING_LEFT")))
