@@ -30,9 +30,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found if ":/" in found else f"file://{os.path.abspath(found)}"
 
 
+#: Folders made so far, in order.
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def mark() -> int:
+    """How many folders there are so far, for clean()."""
+    return len(_made)
+
+
+def clean(spark: SparkSession, since: int = 0, kept: DataFrame | None = None) -> None:
+    """Deletes what operators stored since a mark, but for a stored table.
+
+    Operators' results read their intermediate tables, models and archives when they run; call this once results
+    are written.
+    """
+    names = {f.rpartition("/")[0].rpartition("/")[2] for f in kept.inputFiles()} if kept is not None else set()
+    for path in list(_made[since:]):
+        if path.rpartition("/")[2] not in names:
+            remove(path, spark)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -49,6 +71,7 @@ def remove(df_or_path: DataFrame | str, spark: SparkSession) -> None:
     for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _made[:] = [m for m in _made if m.rpartition("/")[2] != p.getName()]
 
 
 #: A stored table of ids is broadcast up to so many rows, else joined by a shuffle.

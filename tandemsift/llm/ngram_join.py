@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -254,12 +254,13 @@ def candidates(sets: DataFrame, percent: int, shards: int) -> DataFrame:
     return common.dealt(dealt, shards).mapInArrow(arrays.returning(merged), "kind string, a long, b long")
 
 
-def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """docs[doc_id, text] -> doc_id, n_shingles, sig, component_id: one row for each row of docs.
+def join(docs: DataFrame, n: int = 4, percent: int = 85, carry: Sequence[str] = ()) -> DataFrame:
+    """docs[doc_id, text] -> doc_id, n_shingles, sig, component, component_id: one row for each row of docs.
 
     Two rows link when 100 * intersection >= percent * union of their sets of distinct n-word shingles
     (words lower-cased in A-Z; fewer than n words count as one shingle). component_id is the smallest
-    doc_id that links reach, the row's own included.
+    doc_id that links reach, the row's own included, component a number of the component itself (null for empty
+    sets). Columns named in `carry` come along; their names must not be those above.
 
     Equal sets are one set from the start. Under each of three global orders (rare before frequent by a
     sketch of fixed size, then by a hash of the order's own) linking sets share a prefix token. Pairs are
@@ -274,7 +275,9 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """
     spark = docs.sparkSession
     common.small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    carry = list(carry)
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry)
+    carried = docs.select(*carry).schema if carry else None
     shards = common.shards_for(docs)
 
     def count_shingles(batch, total):
@@ -300,6 +303,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
                     others.append(prefixes(value[order].astype(np.uint32), sizes, lengths))
                 yield pa.RecordBatch.from_pydict(
                     {
+                        **{c: batch.column(c)[low:high] for c in carry},
                         "doc_id": batch.column(0)[low:high],
                         "n": pa.array(sizes),
                         "sig": pa.array(signatures(hashes, sizes).view(np.int64)),
@@ -309,7 +313,9 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
                     }
                 )
 
-    sets = common.stored(docs.mapInArrow(arrays.returning(make_sets), "doc_id long, n long, sig long, p1 binary, p2 binary, p3 binary"), "sets")
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried) if carry else ""
+    sets = common.stored(docs.mapInArrow(arrays.returning(make_sets), kinds + "doc_id long, n long, sig long, p1 binary, p2 binary, p3 binary"), "sets")
+    docs = docs.drop(*carry)
     full = sets.filter("n > 0")
     classes = common.stored(full.groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
     found = common.stored(candidates(full, percent, shards), "candidates")
@@ -324,9 +330,10 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     labels = components.components(links)
     reached = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     smallest = reached.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = reached.join(smallest, "component").select("sig", "component_id", (F.col("rep")).alias("rep"))
-    linked = full.select("doc_id", "n", "sig").join(named, "sig").select("doc_id", F.col("n").alias("n_shingles"), "sig", "component_id")
-    alone = sets.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), "sig", F.col("doc_id").alias("component_id"))
+    named = reached.join(smallest, "component").select("sig", "component", "component_id")
+    linked = full.select("doc_id", "n", "sig", *carry).join(named, "sig").select("doc_id", F.col("n").alias("n_shingles"), "sig", "component", "component_id", *carry)
+    none = F.lit(None).cast("long").alias("component")
+    alone = sets.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), "sig", none, F.col("doc_id").alias("component_id"), *carry)
     return linked.unionByName(alone)
 
 
@@ -435,6 +442,27 @@ def verified(docs: DataFrame, full: DataFrame, classes: DataFrame, pairs: DataFr
     return links
 
 
+def survivors(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component of linked rows of docs, as they are: that of the smallest doc_id.
+
+    Rows are told apart by two hashes of all their columns, so of rows that share an id, or have none, each is judged
+    for itself: of a component's rows with the smallest id the one with the smaller hashes stays (a null id counts as the
+    largest), and of rows that are equal in all columns one. Rows without words link with nothing and all stay. An
+    empty table gives none; columns named _row and _other are this function's own.
+    """
+    marks = {"_row": F.xxhash64(*docs.columns), "_other": F.xxhash64(F.lit("other"), *docs.columns)}
+    found = common.stored(join(docs.withColumns(marks), n, percent, carry=list(marks)).filter("n_shingles > 0").select("doc_id", "component", *marks), "components")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *marks)
+    first = found.groupBy("component").agg(F.min(order).alias("o")).select(*[F.col(f"o.{c}").alias(c) for c in marks])
+    gone = common.stored(found.select(*marks).join(first, list(marks), "left_anti").distinct(), "gone")
+    twice = common.stored(found.groupBy(*marks).count().filter("count > 1").select(*marks).join(first, list(marks), "left_semi"), "twice")
+    rows = docs.withColumns(marks).join(common.bounded(gone), list(marks), "left_anti")
+    if not twice.limit(1).count():
+        return rows.select(*docs.columns)
+    once = rows.join(common.bounded(twice), list(marks), "left_semi").dropDuplicates(docs.columns)
+    return rows.join(common.bounded(twice), list(marks), "left_anti").unionByName(once).select(*docs.columns)
+
+
 def query(spark, sf_dir):
     return join(common.table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 

@@ -311,3 +311,29 @@ def query(spark, sf_dir):
     count = lambda k: F.size(F.filter(spans, lambda s: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
     found = find(common.table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[count(k) for k in BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans"))
+
+
+def base_query(spark, sf_dir):
+    """The base columns of the query, which SQL can hold it against."""
+    return query(spark, sf_dir).drop("spans")
+
+
+_found = lambda kind, place, pattern: f"""SELECT doc_id, '{kind}' AS kind, {place} AS place, ms[i] AS m, list_sum(list_transform(gs[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: len(x))), 0) AS s
+    FROM (SELECT doc_id, ms, gs, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM d))"""
+ORACLE_BASE = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+), f AS ({_found('email', 0, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+')}
+  UNION ALL {_found('ip', 1, '[0-9]+(?:[.][0-9]+)(?:[.][0-9]+)(?:[.][0-9]+)')}
+  UNION ALL {_found('card', 2, '[0-9](?:[ -]?[0-9])+')}
+  UNION ALL {_found('phone', 3, '[+][0-9][ ().0-9-]+[0-9]')}
+), g AS (SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS digits FROM f
+), v AS (
+  SELECT *, s + len(m) AS e FROM g WHERE CASE kind
+    WHEN 'ip' THEN len(list_filter(string_split(m, '.'), lambda x: len(ltrim(x, '0')) > 3 OR ('0' || ltrim(x, '0'))[:4]::INT > 255)) = 0
+    WHEN 'card' THEN len(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, len(digits) + 1), lambda i:
+      CASE WHEN i % 2 = 1 THEN substr(reverse(digits), i, 1)::INT WHEN substr(reverse(digits), i, 1)::INT > 4 THEN 2 * substr(reverse(digits), i, 1)::INT - 9 ELSE 2 * substr(reverse(digits), i, 1)::INT END)) % 10 = 0
+    WHEN 'phone' THEN len(digits) BETWEEN 10 AND 15 ELSE true END
+), a AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+  string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, place) AS listed FROM v GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone, sha256(coalesce(listed, '')) AS base_sha256 FROM d LEFT JOIN a USING (doc_id)
+"""

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
-from . import branch_bound, language_model, mixing, ngram_join, pii, quality, rp_forest, sentence_pieces, token_counts, warc
+from . import branch_bound, language_model, mixing, ngram_join, pii, pipeline, quality, rp_forest, sentence_pieces, token_counts, warc
 
 
 def queries() -> dict:
     return {
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
         "op1_rp_forest": rp_forest.query,
         "op2_quality": quality.query,
         "op3_branch_bound": branch_bound.query,
@@ -20,6 +18,7 @@ def queries() -> dict:
         "op8_mixing": mixing.query,
         "op9_ngram_join": ngram_join.query,
         "op10_warc": warc.query,
+        "pii_base_columns": pii.base_query,
     }
 
 
@@ -27,6 +26,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_branch_bound": branch_bound.ORACLE,
         "op8_mixing": mixing.ORACLE,
+        "pii_base_columns": pii.ORACLE_BASE,
         "op9_ngram_join": ngram_join.ORACLE,
         "op10_warc": warc.ORACLE,
     }

@@ -282,7 +282,11 @@ def encode(docs: DataFrame, model_file: str, threads: int = 2, verify: bool = Tr
 
 
 def decode(tokens: DataFrame, model_file: str, ids_col: str = "token_ids") -> DataFrame:
-    """tokens with `text`, decoded from their ids; null ids give null."""
+    """tokens with `text`, decoded from their ids.
+
+    Null ids give null, no ids an empty text; ids outside the model are an error; repeated rows are decoded alike; an
+    empty table gives none; a column named text is replaced, others stay.
+    """
     with open(model_file, "rb") as f:
         shared = tokens.sparkSession.sparkContext.broadcast(parse(f.read()))
     tokens = tokens.drop("text")
