@@ -1,60 +1,5 @@
-"""The corpus pipeline: quality, near duplicates, personal data, mixing, tokens."""
+"""The corpus pipeline: quality, near duplicates, personal data, mixing, tokens. Its stages are in the subpackage."""
 
-from __future__ import annotations
+from tandemsift.llm.pipeline import ORACLE_SQL, STAGES, run
 
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tandemsift.llm import common, mixing, ngram_join, pii, quality, sentence_pieces
-
-
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
-    return quality.classify(docs, common.table(spark, sf_dir, "labels")).filter("keep").select(*docs.columns)
-
-
-def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: the smallest id. Documents without words stay.
-
-    Shingles have five words and sets link at a similarity of 0.8.
-    """
-    found = ngram_join.join(docs, n=5, percent=80)
-    gone = common.stored(found.filter("n_shingles > 0 AND doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(common.bounded(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
-
-
-def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data masked in their text, and n_chars to match."""
-    return pii.masked(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
-
-
-def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    return mixing.emitted(mixing.mix(mixing.sized(docs))).select(*docs.columns)
-
-
-def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids; round_trip and parity tell whether decoding and the original library agree."""
-    return sentence_pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
-
-
-STAGES = [
-    ("quality classifier", quality_stage),
-    ("n-gram Jaccard join", near_duplicate_stage),
-    ("personal data", personal_data_stage),
-    ("mixing sources", mixing_stage),
-    ("SentencePiece tokens", token_stage),
-]
-
-#: Trained classifiers and tokens have no SQL form; tests hold each stage against a brute-force version.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage. Every stage's output is written to the shared folder and read again."""
-    docs = common.table(spark, sf_dir, "documents")
-    for place, (_, stage) in enumerate(STAGES):
-        done = stage(spark, docs, sf_dir)
-        docs = done if place == len(STAGES) - 1 else common.stored(done, f"stage-{place}")
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
