@@ -99,7 +99,8 @@ def emitted(mixed: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(sized(docs).drop("text")).select("doc_id", "size", "source_size", "target", "taken")
+    sizes = common.stored(sized(docs).drop("text"), "sized")  # else words are counted again to find the ranges
+    return mix(sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE = r"""
