@@ -243,24 +243,26 @@ def entry_tracts(clips: DataFrame, reach: int = 5, least_bp: int = 12, purity: f
     starts = F.filter(steps, lambda x: (x >= 0) & (x <= size) & F.col("entry").between(0, size))
     bases = letters(F.upper("oriented_clip"))
 
-    def longest(start: Column, way: Column) -> Column:
-        """Length and agreeing bases of the longest good stretch from a start."""
-        unit = F.length(way)
+    def hits_before(way: Column) -> Column:
+        """For each place in the clip how many bases before it agree with a way laid from the clip's start."""
+        laid = F.array_join(F.transform(bases, lambda base, i: F.when(base == F.substring(way, (i % F.length(way) + 1).cast("int"), F.lit(1)), "1").otherwise("0")), "")
+        once = F.transform(F.array(laid), lambda h: F.transform(F.sequence(F.lit(0), size), lambda i: F.length(F.translate(F.substring(h, F.lit(1), i), "0", ""))))
+        return F.get(once, F.lit(0))
 
-        def step(a: Column, base: Column) -> Column:
-            hits = a["hits"] + (base == F.substring(way, (a["n"] % unit + 1).cast("int"), F.lit(1))).cast("int")
-            n = a["n"] + 1
-            good = (n >= least_bp) & (hits / n >= purity) & (match * hits > mismatch * (n - hits))
-            return F.struct(n.alias("n"), hits.alias("hits"), F.when(good, F.struct(n.alias("bp"), hits.alias("same"))).otherwise(a["best"]).alias("best"))
+    def longest(start: Column, before: Column) -> Column:
+        """Length and agreeing bases of the longest good stretch from a start; all rotations are ways, so each is laid somewhere."""
 
-        none = F.lit(None).cast("struct<bp:int,same:int>")
-        return F.aggregate(F.slice(bases, start + 1, size), F.struct(F.lit(0).alias("n"), F.lit(0).alias("hits"), none.alias("best")), step, lambda a: a["best"])
+        def stretch(end: Column) -> Column:
+            n, hits = end - start, F.get(before, end) - F.get(before, start)
+            return F.when((hits / n >= purity) & (match * hits > mismatch * (n - hits)), F.struct(n.alias("bp"), hits.alias("same")))
+
+        return F.when(start + least_bp <= size, F.array_max(F.transform(F.sequence(start + least_bp, size), stretch)))
 
     def tract(start: Column) -> Column:
-        ways = F.filter(F.transform(motif_ways(F.col("motif")), lambda way: longest(start, way)), lambda b: b.isNotNull())
-        b = F.array_max(ways)
+        b = F.array_max(F.transform("_before", lambda before: longest(start, before)))
         return F.struct(b["bp"].alias("bp"), b["same"].alias("same"), (-F.abs(start - F.col("entry").cast("int"))).alias("near"), (-start).alias("first"))
 
+    clips = clips.withColumn("_before", F.explode(F.array(F.transform(motif_ways(F.col("motif")), hits_before))))
     found = clips.withColumn("_b", F.explode(F.array(F.array_max(F.filter(F.transform(starts, tract), lambda x: x["bp"].isNotNull())))))
     start, end = -F.col("_b.first"), -F.col("_b.first") + F.col("_b.bp")
     return found.withColumns(
@@ -268,7 +270,7 @@ def entry_tracts(clips: DataFrame, reach: int = 5, least_bp: int = 12, purity: f
             "tract_start": start, "tract_end": end, "tract_purity": F.col("_b.same") / F.col("_b.bp"), "entry_offset": start - F.col("entry").cast("int"), "reaches_end": size - end <= end_bp,
             "tract_raw_start": F.when(F.col("reverse"), F.col("raw_end") - end).otherwise(F.col("raw_start") + start), "tract_raw_end": F.when(F.col("reverse"), F.col("raw_end") - start).otherwise(F.col("raw_start") + end),
         }
-    ).drop("_b")
+    ).drop("_b", "_before")
 
 
 def compound_class(segments: DataFrame) -> DataFrame:
