@@ -13,18 +13,28 @@ CLASS = {"primary": 3, "supplementary": 2, "secondary": 1}
 
 
 def alignment_target_candidates(blocks: DataFrame, targets: DataFrame, within: int = 49) -> DataFrame:
-    """Per alignment and target: overlap over all blocks, least distance, blocks that support it, basis."""
-    pairs = interval_join(blocks, targets, ("chrom", "block_start", "block_end"), ("chrom", "start_pos", "end_pos"), within=within)
-    found = pairs.groupBy("read_id", "ordinal", *TARGET).agg(
-        F.sum("overlap_bp").alias("target_overlap_bp"), F.min("distance_bp").alias("target_distance_bp"), F.count_distinct("block_index").alias("supporting_block_count")
+    """Per alignment and target: overlap over all blocks, least distance, blocks that support it, basis.
+
+    An alignment's blocks have an index each, so a pair of a block and a target is one row. Pairs are dealt out by
+    read once; what follows for a read needs no other shuffle of them.
+    """
+    pairs = interval_join(blocks.select("read_id", "ordinal", "chrom", "block_start", "block_end"), targets.select(*TARGET, "chrom", "start_pos", "end_pos"), ("chrom", "block_start", "block_end"), ("chrom", "start_pos", "end_pos"), within=within)
+    dealt = pairs.select("read_id", "ordinal", *TARGET, "overlap_bp", "distance_bp").repartition("read_id")
+    found = dealt.groupBy("read_id", "ordinal", *TARGET).agg(
+        F.sum("overlap_bp").alias("target_overlap_bp"), F.min("distance_bp").alias("target_distance_bp"), F.count("*").alias("supporting_block_count")
     )
     return found.withColumn("candidate_basis", F.when(F.col("target_overlap_bp") > 0, "EXACT_OVERLAP").otherwise("PROXIMAL"))
 
 
 def read_target_candidates(candidates: DataFrame, alignments: DataFrame) -> DataFrame:
-    """Per read and target the best alignment by overlap, distance, class and quality; ties to the lowest ordinal."""
-    classes = alignments.select("read_id", "ordinal", "alignment_class", "mapq", "strand")
-    rows = candidates.join(classes, ["read_id", "ordinal"])
+    """Per read and target the best alignment by overlap, distance, class and quality; ties to the lowest ordinal.
+
+    A read's alignments, which are few, are brought to its candidates as one array, so that these stay where they are.
+    """
+    own = F.collect_list(F.struct("ordinal", "alignment_class", "mapq", "strand"))
+    rows = candidates.join(alignments.groupBy("read_id").agg(own.alias("_all")), "read_id")
+    rows = rows.withColumn("_a", F.get(F.filter("_all", lambda x: x["ordinal"] == F.col("ordinal")), F.lit(0))).filter(F.col("_a").isNotNull())
+    rows = rows.select(*candidates.columns, "_a.alignment_class", "_a.mapq", "_a.strand")
     priority = F.coalesce(*[F.when(F.col("alignment_class") == c, F.lit(p)) for c, p in CLASS.items()], F.lit(0))
     rows = rows.withColumn("class_priority", priority)
     order = F.struct((F.col("target_overlap_bp") > 0).cast("int"), "target_overlap_bp", -F.col("target_distance_bp"), "class_priority", "mapq", -F.col("ordinal"))

@@ -87,35 +87,41 @@ def catalog_hypotheses(consensus: DataFrame, catalog: DataFrame, least: float =
     return first.unionByName(denovo).withColumn("rank", F.row_number().over(order)).drop("_place")
 
 
+def agreeing(expected: Column, unit: Column | int, phase: Column) -> Column:
+    """A text of 1 for each base of `_l` that agrees with the letters laid from a phase, and 0 for each other."""
+    hit = lambda base, i: F.when(base == F.get(expected, ((i + phase) % unit).cast("int")), "1").otherwise("0")
+    return F.array_join(F.transform("_l", hit), "")
+
+
 def by_phase(motif: str) -> Column:
-    """For each phase of a motif the array that tells which bases of `_l` agree with it."""
+    """For each phase of a motif the text that tells which bases of `_l` agree with it."""
     expected = F.array(*[F.lit(b) for b in motif])
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(len(motif) - 1)),
-        lambda phase: F.transform("_l", lambda base, i: F.coalesce(base == F.get(expected, ((i + phase) % len(motif)).cast("int")), F.lit(False))),
-    )
+    return F.transform(F.sequence(F.lit(0), F.lit(len(motif) - 1)), lambda phase: agreeing(expected, len(motif), phase))
 
 
 def longest_run(hits: Column) -> Column:
-    def step(a: Column, hit: Column) -> Column:
-        run = F.when(hit, a["run"] + 1).otherwise(0)
-        return F.struct(run.alias("run"), F.greatest(a["most"], run).alias("most"))
-
-    return F.aggregate(hits, F.struct(F.lit(0).alias("run"), F.lit(0).alias("most")), step, lambda a: a["most"])
+    return F.coalesce(F.array_max(F.transform(F.regexp_extract_all(hits, F.lit("1+"), F.lit(0)), F.length)), F.lit(0))
 
 
 def best_stretch(hits: Column, match: int, mismatch: int) -> Column:
-    """start, end and score of the stretch with the highest score; ties to the lowest start, then the shortest."""
+    """start, end and score of the stretch with the highest score; ties to the lowest start, then the shortest.
+
+    A best stretch starts and ends with a run of hits, so one pass over the runs is enough; without any hit it is the
+    first base.
+    """
 
-    def step(a: Column, hit: Column) -> Column:
-        value, on = F.when(hit, match).otherwise(mismatch), a["score"] >= 0
-        score, start = F.when(on, a["score"]).otherwise(0) + value, F.when(on, a["start"]).otherwise(a["pos"])
-        better = a["best"].isNull() | (score > a["best"]["score"])
-        found = F.struct(start.alias("start"), (a["pos"] + 1).alias("end"), score.alias("score"))
-        return F.struct(score.alias("score"), start.alias("start"), (a["pos"] + 1).alias("pos"), F.when(better, found).otherwise(a["best"]).alias("best"))
+    def step(a: Column, run: Column) -> Column:
+        hit, n = F.startswith(run, F.lit("1")), F.length(run)
+        value, fresh = F.when(hit, match * n).otherwise(mismatch * n), a["score"] < 0
+        score, start, end = F.when(fresh, value).otherwise(a["score"] + value), F.when(fresh, a["pos"]).otherwise(a["start"]), a["pos"] + n
+        better = hit & (a["best"].isNull() | (score > a["best"]["score"]))
+        found = F.struct(start.alias("start"), end.alias("end"), score.alias("score"))
+        return F.struct(score.alias("score"), start.alias("start"), end.alias("pos"), F.when(better, found).otherwise(a["best"]).alias("best"))
 
-    none = F.lit(None).cast("struct<start:int,end:int,score:int>")
-    return F.aggregate(hits, F.struct(F.lit(0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("pos"), none.alias("best")), step, lambda a: a["best"])
+    kind = "struct<start:int,end:int,score:int>"
+    none, first = F.lit(None).cast(kind), F.struct(F.lit(0).alias("start"), F.lit(1).alias("end"), F.lit(mismatch).alias("score"))
+    runs = F.regexp_extract_all(hits, F.lit("1+|0+"), F.lit(0))
+    return F.aggregate(runs, F.struct(F.lit(0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("pos"), none.alias("best")), step, lambda a: F.coalesce(a["best"], first))
 
 
 def exact_runs(reads: DataFrame, motif: str) -> DataFrame:
@@ -138,7 +144,7 @@ def segment_scan(reads: DataFrame, motif: str, match: int = 2, mismatch: int = -
 
 
 def laid(reads: DataFrame, motifs: DataFrame) -> DataFrame:
-    """reads joined with motifs[read_id, motif, strand], per phase: hits, whether each base agrees with the motif.
+    """reads joined with motifs[read_id, motif, strand], per phase: hits, a text of 1 for each base that agrees with the motif.
 
     On strand - the motif's reverse complement is laid. Repeated, empty and null motifs, and such as have symbols
     outside the IUPAC codes, add nothing.
@@ -147,7 +153,7 @@ def laid(reads: DataFrame, motifs: DataFrame) -> DataFrame:
     unit = F.when(F.col("strand") == "-", reverse_complement(F.col("motif"))).otherwise(F.when(reverse_complement(F.col("motif")).isNotNull(), F.col("motif")))
     rows = reads.select(READ, letters(F.upper("seq")).alias("_l")).join(named, READ).withColumn("_unit", letters(unit)).filter("_unit IS NOT NULL")
     rows = rows.withColumn("phase", F.explode(F.sequence(F.lit(0), F.size("_unit") - 1)))
-    hits = F.transform("_l", lambda base, i: F.coalesce(base == F.get("_unit", ((i + F.col("phase")) % F.size("_unit")).cast("int")), F.lit(False)))
+    hits = agreeing(F.col("_unit"), F.size("_unit"), F.col("phase"))
     return rows.select(READ, "motif", "strand", "phase", F.explode(F.array(hits)).alias("hits"))
 
 
@@ -158,7 +164,7 @@ def exact_runs_by_motif(reads: DataFrame, motifs: DataFrame) -> DataFrame:
 
 def segment_scan_by_motif(reads: DataFrame, motifs: DataFrame, match: int = 2, mismatch: int = -3) -> DataFrame:
     """Per read, motif, strand and phase: the best-scoring stretch, as segment_scan; none for an empty read."""
-    rows = laid(reads, motifs).filter(F.size("hits") > 0)
+    rows = laid(reads, motifs).filter("hits <> ''")
     best = F.explode(F.array(best_stretch(F.col("hits"), match, mismatch))).alias("b")
     return rows.select(READ, "motif", "strand", "phase", best).select(READ, "motif", "strand", "phase", "b.*")
 

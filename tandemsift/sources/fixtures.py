@@ -5,9 +5,8 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..operators.intervals import interval_join
+from ..operators.assignment import alignment_target_candidates
 
 BASES = "'0123456789abcdef', 'ACGTACGTACGTACGT'"
 MOTIF = "CASE {} % 6 WHEN 0 THEN 'CAG' WHEN 1 THEN 'AAG' WHEN 2 THEN 'GCC' WHEN 3 THEN 'AT' WHEN 4 THEN 'A' ELSE 'CCTG' END"
@@ -37,10 +36,7 @@ REFERRED = re.compile(r"\b(FROM|JOIN) (\w+)")
 
 def candidates(blocks: DataFrame, targets: DataFrame) -> DataFrame:
     """The candidates view by bins: targets that a read's blocks overlap or come within 50 bases of."""
-    near = interval_join(blocks, targets, ("chrom", "block_start", "block_end"), ("chrom", "start_pos", "end_pos"), within=49)
-    return near.groupBy("read_id", "ordinal", "target_source", "target_region_id").agg(
-        F.sum("overlap_bp").alias("target_overlap_bp"), F.min("distance_bp").alias("target_distance_bp"), F.count_distinct("block_index").alias("supporting_block_count")
-    )
+    return alignment_target_candidates(blocks, targets).drop("candidate_basis")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
