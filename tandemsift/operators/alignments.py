@@ -51,14 +51,20 @@ def cigar_ops(alignments: DataFrame) -> DataFrame:
     return with_ops(alignments).select("*", F.posexplode("_ops").alias("op_index", "_op")).select("*", "_op.*").drop("_op", "_ops")
 
 
+def with_positions(alignments: DataFrame) -> DataFrame:
+    """alignments with `_at`, the array of operations with the offsets at which they start (op, op_len, ref, query).
+
+    Worked out before a join with targets, it is worked out once for all targets of an alignment.
+    """
+    kind = "array<struct<op:string,op_len:int,ref:bigint,query:bigint>>"
+    more = lambda a, op, n: {"all": F.concat(a["all"], F.array(F.struct(op.alias("op"), n.alias("op_len"), a["ref"].alias("ref"), a["query"].alias("query"))))}
+    return with_ops(alignments).withColumn("_at", walked({"all": F.array().cast(kind)}, more)["all"]).drop("_ops")
+
+
 def cigar_positions(alignments: DataFrame) -> DataFrame:
     """Operations with the reference and query offsets at which they start."""
-    kind = "array<struct<op:string,op_len:int,ref_offset:bigint,query_offset:bigint>>"
-    all_ = walked(
-        {"all": F.array().cast(kind)},
-        lambda a, op, n: {"all": F.concat(a["all"], F.array(F.struct(op.alias("op"), n.alias("op_len"), a["ref"].alias("ref_offset"), a["query"].alias("query_offset"))))},
-    )["all"]
-    rows = with_ops(alignments).select("*", F.posexplode(all_).alias("op_index", "_op")).select("*", "_op.*").drop("_op", "_ops")
+    rows = with_positions(alignments).select("*", F.posexplode("_at").alias("op_index", "_op")).drop("_at")
+    rows = rows.withColumns({"op": F.col("_op.op"), "op_len": F.col("_op.op_len"), "ref_offset": F.col("_op.ref"), "query_offset": F.col("_op.query")}).drop("_op")
     return rows.withColumn("op_ref_start", F.col("ref_start") + F.col("ref_offset"))
 
 
@@ -138,19 +144,23 @@ def project_boundary(alignments: DataFrame, boundary: str) -> DataFrame:
 
 
 def project_interval(pairs: DataFrame) -> DataFrame:
-    """pairs[alignment columns, start_pos, end_pos] -> query span of the aligned and inserted pieces in the interval."""
+    """pairs[alignment columns, start_pos, end_pos] -> query span of the aligned and inserted pieces in the interval.
+
+    The alignments may have been through with_positions().
+    """
+    rows = pairs if "_at" in pairs.columns else with_positions(pairs)
     low, high = F.col("start_pos") - F.col("ref_start"), F.col("end_pos") - F.col("ref_start")
-    none = F.lit(None).cast("long")
 
-    def step(a: Column, op: Column, n: Column) -> dict[str, Column]:
-        first, last = F.greatest(a["ref"], low), F.least(a["ref"] + n, high)
-        matched, inserted = op.isin(*MATCH) & (last > first), (op == "I") & a["ref"].between(low, high)
-        start = F.when(matched, a["query"] + first - a["ref"]).when(inserted, a["query"])
-        end = F.when(matched, a["query"] + last - a["ref"]).when(inserted, a["query"] + n)
-        return {"start": F.least(a["start"], start.cast("long")), "end": F.greatest(a["end"], end.cast("long"))}
+    def ends(matched: Callable[[Column], Column], inserted: Callable[[Column], Column]) -> Column:
+        def piece(x: Column) -> Column:
+            inside = x["op"].isin(*MATCH) & (x["ref"] < high) & (x["ref"] + x["op_len"] > low) & (low < high)
+            return F.when(inside, x["query"] - x["ref"] + matched(x)).when((x["op"] == "I") & x["ref"].between(low, high), x["query"] + inserted(x))
+
+        return F.transform("_at", piece)
 
-    rows = with_ops(pairs).select(*KEY, "target_region_id", walked({"start": none, "end": none}, step).alias("w"))
-    return rows.select(*KEY, "target_region_id", F.col("w.start").alias("query_start"), F.col("w.end").alias("query_end"))
+    start = F.array_min(ends(lambda x: F.greatest(x["ref"], low), lambda x: F.lit(0)))
+    end = F.array_max(ends(lambda x: F.least(x["ref"] + x["op_len"], high), lambda x: x["op_len"]))
+    return rows.select(*KEY, "target_region_id", start.cast("long").alias("query_start"), end.cast("long").alias("query_end"))
 
 
 def orient(start, end, length, reverse, hard_left):
@@ -160,15 +170,16 @@ def orient(start, end, length, reverse, hard_left):
 
 
 def anchor_bases(pairs: DataFrame, window: int = 100) -> DataFrame:
-    """Aligned bases within the windows left and right of a target, for alignments that have any aligned bases."""
-    zero = F.lit(0).cast("long")
+    """Aligned bases within the windows left and right of a target, for alignments that have any aligned bases.
 
-    def step(a: Column, op: Column, n: Column) -> dict[str, Column]:
-        start = F.col("ref_start") + a["ref"]
-        size = lambda low, high: F.when(op.isin(*MATCH), overlap(start, start + n, low, high)).otherwise(0).cast("long")
-        left = size(F.greatest(F.lit(0), F.col("start_pos") - window), F.col("start_pos"))
-        return {"left": a["left"] + left, "right": a["right"] + size(F.col("end_pos"), F.col("end_pos") + window)}
-
-    rows = with_ops(pairs).filter(F.exists("_ops", lambda x: x["op"].isin(*MATCH)))
-    found = rows.select(*KEY, "target_region_id", walked({"left": zero, "right": zero}, step).alias("w"))
-    return found.select(*KEY, "target_region_id", F.col("w.left").alias("left_anchor_bp"), F.col("w.right").alias("right_anchor_bp"))
+    The alignments may have been through with_positions().
+    """
+    rows = (pairs if "_at" in pairs.columns else with_positions(pairs)).filter(F.exists("_at", lambda x: x["op"].isin(*MATCH)))
+
+    def within(low: Column, high: Column) -> Column:
+        start = lambda x: F.col("ref_start") + x["ref"]
+        shared = lambda x: F.when(x["op"].isin(*MATCH), overlap(start(x), start(x) + x["op_len"], low, high)).otherwise(0)
+        return F.aggregate("_at", F.lit(0).cast("long"), lambda a, x: a + shared(x))
+
+    left = within(F.greatest(F.lit(0), F.col("start_pos") - window), F.col("start_pos"))
+    return rows.select(*KEY, "target_region_id", left.alias("left_anchor_bp"), within(F.col("end_pos"), F.col("end_pos") + window).alias("right_anchor_bp"))

@@ -212,3 +212,16 @@ def test_labels_and_entry_tracts_are_those_of_plain_loops(spark):
         raw = (end - stop, end - start) if turned else (10 + start, 10 + stop)
         assert (r.tract_start, r.tract_end, r.entry_offset, r.reaches_end, r.tract_raw_start, r.tract_raw_end) == (start, stop, start - e, len(seq) - stop <= 10, *raw)
         assert r.tract_purity == pytest.approx(best[1] / best[0])
+
+
+def test_projections_before_and_after_a_join_agree(spark):
+    rows = [(1, 1, "c", 100, "3H5S20M2I20=1X4D30M6S"), (2, 1, "c", 100, "10M50N10M"), (3, 1, "c", 100, "5S"), (4, 1, "c", 100, "9Q")]
+    spans = [(i, f"T{i}", s, e) for i, (s, e) in enumerate([(90, 105), (118, 125), (120, 120), (141, 143), (100, 175), (500, 600)])]
+    table = spark.createDataFrame(rows, "read_id long, ordinal int, chrom string, ref_start long, cigar string")
+    targets = spark.createDataFrame(spans, "i long, target_region_id string, start_pos long, end_pos long").drop("i")
+    for operator in (al.project_interval, al.anchor_bases):
+        after = sorted(map(tuple, operator(table.crossJoin(targets)).collect()), key=str)
+        assert after == sorted(map(tuple, operator(al.with_positions(table).crossJoin(targets)).collect()), key=str)
+    got = {(r.read_id, r.target_region_id): (r.query_start, r.query_end) for r in al.project_interval(table.crossJoin(targets)).collect()}
+    assert got[1, "T0"] == (5, 10) and got[1, "T1"] == (23, 32) and got[1, "T2"] == (25, 27) and got[1, "T3"] == (None, None) and got[1, "T4"] == (5, 78)
+    assert got[2, "T1"] == (None, None) and got[2, "T4"] == (0, 20) and got[3, "T4"] == (None, None) and (4, "T0") not in got
