@@ -451,11 +451,14 @@ def survivors(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     empty table gives none; columns named _row and _other are this function's own.
     """
     marks = {"_row": F.xxhash64(*docs.columns), "_other": F.xxhash64(F.lit("other"), *docs.columns)}
+    spark, mark = docs.sparkSession, common.mark()
     found = common.stored(join(docs.withColumns(marks), n, percent, carry=list(marks)).filter("n_shingles > 0").select("doc_id", "component", *marks), "components")
+    common.clean(spark, mark, found)  # what the join stored isn't read any more
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *marks)
     first = found.groupBy("component").agg(F.min(order).alias("o")).select(*[F.col(f"o.{c}").alias(c) for c in marks])
     gone = common.stored(found.select(*marks).join(first, list(marks), "left_anti").distinct(), "gone")
     twice = common.stored(found.groupBy(*marks).count().filter("count > 1").select(*marks).join(first, list(marks), "left_semi"), "twice")
+    common.remove(found, spark)
     rows = docs.withColumns(marks).join(common.bounded(gone), list(marks), "left_anti")
     if not twice.limit(1).count():
         return rows.select(*docs.columns)
