@@ -119,6 +119,15 @@ def asking(q: np.ndarray, longest: float) -> np.ndarray:
     return np.c_[q * (longest / np.linalg.norm(q, axis=1))[:, None], np.zeros(len(q))]
 
 
+def leaf_bounds(forest: Forest, margins: np.ndarray) -> np.ndarray:
+    """Of each query (a row of margins) the place of every leaf in the queue: search() visits leaves in this order."""
+    nodes, leaves = np.full((len(forest.normals), len(margins)), -np.inf), np.full((forest.leaves, len(margins)), -np.inf)
+    for node, sides in enumerate(forest.children.tolist()):  # a node comes before its children
+        for child, margin in zip(sides, (margins[:, node], -margins[:, node]), strict=True):
+            (nodes if child >= 0 else leaves)[child if child >= 0 else -1 - child] = np.maximum(nodes[node], margin)
+    return leaves.T
+
+
 def share_needed(forest: Forest, x: np.ndarray, longest: float, k: int, recall: float) -> float:
     """How many rows, as a share of all, a query's leaves must hold in all to have `recall` of its k nearest.
 
@@ -133,10 +142,9 @@ def share_needed(forest: Forest, x: np.ndarray, longest: float, k: int, recall:
     truth = np.argpartition(-score, k - 1, axis=1)[:, :k]
     leaves = leaves_of(forest, x)
     sizes = np.bincount(leaves.ravel(), minlength=forest.leaves)
-    margins = asking(q, longest) @ forest.normals.T + forest.offsets
+    order = np.argsort(leaf_bounds(forest, asking(q, longest) @ forest.normals.T + forest.offsets), axis=1, kind="stable")
     need = np.empty((len(q), k))
-    for i in range(len(q)):
-        visited = np.array(search(forest, margins[i].tolist(), sizes.tolist(), np.inf))
+    for i, visited in enumerate(order):
         before = np.empty(forest.leaves)
         before[visited] = np.cumsum(sizes[visited]) - sizes[visited]
         need[i] = before[leaves[:, truth[i]]].min(axis=0)

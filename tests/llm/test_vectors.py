@@ -138,3 +138,14 @@ def test_rerank_with_many_ties_keeps_the_smallest_ids(monkeypatch):
     for i, own in enumerate([6, 1]):
         want = sorted((-float(x[j] @ x[i] * 2), int(ids[j])) for j in range(400) if ids[j] != own)[:20]
         assert got[i].tolist() == [j for _, j in want] and scores[i].tolist() == [-s for s, _ in want]
+
+
+def test_leaf_bounds_give_the_order_of_the_search():
+    rng = np.random.default_rng(12)
+    x = rp_forest.lifted(rng.normal(size=(900, 6)), 9.0)
+    forest = rp_forest.build(x, 4, 20)
+    sizes = np.bincount(rp_forest.leaves_of(forest, x).ravel(), minlength=forest.leaves).tolist()
+    margins = rp_forest.asking(rng.normal(size=(15, 6)), 9.0) @ forest.normals.T + forest.offsets
+    for bounds, own in zip(rp_forest.leaf_bounds(forest, margins), margins, strict=True):
+        found = rp_forest.search(forest, own.tolist(), sizes, np.inf)
+        assert sorted(found) == list(range(forest.leaves)) and (np.diff(bounds[found]) >= 0).all()
