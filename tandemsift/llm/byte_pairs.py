@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-A pre-token is an array of byte pieces in hex; ranked merges are folded over it, with a rank map that stands in the plan
-as a literal. Every distinct word of high count is folded once and kept in a second literal; the others are folded where
+A pre-token is a string with a character for each byte; ranked merges are folded over it, with a rank map that stands in
+the plan as a literal. Every distinct word of high count is folded once and kept in a second literal; the others are folded where
 they stand. Nothing runs in Python, and no text or word is shuffled but for the count of distinct words.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ from . import common
 SPACES = r"\x09-\x0D\x20\x85\xA0  -     　"
 #: Distinct words kept in the plan at most, the longest in bytes, and hash buckets of the two maps.
 KEPT, LONGEST, WORD_BUCKETS, RANK_BUCKETS = 1 << 17, 64, 1 << 14, 1 << 13
+#: The character of rank 0: from here on characters take four bytes, and there is room for 900,000 ranks.
+BASE = 0x20000
 #: Steps of an octave of word counts, to find the least count of the words that are kept.
 STEPS = 8
 
@@ -67,52 +69,65 @@ def hashed_map(entries: DataFrame, buckets: int) -> Callable[[Column], Column]:
 
 
 class Ranks:
-    """The ranks of a file as literals, with the fold over one word."""
+    """The ranks of a file as literals, with the fold over one word.
+
+    A piece is one character, BASE and its rank, and a word's bytes are a string of such characters. All are four bytes
+    wide in UTF-8, so they sort by rank and a merge is a replacement of two characters by one, from the left.
+    """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         ranks = load_ranks(path)
-        self.size = len(ranks)
-        rows = [(token.hex().upper(), rank) for token, rank in ranks.items() if len(token) > 1]
-        self.rank_of = hashed_map(spark.createDataFrame(rows, "key string, value int"), RANK_BUCKETS)
+        self.size, self.widest = len(ranks), max(map(len, ranks))
+        rows = [(token.decode("latin-1"), symbols((rank, *split(token, ranks)))) for token, rank in ranks.items() if len(token) > 1]
+        self.merge_of = hashed_map(spark.createDataFrame(rows, "key string, value string"), RANK_BUCKETS)
+        self.single = symbols(ranks[bytes([b])] for b in range(256))
         by_rank = sorted(ranks, key=ranks.get)
         self.pieces = F.from_json(F.lit(json.dumps([base64.b64encode(t).decode() for t in by_rank])), "array<binary>")
-        self.single = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<int>")
+
+    def merges(self, chars: Column) -> Column:
+        """Of a string with a character for each byte, the merges of all stretches that are pieces, lowest rank first."""
+        size = F.length(chars)
+
+        def from_place(i: Column) -> Column:
+            lengths = F.sequence(F.lit(2), F.least(F.lit(self.widest), size - i + 1))
+            found = let(F.substring(chars, i, F.lit(self.widest)), lambda rest: F.transform(lengths, lambda n: self.merge_of(F.substring(rest, F.lit(1), n))))
+            return F.filter(found, lambda m: m.isNotNull())
+
+        return F.array_sort(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), size - 1), from_place))))
 
     def fold(self, word: Column) -> Column:
-        """The ids of a word: in each step its pair of lowest rank is merged at all places, from the left where they overlap.
+        """The ids of a word: merges of the pieces in it, by rank, each at all places at once.
 
-        A step is linear in the pieces left, and there are as many as ranks that occur, the word's bytes less one at most.
+        A piece arises from one pair only, what its bytes alone come to before it: a piece that stands in a word was never
+        merged over its ends. So all merges that a word may need are those of its stretches, each is tried once, and no
+        merge makes way for another of lower rank. Lookups are linear in the word's length, replacements at most one for
+        each rank.
         """
-        kind = "array<struct<piece:string,id:int>>"
-        start = F.transform(F.regexp_extract_all(F.hex(word), F.lit(".."), F.lit(0)), lambda h: F.struct(h.alias("piece"), F.element_at(self.single, F.conv(h, 16, 10).cast("int") + 1).alias("id")))
-
-        def ranked(parts: Column) -> Column:
-            pairs = F.size(parts) - 1
-            ranks = F.zip_with(F.slice(parts, F.lit(1), pairs), F.slice(parts, F.lit(2), pairs), lambda a, b: self.rank_of(F.concat(a["piece"], b["piece"])))
-            return F.struct(parts.cast(kind).alias("parts"), ranks.alias("ranks"))
+        chars = F.decode(word.cast("binary"), "ISO-8859-1")
+        latin = "".join(map(chr, range(256)))
 
-        def merged(state: Column, least: Column) -> Column:
-            parts = state["parts"]
-            # of hits side by side every other one is taken
-            hits = F.regexp_replace(F.array_join(F.transform(state["ranks"], lambda r: F.when(r.eqNullSafe(least), "1").otherwise("0")), ""), "11", "10")
+        def folded(c: Column) -> Column:
+            start = F.translate(c, latin, self.single)
+            done = F.aggregate(self.merges(c), start, lambda s, m: F.replace(s, F.substring(m, 2, 2), F.substring(m, 1, 1)))
+            return F.when(F.length(c) == 1, start).otherwise(done)
 
-            def part(taken: Column) -> Column:
-                def new(x: Column, i: Column) -> Column:
-                    here, gone = F.get(taken, i) == "1", F.get(taken, i - 1) == "1"
-                    pair = F.struct(F.concat(x["piece"], F.get(parts, i + 1)["piece"]).alias("piece"), least.alias("id"))
-                    return F.when(here, pair).when(gone, F.lit(None)).otherwise(x)
+        return F.transform(F.split(let(chars, folded), ""), lambda c: F.ascii(c) - BASE)
 
-                return F.filter(F.transform(parts, new), lambda x: x.isNotNull())
 
-            return let(F.split(hits, ""), part)
+def symbols(ranks: Iterable[int]) -> str:
+    return "".join(chr(BASE + r) for r in ranks)
 
-        def step(state: Column, _: Column) -> Column:
-            least = F.array_min(state["ranks"])
-            return F.when(least.isNull(), state).otherwise(let(let(least, lambda m: merged(state, m)), ranked))
 
-        steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
-        done = F.aggregate(steps, let(start, ranked), step, lambda state: state["parts"]["id"])
-        return F.when(F.octet_length(word) == 1, start["id"]).otherwise(done)
+def split(token: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The two ranks whose merge gives a token: what merging its bytes by ranks below its own comes to."""
+    parts = [token[i : i + 1] for i in range(len(token))]
+    while len(parts) > 2:
+        pairs = [ranks.get(a + b, len(ranks)) for a, b in zip(parts, parts[1:])]
+        at = min(range(len(pairs)), key=pairs.__getitem__)
+        if pairs[at] >= ranks[token]:
+            raise ValueError(f"no merges of lower ranks lead to the token {token!r}")
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return [ranks[p] for p in parts]
 
 
 def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
