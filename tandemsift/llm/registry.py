@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import branch_bound, byte_pairs, language_model, merkle, mixing, ngram_join, pii, pipeline, quality, rp_forest, sentence_pieces, token_counts, warc
+from . import branch_bound, byte_pairs, language_model, merkle, mixing, ngram_join, periodic_runs, pii, pipeline, quality, rp_forest, sentence_pieces, token_counts, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op8_mixing": mixing.query,
         "op9_ngram_join": ngram_join.query,
         "op10_warc": warc.query,
+        "op11_periodic_runs": periodic_runs.query,
         "op12_byte_pairs": byte_pairs.query,
         "op13_merkle": merkle.query,
         "pii_base_columns": pii.base_query,
