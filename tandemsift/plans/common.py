@@ -10,7 +10,7 @@ from ..sources.fixtures import VIEWS, view, with_views
 def register(queries: dict, oracles: dict) -> Callable:
     """A decorator maker: the query of a name takes the named views; so does its oracle, a SELECT or WITH."""
 
-    def named(name: str, views: str, oracle: str | None = None) -> Callable:
+    def named(name: str, views: str, oracle: str | None = None, recursive: bool = False) -> Callable:
         names = views.split()
 
         def keep(f: Callable) -> Callable:
@@ -18,7 +18,7 @@ def register(queries: dict, oracles: dict) -> Callable:
             if oracle is not None:
                 made, body = [v for v in names if v in VIEWS], oracle.strip()
                 if made:
-                    body = with_views(*made) + (", " + body[5:] if body.startswith("WITH ") else " " + body)
+                    body = with_views(*made, recursive=recursive) + (", " + body[5:] if body.startswith("WITH ") else " " + body)
                 oracles[name] = body
             return f
 

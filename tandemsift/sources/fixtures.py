@@ -24,6 +24,8 @@ VIEWS = {
     "gtf_rows": "SELECT concat('chr', cast(1 + p_partkey % 5 AS varchar(32))) AS chrom, CASE p_partkey % 4 WHEN 0 THEN 'gene' WHEN 1 THEN 'exon' WHEN 2 THEN 'CDS' ELSE 'UTR' END AS feature, (p_partkey * 53) % 20000 + 1 AS start_1based, (p_partkey * 53) % 20000 + 10 + p_size AS end_1based, CASE WHEN (p_partkey % 40) < 20 THEN '+' ELSE '-' END AS strand, concat('tx', cast(p_partkey % 40 AS varchar(32))) AS transcript_id FROM part",
     # catalog entries of which some repeat the coordinates of another, with another motif
     "listed_targets": "SELECT target_region_id, chrom, start_pos, end_pos, motif FROM targets UNION ALL SELECT concat('A', target_region_id), chrom, start_pos, end_pos, CASE WHEN motif = 'CAG' THEN 'CTG' ELSE 'CAG' END FROM targets WHERE (end_pos - start_pos) % 9 = 0",
+    # tracts of a target's motif, from any phase and on both strands, with bases left out, put in and replaced; some are a read's own
+    "edited_tracts": "SELECT read_id, attempt_no, evidence_class, seg_start, seg_end, mapq, motif, span, CASE WHEN mapq % 6 = 5 THEN own WHEN read_id % 2 = 1 THEN reverse(translate(edited, 'ACGT', 'TGCA')) ELSE edited END AS tract FROM (SELECT *, CASE mapq % 6 WHEN 0 THEN u WHEN 1 THEN concat(substr(u, 1, k), substr(u, k + 2)) WHEN 2 THEN concat(substr(u, 1, k), 'T', substr(u, k + 1)) WHEN 3 THEN concat(substr(u, 1, k), 'G', substr(u, k + 2)) ELSE concat('C', substr(u, 1, k), substr(u, k + 3), 'AC') END AS edited FROM (SELECT s.*, t.motif, t.end_pos - t.start_pos AS span, cast(3 + s.read_id % 11 AS int) AS k, substr(repeat(t.motif, 60), cast(1 + s.attempt_no % 3 AS int), cast(t.end_pos - t.start_pos AS int)) AS u, substr(r.seq, cast(s.seg_start + 1 AS int), cast(s.seg_end - s.seg_start AS int)) AS own FROM segments s JOIN targets t ON s.target_region_id = t.target_region_id JOIN reads r ON r.read_id = s.read_id) q) e",
     # one call job for each read: its window around the projected target, what its flanks allow, and the target
     "jobs": "SELECT s.read_id, s.seg_start, s.seg_end, s.purity, t.target_region_id, t.target_source, t.motif, t.end_pos - t.start_pos AS span, p.strand, CASE WHEN p.mapq >= 5 THEN p.query_start END AS projected_start, CASE WHEN p.mapq >= 5 THEN p.query_end END AS projected_end, greatest(0, p.query_start - 10) AS window_start, substr(r.seq, cast(greatest(0, p.query_start - 10) + 1 AS int), cast(p.query_end - p.query_start + 20 AS int)) AS window_seq, r.seq AS seq, p.target_end - p.target_start > 40 AS meets, p.query_start >= 5 AS has_left, p.query_end <= 110 AS has_right, p.query_start % 3 > 0 AS clip, CASE WHEN p.target_start % 2 = 0 THEN 'RIGHT' ELSE 'LEFT' END AS side FROM segments s JOIN targets t ON s.target_region_id = t.target_region_id JOIN paf_rows p ON p.query_name = concat('Q', cast(s.read_id AS varchar(32))) AND p.ordinal = s.attempt_no JOIN reads r ON r.read_id = s.read_id WHERE s.attempt_no = 1",
     # alignments of eight shapes: clips of both kinds on either side, =, X, P, several skips, operations in other orders
