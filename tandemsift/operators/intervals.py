@@ -13,6 +13,8 @@ from ..functions.sequences import distance, overlap
 
 #: Bins of short intervals, the length from which an interval is long, bins of pairs with a long one, tiles of windows.
 BIN, LONG, WIDE_BIN, TILE = 512, 1 << 12, 1 << 16, 1 << 16
+#: Rows of one side in a bin beyond which the bin is split, and split bins up to which their list is broadcast.
+SPLIT, BROADCAST_BINS = 1 << 14, 1 << 17
 
 
 def _binned(df: DataFrame, start: str, end: str, bin_bp: int, pad: int) -> DataFrame:
@@ -21,45 +23,94 @@ def _binned(df: DataFrame, start: str, end: str, bin_bp: int, pad: int) -> DataF
 
 
 def interval_join(
-    a: DataFrame, b: DataFrame, a_span: tuple[str, str, str], b_span: tuple[str, str, str], within: int = 0, bin_bp: int = BIN, long_bp: int = LONG, wide_bp: int = WIDE_BIN, salt: int = 1
+    a: DataFrame, b: DataFrame, a_span: tuple[str, str, str], b_span: tuple[str, str, str], within: int = 0, bin_bp: int = BIN, long_bp: int = LONG, wide_bp: int = WIDE_BIN, split: int = SPLIT
 ) -> DataFrame:
     """Pairs of rows on one contig that overlap, or with `within` lie at most so far apart.
 
     Spans are (contig, start, end) column names, half-open; the two tables' columns differ but for the contig's.
     Both sides are dealt to bins and joined on (contig, kind, bin), where the kind tells which of both intervals
     is long: pairs of short ones meet in bins of bin_bp, others in bins of wide_bp, so that a long interval is
-    few rows. A pair that shares several bins is taken in the first. A place that very many rows of a cover is
-    dealt to `salt` parts, to each of which b's rows go. Adds overlap_bp and distance_bp.
+    few rows. A pair that shares several bins is taken in the first.
+
+    A first pass over both sides' spans alone counts the rows of each bin. Kinds that one side has no intervals for are
+    left out, and a bin with more than `split` rows of a side is a grid of cells: each side is dealt to parts of about so
+    many rows, and goes to every part of the other, so a place that any number of rows cover is many tasks' work. Adds
+    overlap_bp and distance_bp.
     """
     ac, a0, a1 = a_span
     bc, b0, b1 = b_span
     # intervals that only just come within reach share no base: one more on either side
     pad = within + 1 if within else 0
 
-    def binned(df: DataFrame, contig: str, start: str, end: str, pad: int, side: int, names: tuple[str, str, str]) -> DataFrame:
-        low, high = F.greatest(F.lit(0), F.col(start) - pad), F.col(end) + pad - 1
-
-        def ways(other_long: bool, own_long: bool) -> Column:
-            size = bin_bp if not (own_long or other_long) else wide_bp
-            kind = 2 * (own_long if side == 0 else other_long) + (other_long if side == 0 else own_long)
-            first = F.floor(low / size)
-            return F.transform(F.sequence(first, F.greatest(first, F.floor(high / size))), lambda i: F.struct(F.lit(kind).alias("kind"), first.alias("first"), i.alias("bin")))
-
-        own_long = F.col(end) - F.col(start) + 2 * pad > long_bp
-        each = F.when(own_long, F.concat(ways(False, True), ways(True, True))).otherwise(F.concat(ways(False, False), ways(True, False)))
-        return df.withColumn("_w", F.explode(each)).withColumns(dict(zip(names, (F.col("_w.kind"), F.col("_w.first"), F.col("_w.bin")), strict=True))).drop("_w")
-
-    left = binned(a, ac, a0, a1, pad, 0, ("_ka", "_fa", "_ba"))
-    right = binned(b.withColumnRenamed(bc, "_contig"), "_contig", b0, b1, 0, 1, ("_kb", "_fb", "_bb"))
+    def reach(span: tuple[str, str, str], pad: int) -> dict[str, Column]:
+        """First and last bin of both sizes, and whether the interval is long."""
+        low, high = F.greatest(F.lit(0), F.col(span[1]) - pad), F.col(span[2]) + pad - 1
+        ends = {f"_{end}{size}": F.floor(at / size) for size in (bin_bp, wide_bp) for end, at in (("low", low), ("high", high))}
+        return ends | {"_long": F.col(span[2]) - F.col(span[1]) + 2 * pad > long_bp}
+
+    def bins(side: int, r: dict[str, Column], kinds: list[int]) -> Column:
+        """(kind, first bin, bin) of an interval; of a kind's two bits the higher says that a's interval is long."""
+        own = 1 - side
+
+        def of(kind: int) -> Column:
+            size = wide_bp if kind else bin_bp
+            first = r[f"_low{size}"]
+            return F.transform(F.sequence(first, F.greatest(first, r[f"_high{size}"])), lambda i: F.struct(F.lit(kind).alias("kind"), first.alias("first"), i.alias("bin")))
+
+        def ways(long: int) -> Column:
+            wanted = [of(k) for k in kinds if k >> own & 1 == long]
+            return F.concat(*wanted) if wanted else F.array().cast("array<struct<kind:int,first:bigint,bin:bigint>>")
+
+        return F.when(r["_long"], ways(1)).otherwise(ways(0))
+
+    def counted(kinds: list[int]) -> DataFrame:
+        """Rows of both sides in each bin. Rows that reach over the same bins are counted first, then dealt to them."""
+        sides = []
+        for side, df, span, p in ((0, a, a_span, pad), (1, b, b_span, 0)):
+            r = reach(span, p)
+            alike = df.select(F.col(span[0]).alias("_contig"), *[c.alias(n) for n, c in r.items()]).groupBy("_contig", *r).count()
+            sides.append(alike.select("_contig", F.explode(bins(side, {n: F.col(n) for n in r}, kinds)).alias("w"), *[(F.col("count") if side == x else F.lit(0)).alias(f"n{o}") for x, o in enumerate("ab")]))
+        both = sides[0].unionByName(sides[1]).groupBy("_contig", F.col("w.kind").alias("_kind"), F.col("w.bin").alias("_bin"))
+        return both.agg(F.sum("na").alias("na"), F.sum("nb").alias("nb")).filter("na > 0 AND nb > 0")
+
+    counts = counted([0, 1, 2, 3])
+    crowded = (F.col("na") > split) | (F.col("nb") > split)
+    met = counts.groupBy("_kind").agg(F.count_if(crowded).alias("n")).collect()
+    kinds, split_bins = sorted(r["_kind"] for r in met) or [0], sum(r["n"] for r in met)
+    cells = None
+    if split_bins:
+        parts = lambda n: F.ceil(F.col(n) / F.lit(split)).cast("int")
+        cells = counted(kinds).filter(crowded).select(F.col("_contig").alias("_cc"), F.col("_kind").alias("_ck"), F.col("_bin").alias("_cb"), parts("na").alias("_pa"), parts("nb").alias("_pb"))
+        cells = F.broadcast(cells) if split_bins <= BROADCAST_BINS else cells
+
+    def dealt(df: DataFrame, span: tuple[str, str, str], pad: int, side: int) -> DataFrame:
+        """df by bins, and where a bin is split by cells."""
+        own, contig = "ab"[side], span[0]
+        r = reach(span, pad)
+        if len(kinds) == 1:  # plain columns
+            size = wide_bp if kinds[0] else bin_bp
+            low, high = r[f"_low{size}"], r[f"_high{size}"]
+            fits = df.filter(r["_long"] if kinds[0] >> (1 - side) & 1 else ~r["_long"])
+            found = fits.withColumns({f"_k{own}": F.lit(kinds[0]), f"_f{own}": low, f"_b{own}": F.explode(F.sequence(low, F.greatest(low, high)))})
+        else:
+            found = df.withColumn("_w", F.explode(bins(side, r, kinds)))
+            found = found.withColumns({f"_k{own}": F.col("_w.kind"), f"_f{own}": F.col("_w.first"), f"_b{own}": F.col("_w.bin")}).drop("_w")
+        if cells is None:
+            return found
+        met = found.join(cells, (F.col(contig) == F.col("_cc")) & (F.col(f"_k{own}") == F.col("_ck")) & (F.col(f"_b{own}") == F.col("_cb")), "left")
+        mine, others = (F.coalesce(c, F.lit(1)) for c in (("_pa", "_pb") if side == 0 else ("_pb", "_pa")))
+        met = met.withColumns({f"_i{own}": F.pmod(F.xxhash64(*df.columns), mine).cast("int"), f"_j{own}": F.explode(F.sequence(F.lit(0), others - 1))})
+        return met.drop("_cc", "_ck", "_cb", "_pa", "_pb")
+
+    left = dealt(a, a_span, pad, 0)
+    right = dealt(b.withColumnRenamed(bc, "_contig"), ("_contig", b0, b1), 0, 1)
     ends = [F.col(c) for c in (a0, a1, b0, b1)]
     near = (distance(*ends) <= within) if within else (overlap(*ends) > 0)
     keys = (F.col(ac) == F.col("_contig")) & (F.col("_ka") == F.col("_kb")) & (F.col("_ba") == F.col("_bb"))
-    if salt > 1:
-        left = left.withColumn("_sa", F.pmod(F.xxhash64(*a.columns), F.lit(salt)))
-        right = right.withColumn("_sb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
-        keys = keys & (F.col("_sa") == F.col("_sb"))
+    if cells is not None:
+        keys = keys & (F.col("_ia") == F.col("_jb")) & (F.col("_ja") == F.col("_ib"))
     joined = left.join(right, keys & (F.col("_ba") == F.greatest("_fa", "_fb")) & near)
-    return joined.withColumns({"overlap_bp": overlap(*ends), "distance_bp": distance(*ends)}).drop("_ka", "_fa", "_ba", "_sa", "_kb", "_fb", "_bb", "_sb", "_contig")
+    return joined.withColumns({"overlap_bp": overlap(*ends), "distance_bp": distance(*ends)}).drop("_contig", *[f"_{x}{own}" for x in "kfbij" for own in "ab"])
 
 
 def interval_filter(a: DataFrame, b: DataFrame, a_span: tuple[str, str, str], b_span: tuple[str, str, str], keep: bool, bin_bp: int = BIN) -> DataFrame:

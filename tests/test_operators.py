@@ -110,13 +110,13 @@ def test_each_read_is_scanned_for_its_own_motifs_on_both_strands(spark):
     assert (best.start, best.end, best.score) == (7, 25, 36)
 
 
-@pytest.mark.parametrize(("within", "salt"), [(0, 1), (40, 1), (0, 3)])
-def test_interval_join_of_short_and_long_intervals(spark, within, salt):
+@pytest.mark.parametrize(("within", "split"), [(0, 1 << 14), (40, 1 << 14), (0, 3), (40, 1)])
+def test_interval_join_of_short_and_long_intervals(spark, within, split):
     rng = random.Random(9)
     spans = lambda n, prefix: [(f"{prefix}{i}", rng.choice("xy"), (s := rng.randrange(200_000)), s + rng.choice([1, 30, 700, 4096, 4097, 90_000])) for i in range(n)]
     a, b = spans(150, "a"), spans(150, "b")
     left, right = spark.createDataFrame(a, "ai string, contig string, s long, e long"), spark.createDataFrame(b, "bi string, contig string, u long, v long")
-    got = [(r.ai, r.bi, r.overlap_bp, r.distance_bp) for r in iv.interval_join(left, right, ("contig", "s", "e"), ("contig", "u", "v"), within, salt=salt).collect()]
+    got = [(r.ai, r.bi, r.overlap_bp, r.distance_bp) for r in iv.interval_join(left, right, ("contig", "s", "e"), ("contig", "u", "v"), within, split=split).collect()]
     want = []
     for i, c, s, e in a:
         for j, d, u, v in b:
@@ -225,3 +225,20 @@ def test_projections_before_and_after_a_join_agree(spark):
     got = {(r.read_id, r.target_region_id): (r.query_start, r.query_end) for r in al.project_interval(table.crossJoin(targets)).collect()}
     assert got[1, "T0"] == (5, 10) and got[1, "T1"] == (23, 32) and got[1, "T2"] == (25, 27) and got[1, "T3"] == (None, None) and got[1, "T4"] == (5, 78)
     assert got[2, "T1"] == (None, None) and got[2, "T4"] == (0, 20) and got[3, "T4"] == (None, None) and (4, "T0") not in got
+
+
+def test_a_place_of_many_rows_is_dealt_to_many_tasks(spark):
+    """100,000 reads over one locus: no task of the join gets more than a few cells' rows, and no pair is lost or doubled."""
+    reads = spark.range(100_000).select(F.col("id").alias("read"), F.lit("x").alias("contig"), (5000 + F.col("id") % 40).alias("s")).withColumn("e", F.col("s") + 60)
+    loci = spark.createDataFrame([(1, "x", 5020, 5050), (2, "x", 90_000, 90_010)], "locus long, contig string, u long, v long")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(before, ("64", "-1", "false")):
+            spark.conf.set(k, v)
+        pairs = iv.interval_join(reads, loci, ("contig", "s", "e"), ("contig", "u", "v"), split=4096)
+        tasks = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == 100_000 and len(tasks) >= 15 and max(tasks) <= 6 * 4096
+        assert pairs.select("read").distinct().count() == 100_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
