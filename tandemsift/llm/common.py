@@ -137,3 +137,9 @@ def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
     )
     # one row per partition: always small enough to broadcast
     return dealt.join(F.broadcast(starts), "_part").withColumn("position", F.col("_start") + F.col("_local")).drop("_part", "_local", "_start")
+
+
+#: crc32 of a short ASCII string in an oracle, before the last inversion: eight shifts for each byte.
+CRC32 = """list_reduce(
+  list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END))"""

@@ -221,16 +221,11 @@ def query(spark, sf_dir):
     )
 
 
-#: Unsigned crc32 of a short string: eight shifts for each byte.
-CRC32 = """list_reduce(
-  list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)),
-  lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END))"""
-
 ORACLE = rf"""
 WITH RECURSIVE d AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
          dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
-         xor({CRC32.format("doc_id::VARCHAR")}, 4294967295::BIGINT) % 2 = 0 AS even
+         xor({common.CRC32.format("doc_id::VARCHAR")}, 4294967295::BIGINT) % 2 = 0 AS even
   FROM (
     SELECT *, sha256(head || coalesce(octet_length(encode(text))::VARCHAR || ':' || text, '-')) AS leaf,
            sha256(head || coalesce(octet_length(encode(replace(text, chr(10), '')))::VARCHAR || ':' || replace(text, chr(10), ''), '-')) AS stripped

@@ -347,3 +347,35 @@ def query(spark, sf_dir):
     texts, runs = find_runs(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")))
     milli = F.floor(F.lit(1000) * F.col("length") / F.col("period")).cast("long")
     return collapse(texts, runs).withColumn("exponent_milli", milli)
+
+
+#: Every word against every equal one up to a third of the text on; stretches of such pairs are islands, divisors' stretches win.
+ORACLE = rf"""
+WITH h AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         xor({common.CRC32.format("doc_id::VARCHAR")}, 4294967295::BIGINT) AS h
+  FROM documents
+), d AS (
+  SELECT *, len(ws) AS n, (h // 10) % nullif(len(ws), 0) AS a, 1 + (len(ws) - (h // 10) % nullif(len(ws), 0)) // (3 + (h // 10) % 8) AS p FROM h
+), t AS (
+  SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE ws END AS ws FROM d
+), e AS (
+  SELECT rid, n, unnest(ws) AS word, unnest(range(n)) AS i FROM t
+), g AS (
+  SELECT x.rid, y.i - x.i AS q, x.i, x.i - row_number() OVER (PARTITION BY x.rid, y.i - x.i ORDER BY x.i) AS g
+  FROM e x JOIN e y ON x.rid = y.rid AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 3
+), s AS (
+  SELECT rid, q, min(i) AS start, count(*) + q AS length FROM g GROUP BY rid, q, g HAVING count(*) + q >= greatest(24, 3 * q)
+), r AS (
+  SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.rid = s.rid AND o.q < s.q AND s.q % o.q = 0 AND o.start <= s.start AND o.start + o.length >= s.start + s.length)
+), top AS (
+  SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length / q DESC, start, q) = 1
+), lines AS (
+  SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines FROM r GROUP BY rid
+), kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS text FROM e WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.rid = e.rid AND e.i >= r.start + r.q AND e.i < r.start + r.length) GROUP BY rid
+)
+SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.start::BIGINT AS start, top.length::BIGINT AS length, top.q::BIGINT AS period, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(kept.text, '')) AS collapsed_sha256, (1000 * top.length // top.q)::BIGINT AS exponent_milli
+FROM t LEFT JOIN top USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN kept USING (rid)
+"""

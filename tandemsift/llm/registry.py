@@ -32,5 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "pii_base_columns": pii.ORACLE_BASE,
         "op9_ngram_join": ngram_join.ORACLE,
         "op10_warc": warc.ORACLE,
+        "op11_periodic_runs": periodic_runs.ORACLE,
         "op13_merkle": merkle.ORACLE,
     }
