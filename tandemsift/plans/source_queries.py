@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
-from ..sources import package, readers
+from ..sources import contract, package, readers
 from ..sources.scratch import new_folder
 from ..streaming import incremental
 from .common import register
@@ -88,6 +88,23 @@ def _(orders):
     return readers.read_tsv_contract(orders.sparkSession, folder, StructType().add("id", LongType()).add("status", StringType()).add("price", DoubleType()))
 
 
+@query(
+    "read_tsv_contract_rejects", "orders",
+    """WITH k AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 13 = 0 THEN 'Z' WHEN o_orderkey % 5 = 0 THEN '.' ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 7 = 0 THEN 'NA' WHEN o_orderkey % 11 = 0 THEN '12,5' WHEN o_orderkey % 19 = 0 THEN '-1' END AS mark, o_totalprice::DOUBLE AS price FROM orders),
+      r AS (SELECT k, 'status' AS col, 'NOT_IN_ENUM' AS reason, status AS value FROM k WHERE status = 'Z' UNION ALL SELECT k, 'price', CASE mark WHEN '-1' THEN 'BELOW_LEAST' ELSE 'NOT_NUMBER' END, mark FROM k WHERE mark IN ('-1', '12,5') UNION ALL SELECT k, 'id', 'BELOW_LEAST', k::VARCHAR FROM k WHERE k < 1)
+      SELECT k AS id, status, CASE WHEN mark IS NULL THEN price END AS price, NULL AS col, NULL AS reason, NULL AS value FROM k WHERE k NOT IN (SELECT k FROM r) UNION ALL SELECT NULL, NULL, NULL, col, reason, value FROM r""",
+)
+def _(orders):
+    """Orders written as tab-separated text with damaged cells: the rows that keep the contract and every cell that doesn't."""
+    spark, k = orders.sparkSession, F.col("o_orderkey")
+    status = F.when(k % 13 == 0, "Z").when(k % 5 == 0, ".").otherwise(F.col("o_orderstatus"))
+    price = F.when(k % 7 == 0, "NA").when(k % 11 == 0, "12,5").when(k % 19 == 0, "-1").otherwise(F.col("o_totalprice").cast("string"))
+    orders.select(k.alias("id"), status.alias("status"), price.alias("price")).write.option("sep", "\t").option("header", True).option("compression", "gzip").csv(folder := new_folder(spark, "contract"))
+    fields = [contract.Field("id", "integer", required=True, least=1), contract.Field("status", values=("F", "O", "P", "."), required=True), contract.Field("price", "number", least=0)]
+    rows, rejects = contract.read_contract(spark, folder, fields)
+    return rows.unionByName(rejects.select(F.col("column").alias("col"), "reason", "value"), allowMissingColumns=True)
+
+
 @query(
     "read_bed_targets", "targets",
     """WITH k AS (SELECT *, CAST(substr(target_region_id, 2) AS INT) AS k FROM targets), b AS (SELECT chrom, CASE WHEN k % 17 = 0 THEN 'T0' ELSE target_region_id END AS target_region_id, target_source, CASE WHEN k % 11 > 0 THEN start_pos END AS start, CASE WHEN k % 13 = 0 THEN 99999 ELSE end_pos END AS stop FROM k),

@@ -11,13 +11,21 @@ MISSING = (".", "", "NA", "None", "null", "nan")
 
 
 def read_tsv_contract(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A tab-separated table (plain or gzip) whose header must be the schema's names in order; missing marks are null."""
+    """A tab-separated table (plain or gzip) whose header must be the schema's names in order; missing marks are null.
+
+    A cell that doesn't parse fails the read; contract.read_contract gives such cells as rejects, with their places.
+    """
     header = spark.read.text(path).limit(1).first()
     if header is None or header[0].split("\t") != schema.names:
         raise ValueError(f"header of {path} isn't that of the contract")
     text = spark.read.option("sep", "\t").option("header", True).option("quote", "").schema(", ".join(f"`{n}` string" for n in schema.names)).csv(path)
-    cells = [F.when(~F.col(f.name).isin(*MISSING), F.col(f.name)).try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    return text.select(*cells)
+
+    def cell(f):
+        value = F.when(~F.col(f.name).isin(*MISSING), F.col(f.name))
+        typed = value.try_cast(f.dataType)
+        return F.when(value.isNotNull() & typed.isNull(), F.raise_error(F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), value))).otherwise(typed).alias(f.name)
+
+    return text.select(*[cell(f) for f in schema.fields])
 
 
 def read_bed_targets(spark: SparkSession, path: str, contigs: DataFrame) -> tuple[DataFrame, DataFrame]:

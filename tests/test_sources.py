@@ -12,6 +12,9 @@ def test_tsv_contract(spark, tmp_path):
     path = tmp_path / "t.tsv"
     path.write_text("id\tname\tx\n1\ta\t0.5\n2\t.\tNA\n")
     assert [tuple(r) for r in readers.read_tsv_contract(spark, str(path), SCHEMA).orderBy("id").collect()] == [(1, "a", 0.5), (2, None, None)]
+    path.write_text("id\tname\tx\n1\ta\tabc\n")
+    with pytest.raises(Exception, match="x is no double: abc"):
+        readers.read_tsv_contract(spark, str(path), SCHEMA).collect()
     path.write_text("id\tx\tname\n")
     with pytest.raises(ValueError):
         readers.read_tsv_contract(spark, str(path), SCHEMA)
