@@ -105,6 +105,23 @@ def _(orders):
     return rows.unionByName(rejects.select(F.col("column").alias("col"), "reason", "value"), allowMissingColumns=True)
 
 
+@query(
+    "read_gtf_features_counters", "gtf_rows",
+    """WITH k AS (SELECT start_1based % 7 = 0 AS comment, start_1based % 5 = 0 AS short, start_1based % 3 = 0 AS odd FROM gtf_rows)
+      SELECT unnest(['lines', 'comments', 'malformed', 'invalid', 'features']) AS metric, unnest([count(*), count(*) FILTER (comment), count(*) FILTER (NOT comment AND short), count(*) FILTER (NOT comment AND NOT short AND odd), count(*) FILTER (NOT comment AND NOT short AND NOT odd)]) AS value FROM k""",
+)
+def _(gtf):
+    """Features written as GTF lines, some of them comments, short or without a span, and the counts of the pass that reads them."""
+    spark, k = gtf.sparkSession, F.col("start_1based")
+    start = F.when(k % 3 == 0, F.when(k % 2 == 0, "x").otherwise("0")).otherwise(k.cast("string"))
+    fields = F.concat_ws("\t", "chrom", F.lit("src"), "feature", start, F.col("end_1based").cast("string"), F.lit("."), "strand", F.lit("."))
+    line = F.when(k % 7 == 0, F.concat(F.lit("#"), fields)).when(k % 5 == 0, fields).otherwise(F.concat(fields, F.lit('\ttranscript_id "'), "transcript_id", F.lit('";')))
+    gtf.select(line.alias("value")).write.text(lines := new_folder(spark, "gtf"))
+    rows, seen = readers.gtf_features_counted(spark.read.text(lines))
+    rows.write.parquet(new_folder(spark, "features"))
+    return spark.createDataFrame(list(seen.get.items()), "metric string, value long")
+
+
 @query(
     "read_bed_targets", "targets",
     """WITH k AS (SELECT *, CAST(substr(target_region_id, 2) AS INT) AS k FROM targets), b AS (SELECT chrom, CASE WHEN k % 17 = 0 THEN 'T0' ELSE target_region_id END AS target_region_id, target_source, CASE WHEN k % 11 > 0 THEN start_pos END AS start, CASE WHEN k % 13 = 0 THEN 99999 ELSE end_pos END AS stop FROM k),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -106,6 +106,21 @@ def gtf_features(lines: DataFrame) -> DataFrame:
     return rows.select(text(0).alias("chrom"), text(2).alias("feature"), (start - 1).alias("start"), end.alias("end"), text(6).alias("strand"), first_of_each(pairs).alias("attributes"), repeated.alias("repeated"))
 
 
+def gtf_features_counted(lines: DataFrame) -> tuple[DataFrame, Observation]:
+    """gtf_features(lines) and the counts of the same pass: lines, comments, malformed, invalid and features.
+
+    Malformed lines have other than nine fields, invalid ones no span of whole numbers from 1 on. The counts are there
+    once the rows were written or collected: the text is read once.
+    """
+    seen, c = Observation(), F.split("value", "\t", -1)
+    comment, nine = F.startswith("value", F.lit("#")), F.size(c) == 9
+    start, end = (F.get(c, F.lit(i)).try_cast("long") for i in (3, 4))
+    spans = F.coalesce((start >= 1) & (end >= start), F.lit(False))
+    kinds = {"comments": comment, "malformed": ~comment & ~nine, "invalid": ~comment & nine & ~spans, "features": ~comment & nine & spans}
+    counted = lines.observe(seen, F.count(F.lit(1)).alias("lines"), *[F.count_if(F.coalesce(k, F.lit(False))).alias(n) for n, k in kinds.items()])
+    return gtf_features(counted), seen
+
+
 def pivot_key_values(records: DataFrame, keys: list[str]) -> DataFrame:
     """record_index, key, value triples -> one row for each index with the known keys as columns."""
     return records.groupBy("record_index").pivot("key", keys).agg(F.min("value"))

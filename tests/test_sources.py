@@ -78,3 +78,11 @@ def test_rows_repeated_within_a_run_count_once(spark, tmp_path):
     spark.createDataFrame([(1, "b", 0.0), (1, "a", 2.0), (2, None, None), (2, None, None)], SCHEMA).write.parquet(source)
     incremental.incremental_evidence(spark, source, SCHEMA, output, checkpoint, "id", lambda df: df).awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(output).collect())) == [(1, "a", 2.0), (2, None, None)]
+
+
+def test_gtf_counters_are_those_of_the_pass_that_reads(spark):
+    good = 'chr1\tsrc\texon\t3\t9\t.\t+\t.\tgene_id "g";'
+    lines = [good, good, "#" + good, "# only", "", "chr1\tsrc", good + "\tmore", good.replace("\t3\t", "\tx\t"), good.replace("\t3\t", "\t0\t"), good.replace("\t9\t", "\t2\t"), None]
+    rows, seen = readers.gtf_features_counted(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert rows.count() == 2
+    assert seen.get == {"lines": 11, "comments": 2, "malformed": 3, "invalid": 3, "features": 2}
