@@ -6,6 +6,7 @@ DataFrame functions only; nothing is shuffled but counts of vote patterns and fe
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -87,6 +88,8 @@ CONTEXT = {
 LABELERS = ("format", "check", "gazetteer", "context", "edges")
 FEATURES = ("check", "gazetteer", "length", "digits", "left", "right")
 ROUNDS = 12
+#: Values of a tile of a scan, pieces that are cut out of one stretch of text, and a place past every text.
+TILE, PIECES, FAR = 64, 512, (1 << 31) - 1
 
 
 def digits_of(match: Column) -> Column:
@@ -118,32 +121,49 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once: functions of arrays would work it out at each place that names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def scan(values: Column, op: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """Running results of op over an array of whole numbers, by tiles: a growing array is copied at each step, so none may be long.
+
+    A tile has TILE values; the results of whole tiles are scanned likewise, two levels up at most, so the time is
+    linear in the values up to TILE ** 3 of them and beyond that still far from quadratic in a text's length.
+    """
+    last = lambda a: F.get(a, F.size(a) - 1)
+    grown = lambda a: F.aggregate(a, F.array().cast("array<int>"), lambda acc, v: F.concat(acc, F.array(F.coalesce(op(last(acc), v), v))))
+    if not levels:
+        return grown(values)
+
+    def tiled(a: Column) -> Column:
+        tiles = F.transform(F.sequence(F.lit(0), F.size(a) - 1, F.lit(TILE)), lambda i: grown(F.slice(a, i + 1, TILE)))
+        return let(tiles, joined)
+
+    def joined(tiles: Column) -> Column:
+        before = scan(F.transform(tiles, last), op, levels - 1)
+        return let(before, lambda b: F.flatten(F.transform(tiles, lambda t, i: F.transform(t, lambda v: F.when(i == 0, v).otherwise(op(F.get(b, i - 1), v))))))
+
+    return let(values, lambda a: F.when(F.size(a) <= TILE, grown(a)).otherwise(tiled(a)))
+
+
 def matches(text: Column, kind: str, pattern: str, base: bool, test: Column, lists: dict[str, list[str]]) -> Column:
-    """Leftmost matches as structs. Places come from the lengths of the matches and of the gaps between."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    ends = F.aggregate(
-        F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("m"))),
-        F.array().cast("array<struct<s:int,e:int>>"),
-        lambda acc, x: F.concat(
-            acc,
-            F.array(
-                (lambda at: F.struct((at + x["g"]).alias("s"), (at + x["g"] + x["m"]).alias("e")))(
-                    F.coalesce(F.get(acc, F.size(acc) - 1)["e"], F.lit(0))
-                )
-            ),
-        ),
-    )
-    spans = F.transform(
-        F.arrays_zip(found.alias("m"), ends.alias("p"), F.slice(gaps, 1, F.size(found)).alias("l"), F.slice(gaps, 2, F.size(found)).alias("r")),
-        lambda x: (lambda ok: F.struct(
+    """Leftmost matches as structs. Places come from the lengths of the matches and of the gaps between, in linear time."""
+
+    def spans(found: Column, gaps: Column) -> Column:
+        ends = scan(F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.length(g) + F.length(m)), lambda a, x: a + x)
+        rows = F.arrays_zip(found.alias("m"), ends.alias("e"), F.slice(gaps, 1, F.size(found)).alias("l"), F.slice(gaps, 2, F.size(found)).alias("r"))
+        return F.transform(rows, lambda x: let(valid(kind, x["m"]) if base else F.lit(True), lambda ok: F.struct(
             F.lit(kind).alias("kind"),
-            x["p"]["s"].alias("start"),
-            x["p"]["e"].alias("end"),
+            (x["e"] - F.length(x["m"])).alias("start"),
+            x["e"].alias("end"),
             (ok & F.lit(base)).alias("base"),
             *signals(kind, x["m"], x["l"], x["r"], ok, base, lists),
-        ))(valid(kind, x["m"]) if base else F.lit(True)),
-    )
-    return F.when(test, spans).otherwise(F.array().cast(SPAN))
+        )))
+
+    some = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: let(F.split(text, pattern, -1), lambda gaps: spans(found, gaps)))
+    return F.when(test, some).otherwise(F.array().cast(SPAN))
 
 
 def signals(kind: str, match: Column, left: Column, right: Column, ok: Column, base: bool, lists: dict[str, list[str]]) -> list[Column]:
@@ -186,9 +206,15 @@ def candidates(text: Column, lists: dict[str, list[str]] = GAZETTEERS) -> Column
 
 
 def apart(spans: Column) -> Column:
-    """Spans without added ones that meet a base span."""
-    base = F.filter(spans, lambda s: s["base"])
-    return F.filter(spans, lambda s: s["base"] | ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    """Sorted spans without added ones that meet a base span: one that reaches past their start, or starts before their end."""
+
+    def left(s: Column) -> Column:
+        reached = scan(F.transform(s, lambda x: F.when(x["base"], x["end"]).otherwise(0)), F.greatest)
+        coming = F.reverse(scan(F.reverse(F.transform(s, lambda x: F.when(x["base"], x["start"]).otherwise(FAR))), F.least))
+        rows = F.arrays_zip(s.alias("s"), reached.alias("r"), coming.alias("c"))
+        return F.transform(F.filter(rows, lambda x: x["s"]["base"] | ((x["r"] <= x["s"]["start"]) & (x["c"] >= x["s"]["end"]))), lambda x: x["s"])
+
+    return let(spans, left)
 
 
 def number(x: float) -> str:
@@ -261,8 +287,8 @@ def kept(spans: Column, weights: dict[str, float]) -> Column:
         score = lambda s: reduce(lambda a, b: a + b, [weight(s, F.lit("all"))] + [weight(s, F.concat(F.lit(f + "="), s[f].cast("string"))) for f in FEATURES])
         spans = F.filter(spans, lambda s: s["base"] | ((s["check"] >= 0) & (score(s) > 0)))
     place = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
-    slim = F.transform(apart(spans), lambda s: F.struct(s["start"].alias("start"), place[s["kind"]].alias("place"), s["kind"].alias("kind"), s["end"].alias("end"), s["base"].alias("base")))
-    return F.array_sort(slim)
+    slim = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), place[s["kind"]].alias("place"), s["kind"].alias("kind"), s["end"].alias("end"), s["base"].alias("base")))
+    return apart(F.array_sort(slim))
 
 
 def listed(spans: Column) -> Column:
@@ -290,19 +316,25 @@ def masked(docs: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
     """
     found = common.stored(docs.withColumn("_spans", candidates(F.col("text"), gazetteers(gazetteer))), "spans")
     weights = train(found.select(F.col("_spans").alias("spans")).filter(F.size("spans") > 0))
-    state = "struct<at:int,parts:array<string>>"
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("parts")).cast(state)
+    text = F.col("text")
+
+    def clean(s: Column) -> Column:
+        """Each span that starts past all before it ends a piece of text; pieces are cut out of a tile's own stretch."""
+        ends = scan(F.transform(s, lambda x: x["end"]), F.greatest)
+        return let(ends, lambda e: F.concat(F.array_join(let(heads(s, e), cut), ""), F.substring(text, F.get(e, F.size(e) - 1) + 1, F.length(text))))
+
+    def heads(s: Column, ends: Column) -> Column:
+        rows = F.transform(s, lambda x, i: F.struct(F.when(i == 0, 0).otherwise(F.get(ends, i - 1)).alias("at"), x["start"].alias("start"), x["kind"].alias("kind")))
+        return F.filter(rows, lambda x: x["start"] >= x["at"])
 
-    def cut(acc: Column, s: Column) -> Column:
-        piece = F.concat(F.substring(F.col("text"), acc["at"], s["start"] + 1 - acc["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        new = F.struct((s["end"] + 1).alias("at"), F.concat(acc["parts"], F.array(piece)).alias("parts"))
-        more = F.struct(F.greatest(acc["at"], s["end"] + 1).alias("at"), acc["parts"].alias("parts"))
-        return F.when(s["start"] + 1 >= acc["at"], new).otherwise(more)
+    def cut(h: Column) -> Column:
+        tiles = F.transform(F.sequence(F.lit(0), F.size(h) - 1, F.lit(PIECES)), lambda i: F.slice(h, i + 1, PIECES))
+        first, last = (lambda t: F.get(t, F.lit(0))["at"]), (lambda t: F.get(t, F.size(t) - 1)["start"])
+        piece = lambda x, part, t: F.concat(F.substring(part, x["at"] - first(t) + 1, x["start"] - x["at"]), F.lit("<"), F.upper(x["kind"]), F.lit(">"))
+        return F.flatten(F.transform(tiles, lambda t: let(F.substring(text, first(t) + 1, last(t) - first(t)), lambda part: F.transform(t, lambda x: piece(x, part, t)))))
 
-    done = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col("text"), acc["at"], F.length("text")))
-    clean = F.aggregate(F.col("_spans"), start, cut, done)
     marked = found.withColumn("_spans", kept(F.col("_spans"), weights))
-    return marked.withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text"))).select(*docs.columns)
+    return marked.withColumn("text", F.when(F.size("_spans") > 0, clean(F.col("_spans"))).otherwise(F.col("text"))).select(*docs.columns)
 
 
 def query(spark, sf_dir):

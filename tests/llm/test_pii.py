@@ -117,3 +117,32 @@ def test_gazetteers_come_from_a_table(spark):
     assert votes(pii.gazetteers(table)) == [1, -1, 1, 1, -1]
     assert votes(pii.gazetteers(None)) == [-1, -1, 1, 1, 1]
     assert pii.find(docs, table).count() == 2
+
+
+def test_texts_of_very_many_matches(spark, tmp_path):
+    """Places, overlaps and masks of 50,000 and more matches in one text, and of runs around a tile's size."""
+    texts = [" ".join(f"{'é' * (i % 3)} a{i}@b.co 10.0.{i % 300}.7 555-123-4567" for i in range(25000))] + ["x@y.z " * n for n in (1, 63, 64, 65, 4095, 4096, 4097)]
+    got = table(spark, tmp_path, texts)
+    for i, t in enumerate(texts):
+        want = brute(t)
+        assert got[i].base_sha256 == digest(want)
+        assert got[i].n_email + got[i].n_ip == len(want)
+    plain = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.masked(plain).collect()}
+    for i, t in enumerate(texts):
+        spans, out, at = [s.split(":") for s in got[i].spans.split(",")], [], 0
+        for kind, start, end in ((k, int(s), int(e)) for k, s, e in spans):
+            if start >= at:
+                out.append(f"{t[at:start]}<{kind.upper()}>")
+            at = max(at, end)
+        assert clean[i] == "".join(out) + t[at:]
+
+
+def test_added_spans_that_meet_base_spans_go(spark):
+    rng = random.Random(5)
+    span = lambda s, n, base: {"start": s, "place": rng.randint(0, 4), "kind": "x", "end": s + n, "base": base}
+    rows = [sorted(([span(rng.randint(0, 900), rng.randint(1, 9), rng.random() < 0.5) for _ in range(n)]), key=lambda x: (x["start"], x["place"], x["end"])) for n in (0, 1, 5, 200, 300)]
+    df = spark.createDataFrame([(r,) for r in rows], "s array<struct<start:int,place:int,kind:string,end:int,base:boolean>>")
+    got = [[x.asDict() for x in r.s] for r in df.select(pii.apart(F.col("s")).alias("s")).collect()]
+    keep = lambda r: [x for x in r if x["base"] or not any(b["base"] and b["start"] < x["end"] and x["start"] < b["end"] for b in r)]
+    assert got == [keep(r) for r in rows]
