@@ -89,7 +89,7 @@ LABELERS = ("format", "check", "gazetteer", "context", "edges")
 FEATURES = ("check", "gazetteer", "length", "digits", "left", "right")
 ROUNDS = 12
 #: Values of a tile of a scan, pieces that are cut out of one stretch of text, and a place past every text.
-TILE, PIECES, FAR = 64, 512, (1 << 31) - 1
+TILE, PIECES, FAR = 256, 512, (1 << 31) - 1
 
 
 def digits_of(match: Column) -> Column:
@@ -126,26 +126,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def scan(values: Column, op: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+def scan(values: Column, op: Callable[[Column, Column], Column]) -> Column:
     """Running results of op over an array of whole numbers, by tiles: a growing array is copied at each step, so none may be long.
 
-    A tile has TILE values; the results of whole tiles are scanned likewise, two levels up at most, so the time is
-    linear in the values up to TILE ** 3 of them and beyond that still far from quadratic in a text's length.
+    A tile has TILE values; the results of whole tiles are run over likewise, so a text of n matches takes some
+    TILE * n + (n / TILE) ** 2 copied places.
     """
     last = lambda a: F.get(a, F.size(a) - 1)
     grown = lambda a: F.aggregate(a, F.array().cast("array<int>"), lambda acc, v: F.concat(acc, F.array(F.coalesce(op(last(acc), v), v))))
-    if not levels:
-        return grown(values)
-
-    def tiled(a: Column) -> Column:
-        tiles = F.transform(F.sequence(F.lit(0), F.size(a) - 1, F.lit(TILE)), lambda i: grown(F.slice(a, i + 1, TILE)))
-        return let(tiles, joined)
-
-    def joined(tiles: Column) -> Column:
-        before = scan(F.transform(tiles, last), op, levels - 1)
-        return let(before, lambda b: F.flatten(F.transform(tiles, lambda t, i: F.transform(t, lambda v: F.when(i == 0, v).otherwise(op(F.get(b, i - 1), v))))))
-
-    return let(values, lambda a: F.when(F.size(a) <= TILE, grown(a)).otherwise(tiled(a)))
+    tiled = lambda a: F.transform(F.sequence(F.lit(0), F.size(a), F.lit(TILE)), lambda i: grown(F.slice(a, i + 1, TILE)))
+    joined = lambda tiles, before: F.flatten(F.transform(tiles, lambda t, i: F.transform(t, lambda v: F.coalesce(op(F.get(before, i - 1), v), v))))
+    return let(let(values, tiled), lambda tiles: let(grown(F.transform(tiles, last)), lambda before: joined(tiles, before)))
 
 
 def matches(text: Column, kind: str, pattern: str, base: bool, test: Column, lists: dict[str, list[str]]) -> Column:
