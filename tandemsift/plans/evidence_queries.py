@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import overlap
 from ..operators import intervals as iv
-from ..operators import rescue
+from ..operators import dossier, rescue
 from .common import register
 
 QUERIES: dict = {}
@@ -312,12 +312,13 @@ def _(segments, targets):
     """SELECT cohort AS sample_id, target_region_id, count(*) AS calls, string_agg(read_id || ':' || attempt_no, ',' ORDER BY read_id, attempt_no) AS sources FROM segments WHERE evidence_class = 'SPAN' GROUP BY ALL""",
 )
 def _(segments):
-    """One document for each sample and locus, read back from its JSON; the calls of a locus in a sample are few."""
-    listed = F.array_sort(F.collect_list(F.struct("read_id", "attempt_no")))
-    docs = segments.filter("evidence_class = 'SPAN'").groupBy(F.col("cohort").alias("sample_id"), "target_region_id").agg(F.to_json(F.struct(F.count("*").alias("calls"), listed.alias("sources"))).alias("dossier"))
-    parsed = F.from_json("dossier", "struct<calls:long,sources:array<struct<read_id:long,attempt_no:int>>>")
-    d = docs.select("sample_id", "target_region_id", parsed.alias("d"))
-    return d.select("sample_id", "target_region_id", "d.calls", F.array_join(F.transform("d.sources", lambda x: F.concat_ws(":", x["read_id"], x["attempt_no"])), ",").alias("sources"))
+    """Documents of 100 calls for each sample and locus, read back from their JSON and put together again."""
+    spans = segments.filter("evidence_class = 'SPAN'").withColumnRenamed("cohort", "sample_id")
+    docs = dossier.candidate_dossier(spans, ["sample_id", "target_region_id"], ["read_id", "attempt_no"], page=100)
+    d = docs.withColumn("d", F.from_json("dossier", "struct<calls:long,sources:array<struct<read_id:long,attempt_no:int>>>"))
+    page = F.struct("page", F.array_join(F.transform("d.sources", lambda x: F.concat_ws(":", x["read_id"], x["attempt_no"])), ",").alias("text"))
+    pages = d.groupBy("sample_id", "target_region_id").agg(F.sum("d.calls").alias("calls"), F.array_sort(F.collect_list(page)).alias("pages"))
+    return pages.select("sample_id", "target_region_id", "calls", F.array_join("pages.text", ",").alias("sources"))
 
 
 PAF = "WITH p AS (SELECT *, residue_matches / alignment_block_length::DOUBLE AS identity, (query_end - query_start) / query_length::DOUBLE AS coverage FROM paf_rows)"

@@ -186,3 +186,48 @@ def _(events):
     run()
     run()
     return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
+
+
+@query(
+    "manifest_integrity_files", PACKAGED,
+    """SELECT 'segments' AS "table", 'MISSING' AS reason, count(*) AS rows FROM segments UNION ALL SELECT 'targets', 'SIZE', count(*) FROM targets UNION ALL SELECT 'reads', 'ADDED', count(*) FROM reads""",
+)
+def _(segments, targets, reads):
+    """A package of which one table has lost a file, one has a file cut short and one has a file that isn't listed."""
+    spark, folder = segments.sparkSession, new_folder(segments.sparkSession, "package")
+    manifest = package.write_result_package({"segments": segments, "targets": targets, "reads": reads}, folder)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    first = {t: min(f for (f,) in spark.read.json(f"{folder}/files").filter(F.col("table") == t).select("file").collect()) for t in ("segments", "targets")}
+    fs.delete(hadoop(f"{folder}/segments/{first['segments']}"), False)
+    for damaged in (f"targets/{first['targets']}", "reads/part-other.parquet"):
+        out = fs.create(hadoop(f"{folder}/{damaged}"), True)
+        out.write(bytearray(b"PAR1"))
+        out.close()
+    return package.file_integrity(spark, folder).join(manifest, "table").select("table", "reason", "rows")
+
+
+@query(
+    "incremental_evidence_buckets", "events",
+    "SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users FROM events WHERE event_id % 3 = 0 OR event_id % 2 = 0 GROUP BY event_type",
+)
+def _(events):
+    """Two runs whose output is dealt to buckets by key, the second with rows given before."""
+    spark, base = events.sparkSession, new_folder(events.sparkSession, "incremental")
+    rows = events.select("event_id", "user_id", "event_type")
+    for part in ("event_id % 3 = 0", "event_id % 2 = 0"):
+        rows.filter(part).write.mode("append").parquet(f"{base}/in")
+        incremental.incremental_evidence(spark, f"{base}/in", rows.schema, f"{base}/out", f"{base}/checkpoint", "event_id", lambda df: df, buckets=16).awaitTermination()
+    return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
+
+
+@query(
+    "package_parity_by_digest", "lineitem",
+    """WITH a AS (SELECT l_orderkey, l_partkey, l_quantity FROM lineitem), b AS (SELECT l_orderkey, l_partkey, l_quantity + (l_partkey % 997 = 5)::INT AS l_quantity FROM lineitem UNION ALL SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_orderkey % 1009 = 7)
+      SELECT 'ONLY_A' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT 'ONLY_B', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
+)
+def _(lineitem):
+    """Two runs compared by a tree of digests, here one with damaged and repeated values."""
+    a = lineitem.select("l_orderkey", "l_partkey", "l_quantity")
+    b = a.withColumn("l_quantity", F.col("l_quantity") + (F.col("l_partkey") % 997 == 5).cast("int")).unionByName(a.filter("l_orderkey % 1009 = 7"))
+    return package.differing_rows(a, b)

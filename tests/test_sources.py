@@ -86,3 +86,50 @@ def test_gtf_counters_are_those_of_the_pass_that_reads(spark):
     rows, seen = readers.gtf_features_counted(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert rows.count() == 2
     assert seen.get == {"lines": 11, "comments": 2, "malformed": 3, "invalid": 3, "features": 2}
+
+
+def test_damaged_files_are_named(spark, tmp_path):
+    path = str(tmp_path / "package")
+    package.write_result_package({"a": spark.range(40).repartition(4), "b": spark.range(9).coalesce(1)}, path)
+    assert package.file_integrity(spark, path).count() == 0
+    files = sorted(f for f in (tmp_path / "package" / "a").glob("*.parquet"))
+    for crc in (tmp_path / "package").rglob(".*.crc"):
+        crc.unlink()
+    whole = files[0].read_bytes()
+    files[0].write_bytes(whole[: len(whole) // 2])
+    files[1].write_bytes(b"X" + files[1].read_bytes()[1:])
+    files[2].unlink()
+    (tmp_path / "package" / "b" / "more.parquet").write_bytes(b"PAR1")
+    want = {(files[0].name, "SIZE"), (files[1].name, "CONTENT"), (files[2].name, "MISSING"), ("more.parquet", "ADDED")}
+    assert {(r.file, r.reason) for r in package.file_integrity(spark, path).collect()} == want
+    assert {(r.file, r.reason) for r in package.file_integrity(spark, path, contents=False).collect()} == {w for w in want if w[1] != "CONTENT"}
+    with pytest.raises(ValueError):
+        package.write_result_package({"files": spark.range(1)}, str(tmp_path / "other"))
+
+
+def test_differing_rows_are_found_by_digests(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (1, "x"), (2, None), (None, None), (3, "")], "`a.b` long, n string")
+    b = spark.createDataFrame([("x", 1), (None, 2), (None, None), (None, None), (None, 3)], "n string, `a.b` long")
+    got = sorted(map(repr, map(tuple, package.differing_rows(a, b).collect())))
+    assert got == sorted(map(repr, [("ONLY_A", 1, "x"), ("ONLY_A", 1, "x"), ("ONLY_A", 3, ""), ("ONLY_B", None, None), ("ONLY_B", 3, None)]))
+    same = package.differing_rows(a, a.repartition(3))
+    assert same.count() == 0 and "Exchange" not in same._jdf.queryExecution().executedPlan().toString()
+    assert package.differing_rows(a.limit(0), a.limit(0)).count() == 0
+    big = spark.range(50000).withColumn("x", F.col("id") % 7)
+    assert [tuple(r) for r in package.differing_rows(big, big.filter("id <> 777")).collect()] == [("ONLY_A", 777, 0)]
+
+
+def test_runs_read_only_the_buckets_they_touch(spark, tmp_path):
+    source, output, checkpoint = (str(tmp_path / d) for d in ("in", "out", "check"))
+    run = lambda: incremental.incremental_evidence(spark, source, SCHEMA, output, checkpoint, "id", lambda df: df, buckets=32).awaitTermination()
+    rows = lambda a, b: spark.range(a, b).select("id", F.lit("a").alias("name"), F.lit(0.0).alias("x"))
+    rows(0, 500).write.parquet(source)
+    run()
+    run()
+    rows(498, 501).unionByName(spark.createDataFrame([(None, "n", 1.0)], SCHEMA)).write.mode("append").parquet(source)
+    run()
+    assert sorted((r.id for r in spark.read.parquet(output).collect()), key=lambda x: -1 if x is None else x) == [None, *range(501)]
+    done = incremental.done_in_touched_buckets(rows(498, 500), output, "id", 32)
+    assert done.select("_bucket").distinct().count() <= 2
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_bucket" in plan or "PartitionFilters: [isnotnull(_bucket" in plan
