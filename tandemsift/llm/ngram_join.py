@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ SLOTS = 1 << 22
 SLICES = 16
 #: Up to so many sets that share a prefix token are paired among themselves at once, more by way of a leader.
 GROUP = 64
+#: Words of 64 bits of a set's bitmap; sets of hot tokens in a cell's side; pairs that a task tests, about.
+WORDS, CELL, PAIRS = 16, 1 << 12, 1 << 24
 KEYS = arrays.mixed(np.arange(64, dtype=np.uint64) + np.uint64(7 << 50)) | np.uint64(1)
 
 
@@ -62,6 +66,18 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return arrays.mixed(arrays.row_sums(arrays.mixed(hashes ^ KEYS[50]), sizes) + sizes.astype(np.uint64) * KEYS[51])
 
 
+def bitmaps(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The parities of how many of a set's tokens fall to each of 64 * WORDS places, as words: rows x WORDS.
+
+    Two sets' bitmaps differ in no more places than there are tokens that only one of them has.
+    """
+    width = 64 * WORDS
+    place = (hashes >> np.uint64(32)) % np.uint64(width)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    odd = np.bincount(row * width + place.astype(np.int64), minlength=len(sizes) * width).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).reshape(len(sizes), WORDS)
+
+
 def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """The least intersection of sets of these sizes at which they link."""
     return -((-percent * (a + b)) // (100 + percent))
@@ -296,6 +312,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, carry: Sequence[str] =
             data, offsets = arrays.text_bytes(batch.column(1))
             for low, high in arrays.chunks(offsets):
                 hashes, sizes = distinct_shingles(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], n, ranks[0])
+                words = bitmaps(hashes, sizes)
                 lengths, row = prefix_lengths(sizes, percent), np.repeat(np.arange(len(sizes)), sizes)
                 others = []
                 for rank in ranks[1:]:
@@ -310,11 +327,12 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, carry: Sequence[str] =
                         "p1": pa.array(prefixes(hashes, sizes, lengths), pa.binary()),
                         "p2": pa.array(others[0], pa.binary()),
                         "p3": pa.array(others[1], pa.binary()),
+                        **{f"w{k}": pa.array(words[:, k]) for k in range(WORDS)},
                     }
                 )
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried) if carry else ""
-    sets = common.stored(docs.mapInArrow(arrays.returning(make_sets), kinds + "doc_id long, n long, sig long, p1 binary, p2 binary, p3 binary"), "sets")
+    sets = common.stored(docs.mapInArrow(arrays.returning(make_sets), kinds + "doc_id long, n long, sig long, p1 binary, p2 binary, p3 binary" + "".join(f", w{k} long" for k in range(WORDS))), "sets")
     docs = docs.drop(*carry)
     full = sets.filter("n > 0")
     classes = common.stored(full.groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
@@ -343,11 +361,52 @@ def of_representatives(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(own, (F.col("sig") == F.col("_sig")) & F.col("doc_id").eqNullSafe(F.col("_rep"))).drop("_sig", "_rep")
 
 
-def remaining_pairs(full: DataFrame, classes: DataFrame, labels: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+def salted(rows: DataFrame, few: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """rows joined with few[*keys, ...], where any number of rows may have one key.
+
+    A key's rows are dealt to GROUP salts by their sets, and its one row of few goes to each. The keys of few have over
+    GROUP rows each, so that its copies are no more than the rows.
+    """
+    mine = rows.withColumn("_salt", F.pmod(F.xxhash64("sig"), F.lit(GROUP)))
+    return mine.join(few.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GROUP - 1).cast("long")))), [*keys, "_salt"], how).drop("_salt")
+
+
+def dealt_cells(mixed: DataFrame, percent: int, cell: int) -> tuple[DataFrame, DataFrame, int]:
+    """Both sides of the pairs to test of mixed[token, sig, n, component, main, ...], and how many pairs these are.
+
+    On the left are the sets outside the main component of their token, on the right all. Sets that link differ in size
+    by a factor of 100 / percent at most, so a set meets those of its own band of sizes and of the two beside it. A
+    token's band is a grid of cells with about `cell` sets on either side: _i and _j tell the part of the left and of
+    the right side.
+    """
+    # a little wider than the factor, so that rounding can't part sets that link
+    band = F.floor(F.log("n") / F.log(F.lit(100 / percent * (1 + 1e-9)))).cast("long")
+    rows = mixed.withColumn("_band", band) if percent < 100 else mixed.withColumn("_band", F.col("n"))
+    own = F.col("component") != F.col("main")
+    near = F.explode(F.array(*[F.col("_band") + d for d in (-1, 0, 1)]))
+    counted = rows.groupBy("token", "_band").agg(F.count("*").alias("r"), F.count_if(own).alias("l"))
+    left = counted.filter("l > 0").select("token", near.alias("_band"), "l").groupBy("token", "_band").agg(F.sum("l").alias("l"))
+    grid = common.stored(left.join(counted.select("token", "_band", "r"), ["token", "_band"], "full").fillna(0, ["l", "r"]), "grid")
+    work = grid.agg(F.sum(F.col("l") * F.col("r"))).first()[0] or 0
+    parts = lambda c: F.ceil(F.col(c) / F.lit(cell)).alias(f"_{c}")
+    crowded = grid.filter((F.col("l") > cell) | (F.col("r") > cell)).select("token", "_band", parts("l"), parts("r"))
+
+    def dealt(side: DataFrame, mine: str, others: str, part: str, copy: str) -> DataFrame:
+        placed = salted(side, crowded, ["token", "_band"], "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_l", "_r")})
+        placed = placed.filter(F.col(others) > 0).withColumns({part: F.pmod(F.xxhash64(F.lit("cell"), "sig"), F.col(mine)), copy: F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1))})
+        return placed.drop("_l", "_r")
+
+    return dealt(rows.filter(own).withColumn("_band", near), "_l", "_r", "_i", "_j"), dealt(rows, "_r", "_l", "_j", "_i"), work
+
+
+def remaining_pairs(full: DataFrame, classes: DataFrame, labels: DataFrame, large: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
     """Pairs of sets of different components that share a token of a large group and pass the bounds.
 
     In each group the largest component's sets are not paired with each other; tokens all of whose sets
-    are in one component drop out. The join deals a hot token out to many tasks.
+    are in one component drop out. The others are paired in cells of bounded size (`dealt_cells`), many of a hot token,
+    with a task for some PAIRS pairs. A pair is written only if the token's places and the sets' bitmaps leave room for the
+    intersection: bitmaps of linking sets differ in no more places than there are tokens that one of them lacks. That
+    decides nearly all pairs of up to some 6,000 tokens a set; larger ones are left to the prefixes of the other orders.
     """
     spark = full.sparkSession
 
@@ -362,18 +421,24 @@ def remaining_pairs(full: DataFrame, classes: DataFrame, labels: DataFrame, larg
             keep = bits.value[slot(tok)]
             yield pa.RecordBatch.from_pydict({"token": pa.array(tok[keep].view(np.int64)), "sig": pa.array(sig[keep].view(np.int64)), "n": pa.array(n[keep]), "pos": pa.array(pos[keep])})
 
-    reps = of_representatives(full, classes).select("sig", "n", "p1")
-    rows = reps.mapInArrow(arrays.returning(exploded), "token long, sig long, n long, pos long").distinct().join(large.distinct(), "token", "left_semi")
+    words = [f"w{k}" for k in range(WORDS)]
+    reps = of_representatives(full, classes)
+    rows = reps.select("sig", "n", "p1").mapInArrow(arrays.returning(exploded), "token long, sig long, n long, pos long").distinct()
     rows = rows.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    # a set's prefix token takes part only if some partner can still make up the needed intersection
     rows = common.stored(rows, "entries")
     sizes = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
     main = sizes.groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
-    mixed = common.stored(rows.join(main, "token"), "mixed")
-    a, b = mixed.filter("component != main").alias("a"), mixed.alias("b")
+    mixed = salted(rows, main.join(large.distinct(), "token", "left_semi"), ["token"])
+    mixed = common.stored(mixed.join(reps.select("sig", *words).dropDuplicates(["sig"]), "sig"), "mixed")
+    a, b, work = dealt_cells(mixed, percent, cell)
+    keys, tasks = ["token", "_band", "_i", "_j"], max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(work // PAIRS, 1 << 15))
+    a, b = (side.repartition(tasks, *keys).alias(name) for side, name in ((a, "a"), (b, "b")))  # so many tasks whatever their bytes
     least = F.ceil((F.col("a.n") + F.col("b.n")) * percent / (100 + percent))
     room = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
-    joined = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.component") != F.col("b.component")) & (room >= least))
+    once = (F.col("b.component") == F.col("b.main")) | (F.col("a.sig") < F.col("b.sig"))
+    apart = reduce(add, (F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in words))
+    meet = reduce(and_, (F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys))
+    joined = a.join(b, meet & (F.col("a.component") != F.col("b.component")) & once & (room >= least) & (apart <= F.col("a.n") + F.col("b.n") - 2 * least))
     return joined.select(F.least("a.sig", "b.sig").alias("a"), F.greatest("a.sig", "b.sig").alias("b")).distinct()
 
 
