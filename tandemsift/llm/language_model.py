@@ -438,3 +438,23 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def query(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
     return score(docs, train(docs))
+
+
+def base_query(spark, sf_dir):
+    """The columns that SQL can be held against: the split, the counts and, to six places, the base score."""
+    return query(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
+#: A blank, which no word holds, stands for the end of a text.
+ORACLE_BASE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(xor({common.CRC32.format("doc_id::VARCHAR")}, 4294967295::BIGINT), 0) % 10 = 0 AS held_out,
+         list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS ws
+  FROM documents
+), t AS (SELECT rid, doc_id, held_out, unnest(ws) AS w FROM d
+), c AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w
+), s AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM c)
+SELECT any_value(t.doc_id) AS doc_id, bool_or(held_out) AS held_out, count(*)::BIGINT AS n_tokens, count(c.c)::BIGINT AS n_known, any_value(s.n)::BIGINT AS train_tokens,
+       round(sum(log10((coalesce(c.c, 0) + 0.1) / (s.n + 0.1 * (s.v + 1)))), 6) AS base_score
+FROM t CROSS JOIN s LEFT JOIN c ON c.w = t.w GROUP BY t.rid
+"""

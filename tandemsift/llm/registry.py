@@ -22,6 +22,7 @@ def queries() -> dict:
         "op12_byte_pairs": byte_pairs.query,
         "op13_merkle": merkle.query,
         "pii_base_columns": pii.base_query,
+        "language_model_base_columns": language_model.base_query,
     }
 
 
@@ -30,6 +31,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_branch_bound": branch_bound.ORACLE,
         "op8_mixing": mixing.ORACLE,
         "pii_base_columns": pii.ORACLE_BASE,
+        "language_model_base_columns": language_model.ORACLE_BASE,
         "op9_ngram_join": ngram_join.ORACLE,
         "op10_warc": warc.ORACLE,
         "op11_periodic_runs": periodic_runs.ORACLE,

@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 
 from tandemsift.llm import language_model as lm
@@ -121,3 +122,15 @@ def test_long_words_and_texts_hash_alike_in_pieces(monkeypatch):
         monkeypatch.setattr(arrays.chunks, "__defaults__", (size,))
         assert (arrays.span_hashes(data, starts, ends) == whole).all()
     assert whole[0] == whole[-1] and len(set(whole.tolist())) == len(whole) - 1
+
+
+def test_base_columns_agree_with_sql(spark, tmp_path):
+    rows = [(i, f"the Cat {'sat ' * (i % 4)}on mat{i % 7}") for i in range(60)] + [(3, "the cat"), (None, "of no id"), (61, None), (62, ""), (63, "\t \n")]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = lm.base_query(spark, folder)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"]
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({lm.ORACLE_BASE})").fetchall()
+    assert sorted((tuple(r) for r in got.select(*names).collect()), key=str) == sorted(want, key=str)

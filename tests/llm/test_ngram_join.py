@@ -2,8 +2,8 @@ import random
 import re
 
 import numpy as np
-
 from pyspark.sql import functions as F
+
 from tandemsift.llm import ngram_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
