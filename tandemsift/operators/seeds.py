@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import letters, reverse_complement
 from . import calling
+from .spread import spread
 
 #: Bases of a seed, and rows up to which an index is broadcast.
 SEED, BROADCAST_ROWS = 8, 1 << 18
@@ -41,7 +42,7 @@ def named_by_seeds(windows: DataFrame, index: DataFrame, key: str, own: str | No
     BROADCAST_ROWS rows is joined by a shuffle.
     """
     places = F.sequence(F.lit(0), F.length("seq") - seed)
-    held = windows.filter(F.length("seq") >= seed).select(key, *([F.upper(own).alias("_own")] if own else []), F.upper("seq").alias("_seq"), F.explode(places).alias("_at"))
+    held = spread(windows.filter(F.length("seq") >= seed), key).select(key, *([F.upper(own).alias("_own")] if own else []), F.upper("seq").alias("_seq"), F.explode(places).alias("_at"))
     held = held.withColumn("seed", F.substring("_seq", F.col("_at") + 1, F.lit(seed))).drop("_seq")
     index = F.broadcast(index) if index.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else index
     met = held.join(index, "seed")
@@ -53,7 +54,8 @@ def named_by_seeds(windows: DataFrame, index: DataFrame, key: str, own: str | No
 def scans(windows: DataFrame, named: DataFrame, key: str, match: int = 2, mismatch: int = -3) -> DataFrame:
     """named[key, motif, strand, phase] with run_bp (the longest run without a mismatch), start, end and score of the best stretch."""
     unit = F.when(F.col("strand") == "-", reverse_complement(F.col("motif"))).otherwise(F.col("motif"))
-    rows = windows.select(key, letters(F.upper("seq")).alias("_l")).join(named, key).withColumn("_unit", letters(unit))
+    # bases come as text and are dealt by key: Spark's estimate takes a table of them for small, as its files are
+    rows = windows.select(key, F.upper("seq").alias("_seq")).hint("merge").join(named, key).withColumns({"_l": letters(F.col("_seq")), "_unit": letters(unit)})
     hits = rows.select(key, "motif", "strand", "phase", F.explode(F.array(calling.agreeing(F.col("_unit"), F.size("_unit"), F.col("phase")))).alias("_hits"))
     best = F.explode(F.array(calling.best_stretch(F.col("_hits"), match, mismatch))).alias("b")
     return hits.select(key, "motif", "strand", "phase", calling.longest_run(F.col("_hits")).cast("long").alias("run_bp"), best).select(key, "motif", "strand", "phase", "run_bp", "b.*")
