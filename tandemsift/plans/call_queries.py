@@ -11,6 +11,7 @@ from ..operators import intervals as iv
 from ..operators.geometry import geometry
 from ..operators.rescue import bridge_decision
 from ..sources import readers
+from ..operators.spread import spread
 from .common import register
 from .sequence_queries import COMP
 from .shape_queries import OPS as SHAPE_OPS
@@ -193,7 +194,8 @@ def _(jobs, targets):
 def _(jobs):
     """What a read looks like before and behind its tract, over all its bases there."""
     sides = F.array(F.struct(F.lit("LEFT").alias("side"), F.substring(F.col("seq"), F.lit(1), F.col("seg_start").cast("int")).alias("part")), F.struct(F.lit("RIGHT").alias("side"), F.substring(F.col("seq"), (F.col("seg_end") + 1).cast("int"), F.length("seq")).alias("part")))
-    rows = jobs.select("read_id", F.explode(sides).alias("x")).select("read_id", "x.side", F.length("x.part").alias("bp"), s.complexity(F.col("x.part")).alias("c"))
+    # exploded, so that a side's complexity is worked out once, not for each of its fields
+    rows = spread(jobs.select("read_id", "seq", "seg_start", "seg_end"), "read_id").select("read_id", F.explode(sides).alias("x")).select("read_id", "x.side", F.length("x.part").alias("bp"), F.explode(F.array(s.complexity(F.col("x.part")))).alias("c"))
     most = F.greatest(*[F.col(f"c.fraction_{b}") for b in "acgt"])
     kind = F.when(F.col("bp") < 22, "SHORT_CONTEXT").when(F.col("c.kmer_fraction") < 0.8, "LOW_COMPLEXITY_CONTEXT").when(most >= 0.5, "BIASED_CONTEXT").otherwise("UNRESOLVED_CONTEXT")
     return rows.select("read_id", "side", "bp", kind.alias("context"))

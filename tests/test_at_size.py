@@ -44,3 +44,12 @@ def test_motif_relation_is_that_of_canonical_motifs(spark):
     assert pairs.filter(~relation.eqNullSafe(want)).collect() == []
     # worked out in a few native functions, not by listing all rotations for each comparison
     assert plan(pairs.select(relation)).count("sequence(") == 0
+
+
+def test_complexity_is_worked_out_once(spark):
+    """Its runs of bases are listed once for a text, and the query asks for it once for a side."""
+    df = registry.queries()["residual_context_by_side"](spark, SF)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") <= 2
+    rows = spark.createDataFrame([("AACCCGGG",), ("A",), ("NNAC",), ("",), (None,)], "seq string").select("seq", s.complexity(F.col("seq")).alias("c"))
+    got = {r["seq"]: (r["c"]["homopolymer_bp"], r["c"]["homopolymer_base"]) if r["c"] else None for r in rows.collect()}
+    assert got == {"AACCCGGG": (3, "C"), "A": (1, "A"), "NNAC": (2, "N"), "": None, None: None}
