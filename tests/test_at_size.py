@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tandemsift.functions import sequences as s
+from tandemsift.operators import assignment as asg
 from tandemsift.operators import calling
 from tandemsift.plans import registry
 
@@ -53,3 +54,21 @@ def test_complexity_is_worked_out_once(spark):
     rows = spark.createDataFrame([("AACCCGGG",), ("A",), ("NNAC",), ("",), (None,)], "seq string").select("seq", s.complexity(F.col("seq")).alias("c"))
     got = {r["seq"]: (r["c"]["homopolymer_bp"], r["c"]["homopolymer_base"]) if r["c"] else None for r in rows.collect()}
     assert got == {"AACCCGGG": (3, "C"), "A": (1, "A"), "NNAC": (2, "N"), "": None, None: None}
+
+
+@pytest.mark.parametrize("name", ["candidate_multiplicity", "disease_region_summary"])
+def test_oracle_of_shapes_is_unchanged(name):
+    assert "candidates AS (" in registry.oracle_sql()[name]
+
+
+def test_copies_add_no_pairs_to_counts(spark):
+    """Ten times the reads and targets at the same places: the pairs of shapes stay, the counts grow."""
+    few = spark.range(8).selectExpr("id AS read_id", "1 AS ordinal", "'chr1' AS chrom", "id % 4 * 100 AS block_start", "id % 4 * 100 + 60 AS block_end")
+    loci = spark.range(6).selectExpr("'DISEASE' AS target_source", "concat('T', id) AS target_region_id", "'chr1' AS chrom", "id % 3 * 150 AS start_pos", "id % 3 * 150 + 20 AS end_pos")
+    more = few.crossJoin(spark.range(10).withColumnRenamed("id", "c")).withColumn("read_id", F.col("read_id") + 8 * F.col("c")).drop("c")
+    many = loci.crossJoin(spark.range(10).withColumnRenamed("id", "c")).withColumn("target_region_id", F.concat_ws("_", "target_region_id", "c")).drop("c")
+    assert asg.candidate_shapes(more, many)[2].count() == asg.candidate_shapes(few, loci)[2].count()
+    one, ten = ({r["read_id"]: r for r in asg.candidate_counts(*x).collect()} for x in ((few, loci), (more, many)))
+    assert len(ten) == 10 * len(one) and all(ten[k + 8 * c]["n"] == 10 * r["n"] for k, r in one.items() for c in range(10))
+    totals = [asg.region_counts(*x).agg(F.sum("candidates"), F.sum("reads")).first() for x in ((few, loci), (more, many))]
+    assert tuple(totals[1]) == tuple(100 * v for v in totals[0])
