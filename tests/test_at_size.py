@@ -90,3 +90,12 @@ def test_consensus_of_batches_is_that_of_rows(spark, monkeypatch):
         parts = list(batched.groups(sizes))
         assert sorted(np.concatenate(parts)) == list(range(7)) and all(len(p) == 1 or len(p) * sizes[p].max() <= cells for p in parts)
     assert "RoundRobin" not in plan(calling.consensus_all_periods(reads)) and "Exchange hashpartitioning(read_id" in plan(calling.consensus_all_periods(reads))
+
+
+def test_canonical_motifs_of_batches(spark):
+    """Canonical motifs come with the consensus, as the column function gives them."""
+    texts = ["CAGCAGCAGCAGCAG", "CTGCTGACTGCTGCTG" * 3, "ATATATATATAT", "TTTTTTTTT", "GATTACA" * 10, "ACGTTGCANNXACGT" * 5]
+    reads = spark.createDataFrame(list(enumerate(texts)), "read_id long, seq string")
+    found = calling.consensus_all_periods(reads, least=0.5)
+    assert found.filter(~F.col("canonical_motif").eqNullSafe(calling.canonical(F.col("motif")))).collect() == []
+    assert sorted(map(str, found.drop("canonical_motif").collect())) == sorted(map(str, calling.consensus_all_periods(reads).filter("agreement >= 0.5").collect()))
