@@ -36,7 +36,7 @@ def write_result_package(tables: dict[str, DataFrame], path: str) -> DataFrame:
     if broken:
         raise OSError(f"{path}: {', '.join(sorted(broken))} came out otherwise than read in")
     manifest.coalesce(1).write.mode("overwrite").json(f"{staging}/manifest")
-    files_of(spark, staging, list(tables)).coalesce(1).write.mode("overwrite").json(f"{staging}/files")
+    file_list(spark, staging, list(tables)).write.mode("overwrite").json(f"{staging}/files")
     if not fs.rename(hadoop(staging), hadoop(path)):
         raise OSError(f"{path} can't be published")
     return manifest_of(spark, path)
@@ -65,6 +65,11 @@ def files_of(spark: SparkSession, path: str, tables: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, each)
 
 
+def file_list(spark: SparkSession, path: str, tables: list[str]) -> DataFrame:
+    """files_of() as one file's rows. These are shuffled: coalesced, one task would read all the tables' files."""
+    return files_of(spark, path, tables).repartition(1)
+
+
 def file_integrity(spark: SparkSession, path: str, contents: bool = True) -> DataFrame:
     """Files that differ from the package's list: MISSING, ADDED, SIZE (cut short or longer) or CONTENT (as long, other bytes).
 

@@ -9,6 +9,7 @@ from tandemsift.operators import assignment as asg
 from tandemsift.operators import calling
 from tandemsift.operators import consensus as batched
 from tandemsift.plans import registry
+from tandemsift.sources import package
 
 SF = "/root/testdata/sf0.001"
 
@@ -99,3 +100,24 @@ def test_canonical_motifs_of_batches(spark):
     found = calling.consensus_all_periods(reads, least=0.5)
     assert found.filter(~F.col("canonical_motif").eqNullSafe(calling.canonical(F.col("motif")))).collect() == []
     assert sorted(map(str, found.drop("canonical_motif").collect())) == sorted(map(str, calling.consensus_all_periods(reads).filter("agreement >= 0.5").collect()))
+
+
+def test_a_package_s_files_are_read_by_many_tasks(spark, tmp_path):
+    """One task writes the list; those that read and digest the files are apart from it."""
+    spark.range(1000).repartition(5).write.parquet(f"{tmp_path}/a")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4096)
+    try:
+        listed = package.file_list(spark, str(tmp_path), ["a"])
+        assert "Exchange" in plan(listed) and "Coalesce" not in plan(listed)
+        assert package.files_of(spark, str(tmp_path), ["a"]).rdd.getNumPartitions() > 1
+        assert sorted(map(str, listed.collect())) == sorted(map(str, package.files_of(spark, str(tmp_path), ["a"]).collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_the_list_of_files_goes_through_it(spark, tmp_path, monkeypatch):
+    used = []
+    real = package.file_list
+    monkeypatch.setattr(package, "file_list", lambda *a: used.append(1) or real(*a))
+    package.write_result_package({"a": spark.range(10)}, f"{tmp_path}/p")
+    assert used == [1] and package.file_integrity(spark, f"{tmp_path}/p").count() == 0
