@@ -121,3 +121,56 @@ def test_the_list_of_files_goes_through_it(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(package, "file_list", lambda *a: used.append(1) or real(*a))
     package.write_result_package({"a": spark.range(10)}, f"{tmp_path}/p")
     assert used == [1] and package.file_integrity(spark, f"{tmp_path}/p").count() == 0
+
+
+def test_pairs_of_groups_are_not_shuffled(spark):
+    """Between the join of blocks and targets and the result there is no exchange; before, pairs were dealt by read."""
+    for name in ("alignment_target_candidates", "read_target_candidates", "multi_block_flag", "select_projection_block", "block_anchor_geometry", "validated_geometry"):
+        df = registry.queries()[name](spark, SF)
+        text = plan(df)
+        assert "Exchange" not in text[: text.index("Join")], name
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_groups_meet_targets_once(spark, repeated):
+    """Crowded alignments, some of one read at one place, against pairs put together one by one."""
+    rng = np.random.default_rng(7)
+    blocks = [(r, o, b, f"chr{rng.integers(2)}", int(s), int(s + rng.integers(1, 90))) for r in range(12) for o in range(1, 4) for b, s in enumerate(rng.integers(0, 500, 4))]
+    loci = [("DISEASE", f"T{i % 9 if repeated else i}", f"chr{rng.integers(2)}", int(s), int(s + rng.integers(1, 120))) for i, s in enumerate(rng.integers(0, 500, 15))]
+    kinds = {1: "primary", 2: "secondary", 3: "supplementary"}
+    own = [(r, o, kinds[o], int(rng.integers(3)), "+") for r in range(12) for o in kinds]
+    quality = {(r, o): (k, m) for r, o, k, m, _ in own}
+    a = spark.createDataFrame(blocks, "read_id long, ordinal int, block_index int, chrom string, block_start long, block_end long")
+    t = spark.createDataFrame(loci, "target_source string, target_region_id string, chrom string, start_pos long, end_pos long")
+    found = {}
+    for r, o, b, c, s0, s1 in blocks:
+        for _, name, tc, e0, e1 in loci:
+            if c == tc and max(0, s0 - e1, e0 - s1) <= 49:
+                found.setdefault((r, o, name), []).append((max(0, min(s1, e1) - max(s0, e0)), max(0, s0 - e1, e0 - s1), s1 - s0, b))
+    want = {k: (sum(x[0] for x in v), min(x[1] for x in v), len(v)) for k, v in found.items()}
+    rows = asg.alignment_target_candidates(a, t).collect()
+    assert len(rows) == len(want) and {(r[0], r[1], r[3]): tuple(r[4:7]) for r in rows} == want
+    best = {k: max((x[0], -x[1], x[2], -x[3]) for x in v) for k, v in found.items()}
+    rows = asg.best_block(a, t).collect()
+    assert len(rows) == len(best) and {(r[0], r[1], r[2]): (r[4], -r[5], -r[3]) for r in rows} == {k: (v[0], v[1], v[3]) for k, v in best.items()}
+    touching = {k: n for k, v in found.items() if (n := sum(x[0] > 0 for x in v))}
+    assert {(r[0], r[1], r[2]): r[3] for r in asg.overlapping_blocks(a, t).collect()} == touching
+    reads = {}
+    for (r, o, name), (covered, apart, _) in want.items():
+        kind, mapq = quality[r, o]
+        reads.setdefault((r, name), []).append((covered > 0, covered, -apart, asg.CLASS[kind], mapq, -o))
+    rows = asg.read_target_candidates(a, t, spark.createDataFrame(own, "read_id long, ordinal int, alignment_class string, mapq int, strand string")).collect()
+    assert len(rows) == len(reads)
+    for row in rows:
+        ways = reads[row["read_id"], row["target_region_id"]]
+        top = max(ways)
+        assert (row["ordinal"], row["target_overlap_bp"], row["target_distance_bp"], row["supporting_alignment_count"]) == (-top[5], top[1], -top[2], len(ways))
+        assert row["primary_support"] == any(w[3] == 3 for w in ways) and row["secondary_support"] == any(w[3] == 1 for w in ways)
+    near = {}
+    for r, o, b, c, s0, s1 in blocks:
+        for _, name, tc, e0, e1 in loci:
+            if c == tc and max(0, s0 - e1, e0 - s1) <= 150 and min(s1, e1) <= max(s0, e0):
+                ok, x = s1 - s0 >= 40, near.setdefault((r, o, name), [False, False, 0])
+                x[0], x[1], x[2] = x[0] or s1 <= e0 and ok, x[1] or s0 >= e1 and ok, x[2] + (not ok)
+    rows = asg.flanking(a, t, lambda s, e: e - s >= 40).collect()
+    assert len(rows) == len(near) and {(r[0], r[1], r[2]): [r["l"], r["r"], r["refused"]] for r in rows} == near
