@@ -44,9 +44,15 @@ def read_bed_targets(spark: SparkSession, path: str, contigs: DataFrame) -> tupl
     return marked.filter("reason IS NULL").select(*names), marked.filter("reason IS NOT NULL").select(*names, "reason")
 
 
+def let(value, use):
+    """use(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def first_of_each(entries):
     """A map of the entries (k, v), the first of a repeated key counting, as public files may repeat keys."""
-    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(F.transform(entries, lambda x: x["k"]), e["k"]) == i + 1))
+    kept = lambda es, keys: F.filter(es, lambda e, i: F.array_position(keys, e["k"]) == i + 1)
+    return let(entries, lambda es: let(F.transform(es, lambda x: x["k"]), lambda keys: F.map_from_entries(kept(es, keys))))
 
 
 def tags_of(columns, first: int):
@@ -55,9 +61,18 @@ def tags_of(columns, first: int):
     return first_of_each(F.transform(rest, lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substring(t, F.lit(6), F.length(t)).alias("v"))))
 
 
+def fields_of(lines: DataFrame) -> DataFrame:
+    """lines with `_c`, the fields of a line of tab-separated text.
+
+    A generator's result stands where it was made: a filter that names a field isn't moved before the split, which would
+    then be worked out again for each name.
+    """
+    return lines.select("*", F.explode(F.array(F.split("value", "\t", -1))).alias("_c"))
+
+
 def sam_alignments(lines: DataFrame) -> DataFrame:
     """lines[value] of SAM text -> one row for each record: flags by bit, class, position, CIGAR, tags."""
-    c = F.split("value", "\t", -1)
+    lines, c = fields_of(lines), F.col("_c")
     flag = F.get(c, F.lit(1)).cast("int")
     bit = lambda b: flag.bitwiseAND(b) != 0
     kind = F.when(bit(4), "unmapped").when(bit(256), "secondary").when(bit(2048), "supplementary").otherwise("primary")
@@ -70,7 +85,7 @@ def sam_alignments(lines: DataFrame) -> DataFrame:
 
 def paf_alignments(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """lines[value] of pairwise alignment text -> typed rows with identity, coverage and score, and the rejects."""
-    c = F.split("value", "\t", -1)
+    lines, c = fields_of(lines), F.col("_c")
     text = lambda i: F.get(c, F.lit(i))
     whole = lambda i: text(i).try_cast("long")
     tags = tags_of(c, 12)

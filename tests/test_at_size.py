@@ -174,3 +174,10 @@ def test_groups_meet_targets_once(spark, repeated):
                 x[0], x[1], x[2] = x[0] or s1 <= e0 and ok, x[1] or s0 >= e1 and ok, x[2] + (not ok)
     rows = asg.flanking(a, t, lambda s, e: e - s >= 40).collect()
     assert len(rows) == len(near) and {(r[0], r[1], r[2]): [r["l"], r["r"], r["refused"]] for r in rows} == near
+
+
+@pytest.mark.parametrize("name", ["read_paf_alignments", "read_sam_alignments"])
+def test_lines_are_split_once(spark, name):
+    """Before, the filter of valid rows split a line again for each field that it names."""
+    df = registry.queries()[name](spark, SF)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
