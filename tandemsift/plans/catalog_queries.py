@@ -243,17 +243,37 @@ def nearby_pairs(targets):
     return known, pairs.withColumn("delta", F.abs(F.col("q0") - F.col("r0")) + F.abs(F.col("q1") - F.col("r1")))
 
 
+#: What loci have in common that meet the same others in the same way.
+SHAPE = ["chrom", "q0", "q1", "qm"]
+
+
+def nearby_shapes(targets, told):
+    """Disease loci with their shapes, and the pairs of shapes that lie near each other, `told` of the catalog loci of one."""
+    known = targets.filter("target_source = 'DISEASE'").select(F.col("target_region_id").alias("q"), "chrom", F.col("start_pos").alias("q0"), F.col("end_pos").alias("q1"), F.struct("motif").alias("qm"))
+    other = targets.filter("target_source = 'CATALOG'").select(F.col("target_region_id").alias("r"), "chrom", F.col("start_pos").alias("r0"), F.col("end_pos").alias("r1"), F.col("motif").alias("rm"))
+    shapes = other.groupBy("chrom", "r0", "r1", "rm").agg(told)
+    near = iv.interval_join(known.select(*SHAPE).distinct(), shapes, ("chrom", "q0", "q1"), ("chrom", "r0", "r1"), within=100)
+    return known, near.withColumn("delta", F.abs(F.col("q0") - F.col("r0")) + F.abs(F.col("q1") - F.col("r1")))
+
+
 @query(
     "disease_concordance", "targets",
     f"""WITH {PAIR_SQL}, b AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY q ORDER BY (qm = rm) DESC, overlap_bp DESC, delta, len(rm) DESC, r) = 1)
       SELECT d.q, b.r, b.overlap_bp::BIGINT AS overlap_bp, CASE WHEN b.r IS NULL THEN 'NO_CANDIDATE' WHEN b.qm = b.rm AND b.delta = 0 THEN 'EXACT' WHEN b.qm = b.rm AND b.overlap_bp > 0 THEN 'SAME_MOTIF_OVERLAP' WHEN b.overlap_bp > 0 THEN 'OTHER_MOTIF_OVERLAP' ELSE 'NEARBY' END AS concordance FROM d LEFT JOIN b ON d.q = b.q""",
 )
 def _(targets):
-    """The best catalog locus near each disease locus; loci without one are kept."""
-    known, pairs = nearby_pairs(targets)
-    same = F.col("qm") == F.col("rm")
-    best = iv.top_row(pairs.withColumn("same", same), ["q"], [F.desc(F.col("same").cast("int")), F.desc("overlap_bp"), F.asc("delta"), F.desc(F.length("rm")), F.asc("r")])
-    joined = known.select("q").join(best.select("q", "r", "same", "overlap_bp", "delta"), "q", "left")
+    """The best catalog locus near each disease locus; loci without one are kept.
+
+    Loci with the same span and motif have the same best, and of catalog loci with the same the first id is better: pairs
+    are of spans and motifs, no more than places that they can lie at.
+    """
+    known, near = nearby_shapes(targets, F.min("r").alias("r"))
+    pairs = near.withColumn("same", F.col("qm.motif") == F.col("rm"))
+    order = F.struct(F.coalesce(F.col("same").cast("int"), F.lit(-1)), "overlap_bp", -F.col("delta"), F.coalesce(F.length("rm"), F.lit(-1)))
+    # of equal ones the first id: least rows are kept by an aggregate, so no shape's pairs are sorted in one task
+    top = pairs.groupBy(*SHAPE, order.alias("o")).agg(F.min(F.struct("r", "same", "overlap_bp", "delta")).alias("x")).groupBy(*SHAPE).agg(F.max_by("x", "o").alias("x"), F.max("o").alias("o"))
+    own = known.join(top, SHAPE).groupBy("q", "o").agg(F.min("x").alias("x")).groupBy("q").agg(F.max_by("x", "o").alias("x"))
+    joined = known.select("q").join(own, "q", "left").select("q", "x.*")
     overlaps = F.col("overlap_bp") > 0
     kind = F.when(F.col("r").isNull(), "NO_CANDIDATE").when(F.col("same") & (F.col("delta") == 0), "EXACT").when(F.col("same") & overlaps, "SAME_MOTIF_OVERLAP").when(overlaps, "OTHER_MOTIF_OVERLAP").otherwise("NEARBY")
     return joined.select("q", "r", F.col("overlap_bp").cast("long"), kind.alias("concordance"))
@@ -280,9 +300,12 @@ def _(targets):
       SELECT CASE WHEN exact > 0 THEN 'EXACT' WHEN overlapping = 1 THEN 'UNIQUE_OVERLAP' WHEN overlapping > 1 THEN 'MULTIPLE_OVERLAP' WHEN near > 0 THEN 'NEARBY' ELSE 'NONE' END AS tier, count(*) AS loci FROM k GROUP BY tier""",
 )
 def _(targets):
-    known, pairs = nearby_pairs(targets)
-    counts = pairs.groupBy("q").agg(F.count_if(F.col("delta") == 0).alias("exact"), F.count_if(F.col("overlap_bp") > 0).alias("overlapping"), F.count("*").alias("near"))
-    rows = known.select("q").join(counts, "q", "left").fillna(0)
+    """Loci by how many catalog loci lie at or near them, counted by pairs of spans and motifs."""
+    known, near = nearby_shapes(targets, F.count("*").alias("n"))
+    over = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+    counts = near.groupBy(*SHAPE).agg(over(F.col("delta") == 0).alias("exact"), over(F.col("overlap_bp") > 0).alias("overlapping"), F.sum("n").alias("near"))
+    own = known.join(counts, SHAPE).groupBy("q").agg(*[F.sum(c).alias(c) for c in ("exact", "overlapping", "near")])
+    rows = known.select("q").join(own, "q", "left").fillna(0, ["exact", "overlapping", "near"])
     tier = F.when(F.col("exact") > 0, "EXACT").when(F.col("overlapping") == 1, "UNIQUE_OVERLAP").when(F.col("overlapping") > 1, "MULTIPLE_OVERLAP").when(F.col("near") > 0, "NEARBY").otherwise("NONE")
     return rows.groupBy(tier.alias("tier")).agg(F.count("*").alias("loci"))
 

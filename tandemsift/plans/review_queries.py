@@ -117,11 +117,15 @@ def _(targets):
     """Catalog loci with the disease loci that touch them, and forced, tier and reason worked out anew."""
     catalog = targets.filter("target_source = 'CATALOG'")
     known = targets.filter("target_source = 'DISEASE'").select("chrom", F.col("target_region_id").alias("known"), F.col("start_pos").alias("d0"), F.col("end_pos").alias("d1"))
-    hits = iv.interval_join(catalog, known, ("chrom", "start_pos", "end_pos"), ("chrom", "d0", "d1"))
-    ids = hits.groupBy("target_region_id").agg(F.array_join(F.array_sort(F.collect_set("known")), ";").alias("ids"))
+    # ids are put together once for loci that lie at the same places, of disease loci by span; an id may have several rows
+    spans = known.groupBy("chrom", "d0", "d1").agg(F.collect_set("known").alias("names"))
+    places = catalog.groupBy("target_region_id").agg(F.sort_array(F.collect_set(F.struct("chrom", "start_pos", "end_pos"))).alias("places"))
+    at = places.select("places").distinct().select("places", F.explode("places").alias("p")).select("places", "p.*")
+    hits = iv.interval_join(at, spans, ("chrom", "start_pos", "end_pos"), ("chrom", "d0", "d1"))
+    ids = hits.groupBy("places").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))), ";").alias("ids"))
     forced, short = F.col("ids").isNotNull(), F.col("end_pos") - F.col("start_pos") <= 20
     tier, reason = F.when(forced, "T0").when(short, "T1").otherwise("T2"), F.when(forced, "DISEASE_OVERRIDE").when(short, "SHORT").otherwise("NONE")
-    return catalog.join(ids, "target_region_id", "left").select("target_region_id", "ids", forced.alias("forced"), tier.alias("tier"), reason.alias("include_reason"))
+    return catalog.join(places.join(ids, "places"), "target_region_id", "left").select("target_region_id", "ids", forced.alias("forced"), tier.alias("tier"), reason.alias("include_reason"))
 
 
 @query(

@@ -181,3 +181,31 @@ def test_lines_are_split_once(spark, name):
     """Before, the filter of valid rows split a line again for each field that it names."""
     df = registry.queries()[name](spark, SF)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+@pytest.mark.parametrize("name", ["disease_concordance", "crosswalk_tiers", "apply_overrides"])
+def test_loci_at_the_same_places_are_paired_once(spark, name, monkeypatch):
+    """Four times the loci at the same places: as many rows go into the interval join as before."""
+    from tandemsift.plans import catalog_queries, common
+
+    loci = [("DISEASE" if i % 3 == 0 else "CATALOG", f"T{i}", "chr1", i * 37 % 400, i * 37 % 400 + 9 + i % 40, "CAG" if i % 2 else "AT") for i in range(60)]
+    loci += [("CATALOG", "T1", "chr1", 300, 330, "CAG"), ("DISEASE", "T3", "chr1", 10, 44, "AT")]  # names given again
+    schema = "target_source string, target_region_id string, chrom string, start_pos long, end_pos long, motif string"
+    sizes, real = [], catalog_queries.iv.interval_join
+    monkeypatch.setattr(catalog_queries.iv, "interval_join", lambda a, b, *x, **y: sizes.append((a.count(), b.count())) or real(a, b, *x, **y))
+    results = []
+    for times in (1, 4):
+        rows = [(s, i if not n else f"{i}_{n}", *rest) for n in range(times) for s, i, *rest in loci]
+        monkeypatch.setattr(common, "view", lambda *_, rows=rows: spark.createDataFrame(rows, schema))
+        results.append(registry.queries()[name](spark, SF).collect())
+    assert sizes[0] == sizes[1]
+    if name == "disease_concordance":
+        first = {r["q"]: r[1:] for r in results[0]}
+        assert {r["q"].split("_")[0]: r[1:] for r in results[1]} == first and len(results[1]) == 4 * len(results[0])
+        touching = lambda q: [r for r in loci for d in loci if d[1] == q and d[0] == "DISEASE" and r[0] == "CATALOG" and r[3] - d[4] <= 100 and d[3] - r[4] <= 100]
+        assert all((r["r"] is None) == (not touching(r["q"])) for r in results[0])
+    elif name == "crosswalk_tiers":
+        assert sum(r["loci"] for r in results[0]) == sum(x[0] == "DISEASE" for x in loci)
+    else:
+        meets = lambda c: {d[1] for d in loci for x in loci if x[1] == c and x[0] == "CATALOG" and d[0] == "DISEASE" and d[3] < x[4] and x[3] < d[4]}
+        assert all((r["ids"] or "") == ";".join(sorted(meets(r["target_region_id"]))) for r in results[0])
