@@ -1,4 +1,4 @@
-"""Motifs laid along a batch of texts at once, as matrices of letters: labels of reads."""
+"""Motifs laid along a batch of texts at once, as matrices of letters: labels of reads, tracts at an entry."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .consensus import groups
 
@@ -106,3 +107,55 @@ def label_segments(rows: DataFrame, key: str, threshold: float, margin: float, f
                 yield segments(batch, at, *[[x[i] for i in at] for x in (bases, motifs, others)])
 
     return rows.mapInArrow(found, f"{key} {rows.schema[key].dataType.simpleString()}, motif string, seg_start int, seg_end int")
+
+
+def best_tracts(bases: np.ndarray, sizes: np.ndarray, entry: np.ndarray, units: np.ndarray, others: np.ndarray, reach: int, least_bp: int, purity: float, match: int, mismatch: int) -> np.ndarray:
+    """Start, length and agreeing bases of the best tract of each clip; length 0 for none."""
+    offsets = sorted(range(-reach, reach + 1), key=lambda d: (abs(d), d))  # of equals the first is kept
+    starts = entry[:, None] + np.array(offsets)
+    fits = (starts >= 0) & (starts + least_bp <= sizes[:, None]) & ((entry >= 0) & (entry <= sizes))[:, None]
+    starts = np.where(fits, starts, 0)
+    most = [None] * len(offsets)
+    for before in counted(bases, units, others):
+        for j in range(len(offsets)):
+            hits = before - np.take_along_axis(before, starts[:, j : j + 1], 1)
+            most[j] = hits if most[j] is None else np.maximum(most[j], hits, out=most[j])
+    found, at = np.zeros((len(bases), 3), np.int64), np.arange(bases.shape[1] + 1)
+    for j, hits in enumerate(most):
+        start = starts[:, j]
+        n = at - start[:, None]
+        inside = fits[:, j : j + 1] & (n >= least_bp) & (at <= sizes[:, None])
+        good = inside & (hits / np.maximum(n, 1) >= purity) & (match * hits > mismatch * (n - hits))
+        end = len(at) - 1 - good[:, ::-1].argmax(axis=1)
+        bp = np.where(good.any(axis=1), end - start, 0)
+        same = hits[np.arange(len(bases)), end]
+        better = (bp > found[:, 1]) | ((bp == found[:, 1]) & (bp > 0) & (same > found[:, 2]))
+        found[better] = np.stack([start, bp, same], axis=1)[better]
+    return found
+
+
+def entry_tracts(clips: DataFrame, clip: str, unit: str, other: str, entry: str, **rule) -> DataFrame:
+    """clips with `_start`, `_bp` and `_same` of their best tract, as calling.entry_tracts; null without one."""
+    names = clips.columns
+    added = ("_start", "_bp", "_same")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = lambda c: batch.column(names.index(c)).to_pylist()
+            texts, units, others, entries = column(clip), column(unit), column(other), column(entry)
+            told, known = np.zeros((batch.num_rows, 3), np.int64), np.zeros(batch.num_rows, bool)
+            by_size: dict[int, list[int]] = {}
+            for i, values in enumerate(zip(texts, units, others, entries)):
+                if None not in values and values[1]:
+                    by_size.setdefault(len(values[1]), []).append(i)
+            for alike in by_size.values():
+                bases = [codes(texts[i]) for i in alike]
+                sizes = np.array([len(b) for b in bases], np.int64)
+                for at in groups(sizes):
+                    own = [alike[i] for i in at]
+                    laid = [matrix([codes(x[i]) for i in own]) for x in (units, others)]
+                    told[own] = best_tracts(matrix([bases[i] for i in at]), sizes[at], np.array([entries[i] for i in own], np.int64), *laid, **rule)
+                    known[own] = told[own, 1] > 0
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(told[:, j].astype(np.int32), mask=~known) for j in range(3)]], [*names, *added])
+
+    return clips.mapInArrow(found, StructType([*clips.schema.fields, *[StructField(c, IntegerType()) for c in added]]))

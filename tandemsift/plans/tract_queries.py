@@ -8,6 +8,7 @@ from ..functions import sequences as s
 from ..operators import assignment as asg
 from ..operators import calling, rescue
 from ..operators import intervals as iv
+from ..operators.spread import spread
 from .assignment_queries import BEST, wide
 from .common import register
 from .sequence_queries import COMP, ROT
@@ -59,7 +60,7 @@ TRACTS = TRACTS.replace(f", k AS (SELECT *, unnest({WAYS}) AS way, unnest(range(
 def clips_of(reads, orders):
     motif = F.get(F.array(*[F.lit(m) for m in ("CAG", "AAG", "GCC", "AT", "A", "CCTG")]), (F.col("o_custkey") % 6).cast("int"))
     turned, clip = F.col("read_id") % 2 == 1, F.substring(F.col("seq"), F.lit(21), F.length("seq"))
-    rows = reads.join(orders.select(F.col("o_orderkey").alias("read_id"), motif.alias("motif")), "read_id")
+    rows = spread(reads, "read_id").hint("merge").join(orders.select(F.col("o_orderkey").alias("read_id"), motif.alias("motif")), "read_id")
     oriented = F.when(turned, s.reverse_complement(clip)).otherwise(clip)
     entry = F.when(turned, 32).otherwise(12) + F.col("read_id") % 7 - 3
     return rows.select("read_id", "motif", turned.alias("reverse"), F.lit(20).alias("raw_start"), F.length("seq").alias("raw_end"), oriented.alias("oriented_clip"), entry.cast("int").alias("entry"))

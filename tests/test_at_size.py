@@ -225,3 +225,13 @@ def test_labels_are_batches_in_many_tasks(spark):
     motifs = spark.createDataFrame([(1, u) for u in units] + [(2, "T-G"), (3, "CAG")], "read_id long, motif string")
     reads = spark.createDataFrame([(1, "TTTGC" * 12), (2, "T-G" * 9), (3, None)], "read_id long, seq string")
     assert [tuple(r) for r in calling.label_segments(reads, motifs, margin=-1.0).collect()] == [(1, "TTTGC", 0, 60)]
+
+
+def test_entry_tracts_are_batches_in_many_tasks(spark):
+    """Clips are dealt to as many tasks as a shuffle has and worked out side by side; an empty motif gives no tract."""
+    df = registry.queries()["clip_evidence_by_tract"](spark, SF)
+    assert "MapInArrow" in plan(df) and df.rdd.getNumPartitions() == shuffled_parts(spark)
+    clips = [(1, "TTTTT" + "CAG" * 500, "cag", 4, True), (2, "CAG" * 9, "", 3, False), (3, "CAG" * 9, "C-G", 3, False), (4, None, "CAG", 3, False), (5, "CAG" * 9, "CTG", 27, False)]
+    table = spark.createDataFrame([(i, c, m, e, 0, 2000, r) for i, c, m, e, r in clips], "read_id long, oriented_clip string, motif string, entry int, raw_start int, raw_end int, reverse boolean")
+    got = {r.read_id: (r.tract_start, r.tract_end, r.entry_offset, r.tract_raw_start, r.tract_raw_end) for r in calling.entry_tracts(table).collect()}
+    assert got == {1: (0, 1505, -4, 495, 2000), 2: (None,) * 5, 3: (None,) * 5, 4: (None,) * 5, 5: (None,) * 5}
