@@ -19,13 +19,14 @@ CODE = np.full(256, 4, np.uint8)
 CODE[BASES] = range(4)
 
 
-def groups(sizes: np.ndarray) -> Iterator[np.ndarray]:
-    """Rows by length, as many at once as CELLS holds; one at least."""
+def groups(sizes: np.ndarray, cells: int | None = None, least: int = 1) -> Iterator[np.ndarray]:
+    """Rows by length, at least `least` counted for each, as many at once as `cells` (CELLS) holds; one at least."""
+    cells = CELLS if cells is None else cells
     order = np.argsort(sizes, kind="stable")
     start = 0
     for stop, row in enumerate(order):
         # lengths ascend, so the row that comes next would be the group's width
-        if stop > start and int(sizes[row]) * (stop + 1 - start) > CELLS:
+        if stop > start and max(int(sizes[row]), least) * (stop + 1 - start) > cells:
             yield order[start:stop]
             start = stop
     if start < len(order):

@@ -235,3 +235,10 @@ def test_entry_tracts_are_batches_in_many_tasks(spark):
     table = spark.createDataFrame([(i, c, m, e, 0, 2000, r) for i, c, m, e, r in clips], "read_id long, oriented_clip string, motif string, entry int, raw_start int, raw_end int, reverse boolean")
     got = {r.read_id: (r.tract_start, r.tract_end, r.entry_offset, r.tract_raw_start, r.tract_raw_end) for r in calling.entry_tracts(table).collect()}
     assert got == {1: (0, 1505, -4, 495, 2000), 2: (None,) * 5, 3: (None,) * 5, 4: (None,) * 5, 5: (None,) * 5}
+
+
+@pytest.mark.parametrize("name", ["target_concordance_by_edits", "exact_span_audit_by_edits"])
+def test_gapped_alignments_are_batches(spark, name):
+    """Tracts are aligned side by side, not base by base in their own rows."""
+    found = plan(registry.queries()[name](spark, SF))
+    assert "MapInArrow" in found and "aggregate(" not in found
