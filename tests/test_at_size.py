@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tandemsift.functions import sequences as s
+from tandemsift.operators import alignments as al
 from tandemsift.operators import assignment as asg
 from tandemsift.operators import calling
 from tandemsift.operators import consensus as batched
@@ -242,3 +243,17 @@ def test_gapped_alignments_are_batches(spark, name):
     """Tracts are aligned side by side, not base by base in their own rows."""
     found = plan(registry.queries()[name](spark, SF))
     assert "MapInArrow" in found and "aggregate(" not in found
+
+
+def test_cigars_are_parsed_once_in_batches(spark):
+    """Odd CIGARs give no rows; distinct ones are parsed once for all rows of a batch, not walked through row by row."""
+    for name in ("cigar_positions", "cigar_positions_by_shape", "project_interval", "project_interval_by_shape", "anchor_bases", "anchor_bases_by_shape"):
+        found = plan(registry.queries()[name](spark, SF))
+        assert "MapInArrow" in found and "aggregate(" not in found and "regexp_extract_all(" not in found
+    odd = [None, "", "M", "5", "5M3", "M5", "5MM", "5Q", "5M é", " 5M", "٣M"]
+    rows = [(i, 1, "c", 100, c) for i, c in enumerate(odd)] + [(50, 1, "c", 100, "05S10M2147483647N0I3=")] * 2 + [(51, 1, "c", 7, "1X")]
+    table = spark.createDataFrame(rows, "read_id long, ordinal int, chrom string, ref_start long, cigar string")
+    got = [(r.read_id, r.op_index, r.op, r.op_len, r.ref_offset, r.query_offset, r.op_ref_start) for r in al.cigar_positions(table).collect()]
+    one = [(50, 0, "S", 5, 0, 0, 100), (50, 1, "M", 10, 0, 5, 100), (50, 2, "N", 2147483647, 10, 15, 110), (50, 3, "I", 0, 2147483657, 15, 2147483757), (50, 4, "=", 3, 2147483657, 15, 2147483757)]
+    assert sorted(got) == sorted([*one, *one, (51, 0, "X", 1, 0, 0, 7)])
+    assert al.cigar_positions(table.limit(0)).collect() == [] and al.cigar_positions(table.filter("read_id < 11")).collect() == []
