@@ -1,4 +1,4 @@
-"""Motifs laid along a batch of texts at once, as matrices of letters: labels of reads, tracts at an entry."""
+"""Motifs laid along a batch of texts at once, as matrices of letters: labels of reads, tracts at an entry, windows."""
 
 from __future__ import annotations
 
@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from ..functions.sequences import reverse_complement
 from .consensus import groups
 
 
@@ -159,3 +160,43 @@ def entry_tracts(clips: DataFrame, clip: str, unit: str, other: str, entry: str,
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(told[:, j].astype(np.int32), mask=~known) for j in range(3)]], [*names, *added])
 
     return clips.mapInArrow(found, StructType([*clips.schema.fields, *[StructField(c, IntegerType()) for c in added]]))
+
+
+def like_windows(bases: np.ndarray, sizes: np.ndarray, units: np.ndarray, others: np.ndarray, width: int, step: int, purity: float) -> np.ndarray:
+    """Windows of `width` bases, one each `step`, the last ones cut short to `step` at least, that a motif explains to `purity`."""
+    starts, n = np.arange(0, bases.shape[1], step), sizes[:, None]
+    low, high = np.minimum(starts, n), np.minimum(starts + width, n)
+    best = None
+    for before in counted(bases, units, others):
+        agree = np.take_along_axis(before, high, 1) - np.take_along_axis(before, low, 1)
+        best = agree if best is None else np.maximum(best, agree, out=best)
+    wanted = ((starts == 0) | (starts + width - step < n)) & (n - starts >= step)
+    return (wanted & (best / np.maximum(high - low, 1) >= purity)).sum(axis=1)
+
+
+def count_like_windows(rows: DataFrame, text: str, motif: str, width: int = 40, step: int = 20, purity: float = 0.7, name: str = "windows") -> DataFrame:
+    """rows with the number of windows of a text that look like a motif, over all rotations of both strands.
+
+    The text's letters count as they stand. 0 for a null or short text and for a motif that is null, empty or outside the
+    IUPAC codes. Texts are laid side by side in Arrow batches.
+    """
+    helped = rows.drop(name).withColumns({"_unit": F.upper(motif), "_other": reverse_complement(F.upper(motif))})
+    names = helped.columns
+    places = [names.index(c) for c in (text, "_unit", "_other")]
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told, by_size = np.zeros(batch.num_rows, np.int64), {}
+            texts, units, others = (batch.column(i).to_pylist() for i in places)
+            for i, other in enumerate(others):
+                if other and texts[i] and len(texts[i]) >= step:
+                    by_size.setdefault(len(other), []).append(i)
+            for alike in by_size.values():
+                sizes = np.array([len(texts[i]) for i in alike], np.int64)
+                for at in groups(sizes):
+                    own = [alike[i] for i in at]
+                    laid = [matrix([codes(x[i]) for i in own]) for x in (texts, units, others)]
+                    told[own] = like_windows(laid[0], sizes[at], laid[1], laid[2], width, step, purity)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(told)], [*names, name])
+
+    return helped.mapInArrow(found, StructType([*helped.schema.fields, StructField(name, LongType())])).drop("_unit", "_other")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as s
 from ..operators import alignments as al
-from ..operators import calling
+from ..operators import calling, laid
 from ..operators import intervals as iv
 from ..operators.geometry import geometry
 from ..operators.rescue import bridge_decision
@@ -127,13 +127,9 @@ def _(segments, targets):
 def _(paf, reads, targets):
     """Bridges beside the windows of the clip that look like the target's motif."""
     named = reads.select(F.concat(F.lit("Q"), F.col("read_id")).alias("query_name"), "seq")
-    rows = paf.join(targets.select(F.col("target_region_id").alias("target_name"), "motif"), "target_name").join(named, "query_name")
-    rows = rows.withColumn("clip", F.substring(F.col("seq"), (F.col("query_start") + 1).cast("int"), F.length("seq")))
-    width, step, size = 40, 20, F.length("clip")
-    starts = F.when(size >= step, F.filter(F.sequence(F.lit(0), size - 1, F.lit(step)), lambda a: ((a == 0) | (a + width - step < size)) & (size - a >= step)))
-    like = F.filter(starts, lambda a: s.phase_purity(F.substring(F.col("clip"), a + 1, F.lit(width)), F.col("motif"))["purity"] >= 0.7)
-    found = bridge_decision(rows.withColumn("windows", F.coalesce(F.size(like), F.lit(0)).cast("long")), entry=100)
-    windows = F.greatest(F.col("windows"), F.lit(0))
+    rows = paf.join(targets.select(F.col("target_region_id").alias("target_name"), "motif"), "target_name").join(named.hint("merge"), "query_name")
+    rows = rows.withColumn("clip", F.substring(F.col("seq"), (F.col("query_start") + 1).cast("int"), F.length("seq"))).drop("seq", "target_name")
+    found, windows = bridge_decision(laid.count_like_windows(rows, "clip", "motif"), entry=100), F.col("windows")
     good, repeat = F.col("priority") == 5, windows > 0
     signal = F.when(good & repeat, "BRIDGE_PLUS_TARGET_MOTIF_SIGNAL").when(good, "BRIDGE_ONLY_NO_TARGET_MOTIF_SIGNAL").when(repeat, "TARGET_MOTIF_SIGNAL_WITHOUT_BRIDGE").otherwise("NO_BRIDGE_NO_TARGET_MOTIF_SIGNAL")
     return found.select("query_name", "ordinal", windows.alias("windows"), signal.alias("signal"))

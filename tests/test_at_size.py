@@ -1,6 +1,7 @@
 """Plans and results that must hold when tables grow."""
 
 import itertools
+import random
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tandemsift.functions import sequences as s
 from tandemsift.operators import alignments as al
 from tandemsift.operators import assignment as asg
-from tandemsift.operators import calling
+from tandemsift.operators import calling, laid
 from tandemsift.operators import consensus as batched
 from tandemsift.plans import registry
 from tandemsift.sources import package
@@ -257,3 +258,19 @@ def test_cigars_are_parsed_once_in_batches(spark):
     one = [(50, 0, "S", 5, 0, 0, 100), (50, 1, "M", 10, 0, 5, 100), (50, 2, "N", 2147483647, 10, 15, 110), (50, 3, "I", 0, 2147483657, 15, 2147483757), (50, 4, "=", 3, 2147483657, 15, 2147483757)]
     assert sorted(got) == sorted([*one, *one, (51, 0, "X", 1, 0, 0, 7)])
     assert al.cigar_positions(table.limit(0)).collect() == [] and al.cigar_positions(table.filter("read_id < 11")).collect() == []
+
+
+def test_windows_of_clips_are_batches(spark):
+    """No read's letters are broadcast, and windows are counted side by side as phase_purity counts them one by one."""
+    found = plan(registry.queries()["bridge_motif_signal_by_windows"](spark, SF))
+    assert "MapInArrow" in found and "BroadcastHashJoin [query_name" not in found and "aggregate(" not in found
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choices("ACGT", k=rng.randrange(0, 60))) + "CAG" * rng.randrange(0, 40), rng.choice(["CAG", "ctg", "AT", "CCTG", "A"])) for i in range(200)]
+    rows += [(900, None, "CAG"), (901, "CAG" * 20, None), (902, "CAG" * 20, ""), (903, "CAG" * 20, "C-G"), (904, "cag" * 20, "CAG")]
+    table = spark.createDataFrame(rows, "id long, clip string, motif string")
+    starts = F.sequence(F.lit(0), F.greatest(F.length("clip") - 1, F.lit(0)), F.lit(20))
+    cut = table.select("*", F.explode(starts).alias("a")).filter("(a = 0 OR a + 20 < length(clip)) AND length(clip) - a >= 20 AND motif <> ''")
+    pure = cut.filter(s.phase_purity(F.substring(F.col("clip"), F.col("a") + 1, F.lit(40)), F.col("motif"))["purity"] >= 0.7).groupBy("id").count()
+    want = {r["id"]: r["count"] for r in pure.collect()}
+    got = {r["id"]: r["windows"] for r in laid.count_like_windows(table, "clip", "motif").collect()}
+    assert got == {i: want.get(i, 0) for i, _, _ in rows} and len(want) > 50
