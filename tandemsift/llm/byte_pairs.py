@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-A pre-token is a string with a character for each byte; ranked merges are folded over it, with a rank map that stands in
-the plan as a literal. Every distinct word of high count is folded once and kept in a second literal; the others are folded where
+A pre-token is a string with a character for each byte; ranked merges are folded over it. Which ones may apply is read
+from a tree of all tokens' prefixes, that stands in the plan as literal arrays. Every distinct word of high count is folded once and kept in a second literal; the others are folded where
 they stand. Nothing runs in Python, and no text or word is shuffled but for the count of distinct words.
 """
 
@@ -19,10 +19,12 @@ from . import common
 
 #: Unicode's white space, as Java's \s is ASCII's only. Fixed values.
 SPACES = r"\x09-\x0D\x20\x85\xA0  -     　"
-#: Distinct words kept in the plan at most, the longest in bytes, and hash buckets of the two maps.
-KEPT, LONGEST, WORD_BUCKETS, RANK_BUCKETS = 1 << 17, 64, 1 << 14, 1 << 13
+#: Distinct words kept in the plan at most, the longest in bytes, and hash buckets of their map.
+KEPT, LONGEST, WORD_BUCKETS = 1 << 17, 64, 1 << 14
 #: The character of rank 0: from here on characters take four bytes, and there is room for 900,000 ranks.
 BASE = 0x20000
+#: The node of the tree of tokens at which words start.
+ROOT = 1
 #: Steps of an octave of word counts, to find the least count of the words that are kept.
 STEPS = 8
 
@@ -71,47 +73,108 @@ def hashed_map(entries: DataFrame, buckets: int) -> Callable[[Column], Column]:
 class Ranks:
     """The ranks of a file as literals, with the fold over one word.
 
-    A piece is one character, BASE and its rank, and a word's bytes are a string of such characters. All are four bytes
-    wide in UTF-8, so they sort by rank and a merge is a replacement of two characters by one, from the left.
+    A piece is one character, BASE and its rank, and a word's bytes are a string of such characters, so a merge is a
+    replacement of two characters by one, from the left.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         ranks = load_ranks(path)
         self.size, self.widest = len(ranks), max(map(len, ranks))
-        rows = [(token.decode("latin-1"), symbols((rank, *split(token, ranks)))) for token, rank in ranks.items() if len(token) > 1]
-        self.merge_of = hashed_map(spark.createDataFrame(rows, "key string, value string"), RANK_BUCKETS)
         self.single = symbols(ranks[bytes([b])] for b in range(256))
         by_rank = sorted(ranks, key=ranks.get)
         self.pieces = F.from_json(F.lit(json.dumps([base64.b64encode(t).decode() for t in by_rank])), "array<binary>")
+        base, check, last = prefix_tree(ranks)
+        tables = {
+            "base": ("int", base),
+            "check": ("int", check),
+            "last": ("int", last),
+            "prefixes": ("array<int>", [[ranks[t[:n]] for n in range(2, len(t) + 1) if t[:n] in ranks] for t in by_rank]),
+            "pair": ("string", [symbols(split(t, ranks)) if len(t) > 1 else None for t in by_rank]),
+            "symbol": ("string", [symbols([r]) for r in range(len(ranks))]),
+        }
+        self.tables = F.struct(*[F.from_json(F.lit(json.dumps(values)), f"array<{kind}>").alias(name) for name, (kind, values) in tables.items()])
+
+    def merges(self, chars: Column, t: Column) -> Column:
+        """Of a string with a character for each byte, the ranks of all stretches that are pieces of two bytes or more, lowest first.
+
+        From each place the tree is walked down as far as bytes lead; the node where the walk ends (the state, less than
+        0 from then on) knows the longest piece on its way, and with that the shorter ones. `t` has the tables.
+        """
+        step = lambda s, b: F.when(s < 0, s).when(F.get(t["check"], F.get(t["base"], s) + b) == s, F.get(t["base"], s) + b).otherwise(-s)
 
-    def merges(self, chars: Column) -> Column:
-        """Of a string with a character for each byte, the merges of all stretches that are pieces, lowest rank first."""
-        size = F.length(chars)
+        def from_places(codes: Column) -> Column:
+            def ends(b: Column, i: Column) -> Column:
+                """Most walks end within four bytes; slices are made for the others only."""
+                near = F.array(b, *[F.get(codes, i + k) for k in (1, 2, 3)])
+                further = lambda s: F.aggregate(F.slice(codes, i + 5, F.lit(self.widest)), s, step)
+                return F.aggregate(near, F.lit(ROOT), step, lambda s: F.abs(F.when(s < 0, s).otherwise(further(s))))
 
-        def from_place(i: Column) -> Column:
-            lengths = F.sequence(F.lit(2), F.least(F.lit(self.widest), size - i + 1))
-            found = let(F.substring(chars, i, F.lit(self.widest)), lambda rest: F.transform(lengths, lambda n: self.merge_of(F.substring(rest, F.lit(1), n))))
-            return F.filter(found, lambda m: m.isNotNull())
+            return F.transform(codes, lambda b, i: F.get(t["prefixes"], F.get(t["last"], ends(b, i))))
 
-        return F.array_sort(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), size - 1), from_place))))
+        return F.sort_array(F.array_distinct(F.flatten(let(F.transform(F.split(chars, ""), F.ascii), from_places))))
 
     def fold(self, word: Column) -> Column:
         """The ids of a word: merges of the pieces in it, by rank, each at all places at once.
 
         A piece arises from one pair only, what its bytes alone come to before it: a piece that stands in a word was never
         merged over its ends. So all merges that a word may need are those of its stretches, each is tried once, and no
-        merge makes way for another of lower rank. Lookups are linear in the word's length, replacements at most one for
-        each rank.
+        merge makes way for another of lower rank. Steps down the tree are linear in the word's length, replacements at
+        most one for each rank. The tables stand in the plan once, as what a lambda function is given.
         """
         chars = F.decode(word.cast("binary"), "ISO-8859-1")
         latin = "".join(map(chr, range(256)))
 
-        def folded(c: Column) -> Column:
+        def folded(x: Column) -> Column:
+            c, t = x["c"], x["t"]
             start = F.translate(c, latin, self.single)
-            done = F.aggregate(self.merges(c), start, lambda s, m: F.replace(s, F.substring(m, 2, 2), F.substring(m, 1, 1)))
+            done = F.aggregate(self.merges(c, t), start, lambda s, r: F.replace(s, F.get(t["pair"], r), F.get(t["symbol"], r)))
             return F.when(F.length(c) == 1, start).otherwise(done)
 
-        return F.transform(F.split(let(chars, folded), ""), lambda c: F.ascii(c) - BASE)
+        return F.transform(F.split(let(F.struct(chars.alias("c"), self.tables.alias("t")), folded), ""), lambda c: F.ascii(c) - BASE)
+
+
+def prefix_tree(ranks: dict[bytes, int]) -> tuple[list[int], list[int], list[int]]:
+    """The tree of all tokens' prefixes as (base, check, last), each by node.
+
+    From node s byte b leads to t = base[s] + b if check[t] = s, else nowhere; ROOT is the start. last[s] is the
+    rank of the longest token on the way to s, s included; the root, which has none, has 0 and no walk ends there.
+    """
+    children: list[dict[int, int]] = [{}]
+    rank_at: dict[int, int] = {}
+    for token, rank in ranks.items():
+        at = 0
+        for b in token:
+            if b not in children[at]:
+                children[at][b] = len(children)
+                children.append({})
+            at = children[at][b]
+        rank_at[at] = rank
+    base, check, last, taken = [0, 0], [0, 0], [0, 0], bytearray(b"\1\1")
+    place, order, low = {0: ROOT}, [0], 0
+    for node in order:
+        below = children[node]
+        if not below:
+            continue
+        order += below.values()
+        while low < len(taken) and taken[low]:
+            low += 1
+        first, *rest = (b - min(below) for b in sorted(below))
+        # nodes with several ways down look for room behind the crowded part
+        slot = max(low, len(taken) - (256 if rest else len(taken)))
+        while any(taken[slot + d : slot + d + 1] == b"\1" for d in (first, *rest)):
+            slot += 1
+        own = base[place[node]] = slot - min(below)
+        more = own + max(below) + 1 - len(taken)
+        if more > 0:
+            taken += bytes(more)
+            base += [0] * more
+            check += [0] * more
+            last += [0] * more
+        for b, child in below.items():
+            t = place[child] = own + b
+            taken[t], check[t] = 1, place[node]
+            last[t] = rank_at.get(child, last[place[node]])
+    return base, check, last
 
 
 def symbols(ranks: Iterable[int]) -> str:

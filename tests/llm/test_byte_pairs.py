@@ -64,3 +64,17 @@ def test_files_that_are_no_ranks(tmp_path):
     (tmp_path / "x").write_bytes(b"IQ== 0\nIg== 1\n")
     with pytest.raises(ValueError):
         bp.load_ranks(f"{tmp_path}/x")
+
+
+def test_pieces_of_a_word_are_read_from_the_tree(spark, ranks):
+    """Pieces at a place come from one walk down the tree; before, each stretch of a word was cut out and looked up."""
+    by_token = bp.load_ranks(FILE)
+    base, check, last = bp.prefix_tree(by_token)
+    by_rank = sorted(by_token, key=by_token.get)
+    for word in (b" leenementen", b"aaaaaaaa", bytes(range(250, 256)), *by_rank[::500]):
+        s, n = bp.ROOT, 0
+        while n < len(word) and 0 <= base[s] + word[n] < len(check) and check[base[s] + word[n]] == s:
+            s, n = base[s] + word[n], n + 1
+        assert by_rank[last[s]] == max((word[:k] for k in range(1, len(word) + 1) if word[:k] in by_token), key=len)
+    plan = spark.createDataFrame([("x",)], "word string").select(ranks.fold(F.col("word")))._jdf.queryExecution().analyzed().toString()
+    assert "substring" not in plan
