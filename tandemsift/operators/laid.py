@@ -200,3 +200,87 @@ def count_like_windows(rows: DataFrame, text: str, motif: str, width: int = 40,
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(told)], [*names, name])
 
     return helped.mapInArrow(found, StructType([*helped.schema.fields, StructField(name, LongType())])).drop("_unit", "_other")
+
+
+def best_stretches(bases: np.ndarray, sizes: np.ndarray, units: np.ndarray, phases: np.ndarray, match: int, mismatch: int) -> np.ndarray:
+    """Longest run of agreeing bases, and start, end and score of the best stretch, with each unit laid from its phase.
+
+    Ties go to the lowest start, then the shortest; without any hit it is the first base.
+    """
+    rows, at = np.arange(len(bases)), np.arange(bases.shape[1])
+    inside = at < sizes[:, None]
+    hit = inside & (bases == units[rows[:, None], (at + phases[:, None]) % units.shape[1]])
+    value = np.where(hit, match, mismatch).astype(np.int32)
+    prefix = np.cumsum(value, axis=1, dtype=np.int32)
+    before = prefix - value
+    low = np.minimum.accumulate(before, axis=1)
+    fresh = np.ones(bases.shape, bool)
+    fresh[:, 1:] = before[:, 1:] < low[:, :-1]
+    start = np.maximum.accumulate(np.where(fresh, at, 0), axis=1)
+    score = np.where(inside, prefix - low, np.iinfo(np.int32).min)
+    end = score.argmax(axis=1)  # starts ascend along a row, so the first of equal scores has the lowest start and end
+    run = (at - np.maximum.accumulate(np.where(hit, -1, at), axis=1)).max(axis=1)
+    return np.stack([run, start[rows, end], end + 1, score[rows, end]], axis=1)
+
+
+def stretches(rows: DataFrame, text: str, unit: str, phase: str, match: int, mismatch: int) -> DataFrame:
+    """rows with run_bp, start, end and score of the best stretch of a text under a unit laid from a phase.
+
+    Letters count as they stand. Rows whose text or unit is null or empty, or whose phase is null, are left out. Texts are laid side by side in Arrow batches.
+    """
+    kept = rows.filter((F.length(text) > 0) & (F.length(unit) > 0)).dropna(subset=[phase])
+    names = kept.columns
+    places = [names.index(c) for c in (text, unit, phase)]
+    added = ("run_bp", "start", "end", "score")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told, by_size = np.zeros((batch.num_rows, len(added)), np.int64), {}
+            texts, units, phases = (batch.column(i).to_pylist() for i in places)
+            for i, own in enumerate(units):
+                by_size.setdefault(len(own), []).append(i)
+            for alike in by_size.values():
+                sizes = np.array([len(texts[i]) for i in alike], np.int64)
+                for at in groups(sizes):
+                    own = [alike[i] for i in at]
+                    laid = [matrix([codes(x[i]) for i in own]) for x in (texts, units)]
+                    told[own] = best_stretches(laid[0], sizes[at], laid[1], np.array([phases[i] for i in own], np.int64), match, mismatch)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(told[:, j].astype(np.int32)) for j in range(len(added))]], [*names, *added])
+
+    return kept.mapInArrow(found, StructType([*kept.schema.fields, *[StructField(c, IntegerType()) for c in added]]))
+
+
+def best_stretch_of_all(rows: DataFrame, text: str, unit: str, other: str, match: int, mismatch: int, name: str = "call") -> DataFrame:
+    """rows with the best stretch (start, end, score) of a text over all phases of a unit and of its complement.
+
+    Ties go to the lowest start, then the shortest. Null where text, unit or complement is null or empty. A text is worked out in its own row.
+    """
+    names = rows.columns
+    places = [names.index(c) for c in (text, unit, other)]
+    added = ("_start", "_end", "_score")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told, known, by_size = np.zeros((batch.num_rows, 3), np.int64), np.zeros(batch.num_rows, bool), {}
+            texts, units, others = (batch.column(i).to_pylist() for i in places)
+            for i, own in enumerate(zip(texts, units, others)):
+                if all(own):
+                    by_size.setdefault(len(own[1]), []).append(i)
+            for size, alike in by_size.items():
+                sizes = np.array([len(texts[i]) for i in alike], np.int64)
+                for at in groups(sizes):
+                    own, best = [alike[i] for i in at], None
+                    bases, *ways = (matrix([codes(x[i]) for i in own]) for x in (texts, units, others))
+                    for way in ways:
+                        for k in range(size):
+                            x = best_stretches(bases, sizes[at], way, np.full(len(own), k), match, mismatch)[:, 1:]
+                            if best is not None:
+                                same = x[:, 2] == best[:, 2]
+                                earlier = (x[:, 0] < best[:, 0]) | ((x[:, 0] == best[:, 0]) & (x[:, 1] < best[:, 1]))
+                                x = np.where(((x[:, 2] > best[:, 2]) | (same & earlier))[:, None], x, best)
+                            best = x
+                    told[own], known[own] = best, True
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(told[:, j].astype(np.int32), mask=~known) for j in range(3)]], [*names, *added])
+
+    done = rows.mapInArrow(found, StructType([*rows.schema.fields, *[StructField(c, IntegerType()) for c in added]]))
+    return done.withColumn(name, F.when(F.col("_score").isNotNull(), F.struct(*[F.col(c).alias(c[1:]) for c in added]))).drop(*added)

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequences import letters, reverse_complement
-from . import calling
+from ..functions.sequences import reverse_complement
+from . import laid
 from .spread import spread
 
 #: Bases of a seed, and rows up to which an index is broadcast.
@@ -55,10 +55,9 @@ def scans(windows: DataFrame, named: DataFrame, key: str, match: int = 2, mismat
     """named[key, motif, strand, phase] with run_bp (the longest run without a mismatch), start, end and score of the best stretch."""
     unit = F.when(F.col("strand") == "-", reverse_complement(F.col("motif"))).otherwise(F.col("motif"))
     # bases come as text and are dealt by key: Spark's estimate takes a table of them for small, as its files are
-    rows = windows.select(key, F.upper("seq").alias("_seq")).hint("merge").join(named, key).withColumns({"_l": letters(F.col("_seq")), "_unit": letters(unit)})
-    hits = rows.select(key, "motif", "strand", "phase", F.explode(F.array(calling.agreeing(F.col("_unit"), F.size("_unit"), F.col("phase")))).alias("_hits"))
-    best = F.explode(F.array(calling.best_stretch(F.col("_hits"), match, mismatch))).alias("b")
-    return hits.select(key, "motif", "strand", "phase", calling.longest_run(F.col("_hits")).cast("long").alias("run_bp"), best).select(key, "motif", "strand", "phase", "run_bp", "b.*")
+    rows = windows.select(key, F.upper("seq").alias("_seq")).hint("merge").join(spread(named, key), key).withColumn("_unit", unit)
+    found = laid.stretches(rows, "_seq", "_unit", "phase", match, mismatch)
+    return found.select(key, "motif", "strand", "phase", F.col("run_bp").cast("long").alias("run_bp"), "start", "end", "score")
 
 
 def scan_by_seeds(windows: DataFrame, motifs: DataFrame, key: str, own: str | None = None, seed: int = SEED, match: int = 2, mismatch: int = -3) -> DataFrame:

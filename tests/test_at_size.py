@@ -274,3 +274,18 @@ def test_windows_of_clips_are_batches(spark):
     want = {r["id"]: r["count"] for r in pure.collect()}
     got = {r["id"]: r["windows"] for r in laid.count_like_windows(table, "clip", "motif").collect()}
     assert got == {i: want.get(i, 0) for i, _, _ in rows} and len(want) > 50
+
+
+def test_stretches_of_batches_are_those_of_rows(spark):
+    """Best stretches and runs side by side in Arrow batches, against the fold over one row's hits; before, each row was folded."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("ACGT", k=rng.randint(1, 60))) for _ in range(120)] + ["CAG" * 9 + "T" + "CAG" * 3, "A", "TTTT", "CAGTCAGCAG", "", None]
+    rows = [(i, t, u, p) for i, t in enumerate(texts) for u in ("CAG", "A", "AT", "CCTG", "NN") for p in range(len(u))]
+    df = spark.createDataFrame(rows, "read_id long, _seq string, _unit string, phase int")
+    got = {(r["read_id"], r["_unit"], r["phase"]): tuple(r[c] for c in ("run_bp", "start", "end", "score")) for r in laid.stretches(df, "_seq", "_unit", "phase", 2, -3).collect()}
+    own = df.filter("_seq <> ''").withColumns({"_l": s.letters(F.col("_seq")), "_u": s.letters(F.col("_unit"))})
+    own = own.withColumn("hits", calling.agreeing(F.col("_u"), F.size("_u"), F.col("phase"))).select("*", calling.longest_run(F.col("hits")).alias("run_bp"), calling.best_stretch(F.col("hits"), 2, -3).alias("b"))
+    want = {(r["read_id"], r["_unit"], r["phase"]): (r["run_bp"], r["b"]["start"], r["b"]["end"], r["b"]["score"]) for r in own.collect()}
+    assert got == want
+    for name in ("caller_sizing_by_context", "periodic_segment_scan_by_seeds"):
+        assert "MapInArrow" in plan(registry.queries()[name](spark, SF)), name
