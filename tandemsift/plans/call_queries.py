@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as s
 from ..operators import alignments as al
-from ..operators import calling, laid
+from ..operators import laid
 from ..operators import intervals as iv
 from ..operators.geometry import geometry
 from ..operators.rescue import bridge_decision
@@ -29,12 +29,11 @@ def called(jobs):
         F.when(F.length("motif") == 1, "NOT_ATTEMPTED_UNSUPPORTED_STRATEGY").when(F.coalesce(F.length("window_seq"), F.lit(0)) == 0, "NOT_ATTEMPTED_NO_WINDOW_SEQUENCE")
         .when(start.isNull() | end.isNull(), "NOT_ATTEMPTED_NO_PROJECTED_TARGET").when((start < 0) | (end <= start) | (end > F.length("window_seq")), "NOT_ATTEMPTED_INVALID_LOCAL_PRIOR").otherwise("CALLED")
     )
-    rows = geometry(jobs.withColumnsRenamed({"meets": "overlaps", "has_left": "left", "has_right": "right"}).withColumn("projected", F.col("projected_start").isNotNull())).withColumn("integration_status", status)
-    tried = rows.filter("integration_status = 'CALLED'")
-    motifs = tried.select("read_id", "motif", F.explode(F.array(F.lit("+"), F.lit("-"))).alias("strand"))
-    found = calling.segment_scan_by_motif(tried.select("read_id", F.col("window_seq").alias("seq")), motifs)
-    best = found.groupBy("read_id").agg(F.min_by(F.struct("start", "end", "score"), F.struct(-F.col("score"), "start", "end")).alias("call"))
-    return rows.join(best, "read_id", "left")
+    rows = geometry(jobs.drop("seq").withColumnsRenamed({"meets": "overlaps", "has_left": "left", "has_right": "right"}).withColumn("projected", F.col("projected_start").isNotNull())).withColumn("integration_status", status)
+    # worked out in the job's own row, so that jobs are neither made twice nor joined with themselves
+    tried = F.when(F.col("integration_status") == "CALLED", F.upper("window_seq"))
+    rows = spread(rows, "read_id").withColumns({"_text": tried, "_unit": F.upper("motif"), "_other": s.reverse_complement(F.col("motif"))})
+    return laid.best_stretch_of_all(rows, "_text", "_unit", "_other", match=2, mismatch=-3).drop("_text", "_unit", "_other")
 
 
 CALLED = f"""g AS (SELECT *, CASE WHEN meets AND has_left AND has_right AND projected_start IS NOT NULL THEN 'BOTH_FLANKS_PROJECTABLE' WHEN meets AND has_left AND has_right THEN 'FLANKS_WITHOUT_QUERY_TARGET' WHEN meets AND has_left THEN 'LEFT_FLANK_ONLY' WHEN meets AND has_right THEN 'RIGHT_FLANK_ONLY' WHEN meets THEN 'TARGET_INTERNAL_NO_FLANK'
