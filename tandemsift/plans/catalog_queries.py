@@ -285,13 +285,18 @@ def _(targets):
         len(qm) = len(rm) AND (q0 - r0) % len(qm) = 0 AS phase_compatible FROM n""",
 )
 def _(targets):
-    _, pairs = nearby_pairs(targets)
-    per = Window.partitionBy("q")
-    phase = (F.length("qm") == F.length("rm")) & ((F.col("q0") - F.col("r0")) % F.length("qm") == 0)
-    return pairs.select(
-        "q", "r", F.row_number().over(per.orderBy(F.desc("overlap_bp"), "distance_bp", "delta", "r")).alias("rank"), F.count("*").over(per).alias("candidates"),
-        F.round(F.col("overlap_bp") / (F.col("q1") - F.col("q0")), 6).alias("query_fraction"), F.round(F.col("overlap_bp") / (F.col("r1") - F.col("r0")), 6).alias("other_fraction"), phase.alias("phase_compatible"),
+    """All catalog loci near each disease locus, ranked. Loci of one span rank others alike, so each span's are ranked once."""
+    span = ["chrom", "q0", "q1"]
+    known = targets.filter("target_source = 'DISEASE'").select(F.col("target_region_id").alias("q"), "chrom", F.col("start_pos").alias("q0"), F.col("end_pos").alias("q1"), F.col("motif").alias("qm"))
+    other = targets.filter("target_source = 'CATALOG'").select(F.col("target_region_id").alias("r"), "chrom", F.col("start_pos").alias("r0"), F.col("end_pos").alias("r1"), F.length("motif").alias("unit"))
+    pairs = iv.interval_join(known.select(*span).distinct(), other, ("chrom", "q0", "q1"), ("chrom", "r0", "r1"), within=100)
+    per, delta = Window.partitionBy(*span), F.abs(F.col("q0") - F.col("r0")) + F.abs(F.col("q1") - F.col("r1"))
+    ranked = pairs.select(
+        *span, "r", "unit", (F.col("q0") - F.col("r0")).alias("shift"), F.row_number().over(per.orderBy(F.desc("overlap_bp"), "distance_bp", delta, "r")).alias("rank"), F.count("*").over(per).alias("candidates"),
+        F.round(F.col("overlap_bp") / (F.col("q1") - F.col("q0")), 6).alias("query_fraction"), F.round(F.col("overlap_bp") / (F.col("r1") - F.col("r0")), 6).alias("other_fraction"),
     )
+    phase = (F.length("qm") == F.col("unit")) & (F.col("shift") % F.length("qm") == 0)
+    return ranked.join(known, span).select("q", "r", "rank", "candidates", "query_fraction", "other_fraction", phase.alias("phase_compatible"))
 
 
 @query(

@@ -289,3 +289,16 @@ def test_stretches_of_batches_are_those_of_rows(spark):
     assert got == want
     for name in ("caller_sizing_by_context", "periodic_segment_scan_by_seeds"):
         assert "MapInArrow" in plan(registry.queries()[name](spark, SF)), name
+
+
+def test_crosswalk_ranks_a_span_once(spark, monkeypatch):
+    """Disease loci of one span, of whatever motif, go into the interval join once; before, each went by itself."""
+    from tandemsift.plans import catalog_queries, common
+
+    loci = [("DISEASE", f"D{i}", "chr1", 100, 130, "CAG" if i % 2 else "AT") for i in range(6)] + [("CATALOG", f"C{i}", "chr1", 90 + i % 2, 121 + i % 2, "CAG") for i in range(4)]
+    sizes, real = [], catalog_queries.iv.interval_join
+    monkeypatch.setattr(catalog_queries.iv, "interval_join", lambda a, b, *x, **y: sizes.append(a.count()) or real(a, b, *x, **y))
+    monkeypatch.setattr(common, "view", lambda *_: spark.createDataFrame(loci, "target_source string, target_region_id string, chrom string, start_pos long, end_pos long, motif string"))
+    rows = registry.queries()["locus_crosswalk"](spark, SF).collect()
+    assert sizes == [1] and sorted((r["q"], r["rank"], r["r"], r["candidates"]) for r in rows) == sorted((f"D{i}", k + 1, r, 4) for i in range(6) for k, r in enumerate(("C1", "C3", "C0", "C2")))
+    assert {r["q"] for r in rows if r["phase_compatible"]} == {"D1", "D3", "D5"}
