@@ -236,13 +236,6 @@ PAIR_SQL = """d AS (SELECT target_region_id AS q, chrom, start_pos AS q0, end_po
       n AS (SELECT *, greatest(0, least(q1, r1) - greatest(q0, r0)) AS overlap_bp, greatest(0, r0 - q1, q0 - r1) AS distance_bp, abs(q0 - r0) + abs(q1 - r1) AS delta FROM d JOIN c USING (chrom) WHERE r0 - q1 <= 100 AND q0 - r1 <= 100)"""
 
 
-def nearby_pairs(targets):
-    known = targets.filter("target_source = 'DISEASE'").select(F.col("target_region_id").alias("q"), "chrom", F.col("start_pos").alias("q0"), F.col("end_pos").alias("q1"), F.col("motif").alias("qm"))
-    other = targets.filter("target_source = 'CATALOG'").select(F.col("target_region_id").alias("r"), "chrom", F.col("start_pos").alias("r0"), F.col("end_pos").alias("r1"), F.col("motif").alias("rm"))
-    pairs = iv.interval_join(known, other, ("chrom", "q0", "q1"), ("chrom", "r0", "r1"), within=100)
-    return known, pairs.withColumn("delta", F.abs(F.col("q0") - F.col("r0")) + F.abs(F.col("q1") - F.col("r1")))
-
-
 #: What loci have in common that meet the same others in the same way.
 SHAPE = ["chrom", "q0", "q1", "qm"]
 
