@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.sequences import reverse_complement
 from .consensus import groups
@@ -202,6 +202,40 @@ def count_like_windows(rows: DataFrame, text: str, motif: str, width: int = 40,
     return helped.mapInArrow(found, StructType([*helped.schema.fields, StructField(name, LongType())])).drop("_unit", "_other")
 
 
+def purities(rows: DataFrame, text: str, motif: str) -> DataFrame:
+    """rows with purity and orientation, as sequences.phase_purity gives them for a text and its motif; null where it gives none.
+
+    Texts of one motif are laid side by side in Arrow batches.
+    """
+    helped = rows.drop("purity", "orientation").withColumns({"_unit": F.upper(motif), "_other": reverse_complement(F.col(motif))})
+    names = helped.columns
+    places = [names.index(c) for c in (text, "_unit", "_other")]
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            purity, way, by_unit = np.full(batch.num_rows, -1.0), [None] * batch.num_rows, {}
+            texts, units, others = (batch.column(i).to_pylist() for i in places)
+            for i, own in enumerate(zip(texts, units, others)):
+                if all(own):
+                    by_unit.setdefault(own[1:], []).append(i)
+            for strands, alike in by_unit.items():
+                ways = sorted({x[k:] + x[:k] for x in strands for k in range(len(x))})
+                sizes = np.array([len(texts[i]) for i in alike], np.int64)
+                for at in groups(sizes):
+                    own = [alike[i] for i in at]
+                    bases = matrix([codes(texts[i]) for i in own])
+                    laid = [np.resize(codes(w), bases.shape[1]) for w in ways]
+                    same = np.stack([(bases == x).sum(axis=1) for x in laid])
+                    best = same.argmax(axis=0)  # the first of equals
+                    purity[own] = same[best, np.arange(len(own))] / sizes[at]
+                    for i, w in zip(own, best.tolist()):
+                        way[i] = ways[w]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(purity, mask=purity < 0), pa.array(way, pa.string())], [*names, "purity", "orientation"])
+
+    schema = StructType([*helped.schema.fields, StructField("purity", DoubleType()), StructField("orientation", StringType())])
+    return helped.mapInArrow(found, schema).drop("_unit", "_other")
+
+
 def best_stretches(bases: np.ndarray, sizes: np.ndarray, units: np.ndarray, phases: np.ndarray, match: int, mismatch: int) -> np.ndarray:
     """Longest run of agreeing bases, and start, end and score of the best stretch, with each unit laid from its phase.
 

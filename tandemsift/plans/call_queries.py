@@ -152,7 +152,7 @@ def reference_of(targets):
 )
 def _(targets):
     """Best cyclic identity of each locus's reference bases to its own motif, on either strand, in quartiles."""
-    rows = reference_of(targets).select("motif", s.phase_purity(F.col("sequence"), F.col("motif"))["purity"].alias("identity"))
+    rows = laid.purities(reference_of(targets), "sequence", "motif").select("motif", F.col("purity").alias("identity"))
     quartiles = iv.quantiles(rows, ["motif"], F.col("identity"), {"q1": 0.25, "median": 0.5, "q3": 0.75}, tile=0.05, places=6)
     return rows.groupBy("motif").agg(F.count("*").alias("loci")).join(quartiles, "motif")
 

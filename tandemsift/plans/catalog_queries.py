@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as s
 from ..operators import intervals as iv
+from ..operators import laid
+from ..operators.spread import spread
 from .common import register
 
 QUERIES: dict = {}
@@ -82,10 +84,12 @@ def _(targets):
 )
 def _(reads, orders):
     """Best cyclic identity of each read's planted tract to one motif, in quartiles by the motif planted."""
-    tract = reads.join(orders, F.col("read_id") == F.col("o_orderkey")).select((F.col("o_custkey") % 6).alias("k"), F.substring(F.col("seq"), F.lit(33), F.length("seq") - 64).alias("tract"))
-    identity = tract.select("k", s.phase_purity(F.col("tract"), F.lit("CAG"))["purity"].alias("purity"))
+    # laid side by side in Arrow batches, in as many tasks as a shuffle has: a file of many short reads is few splits
+    planted = orders.select(F.col("o_orderkey").alias("read_id"), (F.col("o_custkey") % 6).alias("k"))
+    tract = spread(reads.select("read_id", F.substring(F.col("seq"), F.lit(33), F.length("seq") - 64).alias("tract")), "read_id").join(planted, "read_id")
+    identity = laid.purities(tract.select("k", "tract", F.lit("CAG").alias("motif")), "tract", "motif")
     quartiles = iv.quantiles(identity, ["k"], F.col("purity"), {"q1": 0.25, "median": 0.5, "q3": 0.75}, tile=0.05, places=6)
-    return tract.groupBy("k").agg(F.count("*").alias("tracts")).join(quartiles, "k").select("k", "tracts", "q1", "median", "q3")
+    return reads.select("read_id").join(planted, "read_id").groupBy("k").agg(F.count("*").alias("tracts")).join(quartiles, "k").select("k", "tracts", "q1", "median", "q3")
 
 
 @query(

@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import sequences as s
+from ..operators import laid
+from ..operators.spread import spread
 from .common import register
 
 QUERIES: dict = {}
@@ -131,8 +133,8 @@ PURITY = f"""w AS (SELECT read_id, seq, 'CAG' AS motif, unnest(list_distinct(lis
     f"WITH {PURITY.format('reads')} SELECT read_id, round(max(n)::DOUBLE / any_value(size), 6) AS purity, first(way ORDER BY n DESC, way) AS orientation FROM p GROUP BY read_id",
 )
 def _(reads):
-    found = reads.select("read_id", s.phase_purity(F.col("seq"), F.lit("CAG")).alias("p"))
-    return found.select("read_id", F.round("p.purity", 6).alias("purity"), F.col("p.orientation").alias("orientation"))
+    found = laid.purities(spread(reads.select("read_id", "seq", F.lit("CAG").alias("motif")), "read_id"), "seq", "motif")
+    return found.select("read_id", F.round("purity", 6).alias("purity"), "orientation")
 
 
 @query(
