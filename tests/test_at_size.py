@@ -316,3 +316,47 @@ def test_purities_of_batches_are_those_of_rows(spark):
         found = plan(registry.queries()[name](spark, SF))
         assert "MapInArrow" in found and "Exchange hashpartitioning(read_id" in found and "zip_with" not in found, name
     assert "zip_with" not in plan(registry.queries()["reference_motif_identity_by_locus"](spark, SF))
+
+
+def counted_plainly(candidates):
+    """What candidate_counts, region_counts and region_summary give, from the pairs themselves."""
+    exact, basis = F.col("target_overlap_bp") > 0, F.when(F.col("target_overlap_bp") > 0, "EXACT").otherwise("PROXIMAL")
+    counts = candidates.groupBy("read_id").agg(F.count("*").alias("n"), F.count_if(exact).alias("exact"), F.count_if(F.col("target_source") == "DISEASE").alias("disease"))
+    regions = candidates.groupBy("target_source", "target_region_id", basis.alias("basis")).agg(F.count("*").alias("candidates"), F.count_distinct("read_id").alias("reads"))
+    best = F.min_by("read_id", F.struct(-F.col("target_overlap_bp"), "target_distance_bp", F.coalesce("read_id", F.lit(1 << 40))))
+    summary = candidates.groupBy("target_source", "target_region_id").agg(F.count("*").alias("candidates"), F.count_distinct("read_id").alias("reads"), F.count_if(exact).alias("exact"), best.alias("best_read"))
+    return counts, regions, summary
+
+
+def dense_blocks_and_loci(spark):
+    """Reads of up to five alignments with up to three blocks each, many of which meet a locus; copies of reads and loci, and odd ones."""
+    rng = random.Random(11)
+    blocks = []
+    for r in range(60):
+        for o in range(rng.randint(1, 5)):
+            at = rng.randrange(0, 900)
+            for _ in range(rng.randint(1, 3)):
+                blocks.append((r, o, f"chr{r % 2}", at, at + rng.randint(1, 80)))
+                at += rng.randint(0, 120)
+    blocks += [(r + 100, *x) for r, *x in blocks if r < 30] + [(999, 1, None, 5, 9), (998, 1, "chr0", None, 9), (None, 1, "chr0", 100, 160), (997, None, "chr0", 100, 160)]
+    rng.shuffle(blocks)
+    loci = [("DISEASE" if i % 3 == 0 else "CATALOG", f"T{i}", f"chr{i % 2}", i * 37 % 900, i * 37 % 900 + 3 + i % 40) for i in range(50)]
+    loci += [(s_, f"{n}c", *x) for s_, n, *x in loci if len(n) == 2]
+    return spark.createDataFrame(blocks, "read_id long, ordinal int, chrom string, block_start long, block_end long"), spark.createDataFrame(loci, "target_source string, target_region_id string, chrom string, start_pos long, end_pos long")
+
+
+def test_shapes_of_reads_count_as_pairs_do(spark):
+    """Counts of candidates come from each shape of reads with each span, and no pair is shuffled; before, pairs were grouped by both."""
+    blocks, loci = dense_blocks_and_loci(spark)
+    for targets in (loci, loci.unionByName(loci.limit(3).withColumn("start_pos", F.col("start_pos") - 10))):
+        want = counted_plainly(asg.alignment_target_candidates(blocks, targets))
+        got = asg.candidate_counts(blocks, targets), asg.region_counts(blocks, targets), asg.region_summary(blocks, targets)
+        for g, w in zip(got, want):
+            names = sorted(w.columns)
+            assert sorted(map(str, g.select(*names).collect())) == sorted(map(str, w.select(*names).collect()))
+    met = asg.shapes_met(blocks, loci)
+    assert met.groupBy("_shape", "_shape2", "chrom", "start_pos", "end_pos").count().filter("count > 1").isEmpty()
+    assert met.groupBy("read_id").count().count() < blocks.select("read_id").distinct().count()
+    for name in ("candidate_multiplicity", "disease_region_summary", "region_summary"):
+        found = registry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_set" not in found and found.count("Join Inner") <= 4, name
