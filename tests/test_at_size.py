@@ -360,3 +360,27 @@ def test_shapes_of_reads_count_as_pairs_do(spark):
     for name in ("candidate_multiplicity", "disease_region_summary", "region_summary"):
         found = registry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         assert "collect_set" not in found and found.count("Join Inner") <= 4, name
+
+
+def test_flags_of_copies_join_no_more_rows(spark, monkeypatch):
+    """Copies of loci and features put no more rows into the interval join of flags and audits; before, each copy was joined with each."""
+    from pyspark.sql import DataFrame
+
+    from tandemsift.plans import catalog_queries, common
+
+    sizes, real = [], catalog_queries.iv.interval_join
+    monkeypatch.setattr(catalog_queries.iv, "interval_join", lambda a, b, *x, **y: sizes.append((a.count(), b.count())) or real(a, b, *x, **y))
+    loci = [("DISEASE" if i % 2 else "CATALOG", f"T{i}", "chr1", i * 9, i * 9 + 12, ("CAG", "GCA", "AT", None, "C-G")[i % 5]) for i in range(20)]
+    feats = [("chr1", ("gene", "exon", "CDS", "UTR")[i % 4], i * 11 + 1, i * 11 + 30, "+-"[i % 2], f"tx{i % 3}") for i in range(16)]
+
+    def found(name: str, n: int) -> tuple[list, DataFrame]:
+        targets = spark.createDataFrame([(s_, f"T{int(i[1:]) + 20 * c}", *x) for s_, i, *x in loci for c in range(n)], "target_source string, target_region_id string, chrom string, start_pos long, end_pos long, motif string")
+        gtf = spark.createDataFrame(feats * n, "chrom string, feature string, start_1based long, end_1based long, strand string, transcript_id string")
+        monkeypatch.setattr(common, "view", lambda _s, _d, v: {"targets": targets, "gtf_rows": gtf}[v])
+        sizes.clear()
+        rows = registry.queries()[name](spark, SF).collect()
+        return list(sizes), sorted((int(r["target_region_id"][1:]) % 20, *r[1:]) for r in rows)
+
+    for name in ("locus_region_flags", "forced_locus_audit"):
+        (one, rows), (many, more) = found(name, 1), found(name, 4)
+        assert one == many and more == sorted(r for r in rows for _ in range(4)), name
