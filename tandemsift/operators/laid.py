@@ -244,17 +244,61 @@ def best_stretches(bases: np.ndarray, sizes: np.ndarray, units: np.ndarray, phas
     rows, at = np.arange(len(bases)), np.arange(bases.shape[1])
     inside = at < sizes[:, None]
     hit = inside & (bases == units[rows[:, None], (at + phases[:, None]) % units.shape[1]])
+    return np.concatenate([longest_runs(hit)[:, None], best_of_hits(hit, inside, match, mismatch)], axis=1)
+
+
+def longest_runs(hit: np.ndarray) -> np.ndarray:
+    """The longest run of hits of each row."""
+    at = np.arange(hit.shape[1])
+    return (at - np.maximum.accumulate(np.where(hit, -1, at), axis=1)).max(axis=1, initial=0)
+
+
+def best_of_hits(hit: np.ndarray, inside: np.ndarray, match: int, mismatch: int) -> np.ndarray:
+    """Start, end and score of each row's best stretch, as best_stretches."""
+    rows, at = np.arange(len(hit)), np.arange(hit.shape[1])
     value = np.where(hit, match, mismatch).astype(np.int32)
     prefix = np.cumsum(value, axis=1, dtype=np.int32)
     before = prefix - value
     low = np.minimum.accumulate(before, axis=1)
-    fresh = np.ones(bases.shape, bool)
+    fresh = np.ones(hit.shape, bool)
     fresh[:, 1:] = before[:, 1:] < low[:, :-1]
     start = np.maximum.accumulate(np.where(fresh, at, 0), axis=1)
     score = np.where(inside, prefix - low, np.iinfo(np.int32).min)
     end = score.argmax(axis=1)  # starts ascend along a row, so the first of equal scores has the lowest start and end
-    run = (at - np.maximum.accumulate(np.where(hit, -1, at), axis=1)).max(axis=1)
-    return np.stack([run, start[rows, end], end + 1, score[rows, end]], axis=1)
+    return np.stack([start[rows, end], end + 1, score[rows, end]], axis=1)
+
+
+def scans_of_all(reads: DataFrame, key: str, units: list[tuple[str, str, str]], scores: tuple[int, int] | None = None) -> DataFrame:
+    """Each of reads[key, seq] under each of units (motif, strand, what is laid): run_bp, the longest run over all phases.
+
+    With `scores` (match, mismatch) instead for each phase the best stretch's start, end and score. Letters count as they
+    stand; a null text is empty. Texts are laid side by side in Arrow batches, and units are few enough to go with the task.
+    """
+    added = {"run_bp": "bigint"} if scores is None else {"phase": "int", "start": "int", "end": "int", "score": "int"}
+    laid = [(motif, strand, codes(unit)) for motif, strand, unit in units]
+    schema = f"{key} {reads.schema[key].dataType.simpleString()}, motif string, strand string, " + ", ".join(f"{n} {kind}" for n, kind in added.items())
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bases = [codes(t) for t in batch.column(1).to_pylist()]
+            for own in groups(np.array([len(b) for b in bases], np.int64)):
+                texts, at = matrix([bases[i] for i in own]), batch.column(0).take(pa.array(own))
+                inside = np.arange(texts.shape[1]) < np.array([len(bases[i]) for i in own])[:, None]
+
+                def rows(motif: str, strand: str, *values: np.ndarray) -> pa.RecordBatch:
+                    names = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(own), np.int32))) for x in (motif, strand)]
+                    kinds = [pa.int64() if k == "bigint" else pa.int32() for k in added.values()]
+                    return pa.RecordBatch.from_arrays([at, *names, *[pa.array(v).cast(k) for v, k in zip(values, kinds)]], [key, "motif", "strand", *added])
+
+                for motif, strand, unit in laid:
+                    hits = (texts == np.resize(np.roll(unit, -phase), texts.shape[1]) for phase in range(len(unit)))
+                    if scores is None:
+                        yield rows(motif, strand, np.max([longest_runs(h) for h in hits], axis=0))
+                    else:
+                        for phase, h in enumerate(hits):
+                            yield rows(motif, strand, np.full(len(own), phase), *best_of_hits(h, inside, *scores).T)
+
+    return reads.mapInArrow(found, schema)
 
 
 def stretches(rows: DataFrame, text: str, unit: str, phase: str, match: int, mismatch: int) -> DataFrame:

@@ -384,3 +384,10 @@ def test_flags_of_copies_join_no_more_rows(spark, monkeypatch):
     for name in ("locus_region_flags", "forced_locus_audit"):
         (one, rows), (many, more) = found(name, 1), found(name, 4)
         assert one == many and more == sorted(r for r in rows for _ in range(4)), name
+
+
+def test_scans_of_all_motifs_are_batches(spark):
+    """Scans of all reads under all motifs lay reads side by side in Arrow batches; before, each base went through lambda functions."""
+    for name in ("exact_periodic_run_by_motif", "periodic_segment_scan_by_motif"):
+        found = plan(registry.queries()[name](spark, SF))
+        assert "MapInArrow" in found and "Exchange hashpartitioning(read_id" in found and "aggregate(" not in found, name
