@@ -391,3 +391,27 @@ def test_scans_of_all_motifs_are_batches(spark):
     for name in ("exact_periodic_run_by_motif", "periodic_segment_scan_by_motif"):
         found = plan(registry.queries()[name](spark, SF))
         assert "MapInArrow" in found and "Exchange hashpartitioning(read_id" in found and "aggregate(" not in found, name
+
+
+def test_ranks_of_batches_are_those_of_joins(spark, monkeypatch):
+    """Best alignments and ranks beside a small catalog, in Arrow batches of any size, are those of the join and the window; before, all pairs were shuffled to be ranked."""
+    from tandemsift.operators import ranked
+
+    blocks, loci = dense_blocks_and_loci(spark)
+    blocks = blocks.filter("ordinal IS NOT NULL AND read_id IS NOT NULL")
+    loci = loci.unionByName(spark.createDataFrame([("CATALOG", "long", "chr1", 0, 20000), ("DISEASE", "none", None, 1, 5), ("DISEASE", "away", "chrX", 1, 5), ("CATALOG", "point", "chr0", 50, 50)], loci.schema))
+    kinds = F.array(*[F.lit(k) for k in ("primary", "secondary", "supplementary", "other")])
+    alike = F.col("read_id") % 100 * 7 + F.col("ordinal") * 5
+    alignments = blocks.filter("ordinal < 4").select("read_id", "ordinal").distinct().select("read_id", "ordinal", F.get(kinds, (alike % 4).cast("int")).alias("alignment_class"), F.when(alike % 9 > 0, alike % 3).cast("int").alias("mapq"), F.when(alike % 2 == 0, "+").otherwise("-").alias("strand"))
+    found = lambda: [sorted(map(str, f(blocks, loci, alignments).collect())) for f in (asg.read_target_candidates, asg.ranked_targets)]
+    got = found()
+    monkeypatch.setattr(ranked, "CELLS", 50)
+    monkeypatch.setattr(ranked, "ALIKE", 1)
+    assert found() == got
+    monkeypatch.setattr(ranked, "LOCI", 1)
+    assert found() == got and len(got[1]) == len(got[0]) > 1000
+    monkeypatch.undo()
+    assert asg.reads_alike(blocks, alignments).count() < blocks.select("read_id").distinct().count()
+    for name in ("read_target_candidates", "assignment_rank"):
+        found_plan = plan(registry.queries()[name](spark, SF))
+        assert "MapInArrow" in found_plan and "Window [row_number() windowspecdefinition(read_id" not in found_plan, name
