@@ -163,8 +163,11 @@ def _(blocks, targets):
     f"WITH {TRACKS} SELECT target_region_id, transcript_id, feature, greatest(0, s - end_pos, start_pos - e)::BIGINT AS distance_bp FROM targets t JOIN g ON g.chrom = t.chrom AND s - end_pos <= 100 AND start_pos - e <= 100",
 )
 def _(targets, gtf):
-    near = iv.interval_join(targets, features(gtf), TARGET, ("chrom", "s", "e"), within=100)
-    return near.select("target_region_id", "transcript_id", "feature", F.col("distance_bp").cast("long"))
+    """Spans are paired, not copies: what lies at one span shares a row, and a row for each pair is made at the end."""
+    loci = iv.gathered(targets, list(TARGET), ["target_region_id"], "_loci")
+    near = iv.interval_join(loci, iv.gathered(features(gtf), ["chrom", "s", "e"], ["transcript_id", "feature"], "_features"), TARGET, ("chrom", "s", "e"), within=100)
+    rows = near.select(F.explode("_loci").alias("x"), "_features", F.col("distance_bp").cast("long").alias("distance_bp"))
+    return rows.select("x.target_region_id", F.explode("_features").alias("y"), "distance_bp").select("target_region_id", "y.transcript_id", "y.feature", "distance_bp")
 
 
 def overlap_flags(targets, gtf):

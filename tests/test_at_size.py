@@ -415,3 +415,17 @@ def test_ranks_of_batches_are_those_of_joins(spark, monkeypatch):
     for name in ("read_target_candidates", "assignment_rank"):
         found_plan = plan(registry.queries()[name](spark, SF))
         assert "MapInArrow" in found_plan and "Window [row_number() windowspecdefinition(read_id" not in found_plan, name
+
+
+def test_nearby_copies_join_no_more_rows(spark, monkeypatch):
+    """Copies of loci and features at one span go into the interval join as one row; before, each by itself."""
+    from tandemsift.plans import catalog_queries, common
+
+    sizes, real = [], catalog_queries.iv.interval_join
+    monkeypatch.setattr(catalog_queries.iv, "interval_join", lambda a, b, *x, **y: sizes.append((a.count(), b.count())) or real(a, b, *x, **y))
+    targets = spark.createDataFrame([(f"T{i}-{c}", "chr1", i * 90, i * 90 + 12) for i in range(8) for c in range(5)], "target_region_id string, chrom string, start_pos long, end_pos long")
+    gtf = spark.createDataFrame([("chr1", "exon", i * 70 + 1, i * 70 + 30, "+", f"tx{c}") for i in range(6) for c in range(4)], "chrom string, feature string, start_1based long, end_1based long, strand string, transcript_id string")
+    monkeypatch.setattr(common, "view", lambda _s, _d, v: {"targets": targets, "gtf_rows": gtf}[v])
+    got = sorted(tuple(r) for r in registry.queries()["interval_nearby_join"](spark, SF).select("target_region_id", "transcript_id", "distance_bp").collect())
+    apart = lambda i, j: max(0, j * 70 - i * 90 - 12, i * 90 - j * 70 - 30)
+    assert sizes == [(8, 6)] and got == sorted((f"T{i}-{c}", f"tx{d}", apart(i, j)) for i in range(8) for c in range(5) for j in range(6) for d in range(4) if apart(i, j) <= 100)
